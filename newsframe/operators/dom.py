@@ -310,6 +310,24 @@ def dom_nodes(pages: DataFrame) -> DataFrame:
     return src.mapInArrow(_parse_batches, NODE_SCHEMA)
 
 
+def co_partition(spark) -> None:
+    """Let joins keyed on ``(page_id, ...)`` reuse a ``page_id`` hash
+    partitioning instead of re-shuffling both sides."""
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
+def page_nodes(pages: DataFrame, partitions: int | None = None) -> DataFrame:
+    """C0 hash-partitioned on ``page_id``: the one shuffle of the node table.
+
+    Every later per-page window, aggregate and join (all keyed by
+    ``page_id`` first) reuses this partitioning.
+    """
+    spark = pages.sparkSession
+    co_partition(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return dom_nodes(pages).repartition(n, "page_id")
+
+
 # ----------------------------------------------------------------------
 # C1 node_text: all text under a node, joined by a space, whitespace trimmed
 # ----------------------------------------------------------------------
@@ -463,48 +481,42 @@ def prev_sibling(nodes: DataFrame) -> DataFrame:
 # the raw tree)
 # ----------------------------------------------------------------------
 
-def _outermost(nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Roots that have no other root as an ancestor."""
-    r = roots.select("page_id", "node_id", "end_id").alias("r")
-    a = roots.select("page_id", F.col("node_id").alias("a_id"),
-                     F.col("end_id").alias("a_end")).alias("a")
-    covered = r.join(a, (F.col("r.page_id") == F.col("a.page_id"))
-                     & (F.col("a.a_id") < F.col("r.node_id"))
-                     & (F.col("a.a_end") >= F.col("r.node_id")), "left_semi")
-    return r.join(covered, ["page_id", "node_id", "end_id"], "left_anti")
+def _intervals(roots: DataFrame) -> DataFrame:
+    """Per page, the subtree intervals of ``roots`` as one array row."""
+    return roots.groupBy("page_id").agg(
+        F.collect_list(F.struct(F.col("node_id").alias("s"), F.col("end_id").alias("e")))
+        .alias("iv"))
+
+
+def _inside(id_col, iv_col="iv"):
+    return F.coalesce(F.exists(iv_col, lambda x: (id_col >= x["s"]) & (id_col <= x["e"])),
+                      F.lit(False))
 
 
 def drop_subtree(nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """C11: remove the ``roots`` with their content (left-anti range join on
-    the subtree interval) but keep each removed root's tail: it is joined by
-    a space to the tail of the nearest kept preceding sibling, or to the
-    parent's text when there is none."""
-    top = _outermost(nodes, roots)
-    r = top.select("page_id", F.col("node_id").alias("r_start"),
-                   F.col("end_id").alias("r_end")).alias("r")
-    n = nodes.alias("n")
-    cond = ((F.col("n.page_id") == F.col("r.page_id"))
-            & (F.col("n.node_id") >= F.col("r.r_start"))
-            & (F.col("n.node_id") <= F.col("r.r_end")))
-    kept = n.join(r, cond, "left_anti")
-    # removed roots, with their siblings, decide where each tail goes
-    gone = top.select("page_id", "node_id", F.lit(True).alias("gone"))
-    sibs = (nodes.filter(F.col("parent_id") >= 0)
-            .join(gone, ["page_id", "node_id"], "left")
-            .join(kept.select("page_id", F.col("node_id").alias("parent_id"),
-                              F.lit(True).alias("parent_kept")),
-                  ["page_id", "parent_id"], "left")
-            .filter(F.col("parent_kept") & (F.col("gone") | F.col("tail").isNotNull())))
+    """C11: remove the ``roots`` with their content but keep each removed
+    root's tail: it is joined by a space to the tail of the nearest kept
+    preceding sibling, or to the parent's text when there is none.
+
+    The roots of a page are folded into one interval array (a partial
+    aggregate: one row per page) and joined back on ``page_id``; membership is
+    an ``exists`` over that array, so no range self-join is needed.
+    """
+    flagged = (nodes.join(_intervals(roots), "page_id", "left")
+               .withColumn("gone", _inside(F.col("node_id")))
+               .withColumn("parent_gone", _inside(F.col("parent_id"))))
+    kept = flagged.filter(~F.col("gone"))
+    # children of kept parents; the removed ones among them are outermost
+    sibs = flagged.filter((F.col("parent_id") >= 0) & ~F.col("parent_gone"))
     w = Window.partitionBy("page_id", "parent_id").orderBy("sib_pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    grouped = sibs.withColumn(
-        "grp", F.sum(F.when(F.col("gone").isNull(), 1).otherwise(0)).over(w))
+    grouped = sibs.withColumn("grp", F.sum(F.when(F.col("gone"), 0).otherwise(1)).over(w))
     moved = (grouped.filter(F.col("gone") & (F.col("tail") != ""))
              .groupBy("page_id", "parent_id", "grp")
              .agg(F.array_join(F.transform(
                  F.array_sort(F.collect_list(F.struct("sib_pos", "tail"))),
                  lambda x: x["tail"]), " ").alias("moved")))
-    anchor = grouped.filter(F.col("gone").isNull()).select(
+    anchor = grouped.filter(~F.col("gone")).select(
         "page_id", "parent_id", "grp", F.col("node_id").alias("anchor_id"))
     to_tail = moved.filter(F.col("grp") > 0).join(anchor, ["page_id", "parent_id", "grp"]) \
         .select("page_id", F.col("anchor_id").alias("node_id"), F.col("moved").alias("add_tail"))
@@ -524,23 +536,17 @@ def drop_subtree(nodes: DataFrame, roots: DataFrame) -> DataFrame:
 
 def drop_tag(nodes: DataFrame, targets: DataFrame) -> DataFrame:
     """Remove the tag of the ``targets`` but keep their children and
-    text: a child whose parent is removed is re-parented to its nearest kept
-    ancestor (max ancestor number in a range join over kept nodes)."""
-    gone = targets.select("page_id", "node_id")
-    kept = nodes.join(gone, ["page_id", "node_id"], "left_anti")
-    orphans = kept.join(gone.withColumnRenamed("node_id", "parent_id"),
-                        ["page_id", "parent_id"], "left_semi") \
-        .select("page_id", F.col("node_id").alias("o_id")).alias("o")
-    a = kept.select("page_id", F.col("node_id").alias("a_id"),
-                    F.col("end_id").alias("a_end")).alias("a")
-    anc = (orphans.join(a, (F.col("o.page_id") == F.col("a.page_id"))
-                        & (F.col("a.a_id") < F.col("o.o_id"))
-                        & (F.col("a.a_end") >= F.col("o.o_id")), "left")
-           .groupBy(F.col("o.page_id").alias("page_id"), F.col("o.o_id").alias("node_id"))
-           .agg(F.coalesce(F.max("a.a_id"), F.lit(-1)).alias("new_parent")))
-    out = kept.join(anc, ["page_id", "node_id"], "left").withColumn(
-        "parent_id", F.coalesce(F.col("new_parent"), F.col("parent_id")))
-    return out.select(*nodes.columns)
+    text: every node's parent becomes its nearest kept ancestor (the largest
+    ancestor id not removed, read from the ancestor array)."""
+    gone = targets.groupBy("page_id").agg(F.collect_set("node_id").alias("gone_ids"))
+    j = nodes.join(gone, "page_id", "left").withColumn(
+        "gone_ids", F.coalesce("gone_ids", F.array().cast("array<int>")))
+    kept = j.filter(~F.array_contains("gone_ids", F.col("node_id")))
+    new_parent = F.coalesce(
+        F.array_max(F.filter("anc", lambda a: ~F.array_contains(F.col("gone_ids"), a))), F.lit(-1))
+    return kept.withColumn("parent_id", new_parent).withColumn(
+        "anc", F.filter("anc", lambda a: ~F.array_contains(F.col("gone_ids"), a))) \
+        .select(*nodes.columns)
 
 
 # The cleaner's choices (ours; the reference inherits one).

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from newsframe.functions.urls import link_hash
 from newsframe.operators.body import best_node, block_scores, body_text, text_blocks
-from newsframe.operators.dom import clean_doc, dom_nodes
+from newsframe.operators.dom import clean_doc, page_nodes
 from newsframe.operators.fields import authors, flat_fields, meta_map, page_facts, video_sources
 from newsframe.operators.tokens import language_gate
 
@@ -65,7 +65,7 @@ def article_extract(pages: DataFrame, language: str | None = "en",
     body scoring then uses English stop words.
     """
     gated = language_gate(pages, language)
-    nodes = dom_nodes(gated.select("page_id", "html"))
+    nodes = page_nodes(gated.select("page_id", "html"))
     if persist:
         nodes = nodes.persist(StorageLevel.MEMORY_AND_DISK)
     fields = extract_nodes(nodes, language or "en", stop_words, with_body, with_meta)
