@@ -110,7 +110,9 @@ def page_facts(nodes: DataFrame) -> DataFrame:
         _first((F.col("tag") == "meta") & _eq("property", "og:url"),
                F.struct(F.col("xpath").alias("path"), _attr("content").alias("content"),
                         _attr("href").alias("href"))).alias("ogurl_el"),
-        F.collect_set(F.when(tier.isNotNull(), F.struct(tier.alias("tier"), F.col("xpath").alias("path"))))
+        F.collect_set(F.when(tier.isNotNull(), F.struct(
+            tier.alias("tier"), F.col("xpath").alias("path"),
+            F.coalesce(F.col("inner_text"), F.lit("")).alias("text"))))
         .alias("tag_cands"),
         F.flatten(F.collect_list(F.when(F.size(date_hits) > 0, date_hits))).alias("date_cands"),
     )
@@ -169,9 +171,12 @@ def flat_fields(facts: DataFrame) -> DataFrame:
                  .when(og_href != "", og_href).otherwise(F.lit("")))
     # first tier with any element; the set of their paths
     min_tier = F.array_min(F.transform("tag_cands", lambda x: x["tier"]))
-    tags = F.when(F.col("n_nodes") <= 1, F.array().cast("array<string>")).otherwise(
-        F.array_sort(F.array_distinct(F.transform(
-            F.filter("tag_cands", lambda x: x["tier"] == min_tier), lambda x: x["path"]))))
+    chosen = F.array_sort(F.filter("tag_cands", lambda x: x["tier"] == min_tier))
+    empty = F.array().cast("array<string>")
+    tags = F.when(F.col("n_nodes") <= 1, empty).otherwise(
+        F.array_distinct(F.transform(chosen, lambda x: x["path"])))
+    tag_texts = F.when(F.col("n_nodes") <= 1, empty).otherwise(
+        F.array_distinct(F.filter(F.transform(chosen, lambda x: x["text"]), lambda t: t != "")))
     # per probe only its first element counts; first probe with a value
     dates = F.array_sort(F.col("date_cands"))
     firsts = F.filter(dates, lambda x, i: (i == 0) | (F.get(dates, i - 1)["probe"] != x["probe"]))
@@ -180,7 +185,8 @@ def flat_fields(facts: DataFrame) -> DataFrame:
         "page_id",
         meta_lang.alias("meta_lang"), lang_path.alias("lang_path"),
         title_path.alias("title_path"), title_value.alias("title"),
-        h1_text.alias("h1_text"), og_text.alias("og_title"),
+        F.col("h1_el.path").alias("h1_path"), h1_text.alias("h1_text"),
+        og_text.alias("og_title"), og_path.alias("og_path"),
         F.coalesce(F.concat(F.col("favicon_el.path"), F.lit("/@href")), F.lit("")).alias("favicon_path"),
         F.coalesce(F.col("favicon_el.value"), F.lit("")).alias("favicon"),
         F.coalesce(F.concat(F.col("desc_el.path"), F.lit("/@content")), F.lit("")).alias("description_path"),
@@ -188,7 +194,7 @@ def flat_fields(facts: DataFrame) -> DataFrame:
         F.coalesce(F.concat(F.col("kw_el.path"), F.lit("/@content")), F.lit("")).alias("keywords_path"),
         F.coalesce(F.col("kw_el.value"), F.lit("")).alias("keywords"),
         canonical_path.alias("canonical_path"), canonical.alias("canonical_link"),
-        tags.alias("tag_paths"),
+        tags.alias("tag_paths"), tag_texts.alias("tags"),
         F.coalesce(F.concat(date_hit["path"], F.lit("/@"), date_hit["cattr"]), F.lit("")).alias("date_path"),
         F.coalesce(date_hit["value"], F.lit("")).alias("publish_date"),
     )

@@ -22,7 +22,7 @@ from newsframe.operators.tokens import language_gate
 ARTICLE_COLUMNS = [
     "page_id", "url", "link_hash", "meta_lang", "lang_path", "title_path", "title",
     "author_paths", "authors", "favicon_path", "favicon", "description_path", "description",
-    "keywords_path", "keywords", "canonical_path", "canonical_link", "tag_paths",
+    "keywords_path", "keywords", "canonical_path", "canonical_link", "tag_paths", "tags",
     "meta_map", "date_path", "publish_date", "text_path", "text", "videos", "is_parsed",
 ]
 

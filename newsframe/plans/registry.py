@@ -399,3 +399,195 @@ def q_xpath_select(spark, sf):
     nodes = _nodes(spark, sf)
     paths = B.best_node(nodes, B.block_scores(B.text_blocks(nodes, LANG))).select("page_id", F.col("text_path").alias("path"))
     return select_path(nodes, paths)
+
+
+# ----------------------------------------------------------------------
+# F: field extraction on the English enriched pages
+# ----------------------------------------------------------------------
+
+_FC = S.field_ctes()
+
+
+def _flat(spark, sf) -> DataFrame:
+    return FL.flat_fields(FL.page_facts(_nodes(spark, sf)))
+
+
+@register("title_select", _FC + "\nSELECT page_id, title_path, title FROM f1v")
+def q_title_select(spark, sf):
+    return _flat(spark, sf).select("page_id", "title_path", "title")
+
+
+@register("longest_h1", _FC + "\nSELECT page_id, '/html/body/article/h1' AS h1_path, h AS h1_text FROM f1 WHERE has_h1")
+def q_longest_h1(spark, sf):
+    return _flat(spark, sf).filter(F.col("h1_path").isNotNull()).select("page_id", "h1_path", "h1_text")
+
+
+@register("og_title", _FC + "\nSELECT page_id, g AS og_title, og_path FROM f1")
+def q_og_title(spark, sf):
+    return _flat(spark, sf).select("page_id", "og_title", "og_path")
+
+
+@register("authors", _FC + "\nSELECT page_id, author_paths, authors FROM f4")
+def q_authors(spark, sf):
+    a = FL.authors(_nodes(spark, sf))
+    return a.select("page_id", _join("author_paths").alias("author_paths"), _join("authors").alias("authors"))
+
+
+@register("byline_names", _FC + """
+SELECT page_id, path, text, array_to_string(names, '|') AS names FROM (
+  SELECT DISTINCT page_id, path, text, names FROM an)""")
+def q_byline_names(spark, sf):
+    from newsframe.functions.text import byline_names
+    c = FL.author_candidates(_nodes(spark, sf)).filter(F.coalesce(F.col("text"), F.lit("")) != "")
+    return c.select("page_id", "path", "text", _join(byline_names("text")).alias("names")).distinct()
+
+
+@register("favicon", _FC + """
+SELECT en.page_id, coalesce(fav.path || '/@href', '') AS favicon_path, coalesce(fav.href, '') AS favicon
+FROM en LEFT JOIN fav USING (page_id)""")
+def q_favicon(spark, sf):
+    return _flat(spark, sf).select("page_id", "favicon_path", "favicon")
+
+
+@register("meta_content", _FC + """
+SELECT en.page_id, coalesce(d.path, '') AS description_path, coalesce(d.content, '') AS description,
+       coalesce(kw.path, '') AS keywords_path, coalesce(kw.content, '') AS keywords
+FROM en LEFT JOIN m_description d USING (page_id) LEFT JOIN m_keywords kw USING (page_id)""")
+def q_meta_content(spark, sf):
+    return _flat(spark, sf).select("page_id", "description_path", "description", "keywords_path", "keywords")
+
+
+@register("canonical_link", _FC + """
+SELECT en.page_id,
+  CASE WHEN coalesce(can.href, '') <> '' THEN can.path || '/@href'
+       WHEN coalesce(ogu.content, '') <> '' THEN ogu.path || '/@content'
+       WHEN coalesce(ogu.href, '') <> '' THEN ogu.path || '/@href' ELSE '' END AS canonical_path,
+  CASE WHEN coalesce(can.href, '') <> '' THEN can.href
+       WHEN coalesce(ogu.content, '') <> '' THEN ogu.content
+       WHEN coalesce(ogu.href, '') <> '' THEN ogu.href ELSE '' END AS canonical_link
+FROM en LEFT JOIN can USING (page_id) LEFT JOIN ogu USING (page_id)""")
+def q_canonical_link(spark, sf):
+    return _flat(spark, sf).select("page_id", "canonical_path", "canonical_link")
+
+
+@register("page_tags", _FC + """
+SELECT en.page_id, coalesce(f11.tag_paths, '') AS tag_paths, coalesce(f11.tags, '') AS tags
+FROM en LEFT JOIN f11 USING (page_id)""")
+def q_page_tags(spark, sf):
+    return _flat(spark, sf).select("page_id", _join("tag_paths").alias("tag_paths"), _join("tags").alias("tags"))
+
+
+_META_LONG = """,
+mv AS (SELECT page_id, k, trim(CASE WHEN prop <> '' THEN prop ELSE nm END) AS key,
+        CASE WHEN content <> '' THEN '/html/head/meta[' || CAST(k AS VARCHAR) || ']/@content'
+             WHEN val <> '' THEN '/html/head/meta[' || CAST(k AS VARCHAR) || ']/@value' END AS vpath
+       FROM (SELECT page_id, k, regexp_extract(tag, '\\sproperty="([^"]*)"', 1) AS prop,
+                    regexp_extract(tag, '\\sname="([^"]*)"', 1) AS nm,
+                    regexp_extract(tag, '\\scontent="([^"]*)"', 1) AS content,
+                    regexp_extract(tag, '\\svalue="([^"]*)"', 1) AS val FROM mt)),
+e2 AS (SELECT page_id, k, len(string_split(key, ':')) AS np, string_split(key, ':')[1] AS head,
+        CASE WHEN len(string_split(key, ':')) = 2 THEN string_split(key, ':')[2] END AS sub,
+        len(string_split(key, ':')) = 1 AS plain,
+        CASE WHEN len(string_split(key, ':')) = 1 THEN '/html/head/meta[' || CAST(k AS VARCHAR) || ']' ELSE vpath END AS value
+       FROM mv WHERE key <> '' AND vpath IS NOT NULL),
+lp AS (SELECT page_id, head, max(CASE WHEN plain THEN k END) AS last_plain FROM e2 GROUP BY page_id, head),
+af AS (SELECT e2.*, lp.last_plain FROM e2 JOIN lp USING (page_id, head) WHERE NOT plain AND k > coalesce(lp.last_plain, -1)),
+na AS (SELECT lp.page_id, lp.head, lp.last_plain, count(af.k) AS n_after, count(af.sub) AS n_two
+       FROM lp LEFT JOIN af USING (page_id, head) GROUP BY lp.page_id, lp.head, lp.last_plain),
+rowsm AS (
+  SELECT na.page_id, na.head, '' AS sub, e2.value, -1 AS ord FROM na JOIN e2 ON e2.page_id = na.page_id AND e2.head = na.head AND e2.k = na.last_plain
+   WHERE na.n_after = 0
+  UNION ALL
+  SELECT na.page_id, na.head, na.head AS sub, e2.value, -1 AS ord FROM na JOIN e2 ON e2.page_id = na.page_id AND e2.head = na.head AND e2.k = na.last_plain
+   WHERE na.n_after > 0
+  UNION ALL
+  SELECT page_id, head, sub, value, k AS ord FROM af WHERE sub IS NOT NULL
+  UNION ALL
+  SELECT page_id, head, NULL AS sub, NULL AS value, -1 AS ord FROM na WHERE last_plain IS NULL AND n_two = 0)
+"""
+
+
+@register("meta_map", _FC + _META_LONG + """
+SELECT page_id, head, sub, arg_max(value, ord) AS value FROM rowsm GROUP BY page_id, head, sub""")
+def q_meta_map(spark, sf):
+    return FL.meta_rows(_nodes(spark, sf))
+
+
+@register("publish_date", _FC + """
+SELECT en.page_id, coalesce(f13.date_path, '') AS date_path, coalesce(f13.publish_date, '') AS publish_date
+FROM en LEFT JOIN f13 USING (page_id)""")
+def q_publish_date(spark, sf):
+    return _flat(spark, sf).select("page_id", "date_path", "publish_date")
+
+
+@register("page_links", _FC + """
+SELECT page_id, href, link_text FROM (
+  SELECT page_id, """ + S.ent("unnest(hs)") + """ AS href, nullif(""" + S.ent("unnest(ts)") + """, '') AS link_text FROM (
+    SELECT page_id, regexp_extract_all(html, '<a [^>]*href="([^"]*)"[^>]*>[^<]*', 1) AS hs,
+                    regexp_extract_all(html, '<a [^>]*href="[^"]*"[^>]*>([^<]*)', 1) AS ts FROM en))
+WHERE href <> '' AND NOT contains(href, '#')""")
+def q_page_links(spark, sf):
+    return FL.page_links(_nodes(spark, sf)).select("page_id", "href", "link_text")
+
+
+@register("video_src", _FC + """
+SELECT page_id, string_agg(src, '|') AS videos FROM (
+  SELECT page_id, unnest(regexp_extract_all(html, '<iframe data-src="([^"]*)"', 1)) AS src FROM en)
+GROUP BY page_id""")
+def q_video_src(spark, sf):
+    v = FL.video_sources(_nodes(spark, sf))
+    return v.select("page_id", _join("videos").alias("videos"))
+
+
+def _blocks(spark, sf):
+    nodes = _nodes(spark, sf)
+    return nodes, B.text_blocks(nodes, LANG)
+
+
+@register("text_blocks", _FC + """
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY k) AS INTEGER) AS block_ord,
+       CAST(stopwords AS INTEGER) AS stopwords, CAST(link_density AS DOUBLE) AS link_density FROM pk2 WHERE kept""")
+def q_text_blocks(spark, sf):
+    _, b = _blocks(spark, sf)
+    w = Window.partitionBy("page_id").orderBy("node_id")
+    return b.select("page_id", F.row_number().over(w).alias("block_ord"),
+                    F.col("stopwords").cast("int").alias("stopwords"),
+                    F.col("link_density").cast("double").alias("link_density"))
+
+
+@register("block_scores", _FC + "\nSELECT page_id, i, boostable, upscore FROM f17")
+def q_block_scores(spark, sf):
+    _, b = _blocks(spark, sf)
+    return B.block_scores(b).select("page_id", F.col("i").cast("int").alias("i"), "boostable", "upscore")
+
+
+@register("best_node", _FC + "\nSELECT page_id, text_path, top_score FROM f18")
+def q_best_node(spark, sf):
+    nodes, b = _blocks(spark, sf)
+    top = B.best_node(nodes, B.block_scores(b))
+    return top.select("page_id", "text_path", F.col("top_score").cast("double").alias("top_score"))
+
+
+@register("body_text", _FC + "\nSELECT page_id, text FROM f19")
+def q_body_text(spark, sf):
+    nodes, b = _blocks(spark, sf)
+    top = B.best_node(nodes, B.block_scores(b))
+    return B.body_text(nodes, top).select("page_id", "text")
+
+
+@register("article_extract", _FC + """
+SELECT en.page_id, en.url, md5(en.url) AS link_hash, 'en' AS meta_lang, f1v.title_path, f1v.title,
+  coalesce(f4.author_paths, '') AS author_paths,
+  coalesce(m_description.path, '') AS description_path, coalesce(m_keywords.path, '') AS keywords_path,
+  coalesce(f13.date_path, '') AS date_path, coalesce(f13.publish_date, '') AS publish_date,
+  coalesce(f11.tag_paths, '') AS tag_paths, f18.text_path, f1v.title_path <> '' AS is_parsed
+FROM en JOIN f1v USING (page_id) LEFT JOIN f4 USING (page_id) LEFT JOIN m_description USING (page_id)
+  LEFT JOIN m_keywords USING (page_id) LEFT JOIN f13 USING (page_id) LEFT JOIN f11 USING (page_id)
+  LEFT JOIN f18 USING (page_id)""")
+def q_article_extract(spark, sf):
+    from newsframe.plans.article import article_extract
+    a = article_extract(_news(spark, sf), LANG)
+    return a.select("page_id", "url", "link_hash", "meta_lang", "title_path", "title",
+                    _join("author_paths").alias("author_paths"), "description_path", "keywords_path",
+                    "date_path", "publish_date", _join("tag_paths").alias("tag_paths"), "text_path",
+                    "is_parsed")
