@@ -22,6 +22,7 @@ import re
 from html.parser import HTMLParser
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -316,16 +317,24 @@ def co_partition(spark) -> None:
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
 
 
-def page_nodes(pages: DataFrame, partitions: int | None = None) -> DataFrame:
+def page_nodes(pages: DataFrame, partitions: int | None = None,
+               persist: bool = True) -> DataFrame:
     """C0 hash-partitioned on ``page_id``: the one shuffle of the node table.
 
     Every later per-page window, aggregate and join (all keyed by
-    ``page_id`` first) reuses this partitioning.
+    ``page_id`` first) reuses this partitioning. The table is persisted
+    (memory, spilling to disk) because every extractor reads it and Spark
+    cannot share the parser's output between branches of one plan; a lost
+    executor's partitions are recomputed from the pages. Call
+    ``unpersist()`` when done.
     """
     spark = pages.sparkSession
     co_partition(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return dom_nodes(pages).repartition(n, "page_id")
+    nodes = dom_nodes(pages).repartition(n, "page_id")
+    if persist:
+        nodes = nodes.persist(StorageLevel.MEMORY_AND_DISK)
+    return nodes
 
 
 # ----------------------------------------------------------------------

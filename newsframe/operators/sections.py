@@ -72,7 +72,7 @@ def match_path(nodes: DataFrame, paths: DataFrame) -> DataFrame:
     hit = F.when(F.col("_dtag") != "",
                  (F.col("tag") == F.col("_dtag"))
                  & F.coalesce(F.col("attrs")[F.col("_dattr")] == F.col("_dval"), F.lit(False))) \
-        .otherwise(F.col("xpath_ix").rlike(F.col("_pat")))
+        .otherwise(F.regexp_like(F.col("xpath_ix"), F.col("_pat")))
     return j.filter(hit).select("page_id", "path", "node_id", "end_id", "attrs", "inner_text")
 
 
@@ -218,6 +218,9 @@ def apply_template(pages: DataFrame, templates: DataFrame) -> DataFrame:
     title / author / date: first match; text: every ``//text()`` run plus a
     newline. Missing matches stay NULL; empty template fields do no lookup.
     """
+    from newsframe.session import materialize
+    # templates: at most one row per section key, reused by several branches
+    templates = materialize(templates)
     targets = template_targets(pages, templates)
     html = pages.join(targets.select("page_id").distinct(), "page_id", "left_semi")
     nodes = page_nodes(html.select("page_id", "html"))

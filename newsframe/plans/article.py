@@ -9,7 +9,6 @@ one-row-per-page frames on ``page_id``.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,14 +63,20 @@ def article_extract(pages: DataFrame, language: str | None = "en",
     reference leaves them unparsed). ``language=None`` disables the gate;
     body scoring then uses English stop words.
     """
+    return extract_with_nodes(pages, language, stop_words, with_body, with_meta, persist)[0]
+
+
+def extract_with_nodes(pages: DataFrame, language: str | None = "en",
+                       stop_words: list[str] | None = None, with_body: bool = True,
+                       with_meta: bool = True, persist: bool = True):
+    """F20 plus the (persisted) node table, so a caller that is done with
+    the result (a stream micro-batch) can ``unpersist`` it."""
     gated = language_gate(pages, language)
-    nodes = page_nodes(gated.select("page_id", "html"))
-    if persist:
-        nodes = nodes.persist(StorageLevel.MEMORY_AND_DISK)
+    nodes = page_nodes(gated.select("page_id", "html"), persist=persist)
     fields = extract_nodes(nodes, language or "en", stop_words, with_body, with_meta)
     urls = gated.select("page_id", "url")
     out = urls.join(fields, "page_id", "inner").select(
         *[c for c in ARTICLE_COLUMNS if c not in ("link_hash", "is_parsed")],
         link_hash("url").alias("link_hash"),
         (F.col("title_path") != "").alias("is_parsed"))
-    return out.select(*ARTICLE_COLUMNS)
+    return out.select(*ARTICLE_COLUMNS), nodes

@@ -591,3 +591,215 @@ def q_article_extract(spark, sf):
                     _join("author_paths").alias("author_paths"), "description_path", "keywords_path",
                     "date_path", "publish_date", _join("tag_paths").alias("tag_paths"), "text_path",
                     "is_parsed")
+
+
+# ----------------------------------------------------------------------
+# E: sections and templates (enriched pages, sampling 3 as in the
+# reference's functional run)
+# ----------------------------------------------------------------------
+
+SAMPLING = 3
+
+_SEC_CTES = f""",
+vp AS (SELECT page_id, url FROM np WHERE contains(url, '://') AND starts_with(url, 'http')),
+su AS (SELECT page_id, url, {_SECTION_URL_SQL} AS section_url, {_SCHEME} || '://' || {_NETLOC} AS site,
+              {_NETLOC} AS netloc, {_SEG} AS seg FROM vp),
+e1 AS (SELECT site, section_url, min(page_id) AS pos FROM su GROUP BY site, section_url),
+e2 AS (SELECT section_url, url, min(page_id) AS page_id FROM su GROUP BY section_url, url),
+sec AS (SELECT section_url, pos AS spos,
+          regexp_extract(section_url, '^[A-Za-z][A-Za-z0-9+.\\-]*://([^/?#]*)', 1) ||
+          regexp_extract(section_url, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*([^?#]*)', 1) AS key,
+          regexp_extract(section_url, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*([^?#]*)', 1) <> '' AS has_path FROM e1),
+lpos AS (SELECT e2.url, min(sec.spos) AS l_spos, min(e2.page_id) AS l_apos FROM e2 JOIN sec USING (section_url) GROUP BY e2.url),
+akeys AS (SELECT e2.url, e2.page_id, su.netloc AS key, false AS has_path FROM e2 JOIN su USING (page_id)
+       UNION ALL
+       SELECT e2.url, e2.page_id, su.netloc || '/' || su.seg AS key, true AS has_path FROM e2 JOIN su USING (page_id)
+       WHERE su.seg IS NOT NULL),
+e3 AS (SELECT * FROM (SELECT sec.key, sec.section_url, sec.spos, akeys.url, akeys.page_id,
+          CAST(row_number() OVER (PARTITION BY sec.section_url ORDER BY lpos.l_spos, lpos.l_apos, akeys.page_id) AS INTEGER) AS rank
+        FROM sec JOIN akeys ON sec.key = akeys.key AND sec.has_path = akeys.has_path JOIN lpos ON lpos.url = akeys.url)
+       WHERE rank <= {SAMPLING})"""
+
+
+def _e_sql(select: str) -> str:
+    return S.field_ctes() + _SEC_CTES + "\n" + select
+
+
+def _sections_pages(spark, sf):
+    return _news(spark, sf)
+
+
+@register("section_urls", _e_sql("SELECT site, section_url, pos FROM e1"))
+def q_section_urls(spark, sf):
+    from newsframe.operators.sections import section_urls
+    return section_urls(_sections_pages(spark, sf))
+
+
+@register("section_articles", _e_sql("SELECT section_url, url, page_id FROM e2"))
+def q_section_articles(spark, sf):
+    from newsframe.operators.sections import section_articles
+    return section_articles(_sections_pages(spark, sf)).select("section_url", "url", "page_id")
+
+
+@register("section_sample", _e_sql("SELECT key, section_url, spos, url, page_id, rank FROM e3"))
+def q_section_sample(spark, sf):
+    from newsframe.operators.sections import section_sample
+    return section_sample(_sections_pages(spark, sf), SAMPLING)
+
+
+_E4_SQL = """SELECT e3.key, e3.section_url, e3.url, e3.page_id, e3.rank,
+       f1v.page_id IS NOT NULL AS is_parsed, f1v.title_path
+FROM e3 LEFT JOIN f1v USING (page_id)"""
+
+
+@register("section_process_all", _e_sql(_E4_SQL))
+def q_section_process_all(spark, sf):
+    from newsframe.operators.sections import section_process_all, section_sample
+    pages = _sections_pages(spark, sf)
+    out = section_process_all(pages, section_sample(pages, SAMPLING), LANG)
+    return out.select("key", "section_url", "url", "page_id", "rank", "is_parsed", "title_path")
+
+
+_E5_SQL = """, e4 AS (""" + _E4_SQL + """),
+firsts AS (SELECT * FROM (SELECT e4.*, e3.spos, row_number() OVER (PARTITION BY e4.key ORDER BY e3.spos, e4.rank) AS rn
+           FROM e4 JOIN e3 USING (key, section_url, page_id, rank) WHERE is_parsed) WHERE rn = 1)
+SELECT firsts.key, firsts.page_id, firsts.title_path, f18.text_path,
+       CASE WHEN f4.author_paths IS NULL THEN NULL ELSE split_part(f4.author_paths, '|', 1) END AS author_path,
+       coalesce(f13.date_path, '') AS date_path
+FROM firsts LEFT JOIN f18 USING (page_id) LEFT JOIN f4 USING (page_id) LEFT JOIN f13 USING (page_id)"""
+
+
+@register("section_template", S.field_ctes() + _SEC_CTES + _E5_SQL)
+def q_section_template(spark, sf):
+    from newsframe.operators.sections import source_detect
+    return source_detect(_sections_pages(spark, sf), SAMPLING, LANG)
+
+
+@register("source_detect")
+def q_source_detect(spark, sf):
+    """E8 with the default sampling of 1 (rows-only check; E5 is checked by SQL)."""
+    from newsframe.operators.sections import source_detect
+    return source_detect(_sections_pages(spark, sf), 1, LANG)
+
+
+def _applied(spark, sf):
+    from newsframe.operators.sections import apply_template, source_detect
+    pages = _sections_pages(spark, sf)
+    return apply_template(pages, source_detect(pages, SAMPLING, LANG))
+
+
+@register("apply_template")
+def q_apply_template(spark, sf):
+    """The learned templates read the other pages of their sections."""
+    return _applied(spark, sf)
+
+
+@register("template_report")
+def q_template_report(spark, sf):
+    """Per section key, pages tried and per-field misses."""
+    from newsframe.operators.sections import template_report
+    return template_report(_applied(spark, sf))
+
+
+# ----------------------------------------------------------------------
+# items
+# ----------------------------------------------------------------------
+
+def _items(spark, sf):
+    from newsframe.operators.items import news_items
+    from newsframe.operators.sections import section_of
+    from newsframe.plans.article import article_extract
+    art = article_extract(_news(spark, sf), LANG).withColumn("category", U.section_key(section_of("url")))
+    return news_items(art, "category")
+
+
+_EPOCH_SQL = ("CAST(epoch(TRY_CAST(CASE WHEN regexp_matches(d, '^\\d{4}-\\d{2}-\\d{2}$') THEN d || 'T00:00:00Z' "
+              "WHEN regexp_matches(d, '(Z|[+-]\\d{2}:?\\d{2})$') THEN d ELSE d || 'Z' END AS TIMESTAMPTZ)) AS BIGINT)")
+
+_ITEMS_SQL = f""",
+it AS (SELECT en.page_id, nullif(f1v.title, '') AS title,
+         nullif(replace(coalesce(an2.authors, ''), '|', ', '), '') AS author,
+         (SELECT {_EPOCH_SQL} FROM (SELECT nullif(f13.publish_date, '') AS d)) AS publish_date,
+         {_NETLOC.replace('url', 'en.url')} || CASE WHEN {_SEG.replace('url', 'en.url')} IS NULL THEN '' ELSE '/' || {_SEG.replace('url', 'en.url')} END AS category,
+         nullif(m_description.content, '') AS summary, nullif(f19.text, '') AS content,
+         en.url AS url_page, 'en' AS language, coalesce(f11.tags, '') AS tags
+       FROM en JOIN f1v USING (page_id) LEFT JOIN f4 an2 USING (page_id) LEFT JOIN f13 USING (page_id)
+         LEFT JOIN m_description USING (page_id) LEFT JOIN f19 USING (page_id) LEFT JOIN f11 USING (page_id)),
+itf AS (SELECT *, CAST(CASE WHEN row_number() OVER (PARTITION BY md5(lower(trim(regexp_replace(content, '\\s+', ' ', 'g'))))
+          ORDER BY page_id) > 1 THEN 1 ELSE 0 END AS INTEGER) AS aflag FROM it)"""
+
+
+def _items_flat(df):
+    return df.select("page_id", "title", "author", "aflag", "publish_date", "category", "summary",
+                     "content", "url_page", "language", F.coalesce(_join("tags"), F.lit("")).alias("tags"))
+
+
+@register("news_items", S.field_ctes() + _ITEMS_SQL + """
+SELECT page_id, title, author, aflag, publish_date, category, summary, content, url_page, language, tags FROM itf""")
+def q_news_items(spark, sf):
+    return _items_flat(_items(spark, sf))
+
+
+@register("items_rejected", S.field_ctes() + _ITEMS_SQL + """
+SELECT page_id, array_to_string(list_filter([CASE WHEN title IS NULL THEN 'title' END,
+         CASE WHEN publish_date IS NULL THEN 'publish_date' END, CASE WHEN content IS NULL THEN 'content' END,
+         CASE WHEN url_page IS NULL THEN 'url_page' END], lambda x: x IS NOT NULL), '|') AS reasons
+FROM itf WHERE title IS NULL OR publish_date IS NULL OR content IS NULL OR url_page IS NULL""")
+def q_items_rejected(spark, sf):
+    from newsframe.operators.items import items_rejected
+    return items_rejected(_items(spark, sf)).select("page_id", _join("reasons").alias("reasons"))
+
+
+@register("items_json")
+def q_items_json(spark, sf):
+    """A5: JSON messages (rows-only: JSON text formatting is engine-specific)."""
+    from newsframe.operators.items import items_json
+    return items_json(_items(spark, sf))
+
+
+@register("clone_flags", """
+SELECT doc_id, md5(lower(trim(regexp_replace(text, '\\s+', ' ', 'g')))) AS content_hash,
+       CAST(CASE WHEN row_number() OVER (PARTITION BY md5(lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))))
+            ORDER BY doc_id) > 1 THEN 1 ELSE 0 END AS INTEGER) AS aflag
+FROM documents""")
+def q_clone_flags(spark, sf):
+    from newsframe.operators.items import clone_flags
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return clone_flags(docs, "text", "doc_id").select("doc_id", "content_hash", "aflag")
+
+
+# ----------------------------------------------------------------------
+# Q: detect API and stream
+# ----------------------------------------------------------------------
+
+@register("detect_article", S.field_ctes() + """
+SELECT np.page_id, coalesce(f1v.title_path, '') AS title_path, f1v.page_id IS NOT NULL AS is_parsed,
+       CASE WHEN NOT (contains(np.url, '://') AND starts_with(np.url, 'http')) THEN 'bad_url'
+            WHEN f1v.page_id IS NULL THEN 'language' END AS error
+FROM np LEFT JOIN f1v USING (page_id)""")
+def q_detect_article(spark, sf):
+    from newsframe.plans.detect import detect
+    d = detect(_news(spark, sf), mode="article", language=LANG)
+    return d.select("page_id", F.coalesce("title_path", F.lit("")).alias("title_path"), "is_parsed", "error")
+
+
+@register("detect_source")
+def q_detect_source(spark, sf):
+    """Q2: templates for the sites listed in the targets (rows-only)."""
+    from newsframe.plans.detect import detect
+    pages = _news(spark, sf)
+    return detect(pages, mode="source", targets=targets_from_pages(pages), sampling=SAMPLING, language=LANG)
+
+
+@register("detect_stream")
+def q_detect_stream(spark, sf):
+    """Q3: the pages folder read as a stream (available-now trigger), each
+    micro-batch extracted by F20 into a Parquet sink; returns the sink."""
+    import uuid
+    from newsframe.session import checkpoint_dir
+    from newsframe.streaming.detect import detect_stream
+    base = f"{checkpoint_dir(spark)}/detect-stream-{uuid.uuid4().hex}"
+    q = detect_stream(spark, sf, f"{base}/sink", LANG, checkpoint=f"{base}/ckpt",
+                      file_glob="pages.parquet")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/sink")

@@ -57,3 +57,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def materialize(df):
+    """Cut the lineage of a small, reused intermediate result.
+
+    Writes it to the shared checkpoint folder (``spark.checkpoint.dir``)
+    with a reliable, eager checkpoint: later plans read the written rows
+    instead of re-running the query, and the data survives executor loss.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
