@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsframe.functions.stopwords import stop_words
-from newsframe.operators.dom import clean_doc, text_pieces
+from newsframe.operators.dom import outside_junk, text_pieces
 
 # Fixed values (ours): candidate block tags.
 BLOCK_TAGS = ["p", "pre", "td", "li", "blockquote"]
@@ -46,8 +46,11 @@ def text_blocks(nodes: DataFrame, language: str = "en",
     of each ``a`` element (an equi-join, linear in links x depth).
     """
     sw = list(words) if words is not None else list(stop_words(language))
-    base = cleaned if cleaned is not None else clean_doc(nodes)
-    blocks = base.filter(F.col("tag").isin(BLOCK_TAGS)).select(
+    cand = nodes.filter(F.col("tag").isin(BLOCK_TAGS))
+    # Blocks inside removed subtrees do not count
+    base = cleaned.filter(F.col("tag").isin(BLOCK_TAGS)) if cleaned is not None \
+        else outside_junk(nodes, cand)
+    blocks = base.select(
         "page_id", "node_id", "parent_id", "sib_pos", "xpath",
         stopword_count("inner_text", sw).alias("stopwords"),
         word_count("inner_text").alias("words"))

@@ -59,6 +59,10 @@ _ARROW_SCHEMA = pa.schema([
 # directly, because extractors read it for most such elements of a page.
 TEXT_TAGS = frozenset(
     "title h1 h2 h3 h4 h5 h6 p pre td th li blockquote a dt dd figcaption".split())
+# ... and elements whose naming attributes mention an author (F4 reads their
+# text); a case-insensitive search, as the author probes are.
+TEXT_ATTRS = ("name", "rel", "itemprop", "class", "id")
+TEXT_ATTR_RE = re.compile(r"author|byline|dc.creator", re.IGNORECASE)
 
 # HTML void elements (never have content or an end tag).
 VOID_TAGS = frozenset(
@@ -234,7 +238,7 @@ class _TreeBuilder(HTMLParser):
                 runs.append(tails[j])
         inner = [None] * n
         for i in range(n):
-            if self.tags[i] in TEXT_TAGS:
+            if self.tags[i] in TEXT_TAGS or _names_author(self.attrs[i]):
                 inner[i] = _WS.sub(" ", " ".join(runs[lo[i]:hi[i]])).strip()
         for i in range(n):
             p = self.parent[i]
@@ -249,6 +253,13 @@ class _TreeBuilder(HTMLParser):
                 anc, inner)
 
 
+def _names_author(attrs) -> bool:
+    for k, v in attrs:
+        if k in TEXT_ATTRS and v and TEXT_ATTR_RE.search(v):
+            return True
+    return False
+
+
 def _join_run(pieces: list[str]) -> str:
     if not pieces:
         return ""
@@ -564,6 +575,20 @@ CLEAN_AD_PATTERN = r"(?i)(^|[\s_-])(ad|ads|advert|advertisement|banner|sponsor)(
 CLEAN_UNWRAP_TAGS = ["b", "i", "em", "strong", "span", "br"]
 
 
+def junk_condition():
+    return (F.col("tag").isin(CLEAN_DROP_TAGS)
+            | F.coalesce(F.col("attrs").getItem("class"), F.lit("")).rlike(CLEAN_AD_PATTERN)
+            | F.coalesce(F.col("attrs").getItem("id"), F.lit("")).rlike(CLEAN_AD_PATTERN))
+
+
+def outside_junk(nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """The ``rows`` (a node subset) that C13 keeps: not inside a junk
+    subtree. Membership only (no text re-homing), for consumers that read
+    precomputed text such as the body scorer."""
+    iv = _intervals(nodes.filter(junk_condition()))
+    return rows.join(iv, "page_id", "left").filter(~_inside(F.col("node_id"))).drop("iv")
+
+
 def clean_doc(nodes: DataFrame) -> DataFrame:
     """The cleaned node table used for body scoring.
 
@@ -571,10 +596,7 @@ def clean_doc(nodes: DataFrame) -> DataFrame:
     elements whose class or id names an ad. Inline wrappers are left in
     place: their text is part of their block's text either way.
     """
-    is_junk = (F.col("tag").isin(CLEAN_DROP_TAGS)
-               | F.coalesce(F.col("attrs").getItem("class"), F.lit("")).rlike(CLEAN_AD_PATTERN)
-               | F.coalesce(F.col("attrs").getItem("id"), F.lit("")).rlike(CLEAN_AD_PATTERN))
-    return drop_subtree(nodes, nodes.filter(is_junk))
+    return drop_subtree(nodes, nodes.filter(junk_condition()))
 
 
 def node_html(tokens: DataFrame, spans: DataFrame) -> DataFrame:

@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsframe.functions.text import byline_names, inner_trim, title_filter
-from newsframe.operators.dom import node_text
 
 def _attr(name: str) -> Column:
     return F.col("attrs").getItem(name)
@@ -209,20 +208,15 @@ def author_candidates(nodes: DataFrame) -> DataFrame:
 
     A node can hit several probes; it is listed once per hit, probes in
     attribute-major order. Meta elements read ``content`` (a meta without one
-    is skipped), others their subtree text (C1, a range join on the few
-    matching elements of a page).
+    is skipped), others their subtree text (C1), which the parser precomputes
+    for every element whose naming attributes match an author probe.
     """
     probes = [(a, v) for a in AUTHOR_ATTRS for v in AUTHOR_VALUES]
     hits = F.array_compact(F.array(*[F.when(_irx(a, v), F.lit(i)) for i, (a, v) in enumerate(probes)]))
-    cand = nodes.select("page_id", "node_id", "end_id", "tag", "xpath", "attrs", "inner_text",
+    cand = nodes.select("page_id", "node_id", "tag", "xpath", "attrs", "inner_text",
                         F.explode(hits).alias("probe"))
     cand = cand.filter((F.col("tag") != "meta") | _has("content"))
-    need_text = cand.filter((F.col("tag") != "meta") & F.col("inner_text").isNull()) \
-        .select("page_id", "node_id", "end_id").distinct()
-    texts = node_text(nodes, need_text)
-    cand = cand.join(texts, ["page_id", "node_id"], "left")
-    text = F.when(F.col("tag") == "meta", _attr("content")) \
-        .otherwise(F.coalesce(F.col("inner_text"), F.col("node_text")))
+    text = F.when(F.col("tag") == "meta", _attr("content")).otherwise(F.col("inner_text"))
     path = F.when(F.col("tag") == "meta", F.concat("xpath", F.lit("/@content"))).otherwise(F.col("xpath"))
     return cand.select("page_id", "probe", "node_id", path.alias("path"), text.alias("text"))
 

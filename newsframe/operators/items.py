@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,15 +37,18 @@ def content_hash(col) -> F.Column:
 def clone_flags(df: DataFrame, text_col: str, order_col: str) -> DataFrame:
     """``aflag`` = 0 for the first copy of a content, 1 for later ones.
 
-    The window is partitioned by the content hash; copies of one content are
-    few, but a hot content is still one partition of rows that only carry
-    (hash, order, id): the wide columns are joined back afterwards.
+    Skew-safe: the first position per content hash is a ``min`` aggregate
+    (combined map-side, so a content copied a million times ships one row per
+    task), joined back on the hash; no window has to hold a hot hash in one
+    task. A row without content is never a clone. Pass a persisted or scanned
+    ``df``: it is read twice.
     """
-    h = df.select(order_col, content_hash(text_col).alias("content_hash"))
-    w = Window.partitionBy("content_hash").orderBy(order_col)
-    flags = h.withColumn("aflag", F.when(F.row_number().over(w) > 1, AFLAG_CLONE)
-                         .otherwise(AFLAG_ORIGINAL))
-    return df.join(flags, order_col)
+    h = df.withColumn("content_hash", content_hash(text_col))
+    first = h.filter(F.col("content_hash").isNotNull()) \
+        .groupBy("content_hash").agg(F.min(order_col).alias("_first"))
+    return h.join(first, "content_hash", "left").withColumn(
+        "aflag", F.when(F.col(order_col) > F.col("_first"), AFLAG_CLONE)
+        .otherwise(AFLAG_ORIGINAL)).drop("_first")
 
 
 def to_epoch(col) -> F.Column:
@@ -70,7 +74,7 @@ def news_items(articles: DataFrame, category_col: str | None = None) -> DataFram
         F.lit(None).cast("double").alias("ratings"),
         F.lit(None).cast("array<string>").alias("comments"),
         "page_id",
-    )
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     flagged = clone_flags(items.drop("aflag"), "content", "page_id")
     return flagged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in NEWS_ITEM_SCHEMA],
                           "page_id")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from newsframe.functions.urls import link_hash
 from newsframe.operators.body import best_node, block_scores, body_text, text_blocks
-from newsframe.operators.dom import clean_doc, page_nodes
+from newsframe.operators.dom import page_nodes
 from newsframe.operators.fields import authors, flat_fields, meta_map, page_facts, video_sources
 from newsframe.operators.tokens import language_gate
 
@@ -37,8 +37,7 @@ def extract_nodes(nodes: DataFrame, language: str = "en",
     else:
         out = out.withColumn("meta_map", F.lit(None).cast("map<string,map<string,string>>"))
     if with_body:
-        cleaned = clean_doc(nodes)
-        top = best_node(nodes, block_scores(text_blocks(nodes, language, stop_words, cleaned)))
+        top = best_node(nodes, block_scores(text_blocks(nodes, language, stop_words)))
         out = (out.join(top.select("page_id", "text_path", "top_id", "top_end"), "page_id", "left")
                .join(body_text(nodes, top), "page_id", "left")
                .join(video_sources(nodes, top), "page_id", "left"))

@@ -725,7 +725,7 @@ it AS (SELECT en.page_id, nullif(f1v.title, '') AS title,
          en.url AS url_page, 'en' AS language, coalesce(f11.tags, '') AS tags
        FROM en JOIN f1v USING (page_id) LEFT JOIN f4 an2 USING (page_id) LEFT JOIN f13 USING (page_id)
          LEFT JOIN m_description USING (page_id) LEFT JOIN f19 USING (page_id) LEFT JOIN f11 USING (page_id)),
-itf AS (SELECT *, CAST(CASE WHEN row_number() OVER (PARTITION BY md5(lower(trim(regexp_replace(content, '\\s+', ' ', 'g'))))
+itf AS (SELECT *, CAST(CASE WHEN content IS NOT NULL AND row_number() OVER (PARTITION BY md5(lower(trim(regexp_replace(content, '\\s+', ' ', 'g'))))
           ORDER BY page_id) > 1 THEN 1 ELSE 0 END AS INTEGER) AS aflag FROM it)"""
 
 
@@ -759,7 +759,7 @@ def q_items_json(spark, sf):
 
 @register("clone_flags", """
 SELECT doc_id, md5(lower(trim(regexp_replace(text, '\\s+', ' ', 'g')))) AS content_hash,
-       CAST(CASE WHEN row_number() OVER (PARTITION BY md5(lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))))
+       CAST(CASE WHEN text IS NOT NULL AND row_number() OVER (PARTITION BY md5(lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))))
             ORDER BY doc_id) > 1 THEN 1 ELSE 0 END AS INTEGER) AS aflag
 FROM documents""")
 def q_clone_flags(spark, sf):
