@@ -328,6 +328,27 @@ def co_partition(spark) -> None:
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
 
 
+# Node rows take about this many bytes per byte of compressed HTML input
+# (text, paths and attribute maps of every element), and each shuffle
+# partition of the node table should hold about TARGET_PARTITION_BYTES.
+NODE_EXPANSION = 4
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def node_partitions(pages: DataFrame) -> int:
+    """Partition count for the node table: from Catalyst's size estimate
+    of the input (file sizes for a scan; no job runs), never below
+    ``spark.sql.shuffle.partitions``."""
+    spark = pages.sparkSession
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        est = pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        size = est if isinstance(est, int) else int(est.toString())
+    except Exception:  # noqa: BLE001 - estimate unavailable: keep the configured count
+        return base
+    return max(base, -(-size * NODE_EXPANSION // TARGET_PARTITION_BYTES))
+
+
 def page_nodes(pages: DataFrame, partitions: int | None = None,
                persist: bool = True) -> DataFrame:
     """C0 hash-partitioned on ``page_id``: the one shuffle of the node table.
@@ -341,7 +362,7 @@ def page_nodes(pages: DataFrame, partitions: int | None = None,
     """
     spark = pages.sparkSession
     co_partition(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or node_partitions(pages)
     nodes = dom_nodes(pages).repartition(n, "page_id")
     if persist:
         nodes = nodes.persist(StorageLevel.MEMORY_AND_DISK)

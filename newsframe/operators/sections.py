@@ -158,16 +158,16 @@ def section_sample(pages: DataFrame, sampling: int = 1) -> DataFrame:
         U.section_key("section_url").alias("key"),
         (U.url_path("section_url") != "").alias("has_path"))
     arts = section_articles(pages)
+    # list position of an article: (position of its section, its own); each
+    # article URL belongs to exactly one section by construction
+    al = arts.join(secs.select("section_url", F.col("spos").alias("a_spos")), "section_url")
     # every article under both of its keys: (netloc, no path) and (netloc/seg, path)
     keys = F.array(
         F.struct(U.article_key("url", False).alias("key"), F.lit(False).alias("has_path")),
         F.struct(U.article_key("url", True).alias("key"), F.lit(True).alias("has_path")))
-    ak = arts.select("url", "page_id", "apos", F.explode(keys).alias("k")) \
-        .select("url", "page_id", "apos", "k.key", "k.has_path").filter(F.col("key").isNotNull())
-    # article list order: the articles of a section follow its position
-    list_pos = arts.join(secs.select("section_url", "spos"), "section_url") \
-        .groupBy("url").agg(F.min(F.struct("spos", "apos")).alias("lpos"))
-    ak = ak.join(list_pos, "url")
+    ak = al.select("url", "page_id", F.struct("a_spos", "apos").alias("lpos"),
+                   F.explode(keys).alias("k")) \
+        .select("url", "page_id", "lpos", "k.key", "k.has_path").filter(F.col("key").isNotNull())
     m = secs.join(ak, ["key", "has_path"])
     w = Window.partitionBy("section_url").orderBy("lpos", "page_id")
     ranked = m.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= sampling)
@@ -182,7 +182,8 @@ def section_process_all(pages: DataFrame, samples: DataFrame, language: str | No
     """Extract every sampled article; failures stay listed unparsed."""
     from newsframe.plans.article import article_extract
     todo = pages.join(samples.select("page_id").distinct(), "page_id", "left_semi")
-    art = article_extract(todo, language)
+    # templates need title, body, author and date paths, not the meta map
+    art = article_extract(todo, language, with_meta=False)
     return samples.join(art.drop("url"), "page_id", "left").withColumn(
         "is_parsed", F.coalesce("is_parsed", F.lit(False)))
 

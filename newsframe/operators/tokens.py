@@ -36,19 +36,27 @@ def attr_of_tag(tag_col: Column, attr: str) -> Column:
 
 
 def html_tokens(pages: DataFrame) -> DataFrame:
-    """One row per token ``(page_id, pos, token, kind, tag)``."""
+    """One row per token ``(page_id, pos, token, kind, tag)``.
+
+    Kinds are decided by prefix tests (no per-token regex); only markup
+    tokens run the tag-name extraction.
+    """
     toks = pages.select(
         "page_id",
         F.posexplode(F.regexp_extract_all("html", F.lit(TOKEN_RE), F.lit(0))).alias("pos", "token"))
-    kind = (F.when(F.col("token").startswith("<!--"), "comment")
-            .when(F.col("token").rlike(r"^<(script|style)"), "raw")
-            .when(F.col("token").rlike(r"^<![A-Za-z]"), "doctype")
-            .when(F.col("token").startswith("</"), "end")
-            .when(F.col("token").rlike(r"^<[A-Za-z]"), "start")
+    t = F.col("token")
+    second = F.substring(t, 2, 1)
+    is_letter = ((second >= "A") & (second <= "Z")) | ((second >= "a") & (second <= "z"))
+    kind = (F.when(~t.startswith("<"), "text")
+            .when(t.startswith("<!--"), "comment")
+            .when(t.startswith("<script") | t.startswith("<style"), "raw")
+            .when((second == "!") & F.substring(t, 3, 1).rlike("[A-Za-z]"), "doctype")
+            .when(t.startswith("</"), "end")
+            .when(is_letter, "start")
             .otherwise("text"))
-    return toks.select(
-        "page_id", "pos", "token", kind.alias("kind"),
-        F.lower(F.regexp_extract("token", r"^</?([A-Za-z][A-Za-z0-9-]*)", 1)).alias("tag"))
+    tag = F.when(t.startswith("<"), F.lower(F.regexp_extract(t, r"^</?([A-Za-z][A-Za-z0-9-]*)", 1))) \
+        .otherwise(F.lit(""))
+    return toks.select("page_id", "pos", "token", kind.alias("kind"), tag.alias("tag"))
 
 
 def decoded_text(tokens: DataFrame) -> DataFrame:

@@ -709,7 +709,8 @@ def _items(spark, sf):
     from newsframe.operators.items import news_items
     from newsframe.operators.sections import section_of
     from newsframe.plans.article import article_extract
-    art = article_extract(_news(spark, sf), LANG).withColumn("category", U.section_key(section_of("url")))
+    art = article_extract(_news(spark, sf), LANG, with_meta=False) \
+        .withColumn("category", U.section_key(section_of("url")))
     return news_items(art, "category")
 
 
