@@ -333,6 +333,8 @@ def co_partition(spark) -> None:
 # partition of the node table should hold about TARGET_PARTITION_BYTES.
 NODE_EXPANSION = 4
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_NODE_PARTITIONS = 1 << 22
+UNKNOWN_SIZE = 1 << 62
 
 
 def node_partitions(pages: DataFrame) -> int:
@@ -346,7 +348,9 @@ def node_partitions(pages: DataFrame) -> int:
         size = est if isinstance(est, int) else int(est.toString())
     except Exception:  # noqa: BLE001 - estimate unavailable: keep the configured count
         return base
-    return max(base, -(-size * NODE_EXPANSION // TARGET_PARTITION_BYTES))
+    if size >= UNKNOWN_SIZE:  # Catalyst's "unknown" default
+        return base
+    return int(min(MAX_NODE_PARTITIONS, max(base, -(-size * NODE_EXPANSION // TARGET_PARTITION_BYTES))))
 
 
 def page_nodes(pages: DataFrame, partitions: int | None = None,
