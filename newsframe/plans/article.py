@@ -73,7 +73,9 @@ def extract_with_nodes(pages: DataFrame, language: str | None = "en",
     gated = language_gate(pages, language)
     nodes = page_nodes(gated.select("page_id", "html"), persist=persist)
     fields = extract_nodes(nodes, language or "en", stop_words, with_body, with_meta)
-    urls = gated.select("page_id", "url")
+    # (page_id, url) straight from the input: the scan prunes ``html`` and the
+    # inner join with the fields keeps exactly the pages that passed the gate
+    urls = pages.select("page_id", "url")
     out = urls.join(fields, "page_id", "inner").select(
         *[c for c in ARTICLE_COLUMNS if c not in ("link_hash", "is_parsed")],
         link_hash("url").alias("link_hash"),

@@ -374,7 +374,11 @@ def q_clean_doc(spark, sf):
     return D.clean_doc(nodes).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("node_html")
+@register("node_html", f"""
+WITH {S.TOKENS_CTE},
+s AS (SELECT page_id, CAST(min(pos) AS INTEGER) AS start_pos FROM tk WHERE token = '<article>' GROUP BY page_id)
+SELECT page_id, start_pos, regexp_extract(html, '<article>[\\s\\S]*?</article>', 0) AS node_html
+FROM s JOIN pages USING (page_id)""")
 def q_node_html(spark, sf):
     """The raw markup of each page's article element (rows-only check)."""
     toks = TK.html_tokens(_pages(spark, sf))
@@ -391,7 +395,11 @@ def q_drop_tag(spark, sf):
     return out.select("page_id", "node_id", "parent_id", "tag")
 
 
-@register("xpath_select")
+@register("xpath_select", S.field_ctes() + """
+SELECT page_id, text_path AS path,
+  """ + S.ent("list_filter(string_split_regex(regexp_extract(html, '<article>([\\s\\S]*?)</article>', 1), '<[^>]*>'), lambda x: x <> '')[1]") + """ AS first_value,
+  f19.text AS all_text
+FROM f18 JOIN f19 USING (page_id) JOIN en USING (page_id)""")
 def q_xpath_select(spark, sf):
     """C4: evaluate one expression per page (the body path of F18) on the
     node table via the path pattern of E6."""
@@ -586,7 +594,10 @@ FROM en JOIN f1v USING (page_id) LEFT JOIN f4 USING (page_id) LEFT JOIN m_descri
   LEFT JOIN f18 USING (page_id)""")
 def q_article_extract(spark, sf):
     from newsframe.plans.article import article_extract
-    a = article_extract(_news(spark, sf), LANG)
+    return _article_projection(article_extract(_news(spark, sf), LANG))
+
+
+def _article_projection(a: DataFrame) -> DataFrame:
     return a.select("page_id", "url", "link_hash", "meta_lang", "title_path", "title",
                     _join("author_paths").alias("author_paths"), "description_path", "keywords_path",
                     "date_path", "publish_date", _join("tag_paths").alias("tag_paths"), "text_path",
@@ -600,7 +611,7 @@ def q_article_extract(spark, sf):
 
 SAMPLING = 3
 
-_SEC_CTES = f""",
+_SEC_CTES_T = f""",
 vp AS (SELECT page_id, url FROM np WHERE contains(url, '://') AND starts_with(url, 'http')),
 su AS (SELECT page_id, url, {_SECTION_URL_SQL} AS section_url, {_SCHEME} || '://' || {_NETLOC} AS site,
               {_NETLOC} AS netloc, {_SEG} AS seg FROM vp),
@@ -618,7 +629,14 @@ akeys AS (SELECT e2.url, e2.page_id, su.netloc AS key, false AS has_path FROM e2
 e3 AS (SELECT * FROM (SELECT sec.key, sec.section_url, sec.spos, akeys.url, akeys.page_id,
           CAST(row_number() OVER (PARTITION BY sec.section_url ORDER BY lpos.l_spos, lpos.l_apos, akeys.page_id) AS INTEGER) AS rank
         FROM sec JOIN akeys ON sec.key = akeys.key AND sec.has_path = akeys.has_path JOIN lpos ON lpos.url = akeys.url)
-       WHERE rank <= {SAMPLING})"""
+       WHERE rank <= @SAMPLING@)"""
+
+
+def _sec_ctes(sampling: int = SAMPLING) -> str:
+    return _SEC_CTES_T.replace("@SAMPLING@", str(int(sampling)))
+
+
+_SEC_CTES = _sec_ctes(SAMPLING)
 
 
 def _e_sql(select: str) -> str:
@@ -675,9 +693,9 @@ def q_section_template(spark, sf):
     return source_detect(_sections_pages(spark, sf), SAMPLING, LANG)
 
 
-@register("source_detect")
+@register("source_detect", S.field_ctes() + _sec_ctes(1) + _E5_SQL)
 def q_source_detect(spark, sf):
-    """E8 with the default sampling of 1 (rows-only check; E5 is checked by SQL)."""
+    """E8 with the default sampling of 1."""
     from newsframe.operators.sections import source_detect
     return source_detect(_sections_pages(spark, sf), 1, LANG)
 
@@ -751,9 +769,13 @@ def q_items_rejected(spark, sf):
     return items_rejected(_items(spark, sf)).select("page_id", _join("reasons").alias("reasons"))
 
 
-@register("items_json")
+@register("items_json", S.field_ctes() + _ITEMS_SQL + """
+SELECT page_id, to_json({'title': title, 'author': author, 'aflag': aflag, 'publish_date': publish_date,
+  'category': category, 'summary': summary, 'content': content, 'url_image': NULL::VARCHAR,
+  'tags': CASE WHEN tags = '' THEN []::VARCHAR[] ELSE string_split(tags, '|') END, 'url_page': url_page,
+  'language': language, 'ratings': NULL::DOUBLE, 'comments': NULL::VARCHAR[]}) AS message FROM itf""")
 def q_items_json(spark, sf):
-    """A5: JSON messages (rows-only: JSON text formatting is engine-specific)."""
+    """A5: one JSON message per item."""
     from newsframe.operators.items import items_json
     return items_json(_items(spark, sf))
 
@@ -784,23 +806,25 @@ def q_detect_article(spark, sf):
     return d.select("page_id", F.coalesce("title_path", F.lit("")).alias("title_path"), "is_parsed", "error")
 
 
-@register("detect_source")
+@register("detect_source", S.field_ctes() + _SEC_CTES + _E5_SQL)
 def q_detect_source(spark, sf):
-    """Q2: templates for the sites listed in the targets (rows-only)."""
+    """Q2: templates for the sites listed in the targets (here: every site
+    of the crawl, so the result equals E5)."""
     from newsframe.plans.detect import detect
     pages = _news(spark, sf)
     return detect(pages, mode="source", targets=targets_from_pages(pages), sampling=SAMPLING, language=LANG)
 
 
-@register("detect_stream")
+@register("detect_stream", ORACLE["article_extract"])
 def q_detect_stream(spark, sf):
     """Q3: the pages folder read as a stream (available-now trigger), each
-    micro-batch extracted by F20 into a Parquet sink; returns the sink."""
+    micro-batch enriched and extracted by F20 into a Parquet sink; returns
+    the sink, which must equal the batch result (same oracle as F20)."""
     import uuid
     from newsframe.session import checkpoint_dir
     from newsframe.streaming.detect import detect_stream
     base = f"{checkpoint_dir(spark)}/detect-stream-{uuid.uuid4().hex}"
     q = detect_stream(spark, sf, f"{base}/sink", LANG, checkpoint=f"{base}/ckpt",
-                      file_glob="pages.parquet")
+                      file_glob="pages.parquet", prepare=news_pages)
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/sink")
+    return _article_projection(spark.read.parquet(f"{base}/sink"))

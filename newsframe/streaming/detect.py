@@ -30,15 +30,18 @@ def page_stream(spark: SparkSession, folder: str, max_files: int | None = None,
 
 def detect_stream(spark: SparkSession, folder: str, sink: str, language: str | None = "en",
                   checkpoint: str | None = None, available_now: bool = True, name: str = "detect",
-                  file_glob: str | None = None):
+                  file_glob: str | None = None, prepare=None):
     """Start the stream; returns the ``StreamingQuery``.
 
     ``available_now`` processes what is in the folder and stops (batch-like
-    scheduling); otherwise a micro-batch runs as files arrive.
+    scheduling); otherwise a micro-batch runs as files arrive. ``prepare``
+    (DataFrame -> DataFrame) runs on each micro-batch of pages first.
     """
     ckpt = checkpoint or f"{checkpoint_dir(spark)}/{name}-stream"
 
     def run_batch(batch: DataFrame, epoch_id: int) -> None:
+        if prepare is not None:
+            batch = prepare(batch)
         articles, nodes = extract_with_nodes(batch, language)
         articles.write.mode("append").parquet(sink)
         nodes.unpersist()
