@@ -678,13 +678,56 @@ def q_section_process_all(spark, sf):
     return out.select("key", "section_url", "url", "page_id", "rank", "is_parsed", "title_path")
 
 
-_E5_SQL = """, e4 AS (""" + _E4_SQL + """),
+_E5_CTES = """, e4 AS (""" + _E4_SQL + """),
 firsts AS (SELECT * FROM (SELECT e4.*, e3.spos, row_number() OVER (PARTITION BY e4.key ORDER BY e3.spos, e4.rank) AS rn
-           FROM e4 JOIN e3 USING (key, section_url, page_id, rank) WHERE is_parsed) WHERE rn = 1)
-SELECT firsts.key, firsts.page_id, firsts.title_path, f18.text_path,
+           FROM e4 JOIN e3 USING (key, section_url, page_id, rank) WHERE is_parsed) WHERE rn = 1),
+tmpl AS (SELECT firsts.key, firsts.page_id, firsts.title_path, f18.text_path,
        CASE WHEN f4.author_paths IS NULL THEN NULL ELSE split_part(f4.author_paths, '|', 1) END AS author_path,
        coalesce(f13.date_path, '') AS date_path
-FROM firsts LEFT JOIN f18 USING (page_id) LEFT JOIN f4 USING (page_id) LEFT JOIN f13 USING (page_id)"""
+FROM firsts LEFT JOIN f18 USING (page_id) LEFT JOIN f4 USING (page_id) LEFT JOIN f13 USING (page_id))"""
+_E5_SQL = _E5_CTES + "\nSELECT key, page_id, title_path, text_path, author_path, date_path FROM tmpl"
+
+# E6 oracle: the template paths of the data (title, h1, og, article text,
+# head meta attributes, article div) evaluated on the raw markup of every
+# other valid page of the section
+_ART_ANY = "regexp_extract(html, '<article>([\\s\\S]*?)</article>', 1)"
+_E6_CTES = _E5_CTES + f""",
+npv AS (SELECT page_id, url, html FROM np WHERE contains(url, '://') AND starts_with(url, 'http')),
+tkeys AS (SELECT page_id, {_NETLOC} AS key FROM npv
+          UNION SELECT page_id, {_NETLOC} || '/' || {_SEG} AS key FROM npv WHERE {_SEG} IS NOT NULL),
+tg AS (SELECT tkeys.page_id, tkeys.key, tmpl.title_path, tmpl.text_path, tmpl.author_path, tmpl.date_path
+       FROM tkeys JOIN tmpl ON tkeys.key = tmpl.key WHERE tkeys.page_id <> tmpl.page_id),
+mta AS (SELECT page_id, unnest(generate_series(1, len(ms))) AS k, unnest(ms) AS tag
+        FROM (SELECT page_id, regexp_extract_all(html, '<meta [^>]*>', 0) AS ms FROM npv)),
+pv AS (SELECT page_id,
+    CASE WHEN contains(html, '<title>') THEN {S.squash(S.ent("regexp_extract(html, '<title>([^<]*)</title>', 1)"))} END AS v_title,
+    CASE WHEN contains({_ART_ANY}, '<h1>') THEN {S.squash(S.ent("regexp_extract(html, '<h1>([^<]*)</h1>', 1)"))} END AS v_h1,
+    CASE WHEN contains(html, '<meta property="og:title" content=') THEN {S.ent("regexp_extract(html, '<meta property=" + '"og:title"' + " content=" + '"([^"]*)"' + "', 1)")} END AS v_ogp,
+    CASE WHEN contains(html, '<meta name="og:title" content=') THEN {S.ent("regexp_extract(html, '<meta name=" + '"og:title"' + " content=" + '"([^"]*)"' + "', 1)")} END AS v_ogn,
+    CASE WHEN regexp_matches({_ART_ANY}, '<div [^>]*>') THEN {S.squash(S.ent("regexp_extract(" + _ART_ANY + ", '<div [^>]*>([^<]*)</div>', 1)"))} END AS v_div,
+    CASE WHEN contains(html, '<article>') THEN nullif(array_to_string(list_transform(list_filter(
+      string_split_regex({_ART_ANY}, '<[^>]*>'), lambda x: x <> ''), lambda x: {S.ent('x')} || chr(10)), ''), '') END AS v_text
+  FROM npv),
+ma AS (SELECT page_id, k,
+    CASE WHEN regexp_matches(tag, '\\scontent="') THEN {S.ent("regexp_extract(tag, '\\scontent=" + '"([^"]*)"' + "', 1)")} END AS a_content,
+    CASE WHEN regexp_matches(tag, '\\sdatetime="') THEN {S.ent("regexp_extract(tag, '\\sdatetime=" + '"([^"]*)"' + "', 1)")} END AS a_datetime
+  FROM mta),
+tgk AS (SELECT tg.*,
+    CASE WHEN regexp_matches(author_path, '^/html/head/meta') THEN coalesce(TRY_CAST(regexp_extract(author_path, 'meta\\[(\\d+)\\]', 1) AS INTEGER), 1) END AS k_author,
+    CASE WHEN regexp_matches(date_path, '^/html/head/meta') THEN coalesce(TRY_CAST(regexp_extract(date_path, 'meta\\[(\\d+)\\]', 1) AS INTEGER), 1) END AS k_date
+  FROM tg),
+e6 AS (SELECT tgk.page_id, tgk.key,
+    CASE tgk.title_path WHEN '/html/head/title' THEN pv.v_title WHEN '/html/body/article/h1' THEN pv.v_h1
+         WHEN '//meta[@property="og:title"]/@content' THEN pv.v_ogp
+         WHEN '//meta[@name="og:title"]/@content' THEN pv.v_ogn END AS title,
+    CASE WHEN tgk.text_path = '/html/body/article//text()' THEN pv.v_text END AS text,
+    CASE WHEN tgk.author_path = '/html/body/article/div' THEN pv.v_div
+         WHEN tgk.k_author IS NOT NULL AND ends_with(tgk.author_path, '/@content') THEN ma1.a_content END AS author,
+    CASE WHEN tgk.k_date IS NOT NULL AND ends_with(tgk.date_path, '/@content') THEN ma2.a_content
+         WHEN tgk.k_date IS NOT NULL AND ends_with(tgk.date_path, '/@datetime') THEN ma2.a_datetime END AS publish_date
+  FROM tgk JOIN pv USING (page_id)
+  LEFT JOIN ma ma1 ON ma1.page_id = tgk.page_id AND ma1.k = tgk.k_author
+  LEFT JOIN ma ma2 ON ma2.page_id = tgk.page_id AND ma2.k = tgk.k_date)"""
 
 
 @register("section_template", S.field_ctes() + _SEC_CTES + _E5_SQL)
@@ -706,13 +749,20 @@ def _applied(spark, sf):
     return apply_template(pages, source_detect(pages, SAMPLING, LANG))
 
 
-@register("apply_template")
+@register("apply_template", S.field_ctes() + _SEC_CTES + _E6_CTES + """
+SELECT page_id, key, title, text, author, publish_date FROM e6""")
 def q_apply_template(spark, sf):
     """The learned templates read the other pages of their sections."""
     return _applied(spark, sf)
 
 
-@register("template_report")
+@register("template_report", S.field_ctes() + _SEC_CTES + _E6_CTES + """
+SELECT key, count(*) AS pages,
+  count(*) FILTER (WHERE title IS NOT NULL AND text IS NOT NULL AND author IS NOT NULL AND publish_date IS NOT NULL) AS complete,
+  count(*) FILTER (WHERE title IS NULL) AS missing_title, count(*) FILTER (WHERE text IS NULL) AS missing_text,
+  count(*) FILTER (WHERE author IS NULL) AS missing_author,
+  count(*) FILTER (WHERE publish_date IS NULL) AS missing_publish_date
+FROM e6 GROUP BY key""")
 def q_template_report(spark, sf):
     """Per section key, pages tried and per-field misses."""
     from newsframe.operators.sections import template_report
