@@ -27,7 +27,7 @@ def load_pages(spark: SparkSession, path: str) -> DataFrame:
 def load_html_files(spark: SparkSession, pattern: str) -> DataFrame:
     """A2 for a folder of ``.html`` files: one page per file; the file URI is
     the url and its 64-bit hash the page id."""
-    raw = spark.read.option("wholetext", True).text(pattern)
+    raw = spark.read.text(pattern, wholetext=True)
     return raw.select(
         F.xxhash64(F.input_file_name()).alias("page_id"),
         F.input_file_name().alias("url"),
