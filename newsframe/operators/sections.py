@@ -178,12 +178,16 @@ def section_sample(pages: DataFrame, sampling: int = 1) -> DataFrame:
 # E4-E8
 # ----------------------------------------------------------------------
 
-def section_process_all(pages: DataFrame, samples: DataFrame, language: str | None = "en") -> DataFrame:
-    """Extract every sampled article; failures stay listed unparsed."""
+def section_process_all(pages: DataFrame, samples: DataFrame, language: str | None = "en",
+                        full: bool = False) -> DataFrame:
+    """Extract every sampled article; failures stay listed unparsed.
+
+    By default only what a template stores is extracted (title, body,
+    author and date paths); ``full=True`` extracts the whole article.
+    """
     from newsframe.plans.article import article_extract
     todo = pages.join(samples.select("page_id").distinct(), "page_id", "left_semi")
-    # templates need title, body, author and date paths, not the meta map
-    art = article_extract(todo, language, with_meta=False)
+    art = article_extract(todo, language, with_meta=full, with_text=full)
     return samples.join(art.drop("url"), "page_id", "left").withColumn(
         "is_parsed", F.coalesce("is_parsed", F.lit(False)))
 
@@ -221,7 +225,7 @@ def apply_template(pages: DataFrame, templates: DataFrame) -> DataFrame:
     """
     from newsframe.session import materialize
     # templates: at most one row per section key, reused by several branches
-    templates = materialize(templates)
+    templates = materialize(templates, "templates")
     targets = template_targets(pages, templates)
     html = pages.join(targets.select("page_id").distinct(), "page_id", "left_semi")
     nodes = page_nodes(html.select("page_id", "html"))

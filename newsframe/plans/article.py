@@ -28,8 +28,14 @@ ARTICLE_COLUMNS = [
 
 def extract_nodes(nodes: DataFrame, language: str = "en",
                   stop_words: list[str] | None = None,
-                  with_body: bool = True, with_meta: bool = True) -> DataFrame:
-    """All fields of F20 from a node table (one row per page with nodes)."""
+                  with_body: bool = True, with_meta: bool = True,
+                  with_text: bool = True) -> DataFrame:
+    """All fields of F20 from a node table (one row per page with nodes).
+
+    ``with_body`` scores blocks for the body path (F16-F18); ``with_text``
+    also reads the body text and videos under it (F19, F15); ``with_meta``
+    folds the meta map (F12). Template learning needs only the paths.
+    """
     flat = flat_fields(page_facts(nodes))
     out = flat.join(authors(nodes), "page_id", "left")
     if with_meta:
@@ -38,9 +44,13 @@ def extract_nodes(nodes: DataFrame, language: str = "en",
         out = out.withColumn("meta_map", F.lit(None).cast("map<string,map<string,string>>"))
     if with_body:
         top = best_node(nodes, block_scores(text_blocks(nodes, language, stop_words)))
-        out = (out.join(top.select("page_id", "text_path", "top_id", "top_end"), "page_id", "left")
-               .join(body_text(nodes, top), "page_id", "left")
-               .join(video_sources(nodes, top), "page_id", "left"))
+        out = out.join(top.select("page_id", "text_path", "top_id", "top_end"), "page_id", "left")
+        if with_text:
+            out = (out.join(body_text(nodes, top), "page_id", "left")
+                   .join(video_sources(nodes, top), "page_id", "left"))
+        else:
+            out = out.select("*", F.lit(None).cast("string").alias("text"),
+                             F.lit(None).cast("array<string>").alias("videos"))
     else:
         out = out.select("*", F.lit(None).cast("string").alias("text_path"),
                          F.lit(None).cast("string").alias("text"),
@@ -55,24 +65,26 @@ def extract_nodes(nodes: DataFrame, language: str = "en",
 
 def article_extract(pages: DataFrame, language: str | None = "en",
                     stop_words: list[str] | None = None, with_body: bool = True,
-                    with_meta: bool = True, persist: bool = True) -> DataFrame:
+                    with_meta: bool = True, persist: bool = True,
+                    with_text: bool = True) -> DataFrame:
     """F20 over ``pages(page_id, url, html)``.
 
     Pages failing the language gate are not parsed and produce no row (the
     reference leaves them unparsed). ``language=None`` disables the gate;
     body scoring then uses English stop words.
     """
-    return extract_with_nodes(pages, language, stop_words, with_body, with_meta, persist)[0]
+    return extract_with_nodes(pages, language, stop_words, with_body, with_meta, persist,
+                              with_text)[0]
 
 
 def extract_with_nodes(pages: DataFrame, language: str | None = "en",
                        stop_words: list[str] | None = None, with_body: bool = True,
-                       with_meta: bool = True, persist: bool = True):
+                       with_meta: bool = True, persist: bool = True, with_text: bool = True):
     """F20 plus the (persisted) node table, so a caller that is done with
     the result (a stream micro-batch) can ``unpersist`` it."""
     gated = language_gate(pages, language)
     nodes = page_nodes(gated.select("page_id", "html"), persist=persist)
-    fields = extract_nodes(nodes, language or "en", stop_words, with_body, with_meta)
+    fields = extract_nodes(nodes, language or "en", stop_words, with_body, with_meta, with_text)
     # (page_id, url) straight from the input: the scan prunes ``html`` and the
     # inner join with the fields keeps exactly the pages that passed the gate
     urls = pages.select("page_id", "url")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -59,12 +60,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-def materialize(df):
+def materialize(df, name: str = "materialized"):
     """Cut the lineage of a small, reused intermediate result.
 
-    Writes it to the shared checkpoint folder (``spark.checkpoint.dir``)
-    with a reliable, eager checkpoint: later plans read the written rows
-    instead of re-running the query, and the data survives executor loss.
+    Writes it as a Parquet table under the shared checkpoint folder
+    (``spark.checkpoint.dir``) and reads it back: later plans read the
+    written rows instead of re-running the query, the data survives executor
+    loss, and the query runs once (an eager ``Dataset.checkpoint`` computes
+    it twice: once to count, once to write).
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
