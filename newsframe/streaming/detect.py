@@ -1,10 +1,12 @@
 """Q3: the stream form of article detection.
 
 Pages arrive as Parquet files in a folder; each micro-batch runs the same
-batch plan (F20) through ``foreachBatch`` and appends the articles to a
-Parquet sink. The extraction is stateless per page, so the stream result
-equals the batch result; the checkpoint (offsets + commit log) makes the
-sink exactly-once across restarts and executor loss.
+batch plan (F20) through ``foreachBatch`` and writes the articles to its own
+``batch_id=<epoch>`` folder of a Parquet sink. The extraction is stateless
+per page, so the stream result equals the batch result. The checkpoint
+(offsets + commit log) replays an unfinished micro-batch after a restart,
+and because each batch overwrites its own folder the replay is idempotent:
+the sink is exactly-once.
 """
 
 from __future__ import annotations
@@ -43,7 +45,9 @@ def detect_stream(spark: SparkSession, folder: str, sink: str, language: str | N
         if prepare is not None:
             batch = prepare(batch)
         articles, nodes = extract_with_nodes(batch, language)
-        articles.write.mode("append").parquet(sink)
+        # one folder per micro-batch, overwritten: a batch replayed after a
+        # failure rewrites its own output instead of appending duplicates
+        articles.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={epoch_id}")
         nodes.unpersist()
 
     writer = (page_stream(spark, folder, file_glob=file_glob).writeStream.foreachBatch(run_batch)
