@@ -19,6 +19,7 @@ DataFrame query over this table.
 from __future__ import annotations
 
 import re
+import sys
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -94,6 +95,14 @@ SELF_CLOSERS = {
     "option": ({"option"}, {"select", "datalist", "html"}),
 }
 
+# The parser runs in executor Python workers, which need not have this
+# package installed: ship this module's code with the task (by value).
+try:
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except Exception:  # noqa: BLE001 - older cloudpickle: rely on the package being installed
+    pass
+
 _SEP = "\x00"  # marks where a comment split a text run
 _SEP_RUN = re.compile(_SEP + "+")
 _WS = re.compile(r"\s+")
@@ -339,10 +348,11 @@ UNKNOWN_SIZE = 1 << 62
 
 def node_partitions(pages: DataFrame) -> int:
     """Partition count for the node table: from Catalyst's size estimate
-    of the input (file sizes for a scan; no job runs), never below
-    ``spark.sql.shuffle.partitions``."""
+    of the input (file sizes for a scan; no job runs), never below the
+    cluster's core count (``defaultParallelism``), so small inputs do not
+    become hundreds of empty tasks and large ones get ~128 MB partitions."""
     spark = pages.sparkSession
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = spark.sparkContext.defaultParallelism
     try:
         est = pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
         size = est if isinstance(est, int) else int(est.toString())
