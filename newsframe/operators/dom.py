@@ -44,6 +44,8 @@ NODE_SCHEMA = T.StructType([
     T.StructField("xpath_ix", T.StringType(), False),
     T.StructField("anc", T.ArrayType(T.IntegerType(), False), False),
     T.StructField("inner_text", T.StringType(), True),
+    T.StructField("src_start", T.IntegerType(), False),
+    T.StructField("src_end", T.IntegerType(), False),
 ])
 
 _ARROW_SCHEMA = pa.schema([
@@ -54,6 +56,7 @@ _ARROW_SCHEMA = pa.schema([
     ("tail", pa.string()), ("xpath", pa.string()), ("xpath_ix", pa.string()),
     ("anc", pa.list_(pa.field("element", pa.int32(), nullable=False))),
     ("inner_text", pa.string()),
+    ("src_start", pa.int32()), ("src_end", pa.int32()),
 ])
 
 # Fixed values (ours): tags whose whole-subtree text (C1) the parser emits
@@ -123,6 +126,26 @@ class _TreeBuilder(HTMLParser):
         self.stack: list[int] = []
         self.last_child: dict[int, int] = {}
         self.last_root = -1
+        self.src_start: list[int] = []
+        self.src_end: list[int] = []
+        self._doc = ""
+        self._line_starts = [0]
+
+    def parse(self, html: str) -> None:
+        self._doc = html
+        starts = [0]
+        find = html.find
+        i = find("\n")
+        while i >= 0:
+            starts.append(i + 1)
+            i = find("\n", i + 1)
+        self._line_starts = starts
+        self.feed(html)
+        self.close()
+
+    def _offset(self) -> int:
+        line, col = self.getpos()
+        return self._line_starts[line - 1] + col
 
     # -- tree building -------------------------------------------------
     def _open(self, tag: str, attrs) -> int:
@@ -139,11 +162,15 @@ class _TreeBuilder(HTMLParser):
         self.attrs.append(list(seen.items()))
         self.text.append([])
         self.tail.append([])
+        here = self._offset()
+        self.src_start.append(here)
+        self.src_end.append(here)
         return nid
 
-    def _close_top(self) -> None:
+    def _close_top(self, src_end: int | None = None) -> None:
         nid = self.stack.pop()
         self.end[nid] = len(self.tags) - 1
+        self.src_end[nid] = self._offset() if src_end is None else src_end
         if self.stack:
             self.last_child[self.stack[-1]] = nid
         else:
@@ -168,20 +195,26 @@ class _TreeBuilder(HTMLParser):
         nid = self._open(tag, attrs)
         self.stack.append(nid)
         if tag in VOID_TAGS:
-            self._close_top()
+            raw = self.get_starttag_text() or ""
+            self._close_top(self.src_start[nid] + len(raw))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID_TAGS and self.stack and self.tags[self.stack[-1]] == tag:
-            self._close_top()
+            nid = self.stack[-1]
+            self._close_top(self.src_start[nid] + len(self.get_starttag_text() or ""))
 
     def handle_endtag(self, tag):
         if tag in VOID_TAGS:
             return
         for i in range(len(self.stack) - 1, -1, -1):
             if self.tags[self.stack[i]] == tag:
-                while len(self.stack) > i:
-                    self._close_top()
+                here = self._offset()
+                gt = self._doc.find(">", here)
+                stop = len(self._doc) if gt < 0 else gt + 1
+                while len(self.stack) > i + 1:
+                    self._close_top(here)  # implicitly closed inside
+                self._close_top(stop)
                 return
 
     def _slot(self) -> list[str] | None:
@@ -206,7 +239,7 @@ class _TreeBuilder(HTMLParser):
     # -- output ----------------------------------------------------------
     def rows(self):
         while self.stack:
-            self._close_top()
+            self._close_top(len(self._doc))
         n = len(self.tags)
         # index among same-tag siblings, and whether the tag repeats
         counts: dict[tuple[int, str], int] = {}
@@ -259,7 +292,7 @@ class _TreeBuilder(HTMLParser):
             anc[i] = (anc[p] + [p]) if p >= 0 else []
         return (list(range(n)), self.parent, self.end, self.depth, self.tags,
                 sib_pos, tag_pos, self.attrs, texts, tails, xpath, xpath_ix,
-                anc, inner)
+                anc, inner, self.src_start, self.src_end)
 
 
 def _names_author(attrs) -> bool:
@@ -282,8 +315,7 @@ def parse_page(html: str | None):
     """Element table of one page as column lists (used by the Arrow task)."""
     builder = _TreeBuilder()
     if html:
-        builder.feed(html)
-        builder.close()
+        builder.parse(html)
     return builder.rows()
 
 
@@ -634,14 +666,14 @@ def clean_doc(nodes: DataFrame) -> DataFrame:
     return drop_subtree(nodes, nodes.filter(junk_condition()))
 
 
-def node_html(tokens: DataFrame, spans: DataFrame) -> DataFrame:
-    """Serialise a subtree as the raw tokens between its start and end
-    token positions (``spans``: page_id, start_pos, end_pos)."""
-    t = tokens.alias("t")
-    s = spans.alias("s")
-    j = s.join(t, (F.col("t.page_id") == F.col("s.page_id"))
-               & (F.col("t.pos") >= F.col("s.start_pos"))
-               & (F.col("t.pos") <= F.col("s.end_pos")))
-    return j.groupBy(F.col("s.page_id").alias("page_id"), F.col("s.start_pos").alias("start_pos")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("t.pos"), F.col("t.token")))),
-                                 lambda x: x["token"]), "").alias("node_html"))
+def node_html(nodes: DataFrame, pages: DataFrame, targets: DataFrame) -> DataFrame:
+    """Serialise each target element ``(page_id, node_id)`` as its
+    source markup: the substring of the page between the start of its start
+    tag and the end of its end tag (or the point where it was implicitly
+    closed). Only the targets' pages are joined with the HTML."""
+    spans = nodes.join(targets.select("page_id", "node_id"), ["page_id", "node_id"], "left_semi") \
+        .select("page_id", "node_id", "src_start", "src_end")
+    html = pages.select("page_id", "html").join(spans.select("page_id").distinct(), "page_id", "left_semi")
+    return spans.join(html, "page_id").select(
+        "page_id", "node_id",
+        F.expr("substring(html, src_start + 1, src_end - src_start)").alias("node_html"))

@@ -374,17 +374,14 @@ def q_clean_doc(spark, sf):
     return D.clean_doc(nodes).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("node_html", f"""
-WITH {S.TOKENS_CTE},
-s AS (SELECT page_id, CAST(min(pos) AS INTEGER) AS start_pos FROM tk WHERE token = '<article>' GROUP BY page_id)
-SELECT page_id, start_pos, regexp_extract(html, '<article>[\\s\\S]*?</article>', 0) AS node_html
-FROM s JOIN pages USING (page_id)""")
+@register("node_html", """
+SELECT page_id, regexp_extract(html, '<article>[\\s\\S]*?</article>', 0) AS node_html
+FROM pages WHERE contains(html, '<article>')""")
 def q_node_html(spark, sf):
-    """The raw markup of each page's article element (rows-only check)."""
-    toks = TK.html_tokens(_pages(spark, sf))
-    starts = toks.filter(F.col("token") == "<article>").groupBy("page_id").agg(F.min("pos").alias("start_pos"))
-    ends = toks.filter(F.col("token") == "</article>").groupBy("page_id").agg(F.min("pos").alias("end_pos"))
-    return D.node_html(toks, starts.join(ends, "page_id"))
+    """The source markup of each page's article element."""
+    nodes = _nodes(spark, sf, news=False, gate=False)
+    arts = nodes.filter(F.col("tag") == "article")
+    return D.node_html(nodes, _pages(spark, sf), arts).select("page_id", "node_html")
 
 
 @register("drop_tag")

@@ -14,7 +14,8 @@ def _nodes(spark, html):
 
 
 def test_parse_page_shapes():
-    ids, parent, end, depth, tags, sib, tagpos, attrs, text, tail, xp, xpi, anc, inner = D.parse_page(DOC)
+    (ids, parent, end, depth, tags, sib, tagpos, attrs, text, tail, xp, xpi, anc, inner,
+     src_start, src_end) = D.parse_page(DOC)
     assert tags == ["html", "sib", "child"]
     assert parent == [-1, 0, 0] and end == [2, 1, 2]
     assert xp == ["/html", "/html/sib", "/html/child"]
@@ -84,10 +85,11 @@ def test_children_runs_prev_sibling(spark):
 def test_comments_and_node_html(spark):
     pages = pages_df(spark, [DOC])
     assert [r.comment for r in TK.comments(pages).collect()] == ["comment"]
-    toks = TK.html_tokens(pages)
-    span = spark.createDataFrame([(0, 1, 10)], "page_id long, start_pos int, end_pos int")
-    html = D.node_html(toks, span).first().node_html
+    n = D.page_nodes(pages.select("page_id", "html"), partitions=2)
+    html = D.node_html(n, pages, n.filter("tag = 'html'")).first().node_html
     assert html == "<html name='froot'><sib>sib</sib><child name='fake'>test</child>foo</html>"
+    child = D.node_html(n, pages, n.filter("tag = 'child'")).first().node_html
+    assert child == "<child name='fake'>test</child>"
 
 
 def test_drop_subtree_keeps_tail(spark):
