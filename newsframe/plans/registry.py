@@ -875,3 +875,20 @@ def q_detect_stream(spark, sf):
                       file_glob="pages.parquet", prepare=news_pages)
     q.awaitTermination()
     return _article_projection(spark.read.parquet(f"{base}/sink"))
+
+
+@register("template_stream", ORACLE["apply_template"])
+def q_template_stream(spark, sf):
+    """E6 + Q3: the pages folder read as a stream and each micro-batch read
+    with the templates learned in batch (stream-static); equals E6."""
+    import uuid
+    from newsframe.operators.sections import source_detect
+    from newsframe.session import checkpoint_dir
+    from newsframe.streaming.detect import template_stream
+    base = f"{checkpoint_dir(spark)}/template-stream-{uuid.uuid4().hex}"
+    templates = source_detect(_sections_pages(spark, sf), SAMPLING, LANG)
+    q = template_stream(spark, sf, templates, f"{base}/sink", checkpoint=f"{base}/ckpt",
+                        file_glob="pages.parquet", prepare=news_pages)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/sink").select("page_id", "key", "title", "text", "author",
+                                                   "publish_date")

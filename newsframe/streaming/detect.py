@@ -54,3 +54,30 @@ def detect_stream(spark: SparkSession, folder: str, sink: str, language: str | N
               .option("checkpointLocation", ckpt).queryName(name))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
+
+
+def template_stream(spark: SparkSession, folder: str, templates: DataFrame, sink: str,
+                    checkpoint: str | None = None, available_now: bool = True,
+                    name: str = "templates", file_glob: str | None = None, prepare=None):
+    """E6 on a stream: pages arriving in ``folder`` are read with the learned
+    section templates (a static table, materialized once in the shared
+    folder); each micro-batch writes its own ``batch_id=<epoch>`` folder.
+
+    Template learning stays a batch job: it needs samples across a section.
+    """
+    from newsframe.operators.sections import apply_template
+    from newsframe.session import materialize
+
+    ckpt = checkpoint or f"{checkpoint_dir(spark)}/{name}-stream"
+    static = materialize(templates, "stream-templates")
+
+    def run_batch(batch: DataFrame, epoch_id: int) -> None:
+        if prepare is not None:
+            batch = prepare(batch)
+        out = apply_template(batch, static)
+        out.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={epoch_id}")
+
+    writer = (page_stream(spark, folder, file_glob=file_glob).writeStream.foreachBatch(run_batch)
+              .option("checkpointLocation", ckpt).queryName(name))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+    return writer.start()
