@@ -5,15 +5,18 @@ Arrow-batched ``mapInArrow`` task runs the standard-library tokenizer over
 the pages of its partition and emits one row per element:
 
     page_id, node_id, parent_id, end_id, depth, tag, sib_pos, tag_pos,
-    attrs map<string,string>, text, tail, xpath, xpath_ix
+    attrs map<string,string>, text, tail, xpath, xpath_ix, anc, inner_text,
+    src_start, src_end
 
 ``node_id`` is the pre-order number inside the page and ``end_id`` the
 number of the last descendant, so the subtree of ``a`` is
 ``page_id = a.page_id AND node_id BETWEEN a.node_id AND a.end_id``
 (pre/post interval encoding). ``text`` is the character data between the
 start tag and the first child, ``tail`` the data after the end tag up to the
-next sibling, as in an element tree. Every other DOM operator (C1-C13) is a
-DataFrame query over this table.
+next sibling, as in an element tree; ``anc`` lists the ancestors,
+``inner_text`` is the subtree text of the elements extractors read in bulk,
+and ``src_start``/``src_end`` delimit the element's markup in the page.
+Every other DOM operator (C1-C13) is a DataFrame query over this table.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newsframe.functions.text import inner_trim
+
 NODE_SCHEMA = T.StructType([
     T.StructField("page_id", T.LongType(), False),
     T.StructField("node_id", T.IntegerType(), False),
@@ -437,11 +442,6 @@ def text_pieces(nodes: DataFrame) -> DataFrame:
     return txt.unionByName(tl).filter(F.col("piece") != "")
 
 
-def inner_trim(col):
-    """Collapse whitespace runs to one space and trim."""
-    return F.trim(F.regexp_replace(col, r"\s+", " "))
-
-
 def node_text(nodes: DataFrame, targets: DataFrame, *, keep=("node_id",)) -> DataFrame:
     """C1 for the ``targets`` rows (a subset of ``nodes`` with page_id,
     node_id, end_id): the subtree's text runs (the target's own tail

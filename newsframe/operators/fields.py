@@ -74,8 +74,39 @@ OG_TITLE_PROPERTY_PATH = '//meta[@property="og:title"]/@content'
 OG_TITLE_NAME_PATH = '//meta[@name="og:title"]/@content'
 
 
+def _author_hits() -> Column:
+    probes = [(a, v) for a in AUTHOR_ATTRS for v in AUTHOR_VALUES]
+    return F.array_compact(F.array(*[F.when(_irx(a, v), F.lit(i)) for i, (a, v) in enumerate(probes)]))
+
+
+def _author_candidate() -> Column:
+    """Per node: its author-probe hits with path and text, or NULL."""
+    hits = _author_hits()
+    is_meta = F.col("tag") == "meta"
+    ok = (F.size(hits) > 0) & (~is_meta | _has("content"))
+    return F.when(ok, F.struct(
+        hits.alias("hits"), F.col("node_id").alias("node_id"),
+        F.when(is_meta, F.concat("xpath", F.lit("/@content"))).otherwise(F.col("xpath")).alias("path"),
+        F.when(is_meta, _attr("content")).otherwise(F.col("inner_text")).alias("text")))
+
+
+def _meta_event() -> Column:
+    """Per meta element with a key and a value: one F12 update event."""
+    key = F.trim(F.coalesce(F.nullif(_attr("property"), F.lit("")), _attr("name")))
+    vpath = (F.when(F.coalesce(_attr("content"), F.lit("")) != "", F.concat("xpath", F.lit("/@content")))
+             .when(F.coalesce(_attr("value"), F.lit("")) != "", F.concat("xpath", F.lit("/@value"))))
+    parts = F.split(key, ":")
+    ok = (F.col("tag") == "meta") & key.isNotNull() & (key != "") & vpath.isNotNull()
+    return F.when(ok, F.struct(
+        F.col("node_id").alias("node_id"),
+        F.when(F.size(parts) == 1, key).otherwise(parts[0]).alias("head"),
+        F.when(F.size(parts) == 2, parts[1]).alias("sub"),
+        (F.size(parts) == 1).alias("plain"),
+        F.when(F.size(parts) == 1, F.col("xpath")).otherwise(vpath).alias("value")))
+
+
 def page_facts(nodes: DataFrame) -> DataFrame:
-    """One grouped pass: the raw candidates of F1, F3, F6, F8-F11, F13."""
+    """One grouped pass: the raw candidates of F1, F3, F4, F6, F8-F13."""
     title_s = F.struct(F.col("xpath").alias("path"), F.col("inner_text").alias("text"))
     h1_order = F.struct(F.length("inner_text").alias("len"), (-F.col("node_id")).alias("neg_id"))
     is_h1 = (F.col("tag") == "h1") & _not_root()
@@ -114,10 +145,67 @@ def page_facts(nodes: DataFrame) -> DataFrame:
             F.coalesce(F.col("inner_text"), F.lit("")).alias("text"))))
         .alias("tag_cands"),
         F.flatten(F.collect_list(F.when(F.size(date_hits) > 0, date_hits))).alias("date_cands"),
+        F.collect_list(_author_candidate()).alias("author_cands"),
+        F.collect_list(_meta_event()).alias("meta_events"),
     )
     return agg
 
 
+# ----------------------------------------------------------------------
+# F4 and F12 rules on the per-page candidate arrays
+# ----------------------------------------------------------------------
+
+def authors_from(cands: Column):
+    """F4 on one page's author candidates: ``(author_paths, authors)``.
+
+    Each candidate is listed once per probe it hits (attribute-major probe
+    order, then document order); it counts iff its byline yields a name;
+    the list is unique by the lower-cased text, first occurrence kept.
+    """
+    expanded = F.flatten(F.transform(cands, lambda c: F.transform(
+        c["hits"], lambda p: F.struct(p.alias("probe"), c["node_id"].alias("node_id"),
+                                      c["path"].alias("path"), c["text"].alias("text")))))
+    valid = F.filter(expanded, lambda x: F.coalesce(x["text"], F.lit("")) != "")
+    named = F.filter(F.transform(valid, lambda x: F.struct(
+        x["probe"].alias("probe"), x["node_id"].alias("node_id"), F.lower(x["text"]).alias("key"),
+        x["path"].alias("path"), byline_names(x["text"]).alias("names"))),
+        lambda x: F.size(x["names"]) > 0)
+    ordered = F.array_sort(named)
+    firsts = F.filter(ordered, lambda x, i: ~F.exists(F.slice(ordered, 1, i), lambda y: y["key"] == x["key"]))
+    return (F.transform(firsts, lambda x: x["path"]),
+            F.array_distinct(F.flatten(F.transform(firsts, lambda x: x["names"]))))
+
+
+def meta_map_from(events: Column) -> Column:
+    """F12 on one page's meta events, folded to ``map<head, map<sub, path>>``
+    with the same update rules as ``meta_rows``."""
+    ev = F.array_sort(events)
+    heads = F.array_distinct(F.transform(ev, lambda e: e["head"]))
+
+    def head_map(h):
+        hev = F.filter(ev, lambda e: e["head"] == h)
+        last_plain = F.array_max(F.transform(F.filter(hev, lambda e: e["plain"]), lambda e: e["node_id"]))
+        after = F.filter(hev, lambda e: ~e["plain"] & (e["node_id"] > F.coalesce(last_plain, F.lit(-1))))
+        plain_value = F.get(F.filter(hev, lambda e: e["node_id"] == last_plain), 0)["value"]
+        two = F.transform(F.filter(after, lambda e: e["sub"].isNotNull()),
+                          lambda e: F.struct(e["sub"].alias("sub"), e["value"].alias("value"),
+                                             e["node_id"].alias("ord")))
+        empty = F.array().cast("array<struct<sub:string,value:string,ord:int>>")
+        entries = (F.when(last_plain.isNotNull() & (F.size(after) == 0),
+                          F.array(F.struct(F.lit("").alias("sub"), plain_value.alias("value"),
+                                           F.lit(-1).alias("ord"))))
+                   .otherwise(F.concat(
+                       F.when(last_plain.isNotNull(),
+                              F.array(F.struct(h.alias("sub"), plain_value.alias("value"),
+                                               F.lit(-1).alias("ord")))).otherwise(empty),
+                       two)))
+        latest = F.filter(entries, lambda e: ~F.exists(
+            entries, lambda f: (f["sub"] == e["sub"]) & (f["ord"] > e["ord"])))
+        return F.map_from_entries(F.transform(latest, lambda e: F.struct(e["sub"], e["value"])))
+
+    return F.map_from_entries(F.transform(heads, lambda h: F.struct(h, head_map(h))))
+
+
 # ----------------------------------------------------------------------
 # rules on the one-row-per-page facts
 # ----------------------------------------------------------------------
@@ -180,8 +268,11 @@ def flat_fields(facts: DataFrame) -> DataFrame:
     dates = F.array_sort(F.col("date_cands"))
     firsts = F.filter(dates, lambda x, i: (i == 0) | (F.get(dates, i - 1)["probe"] != x["probe"]))
     date_hit = F.get(F.filter(firsts, lambda x: F.coalesce(x["value"], F.lit("")) != ""), 0)
+    author_paths, author_names = authors_from(F.col("author_cands"))
     return facts.select(
         "page_id",
+        author_paths.alias("author_paths"), author_names.alias("authors"),
+        meta_map_from(F.col("meta_events")).alias("meta_map"),
         meta_lang.alias("meta_lang"), lang_path.alias("lang_path"),
         title_path.alias("title_path"), title_value.alias("title"),
         F.col("h1_el.path").alias("h1_path"), h1_text.alias("h1_text"),
@@ -222,19 +313,13 @@ def author_candidates(nodes: DataFrame) -> DataFrame:
 
 
 def authors(nodes: DataFrame) -> DataFrame:
-    """``(page_id, author_paths, authors)``; order kept, unique by the
-    lower-cased text; an element counts iff its byline yields a name."""
-    cand = author_candidates(nodes).filter(F.coalesce(F.col("text"), F.lit("")) != "")
-    named = cand.withColumn("names", byline_names("text")).filter(F.size("names") > 0)
-    agg = named.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct(
-        "probe", "node_id", F.lower("text").alias("key"), "path", "names"))).alias("c"))
-    # keep the first element of each lower-cased text, in probe order
-    firsts = F.filter("c", lambda x, i: ~F.exists(
-        F.slice("c", 1, i), lambda y: y["key"] == x["key"]))
-    return agg.select(
-        "page_id",
-        F.transform(firsts, lambda x: x["path"]).alias("author_paths"),
-        F.array_distinct(F.flatten(F.transform(firsts, lambda x: x["names"]))).alias("authors"))
+    """``(page_id, author_paths, authors)`` for pages with any author;
+    order kept, unique by the lower-cased text; an element counts iff its
+    byline yields a name."""
+    per_page = nodes.groupBy("page_id").agg(F.collect_list(_author_candidate()).alias("c"))
+    paths, names = authors_from(F.col("c"))
+    return per_page.select("page_id", paths.alias("author_paths"), names.alias("authors")) \
+        .filter(F.size("author_paths") > 0)
 
 
 # ----------------------------------------------------------------------

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from newsframe.functions.urls import link_hash
 from newsframe.operators.body import best_node, block_scores, body_text, text_blocks
 from newsframe.operators.dom import page_nodes
-from newsframe.operators.fields import authors, flat_fields, meta_map, page_facts, video_sources
+from newsframe.operators.fields import flat_fields, page_facts, video_sources
 from newsframe.operators.tokens import language_gate
 
 ARTICLE_COLUMNS = [
@@ -36,11 +36,9 @@ def extract_nodes(nodes: DataFrame, language: str = "en",
     also reads the body text and videos under it (F19, F15); ``with_meta``
     folds the meta map (F12). Template learning needs only the paths.
     """
-    flat = flat_fields(page_facts(nodes))
-    out = flat.join(authors(nodes), "page_id", "left")
-    if with_meta:
-        out = out.join(meta_map(nodes), "page_id", "left")
-    else:
+    # one grouped pass: flat fields, authors and the meta map
+    out = flat_fields(page_facts(nodes))
+    if not with_meta:
         out = out.withColumn("meta_map", F.lit(None).cast("map<string,map<string,string>>"))
     if with_body:
         top = best_node(nodes, block_scores(text_blocks(nodes, language, stop_words)))
@@ -55,12 +53,7 @@ def extract_nodes(nodes: DataFrame, language: str = "en",
         out = out.select("*", F.lit(None).cast("string").alias("text_path"),
                          F.lit(None).cast("string").alias("text"),
                          F.lit(None).cast("array<string>").alias("videos"))
-    return out.select(
-        "*",
-        F.coalesce("author_paths", F.array().cast("array<string>")).alias("_ap"),
-        F.coalesce("authors", F.array().cast("array<string>")).alias("_au"),
-    ).drop("author_paths", "authors").withColumnRenamed("_ap", "author_paths") \
-        .withColumnRenamed("_au", "authors")
+    return out
 
 
 def article_extract(pages: DataFrame, language: str | None = "en",

@@ -114,3 +114,18 @@ def test_links_and_video(spark):
     links = sorted((r.href, r.link_text) for r in FL.page_links(n).collect())
     assert links == [("/b", None), ("http://www.example.com", "fake_text")]
     assert FL.video_sources(n).first().videos == ["fake_attr"]
+
+
+def test_folded_meta_map_equals_standalone(spark):
+    from conftest import SF
+    from newsframe.sources import load_pages, news_pages
+    n = D.page_nodes(news_pages(load_pages(spark, f"{SF}/pages.parquet")).select("page_id", "html"))
+    folded = {r.page_id: r.meta_map for r in FL.flat_fields(FL.page_facts(n)).collect()}
+    alone = {r.page_id: r.meta_map for r in FL.meta_map(n).collect()}
+    assert alone and all(folded[k] == v for k, v in alone.items())
+    head = ('<meta name="farboo" content="x"><meta name="farboo:bar" value="y">'
+            '<meta property="farboo:baz" content="z"><meta name="solo:x:y" content="w">')
+    _, n2 = _flat(spark, _page("t", head=head))
+    f2 = FL.flat_fields(FL.page_facts(n2)).first().meta_map
+    assert f2 == FL.meta_map(n2).first().meta_map
+    assert f2["farboo"]["baz"] == "/html/head/meta[3]/@content" and f2["solo"] == {}
