@@ -186,7 +186,12 @@ def section_process_all(pages: DataFrame, samples: DataFrame, language: str | No
     author and date paths); ``full=True`` extracts the whole article.
     """
     from newsframe.plans.article import article_extract
-    todo = pages.join(samples.select("page_id").distinct(), "page_id", "left_semi")
+    from newsframe.session import materialize
+    # The sample ids are written first so Catalyst knows their exact size:
+    # when small (k x sections) the semi-join is a broadcast hash join and the
+    # HTML of the pages is never shuffled; otherwise Spark sort-merge joins.
+    ids = materialize(samples.select("page_id").distinct(), "sample-ids")
+    todo = pages.join(ids, "page_id", "left_semi")
     art = article_extract(todo, language, with_meta=full, with_text=full)
     return samples.join(art.drop("url"), "page_id", "left").withColumn(
         "is_parsed", F.coalesce("is_parsed", F.lit(False)))
@@ -216,6 +221,28 @@ def template_targets(pages: DataFrame, templates: DataFrame) -> DataFrame:
     return j.dropDuplicates(["page_id", "key"])
 
 
+def templated_pages(pages: DataFrame, templates: DataFrame) -> DataFrame:
+    """The pages worth parsing for E6, chosen without shuffling their HTML.
+
+    When the template keys fit a broadcast (Spark's own threshold on the
+    written templates), pages are semi-joined on their site key, then the
+    rest on their section key (two broadcast hash joins, disjoint results).
+    Otherwise every valid page is parsed and the per-page joins that follow
+    keep the templated ones: parsing is cheaper than shuffling all HTML.
+    """
+    from newsframe.session import fits_broadcast
+    valid = pages.filter(U.url_valid("url"))
+    keys = templates.select("key").distinct()
+    if not fits_broadcast(keys):
+        return valid
+    k = keys.withColumnRenamed("key", "_k")
+    by_site = valid.withColumn("_k", U.article_key("url", False))
+    first = by_site.join(F.broadcast(k), "_k", "left_semi")
+    rest = by_site.join(F.broadcast(k), "_k", "left_anti") \
+        .withColumn("_k", U.article_key("url", True)).join(F.broadcast(k), "_k", "left_semi")
+    return first.unionByName(rest).drop("_k")
+
+
 def apply_template(pages: DataFrame, templates: DataFrame) -> DataFrame:
     """``(page_id, key, title, text, author, publish_date)`` of the
     other pages of each section, read with the template's paths.
@@ -227,8 +254,7 @@ def apply_template(pages: DataFrame, templates: DataFrame) -> DataFrame:
     # templates: at most one row per section key, reused by several branches
     templates = materialize(templates, "templates")
     targets = template_targets(pages, templates)
-    html = pages.join(targets.select("page_id").distinct(), "page_id", "left_semi")
-    nodes = page_nodes(html.select("page_id", "html"))
+    nodes = page_nodes(templated_pages(pages, templates).select("page_id", "html"))
     fields = {"title": "title_path", "text": "text_path", "author": "author_path",
               "publish_date": "date_path"}
     paths = targets.select(
