@@ -52,8 +52,16 @@ def clone_flags(df: DataFrame, text_col: str, order_col: str) -> DataFrame:
 
 
 def to_epoch(col) -> F.Column:
-    """Publish date text -> epoch seconds (NULL when not a timestamp)."""
-    return F.unix_timestamp(F.try_to_timestamp(col))
+    """Publish date text -> epoch seconds (NULL when not a timestamp).
+
+    A date or a time without a zone is read as UTC, so the result does not
+    depend on the session time zone.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    zoned = (F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(c, F.lit("T00:00:00Z")))
+             .when(c.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), c)
+             .otherwise(F.concat(c, F.lit("Z"))))
+    return F.unix_timestamp(F.try_to_timestamp(zoned))
 
 
 def news_items(articles: DataFrame, category_col: str | None = None) -> DataFrame:
