@@ -37,12 +37,17 @@ def title_filter(col) -> Column:
     return F.lower(F.regexp_replace(_c(col), r"[^a-zA-Z0-9 ]", ""))
 
 
+# whitespace as Python's str.strip() and re's \s see it, in a form Java and
+# RE2 share (their \s differ on the vertical tab and are ASCII only)
+WS_CLASS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
+
 # Byline clean-up patterns.
 BYLINE_TAG_RE = r"<[^<]+?>"
-BYLINE_LEAD_RE = r"[bB][yY][:\s]|[fF]rom[:\s]"
+BYLINE_LEAD_RE = r"[bB][yY](?::|" + WS_CLASS + r")|[fF]rom(?::|" + WS_CLASS + r")"
 # Python's \w is Unicode; this class gives the same tokens in Java and RE2.
 BYLINE_SPLIT_RE = r"[^\p{L}\p{N}_'.\-]"
 BYLINE_DELIMS = ["and", ",", ""]
+BYLINE_DIGIT_RE = r"\p{Nd}"
 
 
 def byline_names(col) -> Column:
@@ -54,9 +59,10 @@ def byline_names(col) -> Column:
     has a token; tokens with a digit are skipped; at the end a name needs two
     tokens. Expressed as one ``aggregate`` fold over the token array.
     """
-    s = F.trim(F.regexp_replace(F.regexp_replace(_c(col), BYLINE_TAG_RE, ""),
-                                BYLINE_LEAD_RE, ""))
-    tokens = F.transform(F.split(s, BYLINE_SPLIT_RE), lambda t: F.trim(t))
+    s = F.regexp_replace(F.regexp_replace(F.regexp_replace(_c(col), BYLINE_TAG_RE, ""),
+                                          BYLINE_LEAD_RE, ""),
+                         "^" + WS_CLASS + "+|" + WS_CLASS + "+$", "")
+    tokens = F.split(s, BYLINE_SPLIT_RE)
     init = F.struct(F.array().cast("array<string>").alias("names"),
                     F.array().cast("array<string>").alias("cur"))
 
@@ -66,7 +72,7 @@ def byline_names(col) -> Column:
         names = F.when(emit, F.concat(acc["names"], F.array(F.array_join(acc["cur"], " ")))) \
             .otherwise(acc["names"])
         cur = (F.when(is_delim, F.array().cast("array<string>"))
-               .when(tok.rlike(r"\d"), acc["cur"])
+               .when(tok.rlike(BYLINE_DIGIT_RE), acc["cur"])
                .otherwise(F.concat(acc["cur"], F.array(tok))))
         return F.struct(names.alias("names"), cur.alias("cur"))
 

@@ -8,7 +8,8 @@ parsed node table). All patterns are RE2-safe.
 from __future__ import annotations
 
 from newsframe.functions.stopwords import stop_words
-from newsframe.functions.text import BYLINE_SPLIT_RE, ENTITIES
+from newsframe.functions.text import (BYLINE_DIGIT_RE, BYLINE_LEAD_RE, BYLINE_SPLIT_RE,
+                                     BYLINE_TAG_RE, ENTITIES, WS_CLASS)
 from newsframe.operators.tokens import TOKEN_RE
 from newsframe.sources import news_pages_sql
 
@@ -41,13 +42,14 @@ def root_lang(html: str = "html") -> str:
 
 def byline(expr: str) -> str:
     """F5 in SQL: the token fold written with ``list_reduce``."""
-    cleaned = (f"trim(regexp_replace(regexp_replace({expr}, '<[^<]+?>', '', 'g'), "
-               f"'[bB][yY][:\\s]|[fF]rom[:\\s]', '', 'g'))")
-    toks = f"list_transform(string_split_regex({cleaned}, {q(BYLINE_SPLIT_RE)}), lambda x: trim(x))"
+    inner = (f"regexp_replace(regexp_replace({expr}, {q(BYLINE_TAG_RE)}, '', 'g'), "
+             f"{q(BYLINE_LEAD_RE)}, '', 'g')")
+    cleaned = f"regexp_replace({inner}, {q('^' + WS_CLASS + '+|' + WS_CLASS + '+$')}, '', 'g')"
+    toks = f"string_split_regex({cleaned}, {q(BYLINE_SPLIT_RE)})"
     step = ("lambda acc, tok: CASE WHEN tok IN ('and', ',', '') THEN "
             "{'names': CASE WHEN len(acc.cur) > 0 THEN list_append(acc.names, array_to_string(acc.cur, ' ')) "
             "ELSE acc.names END, 'cur': []::VARCHAR[]} "
-            "WHEN regexp_matches(tok, '\\d') THEN acc "
+            f"WHEN regexp_matches(tok, {q(BYLINE_DIGIT_RE)}) THEN acc "
             "ELSE {'names': acc.names, 'cur': list_append(acc.cur, tok)} END")
     init = "{'names': []::VARCHAR[], 'cur': []::VARCHAR[]}"
     r = f"list_reduce({toks}, {step}, {init})"
