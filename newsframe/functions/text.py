@@ -28,8 +28,9 @@ def entity_decode(col) -> Column:
 
 
 def inner_trim(col) -> Column:
-    """Collapse whitespace runs to one space, then trim."""
-    return F.trim(F.regexp_replace(_c(col), r"\s+", " "))
+    """Collapse whitespace runs (Unicode, as the parser's) to one space, then
+    trim."""
+    return F.trim(F.regexp_replace(_c(col), WS_CLASS + "+", " "))
 
 
 def title_filter(col) -> Column:

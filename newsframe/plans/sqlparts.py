@@ -27,7 +27,7 @@ def ent(expr: str) -> str:
 
 
 def squash(expr: str) -> str:
-    return f"trim(regexp_replace({expr}, '\\s+', ' ', 'g'))"
+    return f"trim(regexp_replace({expr}, {q(WS_CLASS + '+')}, ' ', 'g'))"
 
 
 def tfilter(expr: str) -> str:
