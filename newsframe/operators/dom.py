@@ -325,11 +325,15 @@ def parse_page(html: str | None):
 
 
 def _parse_batches(batches, max_rows: int = 65536):
+    """Arrow task: pages in, element rows out, in batches of at most
+    ``max_rows`` rows (a very large page is split across batches)."""
     width = len(_ARROW_SCHEMA)
     cols: list[list] = [[] for _ in range(width)]
 
-    def flush():
-        arrays = [pa.array(c, type=f.type) for c, f in zip(cols, _ARROW_SCHEMA)]
+    def flush(upto: int):
+        arrays = [pa.array(c[:upto], type=f.type) for c, f in zip(cols, _ARROW_SCHEMA)]
+        for c in cols:
+            del c[:upto]
         return pa.RecordBatch.from_arrays(arrays, schema=_ARROW_SCHEMA)
 
     for batch in batches:
@@ -341,11 +345,10 @@ def _parse_batches(batches, max_rows: int = 65536):
             cols[0].extend([pid] * n)
             for j, part in enumerate(parts):
                 cols[j + 1].extend(part)
-            if len(cols[0]) >= max_rows:
-                yield flush()
-                cols = [[] for _ in range(width)]
+            while len(cols[0]) >= max_rows:
+                yield flush(max_rows)
     if cols[0]:
-        yield flush()
+        yield flush(len(cols[0]))
 
 
 def spread_pages(pages: DataFrame) -> DataFrame:

@@ -16,13 +16,17 @@ from newsframe.operators.sections import source_detect
 from newsframe.plans.article import ARTICLE_COLUMNS, article_extract
 
 ENGINES = ("rule",)
+# Fixed value: the reference's configured default language. Spark ships no
+# stop-word list for it, so body scoring then needs ``stop_words=...``.
+DEFAULT_LANGUAGE = "vi"
 
 
-def detect_article(pages: DataFrame, language: str | None = "en") -> DataFrame:
+def detect_article(pages: DataFrame, language: str | None = DEFAULT_LANGUAGE,
+                   stop_words: list[str] | None = None) -> DataFrame:
     """Q1: one row per input page: the article fields, or an ``error``
     (``bad_url``, ``language``, ``unparsed``)."""
     valid = pages.filter(url_valid("url"))
-    art = article_extract(valid, language)
+    art = article_extract(valid, language, stop_words)
     base = pages.select("page_id", F.col("url").alias("_url"), url_valid("url").alias("_valid"))
     out = base.join(art, "page_id", "left")
     error = (F.when(~F.col("_valid"), F.lit("bad_url"))
@@ -35,7 +39,7 @@ def detect_article(pages: DataFrame, language: str | None = "en") -> DataFrame:
 
 
 def detect_source(targets: DataFrame, pages: DataFrame, sampling: int = 1,
-                  language: str | None = "en") -> DataFrame:
+                  language: str | None = DEFAULT_LANGUAGE) -> DataFrame:
     """Q2: templates of the target sites; a bad target URL gives no result.
 
     ``targets(url)`` lists sites; ``pages`` are the known pages (the crawl),

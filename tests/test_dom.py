@@ -123,3 +123,14 @@ def test_partitioning_does_not_change_results(spark):
     b = D.page_nodes(df.repartition(7).select("page_id", "html"), partitions=8) \
         .select("page_id", "node_id", "xpath", "text")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_large_page_split_across_batches():
+    import pyarrow as pa
+    html = "<html><body>" + "<p>x</p>" * 2500 + "</body></html>"
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([html, "<a>y</a>"])], ["page_id", "html"])
+    out = list(D._parse_batches([batch], max_rows=1000))
+    sizes = [b.num_rows for b in out]
+    assert max(sizes) <= 1000 and sum(sizes) == 2502 + 1
+    ids = [i for b in out for i in b.column(1).to_pylist()]
+    assert ids[:3] == [0, 1, 2] and ids[-1] == 0
