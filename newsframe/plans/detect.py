@@ -45,7 +45,13 @@ def detect_source(targets: DataFrame, pages: DataFrame, sampling: int = 1,
     ``targets(url)`` lists sites; ``pages`` are the known pages (the crawl),
     restricted to those sites by a semi-join on the site root.
     """
-    sites = targets.filter(url_valid("url")).select(site_root("url").alias("site")).distinct()
+    from newsframe.session import fits_broadcast, materialize
+    # the site list is written first so its size is known: a target list
+    # (hundreds of sites) is broadcast and the pages' HTML is not shuffled
+    sites = materialize(targets.filter(url_valid("url")).select(site_root("url").alias("site")).distinct(),
+                        "target-sites")
+    if fits_broadcast(sites):
+        sites = F.broadcast(sites)
     known = pages.withColumn("site", site_root("url")).join(sites, "site", "left_semi").drop("site")
     return source_detect(known, sampling, language)
 
