@@ -626,17 +626,62 @@ def drop_subtree(nodes: DataFrame, roots: DataFrame) -> DataFrame:
 
 def drop_tag(nodes: DataFrame, targets: DataFrame) -> DataFrame:
     """Remove the tag of the ``targets`` but keep their children and
-    text: every node's parent becomes its nearest kept ancestor (the largest
-    ancestor id not removed, read from the ancestor array)."""
+    text, as an element tree's tag drop does:
+
+    * every node's parent becomes its nearest kept ancestor (the largest
+      ancestor id not removed, read from the ancestor array);
+    * a removed element's text is appended to the tail of the last kept
+      child of that ancestor that precedes it, else to the ancestor's text;
+      its tail goes the same way (so after its last child when it had one);
+    * sibling positions are renumbered in document order.
+
+    Moved text runs keep document order; all joins are keyed by page.
+    """
     gone = targets.groupBy("page_id").agg(F.collect_set("node_id").alias("gone_ids"))
     j = nodes.join(gone, "page_id", "left").withColumn(
         "gone_ids", F.coalesce("gone_ids", F.array().cast("array<int>")))
-    kept = j.filter(~F.array_contains("gone_ids", F.col("node_id")))
-    new_parent = F.coalesce(
-        F.array_max(F.filter("anc", lambda a: ~F.array_contains(F.col("gone_ids"), a))), F.lit(-1))
-    return kept.withColumn("parent_id", new_parent).withColumn(
-        "anc", F.filter("anc", lambda a: ~F.array_contains(F.col("gone_ids"), a))) \
-        .select(*nodes.columns)
+    kept_anc = F.filter("anc", lambda a: ~F.array_contains(F.col("gone_ids"), a))
+    j = j.withColumn("new_parent", F.coalesce(F.array_max(kept_anc), F.lit(-1)))
+    is_gone = F.array_contains(F.col("gone_ids"), F.col("node_id"))
+    kept = j.filter(~is_gone)
+    # text runs of the removed elements, with their document-order keys
+    removed = j.filter(is_gone)
+    runs = removed.select("page_id", F.col("new_parent").alias("c"), F.col("node_id").alias("g"),
+                          F.col("end_id").alias("g_end"), F.lit(False).alias("is_tail"),
+                          F.col("node_id").alias("k1"), F.lit(0).alias("k2"), F.lit(0).alias("k3"),
+                          F.col("text").alias("piece")) \
+        .unionByName(removed.select("page_id", F.col("new_parent").alias("c"), F.col("node_id").alias("g"),
+                                    F.col("end_id").alias("g_end"), F.lit(True).alias("is_tail"),
+                                    F.col("end_id").alias("k1"), F.lit(1).alias("k2"),
+                                    (-F.col("depth")).alias("k3"), F.col("tail").alias("piece"))) \
+        .filter((F.col("piece") != "") & (F.col("c") >= 0))
+    # the final children of each container that precede a run
+    kids = kept.select("page_id", F.col("new_parent").alias("c"), F.col("node_id").alias("x"),
+                       F.col("end_id").alias("x_end"))
+    r = runs.alias("r")
+    k = kids.alias("k")
+    before = ((~F.col("r.is_tail") & (F.col("k.x_end") < F.col("r.g")))
+              | (F.col("r.is_tail") & (F.col("k.x") <= F.col("r.g_end"))))
+    placed = (r.join(k, (F.col("r.page_id") == F.col("k.page_id")) & (F.col("r.c") == F.col("k.c"))
+                     & before, "left")
+              .groupBy(F.col("r.page_id").alias("page_id"), F.col("r.c").alias("c"), "r.k1", "r.k2", "r.k3",
+                       F.col("r.piece").alias("piece"))
+              .agg(F.max("k.x").alias("x")))
+    slot = F.coalesce(F.col("x"), F.col("c"))
+    adds = placed.groupBy("page_id", slot.alias("node_id"), F.col("x").isNotNull().alias("to_tail")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k1", "k2", "k3", "piece"))),
+                                 lambda y: y["piece"]), "").alias("add"))
+    add_tail = adds.filter("to_tail").select("page_id", "node_id", F.col("add").alias("add_tail"))
+    add_text = adds.filter(~F.col("to_tail")).select("page_id", "node_id", F.col("add").alias("add_text"))
+    w = Window.partitionBy("page_id", "new_parent").orderBy("node_id")
+    out = (kept.join(add_tail, ["page_id", "node_id"], "left")
+           .join(add_text, ["page_id", "node_id"], "left")
+           .withColumn("text", F.concat(F.col("text"), F.coalesce("add_text", F.lit(""))))
+           .withColumn("tail", F.concat(F.col("tail"), F.coalesce("add_tail", F.lit(""))))
+           .withColumn("parent_id", F.col("new_parent"))
+           .withColumn("anc", kept_anc)
+           .withColumn("sib_pos", F.row_number().over(w).cast("int")))
+    return out.select(*nodes.columns)
 
 
 # The cleaner's choices (ours; the reference inherits one).

@@ -389,7 +389,7 @@ def q_drop_tag(spark, sf):
     """Unwrap inline ``b`` elements; their children move to the parent."""
     nodes = _nodes(spark, sf, news=False, gate=False)
     out = D.drop_tag(nodes, nodes.filter(F.col("tag") == "b"))
-    return out.select("page_id", "node_id", "parent_id", "tag")
+    return out.select("page_id", "node_id", "parent_id", "sib_pos", "tag", "text", "tail")
 
 
 @register("xpath_select", S.field_ctes() + """

@@ -106,6 +106,27 @@ def test_drop_tag_reparents(spark):
     out = D.drop_tag(n, n.filter("tag = 'span'"))
     b = out.filter("tag = 'b'").first()
     assert b.parent_id == 0 and out.filter("tag = 'span'").count() == 0
+    assert (b.text, b.tail, b.sib_pos) == ("x", "y", 1)
+    assert out.filter("tag = 'i'").first().sib_pos == 2
+
+
+def test_drop_tag_moves_text_and_tail(spark):
+    # text joins the parent's text when nothing precedes it
+    n = _nodes(spark, "<p>a<b>bold</b>c</p>")
+    out = D.drop_tag(n, n.filter("tag = 'b'")).collect()
+    assert [(r.tag, r.text) for r in out] == [("p", "aboldc")]
+    # text joins the previous sibling's tail; tail goes after the last child
+    n = _nodes(spark, "<p><i>x</i>m<b>y<u>z</u>w</b>t</p>")
+    out = {r.tag: r for r in D.drop_tag(n, n.filter("tag = 'b'")).collect()}
+    assert out["i"].tail == "my" and out["u"].tail == "wt" and out["u"].parent_id == 0
+    assert [out["i"].sib_pos, out["u"].sib_pos] == [1, 2]
+    # nested removals; the subtree text is unchanged
+    n = _nodes(spark, "<div>s<span>a<em>b</em>c</span>d<i>e</i></div>")
+    out = D.drop_tag(n, n.filter("tag in ('span', 'em')"))
+    rows = {r.tag: r for r in out.collect()}
+    assert rows["div"].text == "sabcd" and rows["i"].sib_pos == 1
+    root = out.filter("parent_id = -1").select("page_id", "node_id", "end_id")
+    assert D.node_text(out, root).first().node_text == "sabcd e"
 
 
 def test_clean_doc_removes_junk(spark):
