@@ -43,8 +43,20 @@ def _is_meta() -> Column:
 
 
 def _first(cond: Column, value: Column) -> Column:
-    """Value of the first node (document order) meeting ``cond``."""
-    return F.min_by(F.when(cond, value), F.when(cond, F.col("node_id")))
+    """Value of the first node (document order) meeting ``cond``.
+
+    Written as the minimum of the candidates' ``(node_id, value)`` structs
+    rather than ``min_by``: a struct-valued ``min_by`` forces a sort-based
+    aggregate over every node row, while ``collect_list`` of the few
+    candidates of a page keeps the whole pass a hash-based aggregate.
+    """
+    return F.array_min(F.collect_list(F.when(cond, F.struct(
+        F.col("node_id").alias("k"), value.alias("v")))))["v"]
+
+
+def _last_by(cond: Column, order: Column, value: Column) -> Column:
+    """Value of the candidate with the largest ``order`` (see ``_first``)."""
+    return F.array_max(F.collect_list(F.when(cond, F.struct(order.alias("k"), value.alias("v")))))["v"]
 
 
 # Author probes, attribute-major.
@@ -122,7 +134,7 @@ def page_facts(nodes: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_nodes"),
         _first(F.col("parent_id") < 0, F.coalesce(_attr("lang"), F.lit(""))).alias("root_lang"),
         _first((F.col("tag") == "title") & _not_root(), title_s).alias("title_el"),
-        F.max_by(F.when(is_h1, title_s), F.when(is_h1, h1_order)).alias("h1_el"),
+        _last_by(is_h1, h1_order, title_s).alias("h1_el"),
         _first(_is_meta() & _eq("property", "og:title") & _has("content"), _attr("content")).alias("og_prop"),
         _first(_is_meta() & _eq("name", "og:title") & _has("content"), _attr("content")).alias("og_name"),
         _first(_is_meta() & _irx("http-equiv", "content-language"),
