@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsframe.functions.aggs import last_by
 from newsframe.functions.stopwords import stop_words
 from newsframe.operators.dom import outside_junk, text_pieces
 
@@ -115,10 +116,10 @@ def best_node(nodes: DataFrame, scores: DataFrame) -> DataFrame:
         F.sum("add").alias("score"), F.count(F.lit(1)).alias("node_count"),
         F.min("seq").alias("seq"))
     pick = totals.groupBy("page_id").agg(
-        F.max_by(F.struct("node_id", "score"),
-                 F.struct((F.col("score") > 0).alias("pos"),
-                          F.when(F.col("score") > 0, F.col("score")).otherwise(F.lit(0.0)).alias("s"),
-                          (-F.col("seq")).alias("first"))).alias("best"))
+        last_by(F.struct("node_id", "score"),
+                F.struct((F.col("score") > 0).alias("pos"),
+                         F.when(F.col("score") > 0, F.col("score")).otherwise(F.lit(0.0)).alias("s"),
+                         (-F.col("seq")).alias("first"))).alias("best"))
     info = nodes.select("page_id", F.col("node_id").alias("top_id"),
                         F.col("end_id").alias("top_end"), F.col("xpath").alias("top_xpath"))
     return pick.select("page_id", F.col("best.node_id").alias("top_id"),

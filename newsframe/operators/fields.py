@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsframe.functions.aggs import first_by, last_by
 from newsframe.functions.text import byline_names, inner_trim, title_filter
 
 def _attr(name: str) -> Column:
@@ -43,20 +44,13 @@ def _is_meta() -> Column:
 
 
 def _first(cond: Column, value: Column) -> Column:
-    """Value of the first node (document order) meeting ``cond``.
-
-    Written as the minimum of the candidates' ``(node_id, value)`` structs
-    rather than ``min_by``: a struct-valued ``min_by`` forces a sort-based
-    aggregate over every node row, while ``collect_list`` of the few
-    candidates of a page keeps the whole pass a hash-based aggregate.
-    """
-    return F.array_min(F.collect_list(F.when(cond, F.struct(
-        F.col("node_id").alias("k"), value.alias("v")))))["v"]
+    """Value of the first node (document order) meeting ``cond``."""
+    return first_by(value, F.col("node_id"), cond)
 
 
 def _last_by(cond: Column, order: Column, value: Column) -> Column:
-    """Value of the candidate with the largest ``order`` (see ``_first``)."""
-    return F.array_max(F.collect_list(F.when(cond, F.struct(order.alias("k"), value.alias("v")))))["v"]
+    """Value of the candidate with the largest ``order``."""
+    return last_by(value, order, cond)
 
 
 # Author probes, attribute-major.
@@ -379,7 +373,7 @@ def meta_rows(nodes: DataFrame) -> DataFrame:
                                                  x["node_id"].alias("ord")))))
     rows = per_head.select("page_id", "head", F.explode_outer(entries).alias("e"))
     return (rows.groupBy("page_id", "head", F.col("e.sub").alias("sub"))
-            .agg(F.max_by("e.value", "e.ord").alias("value")))
+            .agg(last_by("e.value", "e.ord").alias("value")))
 
 
 def meta_map(nodes: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsframe.functions import urls as U
+from newsframe.functions.aggs import first_by
 from newsframe.operators.dom import node_text, page_nodes, text_pieces
 
 # ----------------------------------------------------------------------
@@ -94,7 +95,7 @@ def select_path(nodes: DataFrame, paths: DataFrame) -> DataFrame:
         "value",
         F.when(kind == "attr", F.col("attrs")[path_attr(F.col("path"))])
         .when(kind == "elem", F.coalesce("inner_text", "node_text")))
-    first = mv.groupBy("page_id", "path").agg(F.min_by("value", "node_id").alias("first_value"))
+    first = mv.groupBy("page_id", "path").agg(first_by("value", "node_id").alias("first_value"))
     # text runs under the matches
     tm = m.filter(kind == "text").select("page_id", "path", F.col("node_id").alias("m_id"),
                                          F.col("end_id").alias("m_end")).alias("t")
@@ -206,7 +207,7 @@ def section_template(processed: DataFrame) -> DataFrame:
     ok = processed.filter("is_parsed")
     tmpl = F.struct("page_id", "title_path", "text_path",
                     F.get(F.col("author_paths"), 0).alias("author_path"), "date_path")
-    agg = ok.groupBy("key").agg(F.min_by(tmpl, F.struct("spos", "rank")).alias("t"))
+    agg = ok.groupBy("key").agg(first_by(tmpl, F.struct("spos", "rank")).alias("t"))
     return agg.select("key", "t.page_id", "t.title_path", "t.text_path", "t.author_path", "t.date_path")
 
 
