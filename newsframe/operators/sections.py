@@ -219,7 +219,9 @@ def template_targets(pages: DataFrame, templates: DataFrame) -> DataFrame:
         .filter(F.col("key").isNotNull())
     t = templates.withColumnRenamed("page_id", "template_page_id")
     j = p.join(t, "key").filter(F.col("page_id") != F.col("template_page_id"))
-    return j.dropDuplicates(["page_id", "key"])
+    # a page's two keys differ and template keys are unique: rows are
+    # already one per (page, key); distinct is a hash aggregate on them
+    return j.distinct()
 
 
 def templated_pages(pages: DataFrame, templates: DataFrame) -> DataFrame:
@@ -267,7 +269,8 @@ def apply_template(pages: DataFrame, templates: DataFrame) -> DataFrame:
     vals = select_path(nodes, paths.select("page_id", "path").distinct())
     got = paths.join(vals, ["page_id", "path"], "left").withColumn(
         "v", F.when(F.col("field") == "text", F.col("all_text")).otherwise(F.col("first_value")))
-    wide = got.groupBy("page_id", "key").pivot("field", list(fields)).agg(F.first("v"))
+    wide = got.groupBy("page_id", "key").agg(
+        *[first_by("v", F.lit(0), F.col("field") == f).alias(f) for f in fields])
     base = targets.select("page_id", "key")
     return base.join(wide, ["page_id", "key"], "left").select("page_id", "key", *fields)
 
