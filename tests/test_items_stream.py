@@ -54,3 +54,15 @@ def test_stream_equals_batch(spark):
     batch = article_extract(load_pages(spark, f"{SF}/pages.parquet"), "en") \
         .select("page_id", "title_path", "text_path")
     assert stream.exceptAll(batch).count() == 0 and batch.exceptAll(stream).count() == 0
+
+
+def test_article_extract_independent_of_input_partitioning(spark):
+    from newsframe.plans.article import article_extract
+    from newsframe.sources import load_pages, news_pages
+    pages = news_pages(load_pages(spark, f"{SF}/pages.parquet"))
+    cols = ["page_id", "title_path", "title", "author_paths", "canonical_path", "date_path",
+            "text_path", "text", "tag_paths", "videos"]
+    a = article_extract(pages, "en").select(*cols)
+    b = article_extract(pages.repartition(5, "url").sortWithinPartitions(F.rand(7)), "en").select(*cols)
+    assert a.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
