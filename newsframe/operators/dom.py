@@ -704,14 +704,19 @@ def outside_junk(nodes: DataFrame, rows: DataFrame) -> DataFrame:
     return rows.join(iv, "page_id", "left").filter(~_inside(F.col("node_id"))).drop("iv")
 
 
-def clean_doc(nodes: DataFrame) -> DataFrame:
-    """The cleaned node table used for body scoring.
+def clean_doc(nodes: DataFrame, unwrap_inline: bool = False) -> DataFrame:
+    """The cleaned node table.
 
     Removes script/style/nav/footer/aside/form/noscript subtrees and
-    elements whose class or id names an ad. Inline wrappers are left in
-    place: their text is part of their block's text either way.
+    elements whose class or id names an ad (C11). With ``unwrap_inline``
+    the inline wrappers (b, i, em, strong, span, br) are then unwrapped
+    (C12), merging their text into the surrounding runs. By default they
+    stay: body scoring reads each block's whole text either way.
     """
-    return drop_subtree(nodes, nodes.filter(junk_condition()))
+    cleaned = drop_subtree(nodes, nodes.filter(junk_condition()))
+    if unwrap_inline:
+        cleaned = drop_tag(cleaned, cleaned.filter(F.col("tag").isin(CLEAN_UNWRAP_TAGS)))
+    return cleaned
 
 
 def node_html(nodes: DataFrame, pages: DataFrame, targets: DataFrame) -> DataFrame:

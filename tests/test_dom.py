@@ -155,3 +155,10 @@ def test_large_page_split_across_batches():
     assert max(sizes) <= 1000 and sum(sizes) == 2502 + 1
     ids = [i for b in out for i in b.column(1).to_pylist()]
     assert ids[:3] == [0, 1, 2] and ids[-1] == 0
+
+
+def test_clean_doc_unwrap_inline(spark):
+    n = _nodes(spark, "<body><nav>x</nav><p>a <b>bold</b> c<br>d</p></body>")
+    rows = {r.tag: r for r in D.clean_doc(n, unwrap_inline=True).collect()}
+    assert sorted(rows) == ["body", "p"]
+    assert rows["p"].text == "a bold cd"
