@@ -41,38 +41,52 @@ def get_spark(master: str | None = None, app: str = "newsframe",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster.
+    """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
-    (local tests) a private scratch folder is created and registered.
+    A scratch folder of our own is made only where the setting is absent and
+    driver and executors are one local process (tests, bench); elsewhere an
+    absent setting is an error, because executors could not read that folder.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if conf_dir:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(conf_dir)
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(conf_dir)
         return conf_dir
-    current = spark.sparkContext.getCheckpointDir()
+    current = context.getCheckpointDir()
     if current:
         return current
+    master = context.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="newsframe-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    context.setCheckpointDir(local)
+    return context.getCheckpointDir()
 
 
 def materialize(df, name: str = "materialized"):
-    """Cut the lineage of a small, reused intermediate result.
+    """Cut the lineage of a reused intermediate result.
 
     Writes it as a Parquet table under the shared checkpoint folder
     (``spark.checkpoint.dir``) and reads it back: later plans read the
     written rows instead of re-running the query, the data survives executor
     loss, and the query runs once (an eager ``Dataset.checkpoint`` computes
-    it twice: once to count, once to write).
+    it twice: once to count, once to write). ``release`` deletes the table.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def release(*written) -> None:
+    """Delete tables made by ``materialize`` that no later plan reads."""
+    for df in written:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.written_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def estimated_bytes(df) -> int | None:
