@@ -77,7 +77,7 @@ def bands(most: int, num: int, den: int) -> list[tuple[int, int]]:
     return out
 
 
-def levels(counts: dict[int, int], most: int, num: int, den: int, chance: float = 0.2) -> list[Level]:
+def levels(counts: dict[int, int], most: int, num: int, den: int, chance: float = 0.05) -> list[Level]:
     """The levels for sets of at most ``most`` shingles; ``counts``: sets by band.
 
     ``chance``: assumed probability that two unrelated sets agree on a shingle of a
