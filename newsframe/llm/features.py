@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,8 +96,8 @@ def sample(spark: SparkSession, docs: DataFrame, ids: DataFrame, featuriser: Fea
     col = got.column("x").combine_chunks()
     if got.num_rows == 0:
         return np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int32)
-    n = np.array([len(v) for v in col], dtype=np.int64)
-    return col.flatten().to_numpy().astype(np.int64), np.concatenate([[0], np.cumsum(n)]), got.column("tag").to_numpy()
+    n = pc.list_value_length(col).to_numpy().astype(np.int64)
+    return col.flatten().to_numpy(), np.concatenate([[0], np.cumsum(n)]), got.column("tag").to_numpy()
 
 
 def bounded_ids(rows: DataFrame, most: int) -> DataFrame:

@@ -79,7 +79,7 @@ def fit(x, bounds, y, width: int, c: float = 0.1, keep: float = 0.75) -> tuple[n
     """Weights and bias on plain indicators whose logistic is the score."""
     n = np.diff(bounds)
     r = log_ratio(x, bounds, y, width)
-    scale = 1 / np.sqrt(np.maximum(n, 1))  # rows of equal length
+    scale = (1 / np.sqrt(np.maximum(n, 1))).astype(np.float32)  # rows of equal length
     part = np.arange(len(y)) % 4 != 3
     if not (y[part].any() and (~y[part]).any() and y[~part].any() and (~y[~part]).any()):
         part[:] = True
@@ -92,7 +92,7 @@ def fit(x, bounds, y, width: int, c: float = 0.1, keep: float = 0.75) -> tuple[n
     rows = np.flatnonzero(part)
     xt, bt, st = take(rows)
     rt = log_ratio(xt, bt, y[rows], width)
-    w = fit_hinge(xt, bt, rt[xt] * st, np.where(y[rows], 1.0, -1.0), width, c)
+    w = fit_hinge(xt, bt, rt.astype(np.float32)[xt] * st, np.where(y[rows], 1.0, -1.0), width, c)
     beta = np.abs(w[:-1]).mean()
     w[:-1] = (1 - keep) * beta + keep * w[:-1]
     held = np.arange(len(y)) if part.all() else np.flatnonzero(~part)
