@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning (operator 2).
 
-Confirmed toxic rows are the positives; all other rows are unlabelled, whether or not
-somebody looked at them. A linear model on word indicators minimises the
+Confirmed toxic rows are the positives; the unlabelled rows are drawn from all rows, whether or
+not somebody looked at them. A linear model on word indicators minimises the
 non-negative risk ``p * R+(1) + max(0, R_u(0) - p * R+(0))`` with the logistic loss, so
 that its output estimates the probability under the class prior p. When the
 bracket falls below zero (the model has begun to tell the training positives from the same
@@ -39,7 +39,7 @@ def fit_nnpu(x: np.ndarray, bounds: np.ndarray, positive: np.ndarray, prior: flo
     pos, unl = np.flatnonzero(positive), np.flatnonzero(~positive)
     size = np.diff(bounds)
     steps = max(1, len(unl) // batch)
-    for _ in range(epochs):
+    for _ in range(max(epochs, 1500 // steps)):
         order = rng.permutation(unl)
         for s in range(steps):
             u = order[s * batch:(s + 1) * batch]
@@ -96,9 +96,11 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, most_pos: int = 8_000, m
         known = lab.filter("toxic = 1").select("doc_id")
         pos = bounded_ids(known, most_pos).withColumn("tag", F.lit(1))
         every = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct().filter(fold("doc_id", mod) != rest)
-        unl = bounded_ids(every.join(known, "doc_id", "left_anti"), most_unl).withColumn("tag", F.lit(0))
+        unl = bounded_ids(every, most_unl).withColumn("tag", F.lit(0))  # positives among them, in the share of the prior
         x, bounds, tag = sample(spark, docs, pos.union(unl), featuriser)
         if (tag == 1).any() and (tag == 0).any():
             x, bounds = telling(x, bounds, tag == 1, 1 << bits)
-            weights, bias = fit_nnpu(x, bounds, tag == 1, min(max(float(share), 1e-4), 0.9), 1 << bits)
+            used, x = np.unique(x, return_inverse=True)
+            w, bias = fit_nnpu(x, bounds, tag == 1, min(max(float(share), 1e-4), 0.9), len(used))
+            weights[used] = w
     return scored(docs, featuriser, weights, bias, mod, rest, cut, keep)
