@@ -180,7 +180,7 @@ def section_sample(pages: DataFrame, sampling: int = 1) -> DataFrame:
 # ----------------------------------------------------------------------
 
 def section_process_all(pages: DataFrame, samples: DataFrame, language: str | None = "en",
-                        full: bool = False) -> DataFrame:
+                        full: bool = False, stop_words: list[str] | None = None) -> DataFrame:
     """Extract every sampled article; failures stay listed unparsed.
 
     By default only what a template stores is extracted (title, body,
@@ -193,7 +193,7 @@ def section_process_all(pages: DataFrame, samples: DataFrame, language: str | No
     # HTML of the pages is never shuffled; otherwise Spark sort-merge joins.
     ids = materialize(samples.select("page_id").distinct(), "sample-ids")
     todo = pages.join(ids, "page_id", "left_semi")
-    art = article_extract(todo, language, with_meta=full, with_text=full)
+    art = article_extract(todo, language, stop_words, with_meta=full, with_text=full)
     return samples.join(art.drop("url"), "page_id", "left").withColumn(
         "is_parsed", F.coalesce("is_parsed", F.lit(False)))
 
@@ -287,7 +287,8 @@ def template_report(applied: DataFrame) -> DataFrame:
         *[F.count_if(F.col(f).isNull()).alias(f"missing_{f}") for f in fields])
 
 
-def source_detect(pages: DataFrame, sampling: int = 1, language: str | None = "en") -> DataFrame:
+def source_detect(pages: DataFrame, sampling: int = 1, language: str | None = "en",
+                  stop_words: list[str] | None = None) -> DataFrame:
     """The whole site query (E1, E2, E3, E4, E5): templates per key."""
     samples = section_sample(pages, sampling)
-    return section_template(section_process_all(pages, samples, language))
+    return section_template(section_process_all(pages, samples, language, stop_words=stop_words))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsframe.functions.stopwords import has_stop_words
 from newsframe.functions.urls import site_root, url_valid
 from newsframe.operators.sections import source_detect
 from newsframe.plans.article import ARTICLE_COLUMNS, article_extract
@@ -24,14 +25,18 @@ DEFAULT_LANGUAGE = "vi"
 def detect_article(pages: DataFrame, language: str | None = DEFAULT_LANGUAGE,
                    stop_words: list[str] | None = None) -> DataFrame:
     """Q1: one row per input page: the article fields, or an ``error``
-    (``bad_url``, ``language``, ``unparsed``)."""
+    (``bad_url``, ``language``, ``unparsed``, or ``no_stop_words``: the fields are
+    there, but without a list for the language the body cannot be found)."""
     valid = pages.filter(url_valid("url"))
-    art = article_extract(valid, language, stop_words)
+    scored = bool(stop_words) or has_stop_words(language or "en")
+    art = article_extract(valid, language, stop_words, with_body=scored)
     base = pages.select("page_id", F.col("url").alias("_url"), url_valid("url").alias("_valid"))
     out = base.join(art, "page_id", "left")
     error = (F.when(~F.col("_valid"), F.lit("bad_url"))
              .when(F.col("is_parsed").isNull(), F.lit("language"))
              .when(~F.col("is_parsed"), F.lit("unparsed")))
+    if not scored:
+        error = F.coalesce(error, F.lit("no_stop_words"))
     cols = [c for c in ARTICLE_COLUMNS if c not in ("page_id", "url", "is_parsed")]
     return out.select("page_id", F.col("_url").alias("url"), *cols,
                       F.coalesce("is_parsed", F.lit(False)).alias("is_parsed"),
@@ -39,21 +44,17 @@ def detect_article(pages: DataFrame, language: str | None = DEFAULT_LANGUAGE,
 
 
 def detect_source(targets: DataFrame, pages: DataFrame, sampling: int = 1,
-                  language: str | None = DEFAULT_LANGUAGE) -> DataFrame:
+                  language: str | None = DEFAULT_LANGUAGE,
+                  stop_words: list[str] | None = None) -> DataFrame:
     """Q2: templates of the target sites; a bad target URL gives no result.
+    A language without a stop-word list needs ``stop_words`` (else an error).
 
     ``targets(url)`` lists sites; ``pages`` are the known pages (the crawl),
     restricted to those sites by a semi-join on the site root.
     """
-    from newsframe.session import fits_broadcast, materialize
-    # the site list is written first so its size is known: a target list
-    # (hundreds of sites) is broadcast and the pages' HTML is not shuffled
-    sites = materialize(targets.filter(url_valid("url")).select(site_root("url").alias("site")).distinct(),
-                        "target-sites")
-    if fits_broadcast(sites):
-        sites = F.broadcast(sites)
+    sites = targets.filter(url_valid("url")).select(site_root("url").alias("site")).distinct()
     known = pages.withColumn("site", site_root("url")).join(sites, "site", "left_semi").drop("site")
-    return source_detect(known, sampling, language)
+    return source_detect(known, sampling, language, stop_words)
 
 
 def detect(pages: DataFrame, mode: str = "article", engine: str = "rule",

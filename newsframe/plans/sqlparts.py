@@ -7,7 +7,7 @@ parsed node table). All patterns are RE2-safe.
 
 from __future__ import annotations
 
-from newsframe.functions.stopwords import stop_words
+from newsframe.functions.stopwords import ENGLISH
 from newsframe.functions.text import (BYLINE_DIGIT_RE, BYLINE_LEAD_RE, BYLINE_SPLIT_RE,
                                      BYLINE_TAG_RE, ENTITIES, WS_CLASS)
 from newsframe.operators.tokens import TOKEN_RE
@@ -57,8 +57,9 @@ def byline(expr: str) -> str:
             f"ELSE r.names END FROM (SELECT {r} AS r))")
 
 
-def sw_list(language: str = "en") -> str:
-    return "[" + ", ".join(q(w) for w in stop_words(language)) + "]"
+def sw_list() -> str:
+    """The English words as literals; the engine's own look-up is not asked."""
+    return "[" + ", ".join(q(w) for w in ENGLISH) + "]"
 
 
 NEWS = news_pages_sql("pages")
@@ -102,7 +103,7 @@ def _has_attr_sql(tag: str, attr: str) -> str:
 
 def field_ctes() -> str:
     from newsframe.operators.fields import AUTHOR_ATTRS, AUTHOR_VALUES, DATE_PROBES
-    sw = sw_list("en")
+    sw = sw_list()
     art = "regexp_extract(html, '<article>([\\s\\S]*?)</article>', 1)"
     ctes = [en_news()[len("WITH "):]]
     # head metas / links with their 1-based index
