@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ SCHEMA = "doc_id long, item_id long, score double, start long, end long, n_seeds
 
 def bare(col: pa.Array) -> T.Words:
     """Words lower-cased and without the marks around them; words of marks only are dropped."""
-    w = T.words(col, lower=True)
+    w = T.words(pc.utf8_lower(col), lower=True)  # of all scripts
     s, e = w.start.copy(), w.end.copy()
     for _ in range(8):
         if len(s):
