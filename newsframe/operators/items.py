@@ -37,20 +37,20 @@ def content_hash(col) -> F.Column:
 def clone_flags(df: DataFrame, text_col: str, order_col: str) -> DataFrame:
     """``aflag`` = 0 for the first copy of a content, 1 for later ones.
 
-    Skew-safe and narrow: the first position per content hash is a ``min``
-    aggregate over ``(id, hash)`` rows (combined map-side, so a content
-    copied a million times ships one row per task); the flags are computed on
-    those narrow rows and joined back on the id, so the wide rows (the text)
-    never move when ``df`` is already partitioned by the id, as extracted
-    articles are. A row without content is never a clone.
+    The first position per content hash is a ``min`` aggregate over ``(id, hash)`` rows,
+    combined map-side, so a content copied a million times ships one row per task. Only
+    these first rows are joined back, on ``(id, hash)``: no join is keyed by a content, so
+    neither a hot content nor the rows without content meet in one task. A row without
+    content or without id is never a clone.
     """
-    h = df.select(order_col, content_hash(text_col).alias("content_hash"))
-    first = h.filter(F.col("content_hash").isNotNull()) \
-        .groupBy("content_hash").agg(F.min(order_col).alias("_first"))
-    flags = h.join(first, "content_hash", "left").select(
-        order_col, "content_hash",
-        F.when(F.col(order_col) > F.col("_first"), AFLAG_CLONE).otherwise(AFLAG_ORIGINAL).alias("aflag"))
-    return df.join(flags, order_col)
+    h = df.withColumn("content_hash", content_hash(text_col))
+    first = h.select(order_col, "content_hash").filter(F.col("content_hash").isNotNull()) \
+        .groupBy("content_hash").agg(F.min(order_col).alias(order_col)).withColumn("_first", F.lit(True))
+    later = F.col("content_hash").isNotNull() & F.col(order_col).isNotNull() & F.col("_first").isNull()
+    rest = [c for c in df.columns if c not in (order_col, "content_hash")]
+    return h.join(first, [order_col, "content_hash"], "left").select(
+        order_col, *rest, "content_hash",
+        F.when(later, AFLAG_CLONE).otherwise(AFLAG_ORIGINAL).alias("aflag"))
 
 
 def to_epoch(col) -> F.Column:

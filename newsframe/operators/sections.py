@@ -224,26 +224,15 @@ def template_targets(pages: DataFrame, templates: DataFrame) -> DataFrame:
     return j.distinct()
 
 
-def templated_pages(pages: DataFrame, templates: DataFrame) -> DataFrame:
-    """The pages worth parsing for E6, chosen without shuffling their HTML.
-
-    When the template keys fit a broadcast (Spark's own threshold on the
-    written templates), pages are semi-joined on their site key, then the
-    rest on their section key (two broadcast hash joins, disjoint results).
-    Otherwise every valid page is parsed and the per-page joins that follow
-    keep the templated ones: parsing is cheaper than shuffling all HTML.
+def templated_pages(pages: DataFrame, targets: DataFrame) -> DataFrame:
+    """The pages worth parsing for E6: those named in ``targets``.
+
+    The narrow ids are written first, so that Spark knows their exact size and picks the
+    semi-join itself: a broadcast for a few, a shuffle of the pages on their id for many.
     """
-    from newsframe.session import fits_broadcast
-    valid = pages.filter(U.url_valid("url"))
-    keys = templates.select("key").distinct()
-    if not fits_broadcast(keys):
-        return valid
-    k = keys.withColumnRenamed("key", "_k")
-    by_site = valid.withColumn("_k", U.article_key("url", False))
-    first = by_site.join(F.broadcast(k), "_k", "left_semi")
-    rest = by_site.join(F.broadcast(k), "_k", "left_anti") \
-        .withColumn("_k", U.article_key("url", True)).join(F.broadcast(k), "_k", "left_semi")
-    return first.unionByName(rest).drop("_k")
+    from newsframe.session import materialize
+    ids = materialize(targets.select("page_id").distinct(), "template-pages")
+    return pages.join(ids, "page_id", "left_semi")
 
 
 def apply_template(pages: DataFrame, templates: DataFrame) -> DataFrame:
@@ -257,7 +246,7 @@ def apply_template(pages: DataFrame, templates: DataFrame) -> DataFrame:
     # templates: at most one row per section key, reused by several branches
     templates = materialize(templates, "templates")
     targets = template_targets(pages, templates)
-    nodes = page_nodes(templated_pages(pages, templates).select("page_id", "html"))
+    nodes = page_nodes(templated_pages(pages, targets).select("page_id", "html"))
     fields = {"title": "title_path", "text": "text_path", "author": "author_path",
               "publish_date": "date_path"}
     paths = targets.select(
