@@ -2,8 +2,8 @@
 
 Every query takes ``(spark, sf_dir)``, reads the driver tables under
 ``sf_dir`` and returns a DataFrame. Queries on fields run over the enriched
-pages (``news_pages``: the plain pages carry no og/author/date markup) and,
-where a language gate applies, over the English ones. Column names match the
+pages (``news_pages``: the plain pages carry no og/author/date markup), all of them;
+only F7 and what contains it (F20, E, Q, items) keep the English ones. Column names match the
 oracle SQL; arrays are rendered as ``|``-joined strings so both engines hash
 the same values.
 """
@@ -47,14 +47,8 @@ def _news(spark, sf) -> DataFrame:
     return news_pages(_pages(spark, sf))
 
 
-def _en_news(spark, sf) -> DataFrame:
-    return TK.language_gate(_news(spark, sf), LANG)
-
-
-def _nodes(spark, sf, news=True, gate=True) -> DataFrame:
+def _nodes(spark, sf, news=True) -> DataFrame:
     src = _news(spark, sf) if news else _pages(spark, sf)
-    if gate:
-        src = TK.language_gate(src, LANG)
     return D.page_nodes(src.select("page_id", "html"))
 
 
@@ -227,7 +221,7 @@ def q_language_gate(spark, sf):
 @register("meta_lang_nodes", f"""
 SELECT page_id, {S.root_lang()} AS meta_lang, '/html/@lang' AS lang_path FROM pages""")
 def q_meta_lang_nodes(spark, sf):
-    nodes = _nodes(spark, sf, news=False, gate=False)
+    nodes = _nodes(spark, sf, news=False)
     return FL.flat_fields(FL.page_facts(nodes)).select("page_id", "meta_lang", "lang_path")
 
 
@@ -245,7 +239,7 @@ WITH b AS (SELECT regexp_replace(regexp_replace(html, '<(script|style)[^>]*>[\\s
      t AS (SELECT lower(unnest(regexp_extract_all(h, '<([A-Za-z][A-Za-z0-9-]*)', 1))) AS tag FROM b)
 SELECT tag, count(*) AS n FROM t GROUP BY tag""")
 def q_dom_tag_counts(spark, sf):
-    nodes = _nodes(spark, sf, news=False, gate=False)
+    nodes = _nodes(spark, sf, news=False)
     return nodes.groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -258,7 +252,7 @@ _SIMPLE_TEXT_TAGS = ["title", "h1", "a", "footer"]
         SELECT page_id, regexp_extract_all(html, '<{t}\\b[^>]*>([^<]*)</{t}>', 1) AS xs FROM pages))"""
     for t in _SIMPLE_TEXT_TAGS))
 def q_node_text(spark, sf):
-    nodes = _nodes(spark, sf, news=False, gate=False)
+    nodes = _nodes(spark, sf, news=False)
     tg = nodes.filter(F.col("tag").isin(_SIMPLE_TEXT_TAGS))
     txt = D.node_text(nodes, tg.select("page_id", "node_id", "end_id"))
     w = Window.partitionBy("page_id", "tag").orderBy("node_id")
@@ -273,7 +267,7 @@ SELECT page_id, href, ltext AS link_text FROM (
                     regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1) AS ts FROM pages))
 WHERE regexp_matches(href, '(?i)^/th')""")
 def q_find_by_tag(spark, sf):
-    nodes = _nodes(spark, sf, news=False, gate=False)
+    nodes = _nodes(spark, sf, news=False)
     hits = D.find_by_tag(nodes, "a", "href", "^/th")
     return hits.select("page_id", F.col("attrs")["href"].alias("href"), F.col("text").alias("link_text"))
 
@@ -303,7 +297,7 @@ SELECT page_id, href, 'li' AS parent_tag,
        '/html/body/nav/ul' || CASE WHEN n_li > 1 THEN '/li[' || CAST(k AS VARCHAR) || ']' ELSE '/li' END AS cut_path
 FROM a""")
 def q_node_parent(spark, sf):
-    nodes = _nodes(spark, sf, news=False, gate=False)
+    nodes = _nodes(spark, sf, news=False)
     links = nodes.filter((F.col("tag") == "a") & F.col("xpath").startswith("/html/body/nav/"))
     par = D.node_parent(nodes, links)
     return par.select("page_id", F.col("attrs")["href"].alias("href"), "parent_tag", "parent_xpath",
@@ -320,7 +314,7 @@ SELECT page_id, CAST(1 AS INTEGER) AS sib_pos, 'h1' AS tag FROM a
 UNION ALL
 SELECT page_id, CAST(k + 1 AS INTEGER) AS sib_pos, 'p' AS tag FROM (SELECT page_id, unnest(generate_series(1, n_p)) AS k FROM a)""")
 def q_node_children(spark, sf):
-    nodes = _nodes(spark, sf, news=False, gate=False)
+    nodes = _nodes(spark, sf, news=False)
     art = nodes.filter(F.col("tag") == "article").select("page_id", F.col("node_id").alias("parent_id"))
     kids = D.node_children(nodes).join(art, ["page_id", "parent_id"])
     return kids.select("page_id", "sib_pos", "tag")
@@ -333,7 +327,7 @@ SELECT page_id, CAST(ord AS INTEGER) AS b_ord, CAST(0 AS INTEGER) AS run_pos, 't
 UNION ALL
 SELECT page_id, CAST(ord AS INTEGER) AS b_ord, CAST(1 AS INTEGER) AS run_pos, 'br' AS kind, '' AS run_text FROM b""")
 def q_text_runs(spark, sf):
-    nodes = _nodes(spark, sf, news=False, gate=False)
+    nodes = _nodes(spark, sf, news=False)
     bs = nodes.filter(F.col("tag") == "b").select(
         "page_id", F.col("node_id").alias("parent_id"),
         F.row_number().over(Window.partitionBy("page_id").orderBy("node_id")).alias("b_ord"))
@@ -346,7 +340,7 @@ WITH a AS (SELECT page_id, len(regexp_extract_all({_ARTICLE_INNER}, '<p>', 0)) A
 SELECT page_id, CAST(k AS INTEGER) AS p_ord, CASE WHEN k = 1 THEN 'h1' ELSE 'p' END AS prev_tag
 FROM (SELECT page_id, unnest(generate_series(1, n_p)) AS k FROM a)""")
 def q_prev_sibling(spark, sf):
-    nodes = _nodes(spark, sf, news=False, gate=False)
+    nodes = _nodes(spark, sf, news=False)
     ps = D.prev_sibling(nodes).filter((F.col("tag") == "p") & F.col("xpath").startswith("/html/body/article/"))
     w = Window.partitionBy("page_id").orderBy("node_id")
     return ps.select("page_id", F.row_number().over(w).alias("p_ord"), "prev_tag")
@@ -355,7 +349,7 @@ def q_prev_sibling(spark, sf):
 @register("drop_subtree", f"""
 SELECT page_id, {S.squash(S.ent("regexp_replace(" + _ARTICLE_INNER + ", '<[^>]*>', ' ', 'g')"))} AS body_text FROM pages""")
 def q_drop_subtree(spark, sf):
-    nodes = _nodes(spark, sf, news=False, gate=False)
+    nodes = _nodes(spark, sf, news=False)
     junk = nodes.filter(F.col("tag").isin("nav", "footer") | (F.col("tag") == "div"))
     kept = D.drop_subtree(nodes, junk)
     bodies = kept.filter(F.col("tag") == "body").select("page_id", "node_id", "end_id")
@@ -370,7 +364,7 @@ WITH b AS (SELECT regexp_replace(regexp_replace(regexp_replace(regexp_replace(re
      t AS (SELECT lower(unnest(regexp_extract_all(h, '<([A-Za-z][A-Za-z0-9-]*)', 1))) AS tag FROM b)
 SELECT tag, count(*) AS n FROM t GROUP BY tag""")
 def q_clean_doc(spark, sf):
-    nodes = _nodes(spark, sf, news=False, gate=False)
+    nodes = _nodes(spark, sf, news=False)
     return D.clean_doc(nodes).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -379,7 +373,7 @@ SELECT page_id, regexp_extract(html, '<article>[\\s\\S]*?</article>', 0) AS node
 FROM pages WHERE contains(html, '<article>')""")
 def q_node_html(spark, sf):
     """The source markup of each page's article element."""
-    nodes = _nodes(spark, sf, news=False, gate=False)
+    nodes = _nodes(spark, sf, news=False)
     arts = nodes.filter(F.col("tag") == "article")
     return D.node_html(nodes, _pages(spark, sf), arts).select("page_id", "node_html")
 
@@ -387,12 +381,12 @@ def q_node_html(spark, sf):
 @register("drop_tag")
 def q_drop_tag(spark, sf):
     """Unwrap inline ``b`` elements; their children move to the parent."""
-    nodes = _nodes(spark, sf, news=False, gate=False)
+    nodes = _nodes(spark, sf, news=False)
     out = D.drop_tag(nodes, nodes.filter(F.col("tag") == "b"))
     return out.select("page_id", "node_id", "parent_id", "sib_pos", "tag", "text", "tail")
 
 
-@register("xpath_select", S.field_ctes() + """
+@register("xpath_select", S.field_ctes(gate=False) + """
 SELECT page_id, text_path AS path,
   """ + S.ent("list_filter(string_split_regex(regexp_extract(html, '<article>([\\s\\S]*?)</article>', 1), '<[^>]*>'), lambda x: x <> '')[1]") + """ AS first_value,
   f19.text AS all_text
@@ -407,38 +401,39 @@ def q_xpath_select(spark, sf):
 
 
 # ----------------------------------------------------------------------
-# F: field extraction on the English enriched pages
+# F: field extraction on all enriched pages (body queries count English stop words)
 # ----------------------------------------------------------------------
 
-_FC = S.field_ctes()
+_FC = S.field_ctes()  # pages passing the language gate
+_ALL = S.field_ctes(gate=False)
 
 
 def _flat(spark, sf) -> DataFrame:
     return FL.flat_fields(FL.page_facts(_nodes(spark, sf)))
 
 
-@register("title_select", _FC + "\nSELECT page_id, title_path, title FROM f1v")
+@register("title_select", _ALL + "\nSELECT page_id, title_path, title FROM f1v")
 def q_title_select(spark, sf):
     return _flat(spark, sf).select("page_id", "title_path", "title")
 
 
-@register("longest_h1", _FC + "\nSELECT page_id, '/html/body/article/h1' AS h1_path, h AS h1_text FROM f1 WHERE has_h1")
+@register("longest_h1", _ALL + "\nSELECT page_id, '/html/body/article/h1' AS h1_path, h AS h1_text FROM f1 WHERE has_h1")
 def q_longest_h1(spark, sf):
     return _flat(spark, sf).filter(F.col("h1_path").isNotNull()).select("page_id", "h1_path", "h1_text")
 
 
-@register("og_title", _FC + "\nSELECT page_id, g AS og_title, og_path FROM f1")
+@register("og_title", _ALL + "\nSELECT page_id, g AS og_title, og_path FROM f1")
 def q_og_title(spark, sf):
     return _flat(spark, sf).select("page_id", "og_title", "og_path")
 
 
-@register("authors", _FC + "\nSELECT page_id, author_paths, authors FROM f4")
+@register("authors", _ALL + "\nSELECT page_id, author_paths, authors FROM f4")
 def q_authors(spark, sf):
     a = FL.authors(_nodes(spark, sf))
     return a.select("page_id", _join("author_paths").alias("author_paths"), _join("authors").alias("authors"))
 
 
-@register("byline_names", _FC + """
+@register("byline_names", _ALL + """
 SELECT page_id, path, text, array_to_string(names, '|') AS names FROM (
   SELECT DISTINCT page_id, path, text, names FROM an)""")
 def q_byline_names(spark, sf):
@@ -447,14 +442,14 @@ def q_byline_names(spark, sf):
     return c.select("page_id", "path", "text", _join(byline_names("text")).alias("names")).distinct()
 
 
-@register("favicon", _FC + """
+@register("favicon", _ALL + """
 SELECT en.page_id, coalesce(fav.path || '/@href', '') AS favicon_path, coalesce(fav.href, '') AS favicon
 FROM en LEFT JOIN fav USING (page_id)""")
 def q_favicon(spark, sf):
     return _flat(spark, sf).select("page_id", "favicon_path", "favicon")
 
 
-@register("meta_content", _FC + """
+@register("meta_content", _ALL + """
 SELECT en.page_id, coalesce(d.path, '') AS description_path, coalesce(d.content, '') AS description,
        coalesce(kw.path, '') AS keywords_path, coalesce(kw.content, '') AS keywords
 FROM en LEFT JOIN m_description d USING (page_id) LEFT JOIN m_keywords kw USING (page_id)""")
@@ -462,7 +457,7 @@ def q_meta_content(spark, sf):
     return _flat(spark, sf).select("page_id", "description_path", "description", "keywords_path", "keywords")
 
 
-@register("canonical_link", _FC + """
+@register("canonical_link", _ALL + """
 SELECT en.page_id,
   CASE WHEN coalesce(can.href, '') <> '' THEN can.path || '/@href'
        WHEN coalesce(ogu.content, '') <> '' THEN ogu.path || '/@content'
@@ -475,7 +470,7 @@ def q_canonical_link(spark, sf):
     return _flat(spark, sf).select("page_id", "canonical_path", "canonical_link")
 
 
-@register("page_tags", _FC + """
+@register("page_tags", _ALL + """
 SELECT en.page_id, coalesce(f11.tag_paths, '') AS tag_paths, coalesce(f11.tags, '') AS tags
 FROM en LEFT JOIN f11 USING (page_id)""")
 def q_page_tags(spark, sf):
@@ -512,20 +507,20 @@ rowsm AS (
 """
 
 
-@register("meta_map", _FC + _META_LONG + """
+@register("meta_map", _ALL + _META_LONG + """
 SELECT page_id, head, sub, arg_max(value, ord) AS value FROM rowsm GROUP BY page_id, head, sub""")
 def q_meta_map(spark, sf):
     return FL.meta_rows(_nodes(spark, sf))
 
 
-@register("publish_date", _FC + """
+@register("publish_date", _ALL + """
 SELECT en.page_id, coalesce(f13.date_path, '') AS date_path, coalesce(f13.publish_date, '') AS publish_date
 FROM en LEFT JOIN f13 USING (page_id)""")
 def q_publish_date(spark, sf):
     return _flat(spark, sf).select("page_id", "date_path", "publish_date")
 
 
-@register("page_links", _FC + """
+@register("page_links", _ALL + """
 SELECT page_id, href, link_text FROM (
   SELECT page_id, """ + S.ent("unnest(hs)") + """ AS href, nullif(""" + S.ent("unnest(ts)") + """, '') AS link_text FROM (
     SELECT page_id, regexp_extract_all(html, '<a [^>]*href="([^"]*)"[^>]*>[^<]*', 1) AS hs,
@@ -535,7 +530,7 @@ def q_page_links(spark, sf):
     return FL.page_links(_nodes(spark, sf)).select("page_id", "href", "link_text")
 
 
-@register("video_src", _FC + """
+@register("video_src", _ALL + """
 SELECT page_id, string_agg(src, '|') AS videos FROM (
   SELECT page_id, unnest(regexp_extract_all(html, '<iframe data-src="([^"]*)"', 1)) AS src FROM en)
 GROUP BY page_id""")
@@ -549,7 +544,7 @@ def _blocks(spark, sf):
     return nodes, B.text_blocks(nodes, LANG)
 
 
-@register("text_blocks", _FC + """
+@register("text_blocks", _ALL + """
 SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY k) AS INTEGER) AS block_ord,
        CAST(stopwords AS INTEGER) AS stopwords, CAST(link_density AS DOUBLE) AS link_density FROM pk2 WHERE kept""")
 def q_text_blocks(spark, sf):
@@ -560,20 +555,20 @@ def q_text_blocks(spark, sf):
                     F.col("link_density").cast("double").alias("link_density"))
 
 
-@register("block_scores", _FC + "\nSELECT page_id, i, boostable, upscore FROM f17")
+@register("block_scores", _ALL + "\nSELECT page_id, i, boostable, upscore FROM f17")
 def q_block_scores(spark, sf):
     _, b = _blocks(spark, sf)
     return B.block_scores(b).select("page_id", F.col("i").cast("int").alias("i"), "boostable", "upscore")
 
 
-@register("best_node", _FC + "\nSELECT page_id, text_path, top_score FROM f18")
+@register("best_node", _ALL + "\nSELECT page_id, text_path, top_score FROM f18")
 def q_best_node(spark, sf):
     nodes, b = _blocks(spark, sf)
     top = B.best_node(nodes, B.block_scores(b))
     return top.select("page_id", "text_path", F.col("top_score").cast("double").alias("top_score"))
 
 
-@register("body_text", _FC + "\nSELECT page_id, text FROM f19")
+@register("body_text", _ALL + "\nSELECT page_id, text FROM f19")
 def q_body_text(spark, sf):
     nodes, b = _blocks(spark, sf)
     top = B.best_node(nodes, B.block_scores(b))

@@ -65,10 +65,11 @@ def sw_list() -> str:
 NEWS = news_pages_sql("pages")
 
 
-def en_news() -> str:
-    """CTE prefix: ``np`` = enriched pages, ``en`` = those passing the gate."""
-    return (f"WITH np AS ({NEWS}), en AS (SELECT page_id, url, html FROM np "
-            f"WHERE contains({root_lang()}, 'en'))")
+def en_news(gate: bool = True) -> str:
+    """CTE prefix: ``np`` = enriched pages, ``en`` = those passing the gate
+    (all of them with ``gate=False``)."""
+    passing = f"WHERE contains({root_lang()}, 'en')" if gate else ""
+    return f"WITH np AS ({NEWS}), en AS (SELECT page_id, url, html FROM np {passing})"
 
 
 TOKENS_CTE = (f"tk AS (SELECT page_id, unnest(generate_series(0, len(toks) - 1)) AS pos, "
@@ -89,7 +90,7 @@ def count_before(html: str, needle: str, pos_expr: str) -> str:
 
 
 # ----------------------------------------------------------------------
-# Field CTEs over the English enriched pages (``en``)
+# Field CTEs over the enriched pages (``en``: those passing the gate, or all)
 # ----------------------------------------------------------------------
 
 def _attr_sql(tag: str, attr: str) -> str:
@@ -101,11 +102,11 @@ def _has_attr_sql(tag: str, attr: str) -> str:
     return f"regexp_matches({tag}, {q(r'\s' + attr + '=\"')})"
 
 
-def field_ctes() -> str:
+def field_ctes(gate: bool = True) -> str:
     from newsframe.operators.fields import AUTHOR_ATTRS, AUTHOR_VALUES, DATE_PROBES
     sw = sw_list()
     art = "regexp_extract(html, '<article>([\\s\\S]*?)</article>', 1)"
-    ctes = [en_news()[len("WITH "):]]
+    ctes = [en_news(gate)[len("WITH "):]]
     # head metas / links with their 1-based index
     ctes.append("mt AS (SELECT page_id, unnest(generate_series(1, len(ms))) AS k, unnest(ms) AS tag "
                 "FROM (SELECT page_id, regexp_extract_all(html, '<meta [^>]*>', 0) AS ms FROM en))")
