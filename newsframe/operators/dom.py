@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsframe.functions.text import inner_trim
+from newsframe.session import estimated_bytes
 
 NODE_SCHEMA = T.StructType([
     T.StructField("page_id", T.LongType(), False),
@@ -355,12 +356,13 @@ def spread_pages(pages: DataFrame) -> DataFrame:
     """Give the parser at least one task per core.
 
     A Parquet row group is the smallest scan split; small inputs of big rows
-    (one row group of HTML) would otherwise parse in a single task. Large
-    inputs already have many splits and are left as they are (no shuffle).
+    (one row group of HTML) would otherwise parse in a single task. Inputs whose
+    estimated size fills a split for every core, and those of unknown size, are left
+    as they are (no shuffle). Only the plan's size estimate is asked; nothing runs.
     """
-    spark = pages.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if pages.rdd.getNumPartitions() < cores:
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    size = estimated_bytes(pages)
+    if size is not None and size < cores * SPLIT_BYTES:
         return pages.repartition(cores)
     return pages
 
@@ -382,25 +384,21 @@ def co_partition(spark) -> None:
 # partition of the node table should hold about TARGET_PARTITION_BYTES.
 NODE_EXPANSION = 4
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_NODE_PARTITIONS = 1 << 22
-UNKNOWN_SIZE = 1 << 62
+SPLIT_BYTES = 128 * 1024 * 1024
 
 
 def node_partitions(pages: DataFrame) -> int:
     """Partition count for the node table: from Catalyst's size estimate
     of the input (file sizes for a scan; no job runs), never below the
     cluster's core count (``defaultParallelism``), so small inputs do not
-    become hundreds of empty tasks and large ones get ~128 MB partitions."""
+    become hundreds of empty tasks and large ones get ~128 MB partitions.
+    Without an estimate the session's ``spark.sql.shuffle.partitions`` holds."""
     spark = pages.sparkSession
     base = spark.sparkContext.defaultParallelism
-    try:
-        est = pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        size = est if isinstance(est, int) else int(est.toString())
-    except Exception:  # noqa: BLE001 - estimate unavailable: keep the configured count
-        return base
-    if size >= UNKNOWN_SIZE:  # Catalyst's "unknown" default
-        return base
-    return int(min(MAX_NODE_PARTITIONS, max(base, -(-size * NODE_EXPANSION // TARGET_PARTITION_BYTES))))
+    size = estimated_bytes(pages)
+    if size is None:
+        return max(base, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(base, -(-size * NODE_EXPANSION // TARGET_PARTITION_BYTES))
 
 
 def page_nodes(pages: DataFrame, partitions: int | None = None,

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from newsframe.functions import urls as U
 from newsframe.functions.aggs import first_by
 from newsframe.operators.dom import node_text, page_nodes, text_pieces
+from newsframe.operators.fields import page_links
 
 # ----------------------------------------------------------------------
 # Path expressions
@@ -143,6 +144,20 @@ def section_articles(pages: DataFrame) -> DataFrame:
         .withColumn("apos", F.col("page_id"))
 
 
+def linked_articles(pages: DataFrame, nodes: DataFrame) -> DataFrame:
+    """E2 from links: ``(section_url, url, title, page_id)``, the articles that the pages
+    of each section link to (F14, U6), made absolute (U5), unique by URL within a section
+    and kept across sections; title and page_id are those of the first link
+    (by page id, then document order). Links without a valid URL (U1) are skipped."""
+    src = pages.filter(U.url_valid("url")).select("page_id", "url", section_of("url").alias("section_url"))
+    links = page_links(nodes).join(src, "page_id").select(
+        "section_url", U.url_resolve("href", "url").alias("url"), "page_id", "node_id", "link_text")
+    # one bounded buffer for each (section, url), combined map-side: a link on every page is no hot group
+    first = links.filter(U.url_valid("url")).groupBy("section_url", "url") \
+        .agg(F.min(F.struct("page_id", "node_id", "link_text")).alias("f"))
+    return first.select("section_url", "url", F.col("f.link_text").alias("title"), F.col("f.page_id").alias("page_id"))
+
+
 def section_sample(pages: DataFrame, sampling: int = 1) -> DataFrame:
     """``(key, section_url, spos, url, page_id, rank)``.
 
@@ -158,20 +173,25 @@ def section_sample(pages: DataFrame, sampling: int = 1) -> DataFrame:
         "section_url", F.col("pos").alias("spos"),
         U.section_key("section_url").alias("key"),
         (U.url_path("section_url") != "").alias("has_path"))
-    arts = section_articles(pages)
-    # list position of an article: (position of its section, its own); each
-    # article URL belongs to exactly one section by construction
+    # A key takes the articles of a section in the section's order, so only the first
+    # ``sampling`` of each section and key can be among its first: the rank limit runs
+    # before any join (map-side first), and a hot section or site ships k rows per task.
+    first = Window.partitionBy("section_url", "k2").orderBy("apos", "page_id")
+    arts = section_articles(pages).withColumn("k2", U.article_key("url", True)) \
+        .withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= sampling)
+    # list position of an article: (position of its section, its own)
     al = arts.join(secs.select("section_url", F.col("spos").alias("a_spos")), "section_url")
     # every article under both of its keys: (netloc, no path) and (netloc/seg, path)
     keys = F.array(
         F.struct(U.article_key("url", False).alias("key"), F.lit(False).alias("has_path")),
-        F.struct(U.article_key("url", True).alias("key"), F.lit(True).alias("has_path")))
+        F.struct(F.col("k2").alias("key"), F.lit(True).alias("has_path")))
     ak = al.select("url", "page_id", F.struct("a_spos", "apos").alias("lpos"),
                    F.explode(keys).alias("k")) \
         .select("url", "page_id", "lpos", "k.key", "k.has_path").filter(F.col("key").isNotNull())
-    m = secs.join(ak, ["key", "has_path"])
-    w = Window.partitionBy("section_url").orderBy("lpos", "page_id")
-    ranked = m.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= sampling)
+    # all sections of a key see the same list, so the rank is the key's
+    w = Window.partitionBy("key", "has_path").orderBy("lpos", "page_id")
+    ak = ak.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= sampling)
+    ranked = secs.join(ak, ["key", "has_path"])
     return ranked.select("key", "section_url", "spos", "url", "page_id", "rank")
 
 
@@ -242,6 +262,12 @@ def apply_template(pages: DataFrame, templates: DataFrame) -> DataFrame:
     title / author / date: first match; text: every ``//text()`` run plus a
     newline. Missing matches stay NULL; empty template fields do no lookup.
     """
+    return apply_with_nodes(pages, templates)[0]
+
+
+def apply_with_nodes(pages: DataFrame, templates: DataFrame):
+    """E6 plus the (persisted) node table, so a caller that is done with the
+    result (a stream micro-batch) can ``unpersist`` it."""
     from newsframe.session import materialize
     # templates: at most one row per section key, reused by several branches
     templates = materialize(templates, "templates")
@@ -261,7 +287,7 @@ def apply_template(pages: DataFrame, templates: DataFrame) -> DataFrame:
     wide = got.groupBy("page_id", "key").agg(
         *[first_by("v", F.lit(0), F.col("field") == f).alias(f) for f in fields])
     base = targets.select("page_id", "key")
-    return base.join(wide, ["page_id", "key"], "left").select("page_id", "key", *fields)
+    return base.join(wide, ["page_id", "key"], "left").select("page_id", "key", *fields), nodes
 
 
 def template_report(applied: DataFrame) -> DataFrame:

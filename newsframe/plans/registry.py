@@ -530,6 +530,14 @@ def q_page_links(spark, sf):
     return FL.page_links(_nodes(spark, sf)).select("page_id", "href", "link_text")
 
 
+# F15 under the body node of F18 (the article element)
+_BODY_VIDEOS = """SELECT page_id, string_agg(src, '|' ORDER BY k) AS videos FROM (
+  SELECT page_id, unnest(vs) AS src, unnest(generate_series(1, len(vs))) AS k FROM (
+    SELECT page_id, regexp_extract_all(regexp_extract(html, '<article>([\\s\\S]*?)</article>', 1), '<iframe data-src="([^"]*)"', 1) AS vs
+    FROM en JOIN f18 USING (page_id)))
+GROUP BY page_id"""
+
+
 @register("video_src", _ALL + """
 SELECT page_id, string_agg(src, '|') AS videos FROM (
   SELECT page_id, unnest(regexp_extract_all(html, '<iframe data-src="([^"]*)"', 1)) AS src FROM en)
@@ -539,6 +547,14 @@ def q_video_src(spark, sf):
     return v.select("page_id", _join("videos").alias("videos"))
 
 
+@register("body_videos", _ALL + "\n" + _BODY_VIDEOS)
+def q_body_videos(spark, sf):
+    """F15 restricted to each page's best node."""
+    nodes, b = _blocks(spark, sf)
+    v = FL.video_sources(nodes, B.best_node(nodes, B.block_scores(b)))
+    return v.select("page_id", _join("videos").alias("videos"))
+
+
 def _blocks(spark, sf):
     nodes = _nodes(spark, sf)
     return nodes, B.text_blocks(nodes, LANG)
@@ -580,10 +596,14 @@ SELECT en.page_id, en.url, md5(en.url) AS link_hash, 'en' AS meta_lang, f1v.titl
   coalesce(f4.author_paths, '') AS author_paths,
   coalesce(m_description.path, '') AS description_path, coalesce(m_keywords.path, '') AS keywords_path,
   coalesce(f13.date_path, '') AS date_path, coalesce(f13.publish_date, '') AS publish_date,
-  coalesce(f11.tag_paths, '') AS tag_paths, f18.text_path, f1v.title_path <> '' AS is_parsed
+  coalesce(f11.tag_paths, '') AS tag_paths, f18.text_path, f1v.title_path <> '' AS is_parsed,
+  coalesce(f4.authors, '') AS authors, f19.text, coalesce(fav.href, '') AS favicon,
+  CASE WHEN coalesce(can.href, '') <> '' THEN can.href WHEN coalesce(ogu.content, '') <> '' THEN ogu.content
+       ELSE coalesce(ogu.href, '') END AS canonical_link, bv.videos
 FROM en JOIN f1v USING (page_id) LEFT JOIN f4 USING (page_id) LEFT JOIN m_description USING (page_id)
   LEFT JOIN m_keywords USING (page_id) LEFT JOIN f13 USING (page_id) LEFT JOIN f11 USING (page_id)
-  LEFT JOIN f18 USING (page_id)""")
+  LEFT JOIN f18 USING (page_id) LEFT JOIN f19 USING (page_id) LEFT JOIN fav USING (page_id)
+  LEFT JOIN can USING (page_id) LEFT JOIN ogu USING (page_id) LEFT JOIN (""" + _BODY_VIDEOS + """) bv USING (page_id)""")
 def q_article_extract(spark, sf):
     from newsframe.plans.article import article_extract
     return _article_projection(article_extract(_news(spark, sf), LANG))
@@ -593,7 +613,8 @@ def _article_projection(a: DataFrame) -> DataFrame:
     return a.select("page_id", "url", "link_hash", "meta_lang", "title_path", "title",
                     _join("author_paths").alias("author_paths"), "description_path", "keywords_path",
                     "date_path", "publish_date", _join("tag_paths").alias("tag_paths"), "text_path",
-                    "is_parsed")
+                    "is_parsed", F.coalesce(_join("authors"), F.lit("")).alias("authors"), "text", "favicon",
+                    "canonical_link", _join("videos").alias("videos"))
 
 
 # ----------------------------------------------------------------------
@@ -651,6 +672,27 @@ def q_section_articles(spark, sf):
     return section_articles(_sections_pages(spark, sf)).select("section_url", "url", "page_id")
 
 
+@register("linked_articles", _ALL + _SEC_CTES + f"""
+SELECT section_url, url, arg_min(title, pos) AS title, min(page_id) AS page_id FROM (
+  SELECT l.section_url, l.title, l.page_id, l.page_id * 1000000 + l.k AS pos,
+    CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.\\-]*://') THEN href
+         WHEN starts_with(href, '//') THEN scheme || ':' || href
+         WHEN starts_with(href, '/') THEN site || href ELSE site || '/' || href END AS url
+  FROM (SELECT x.*, su.section_url, su.site, split_part(su.site, ':', 1) AS scheme FROM (
+          SELECT page_id, unnest(generate_series(1, len(hs))) AS k, {S.ent("unnest(hs)")} AS href,
+                 {S.ent("unnest(ts)")} AS title FROM (
+            SELECT page_id, regexp_extract_all(html, '<a [^>]*href="([^"]*)"[^>]*>[^<]*', 1) AS hs,
+                   regexp_extract_all(html, '<a [^>]*href="[^"]*"[^>]*>([^<]*)', 1) AS ts FROM en)) x
+        JOIN su USING (page_id) WHERE href <> '' AND NOT contains(href, '#')) l)
+WHERE contains(url, '://') AND starts_with(url, 'http') GROUP BY section_url, url""")
+def q_linked_articles(spark, sf):
+    """E2 over the links of each section's pages; an article linked from two sections is in both."""
+    from newsframe.operators.sections import linked_articles
+    pages = _news(spark, sf)
+    out = linked_articles(pages, D.page_nodes(pages.select("page_id", "html"), persist=False))
+    return out.select("section_url", "url", F.coalesce("title", F.lit("")).alias("title"), "page_id")
+
+
 @register("section_sample", _e_sql("SELECT key, section_url, spos, url, page_id, rank FROM e3"))
 def q_section_sample(spark, sf):
     from newsframe.operators.sections import section_sample

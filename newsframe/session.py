@@ -98,19 +98,3 @@ def estimated_bytes(df) -> int | None:
     except Exception:  # noqa: BLE001
         return None
     return None if size >= (1 << 62) else size
-
-
-def fits_broadcast(df) -> bool:
-    """Whether Spark would broadcast ``df`` on its own: its size estimate is
-    known and under ``spark.sql.autoBroadcastJoinThreshold``."""
-    thr_txt = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        thr = int(thr_txt)
-    except ValueError:  # e.g. "10MB"
-        units = {"b": 1, "kb": 1 << 10, "mb": 1 << 20, "gb": 1 << 30}
-        t = thr_txt.strip().lower()
-        num = "".join(ch for ch in t if ch.isdigit())
-        unit = t[len(num):] or "b"
-        thr = int(num) * units.get(unit, 1)
-    size = estimated_bytes(df)
-    return thr > 0 and size is not None and size <= thr

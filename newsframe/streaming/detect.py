@@ -65,7 +65,7 @@ def template_stream(spark: SparkSession, folder: str, templates: DataFrame, sink
 
     Template learning stays a batch job: it needs samples across a section.
     """
-    from newsframe.operators.sections import apply_template
+    from newsframe.operators.sections import apply_with_nodes
     from newsframe.session import materialize
 
     ckpt = checkpoint or f"{checkpoint_dir(spark)}/{name}-stream"
@@ -74,8 +74,9 @@ def template_stream(spark: SparkSession, folder: str, templates: DataFrame, sink
     def run_batch(batch: DataFrame, epoch_id: int) -> None:
         if prepare is not None:
             batch = prepare(batch)
-        out = apply_template(batch, static)
+        out, nodes = apply_with_nodes(batch, static)
         out.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={epoch_id}")
+        nodes.unpersist()
 
     writer = (page_stream(spark, folder, file_glob=file_glob).writeStream.foreachBatch(run_batch)
               .option("checkpointLocation", ckpt).queryName(name))

@@ -11,7 +11,7 @@ from conftest import SF
 TABLES = ["pages", "documents"]
 # equal results that are both empty prove nothing for these
 MIN_ROWS = {"text_blocks": 20, "block_scores": 20, "best_node": 5, "body_text": 5, "xpath_select": 5, "article_extract": 5,
-            "section_template": 1, "news_items": 5, "op4_quality_rules": 200, "op5_substring_dedup": 200}
+            "section_template": 1, "linked_articles": 50, "body_videos": 5, "news_items": 5, "op4_quality_rules": 200, "op5_substring_dedup": 200}
 
 
 def _norm(v):
