@@ -1,9 +1,9 @@
-"""Benchmark decontamination by rare n-gram seeds and local alignment (operator 7).
+"""Benchmark decontamination by n-gram seeds and local alignment (operator 7).
 
 Words are lower-cased and stripped of the marks around them. Every n-gram of a benchmark item is
-counted over all documents; of each ``stretch`` consecutive n-grams of an item the ``pick`` rarest
-become its seeds, so that every part of every item has some, however
-frequent. A document region with ``least`` or more different seeds of an item (one for an item with
+counted over all documents, and those that some document holds become its seeds. None is left
+out for a rarer one: an edited copy may hold only the more frequent n-grams, because the edits broke
+the others, which are rare for that reason. A document region with ``least`` or more different seeds of an item (one for an item with
 few) in about the item's order is aligned with the item by the Smith-Waterman
 recurrence (match 2, mismatch -1, gap -1); the score over twice the item's length, 1 for
 a verbatim copy, is reported from ``threshold`` on.
@@ -101,14 +101,9 @@ def _seed_counts(items: Items):
     return run
 
 
-def pick_seeds(items: Items, counts: dict[int, int], stretch: int, pick: int) -> Items:
-    """The items with only the ``pick`` rarest of each ``stretch`` n-grams."""
-    n = np.array([counts.get(int(g), 0) for g in items.gram.view(np.int64)], dtype=np.int64)
-    part = items.place // stretch
-    order = np.lexsort((items.gram, n, part, items.item))
-    group = items.item[order].astype(np.int64) << 32 | part[order]
-    rank = np.arange(len(order)) - np.searchsorted(group, group)
-    keep = np.sort(order[rank < pick])
+def pick_seeds(items: Items, counts: dict[int, int]) -> Items:
+    """The items with only the n-grams that some document holds."""
+    keep = np.flatnonzero([counts.get(int(g), 0) > 0 for g in items.gram.view(np.int64)])
     return Items(items.ids, items.words, items.first, items.gram[keep], items.item[keep], items.place[keep])
 
 
@@ -193,9 +188,9 @@ def _search(items: Items, least: int, threshold: float):
     return find
 
 
-def blocks(docs: DataFrame, benchmark: DataFrame, block_words: int, stretch: int, pick: int) -> list[Items]:
-    """The benchmark in blocks of about ``block_words`` words, with seeds chosen by their
-    document counts over all of ``docs``."""
+def blocks(docs: DataFrame, benchmark: DataFrame, block_words: int) -> list[Items]:
+    """The benchmark in blocks of about ``block_words`` words, with the seeds that
+    occur in ``docs``."""
     rows = benchmark.filter("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
     total = rows.agg(F.sum(F.size(words_of(F.col("text"))))).first()[0] or 0
     n = max(1, math.ceil(total / block_words))
@@ -206,11 +201,11 @@ def blocks(docs: DataFrame, benchmark: DataFrame, block_words: int, stretch: int
             continue
         items = items_of(part.item_id.tolist(), part.text.tolist())
         counts = (docs.select("text").mapInArrow(_seed_counts(items), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas())
-        out.append(pick_seeds(items, dict(zip(counts.gram.tolist(), counts.n.tolist(), strict=True)), stretch, pick))
+        out.append(pick_seeds(items, dict(zip(counts.gram.tolist(), counts.n.tolist(), strict=True))))
     return out
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 2, threshold: float = 0.5, stretch: int = 6, pick: int = 3,
+def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 2, threshold: float = 0.5,
                  block_words: int = 400_000) -> DataFrame:
     """doc_id, item_id, score, word range and number of seeds of every match."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -227,18 +222,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 2, threshol
                         [ids, pa.array(items.ids[got[1]]), pa.array(got[2].astype(float)), *[pa.array(c.astype(np.int64)) for c in got[3:]]],
                         names=["doc_id", "item_id", "score", "start", "end", "n_seeds"])
         return docs.mapInArrow(run, SCHEMA)
-    parts = [matcher(x) for x in blocks(docs, benchmark, block_words, stretch, pick)]
+    parts = [matcher(x) for x in blocks(docs, benchmark, block_words)]
     out = parts[0] if parts else docs.mapInArrow(lambda batches: iter(()), SCHEMA)
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, least: int = 2, threshold: float = 0.5, stretch: int = 6, pick: int = 3,
+def clean(docs: DataFrame, benchmark: DataFrame, least: int = 2, threshold: float = 0.5,
           block_words: int = 400_000) -> DataFrame:
     """The rows of ``docs``, all their columns, that hold no benchmark item."""
     out = docs
-    for items in blocks(docs, benchmark, block_words, stretch, pick):
+    for items in blocks(docs, benchmark, block_words):
         find = _search(items, least, threshold)
 
         def run(batches, find=find):
