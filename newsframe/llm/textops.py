@@ -106,9 +106,9 @@ def _hash_words(data, s, e, lower) -> np.ndarray:
     long = np.flatnonzero(e - s > LONG_WORD)
     i = 0
     while i < len(s):
-        j = int(np.searchsorted(e, s[i] + BLOCK, side="right"))
-        j = max(j, i + 1)
+        j = i + 1  # a long word is no reason to pass over those behind it
         if e[i] - s[i] <= LONG_WORD:
+            j = max(j, int(np.searchsorted(e, s[i] + BLOCK, side="right")))
             lo, hi = int(s[i]), int(e[j - 1])
             b = data[lo:hi]
             v = (_LOWER[b] if lower else b).astype(U64) + U64(1)

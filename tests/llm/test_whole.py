@@ -1,6 +1,10 @@
 """Cases in which an operator once did less than its whole job."""
 
+import numpy as np
+import pyarrow as pa
+
 from newsframe.llm import decontaminate
+from newsframe.llm import textops as T
 
 TABLE = "doc_id long, text string"
 
@@ -30,3 +34,15 @@ def test_edited_copies_are_found_with_and_without_a_verbatim_one(spark):
     got = decontaminate.contaminated(rows, bench).collect()
     assert {(r.doc_id, r.item_id): round(r.score, 9) for r in got} == want
     assert decontaminate.clean(rows, bench).count() == 0
+
+
+def test_words_behind_a_long_word_have_their_hash(monkeypatch):
+    empty = np.empty
+    monkeypatch.setattr(np, "empty", lambda shape, dtype=float: np.full(shape, 7, dtype) if dtype == T.U64 else empty(shape, dtype))  # no lucky memory
+    tail = [f"tail{i}" for i in range(50)]
+    lone = T.words(pa.array([" ".join(tail)]), lower=True).hash
+    for head in (["Q" * 5000], ["Q" * 5000, "z" * 4097], ["pad"] * (T.BLOCK // 4 - 600) + ["Q" * 5000], ["y" * (T.BLOCK + 9)], ["Q" * T.BLOCK]):
+        w = T.words(pa.array([" ".join(head + tail), " ".join(tail)]), lower=True)
+        assert (w.hash[len(head):len(head) + 50] == lone).all() and (w.hash[len(head) + 50:] == lone).all()
+        by_word = [T.words(pa.array([x]), lower=True).hash[0] for x in head[-2:]]
+        assert w.hash[:len(head)][-2:].tolist() == by_word
