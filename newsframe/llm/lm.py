@@ -3,14 +3,14 @@
 Words are lower-cased and split by a public byte-level vocabulary; a text ends with an end
 id. The probability of an id is factored into its class and the id within the class:
 classes are runs of ids by corpus frequency with about equal mass, ``p(id | class)`` comes from
-corpus counts, and ``p(class | ids before)`` from one layer of masked self-attention with a
-bias by distance, trained in numpy by stochastic gradient steps.
+corpus counts, and ``p(class | ids before)`` from one layer of masked self-attention over the
+embeddings of the ids themselves, with a bias by distance, trained in numpy by stochastic gradient steps.
 
 The corpus is used as a whole: word and subword counts come from every training document, and
-the steps run where the documents are, in rounds over a fixed share of the
-documents (``share``, so the work grows with the input). Each task starts from the round's weights, and the
-tasks' weights are averaged by Spark, weighted with the windows they saw; one row for each weight reaches the
-driver. A text is scored in windows of ``span`` ids that overlap by ``lap``: every id is scored once, by the
+the steps run where the documents are, in rounds that each pass over every training document
+(``share`` above 1: over one of so many). Each task starts from the round's weights, and the
+tasks' weights are averaged by Spark, an id's embedding weighted with the places where the task read it, all others
+with the windows it saw; one row for each id met and some dozens of others reach the driver. A text is scored in windows of ``span`` ids that overlap by ``lap``: every id is scored once, by the
 first window that holds it, with at least ``lap`` ids before it (fewer only at the text's beginning).
 
 The base score needs each word's corpus count. Words with more than a ``1 / most_common`` share of
@@ -80,10 +80,13 @@ def classes(counts: np.ndarray, n: int) -> Classes:
     return Classes(of.astype(np.int32), np.log((counts + 1.0) / total[of]), n)
 
 
-def start_weights(n: int, d: int, span: int, seed: int = 5) -> dict[str, np.ndarray]:
+def start_weights(n: int, d: int, span: int, seed: int = 5, of: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """Random weights; with ``of`` (the class of each id) an embedding for each id, near that of its class."""
     rng = np.random.default_rng(seed)
     shapes = {"e": (n, d), "q": (d, d), "k": (d, d), "v": (d, d), "u": (d, n)}
     w = {k: rng.normal(0, 0.3, s).astype(np.float32) for k, s in shapes.items()}
+    if of is not None:
+        w["e"] = w["e"][of] + rng.normal(0, 0.05, (len(of), d)).astype(np.float32)
     return w | {"r": np.zeros(span, np.float32), "b": np.zeros(n, np.float32)}
 
 
@@ -95,7 +98,7 @@ def _mask(r: np.ndarray, span: int) -> np.ndarray:
 
 def forward(w: dict[str, np.ndarray], c: np.ndarray, keep: bool = False):
     """Unnormalised log probabilities (B, span, n) of the next class after each position
-    of the class windows ``c`` (B, span), and what the backward pass needs."""
+    of the input windows ``c`` (B, span; rows of ``e``), and what the backward pass needs."""
     b, span = c.shape
     d = w["e"].shape[1]
     x = w["e"][c]
@@ -104,7 +107,7 @@ def forward(w: dict[str, np.ndarray], c: np.ndarray, keep: bool = False):
     np.clip(s, -20, 20, out=s)
     np.exp(s, out=s)
     s *= _mask(w["r"], span)
-    norm = s.sum(axis=2, keepdims=True)
+    norm = s @ np.ones((span, 1), s.dtype)
     y = np.matmul(s, x) / norm
     h = x + y @ w["v"]
     z = h.reshape(b * span, d) @ w["u"] + w["b"]
@@ -116,9 +119,9 @@ def gradients(w, c, target, valid):
     b, span = c.shape
     d = w["e"].shape[1]
     z, (x, s, norm, y, h) = forward(w, c, True)
-    z -= z.max(axis=1, keepdims=True)
+    np.minimum(z, 60, out=z)  # exp stays finite
     p = np.exp(z)
-    total = p.sum(axis=1, keepdims=True)
+    total = p @ np.ones((p.shape[1], 1), p.dtype)
     p /= total
     t, ok = target.reshape(-1), valid.reshape(-1)
     m = max(int(ok.sum()), 1)
@@ -132,7 +135,7 @@ def gradients(w, c, target, valid):
     dy = dh @ w["v"].T
     a = s / norm
     da = np.matmul(dy, x.transpose(0, 2, 1))
-    ds = a * (da - (a * da).sum(axis=2, keepdims=True))
+    ds = a * (da - (a * da) @ np.ones((span, 1), a.dtype))
     qk = w["q"] @ w["k"].T / np.sqrt(d)
     left = np.matmul(ds, x)            # sum over keys
     dx = dh + np.matmul(a.transpose(0, 2, 1), dy) + left @ qk.T + np.matmul(ds.transpose(0, 2, 1), x) @ qk
@@ -140,9 +143,8 @@ def gradients(w, c, target, valid):
     g["q"], g["k"] = dqk @ w["k"], dqk.T @ w["q"]
     flat = ds.sum(axis=0)
     g["r"] = np.array([np.trace(flat, -k) for k in range(span)], dtype=np.float32)
-    ge = np.zeros_like(w["e"])
-    np.add.at(ge, c.reshape(-1), dx.reshape(-1, d))
-    g["e"] = ge
+    flat, rows = dx.reshape(-1, d), c.reshape(-1)
+    g["e"] = np.stack([np.bincount(rows, flat[:, i], len(w["e"])) for i in range(d)], axis=1).astype(w["e"].dtype)
     return float(loss), g
 
 
@@ -157,13 +159,13 @@ def windows(bounds: np.ndarray, span: int, lap: int) -> tuple[np.ndarray, np.nda
     return np.repeat(bounds[:-1], n) + k * step, np.repeat(bounds[1:], n), np.where(k > 0, lap, 0)
 
 
-def _gather(cls: np.ndarray, end_class: int, start, stop, skip, first, span: int):
-    """Class windows: inputs (the class before each target), targets and which to score."""
+def _gather(ids: np.ndarray, cls: np.ndarray, start, stop, skip, first, span: int):
+    """Windows: inputs (the id before each target), target classes and which to score."""
     at = start[:, None] + np.arange(span)
     valid = (at < stop[:, None]) & (np.arange(span) >= skip[:, None])
-    at = np.minimum(at, len(cls) - 1)
-    before = cls[np.maximum(at - 1, 0)]
-    before[start == first, 0] = end_class
+    at = np.minimum(at, len(ids) - 1)
+    before = ids[np.maximum(at - 1, 0)]
+    before[start == first, 0] = END
     return before, cls[at], valid
 
 
@@ -173,10 +175,9 @@ def log_probs(w, cl: Classes, ids: np.ndarray, bounds: np.ndarray, span: int, la
     per = np.add.reduceat(cl.logp[ids], bounds[:-1]) if len(ids) else np.zeros(len(bounds) - 1)
     start, stop, skip = windows(bounds, span, lap)
     doc = np.searchsorted(bounds, start, side="right") - 1
-    end_class = int(cl.of[END])
     for i in range(0, len(start), batch):
         j = slice(i, i + batch)
-        c, t, ok = _gather(cls, end_class, start[j], stop[j], skip[j], bounds[doc[j]], span)
+        c, t, ok = _gather(ids, cls, start[j], stop[j], skip[j], bounds[doc[j]], span)
         z, _ = forward(w, c)
         hit = z.reshape(-1)[np.arange(0, z.size, cl.n) + t.reshape(-1)]
         np.exp(z, out=z)
@@ -205,11 +206,11 @@ def _counts(path: str):
 
 
 def _train(path: str, cl: Classes, w0: dict[str, np.ndarray], span: int, lap: int, rate: float, batch: int = 256):
-    """(place, value, weight) of the weights after one task's steps."""
+    """(at, n, v0, v1, ...) of the rows of weights after one task's steps: embeddings of the ids it read, then the others."""
     def run(batches):
         w = {k: v.copy() for k, v in w0.items()}
-        g2 = {k: np.full_like(v, 1e-3) for k, v in w.items()}
-        seen = 0
+        g2 = {k: np.full_like(v, 1e-6 if k == "e" else 1e-3) for k, v in w.items()}
+        read, seen = np.zeros(len(w["e"]), dtype=np.int64), 0
         for b in T.slices(batches, "text"):
             ids, bounds = id_stream(*words_and_ids(b.column("text"), path))
             cls = cl.of[ids]
@@ -218,22 +219,48 @@ def _train(path: str, cl: Classes, w0: dict[str, np.ndarray], span: int, lap: in
             order = np.random.default_rng(len(start)).permutation(len(start))
             for i in range(0, len(order), batch):
                 j = order[i:i + batch]
-                _, g = gradients(w, *_gather(cls, int(cl.of[END]), start[j], stop[j], skip[j], bounds[doc[j]], span))
+                c, t, ok = _gather(ids, cls, start[j], stop[j], skip[j], bounds[doc[j]], span)
+                met, c, times = np.unique(c, return_inverse=True, return_counts=True)
+                _, g = gradients(w | {"e": w["e"][met]}, c.reshape(t.shape), t, ok)
                 for k in w:
-                    g2[k] = 0.95 * g2[k] + 0.05 * g[k] * g[k]
-                    w[k] -= (rate * g[k] / (np.sqrt(g2[k]) + 1e-4)).astype(np.float32)
+                    at = met if k == "e" else slice(None)
+                    g2[k][at] = 0.95 * g2[k][at] + 0.05 * g[k] * g[k]
+                    w[k][at] -= (rate * g[k] / (np.sqrt(g2[k][at]) + 1e-4)).astype(np.float32)
+                read[met] += times
                 seen += len(j)
         if seen:
-            flat = np.concatenate([w[k].reshape(-1) for k in sorted(w)]).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * seen), pa.array(np.full(len(flat), float(seen)))], names=["at", "v", "n"])
+            rest = _flat(w)
+            met = np.flatnonzero(read)
+            v = np.concatenate([w["e"][met], rest])
+            at = np.concatenate([met, len(read) + np.arange(len(rest))])
+            n = np.concatenate([read[met], np.full(len(rest), seen)]).astype(np.float64)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n), *[pa.array(x) for x in v.T]], names=["at", "n", *_places(w)])
     return run
 
 
-def _unflat(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    out, i = {}, 0
+def _places(w: dict[str, np.ndarray]) -> list[str]:
+    return [f"v{i}" for i in range(w["e"].shape[1])]
+
+
+def _flat(w: dict[str, np.ndarray]) -> np.ndarray:
+    """All weights but the embeddings, in rows as long as an embedding."""
+    d = w["e"].shape[1]
+    flat = np.concatenate([w[k].reshape(-1) for k in sorted(w) if k != "e"])
+    return np.append(flat, np.zeros(-len(flat) % d, flat.dtype)).reshape(-1, d)
+
+
+def _unflat(at: np.ndarray, rows: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """``like`` with the given rows in the order of ``_train``."""
+    out = {"e": like["e"].copy()}
+    own = at < len(out["e"])
+    out["e"][at[own]] = rows[own]
+    rest = _flat(like)
+    rest[at[~own] - len(out["e"])] = rows[~own]
+    flat, i = rest.reshape(-1), 0
     for k in sorted(like):
-        out[k] = flat[i:i + like[k].size].reshape(like[k].shape).astype(np.float32)
-        i += like[k].size
+        if k != "e":
+            out[k] = flat[i:i + like[k].size].reshape(like[k].shape).astype(np.float32)
+            i += like[k].size
     return out
 
 
@@ -267,7 +294,7 @@ def _score(path: str, cl: Classes, w, span: int, lap: int, common: np.ndarray, c
     return run
 
 
-def lm_scores(docs: DataFrame, mod: int = MOD, rest: int = REST, n_classes: int = 32, width: int = 8, span: int = 32, lap: int = 8, share: int = 16,
+def lm_scores(docs: DataFrame, mod: int = MOD, rest: int = REST, n_classes: int = 32, width: int = 8, span: int = 32, lap: int = 8, share: int = 1,
               rounds: int = 2, rate: float = 0.02, most_common: int = 100_000, tokenizer: str | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     path = tokenizer or default_path()
@@ -284,13 +311,14 @@ def lm_scores(docs: DataFrame, mod: int = MOD, rest: int = REST, n_classes: int
     distinct = vocab.count() + (sub[END] > 0)
     denominator = float(total + distinct + 1)
     cl = classes(sub, n_classes)
-    w = start_weights(n_classes, width, span)
+    w = start_weights(n_classes, width, span, of=cl.of)
+    places = _places(w)
     for r in range(rounds):
         part = train.filter(F.pmod(F.xxhash64("doc_id", F.lit(r)), F.lit(share)) == 0)
-        got = (part.mapInArrow(_train(path, cl, w, span, lap, rate / (1 + r)), "at long, v double, n double")
-               .groupBy("at").agg((F.sum("v") / F.sum("n")).alias("v")).orderBy("at").toPandas())
+        got = (part.mapInArrow(_train(path, cl, w, span, lap, rate / (1 + r)), ", ".join(["at long, n double", *[f"{x} float" for x in places]]))
+               .groupBy("at").agg(*[(F.sum(F.col(x) * F.col("n")) / F.sum("n")).alias(x) for x in places]).toPandas())
         if len(got):
-            w = _unflat(got.v.to_numpy(), w)
+            w = _unflat(got["at"].to_numpy(), got[places].to_numpy(dtype=np.float32), w)
     # bounded: fewer than most_common words can hold such a share of the tokens
     top = vocab.filter(F.col("n") * most_common > total).toPandas().sort_values("key")
     key = top.key.to_numpy(dtype=np.int64).view(T.U64)

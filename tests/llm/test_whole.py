@@ -2,8 +2,10 @@
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
-from newsframe.llm import decontaminate
+from newsframe.llm import decontaminate, lm
+from newsframe.llm.common import fold
 from newsframe.llm import textops as T
 
 TABLE = "doc_id long, text string"
@@ -46,3 +48,18 @@ def test_words_behind_a_long_word_have_their_hash(monkeypatch):
         assert (w.hash[len(head):len(head) + 50] == lone).all() and (w.hash[len(head) + 50:] == lone).all()
         by_word = [T.words(pa.array([x]), lower=True).hash[0] for x in head[-2:]]
         assert w.hash[:len(head)][-2:].tolist() == by_word
+
+
+def test_every_training_document_is_learnt_from(spark):
+    missed = [F.pmod(F.xxhash64("id", F.lit(r)), F.lit(16)) != 0 for r in (0, 1)]  # in neither round of a sixteenth
+    ids = [r.id for r in spark.range(200).filter((fold("id", lm.MOD) != lm.REST) & missed[0] & missed[1]).limit(5).collect()]
+    rows = spark.createDataFrame([(i, "the cat sat on the mat " * 9) for i in ids], TABLE)
+    before, after = ({r.doc_id: r.score for r in lm.lm_scores(rows, rounds=n).collect()} for n in (0, 2))
+    assert all(after[i] > before[i] + 0.1 for i in ids)
+
+
+def test_order_of_ids_of_one_class_counts(spark):
+    words = [["red", "green", "blue", "salt", "tree", "house"][k:] + ["red", "green", "blue", "salt", "tree", "house"][:k] for k in range(6)]
+    rows = spark.createDataFrame([(i, " ".join(words[i % 6])) for i in range(30)], TABLE)
+    got = {r.doc_id: r.score for r in lm.lm_scores(rows).collect()}
+    assert len({round(got[i], 6) for i in range(6)}) == 6 and all(abs(got[i] - got[i + 6]) < 1e-6 for i in range(6))
