@@ -33,9 +33,10 @@ ACCESS = r"AKIA[A-Z0-9]++"
 HEX = r"[0-9a-f]++"
 KINDS = ["assign", "access", "hex"]
 
-ACCOUNT = r"(?<![A-Za-z0-9_])(?:user|username|login|account|client_id|access_key_id|key_id)[\"']?\x20{0,8}[:=]\x20{0,8}[\"']?[A-Za-z0-9_.@-]{3,64}"
-TOKEN = rf"(?<![{VALUE}])(?=[{VALUE}]{{0,64}}[0-9])(?=[{VALUE}]{{0,64}}[A-Z])(?=[{VALUE}]{{0,64}}[a-z])[{VALUE}]{{20,128}}(?![{VALUE}])"
-ENDPOINT = r"(?:https?|postgres|mysql|mongodb|redis|ftp|ssh)://[A-Za-z0-9._~:@-]{3,255}|(?<![A-Za-z0-9_])(?:host|endpoint|server)[\"']?\x20{0,8}[:=]\x20{0,8}[\"']?[A-Za-z0-9._-]{3,255}"
+# keywords in either case, also behind an underscore (DB_USER)
+ACCOUNT = r"(?<![A-Za-z0-9])(?i:user|username|login|account|client_id|access_key_id|key_id)[\"']?\x20*+[:=]\x20*+[\"']?[A-Za-z0-9_.@-]{3,}+"
+TOKEN = rf"(?<![{VALUE}])[{VALUE}]{{20,}}+"
+ENDPOINT = r"(?i:https?|postgres|mysql|mongodb|redis|ftp|ssh)://[A-Za-z0-9._~:@-]{3,}+|(?<![A-Za-z0-9])(?i:host|endpoint|server)[\"']?\x20*+[:=]\x20*+[\"']?[A-Za-z0-9._-]{3,}+"
 WEAK = {"account": ACCOUNT, "weak": TOKEN, "endpoint": ENDPOINT}
 ROLE = {"access": "id", "account": "id", "assign": "secret", "hex": "secret", "weak": "secret", "endpoint": "end"}
 
@@ -55,7 +56,8 @@ def _valid():
     kind, value = F.col("kind"), F.col("value")
     secret = F.regexp_extract(value, rf"^{_KEYWORD}[\"']?\x20*[:=]\x20*[\"']?([{VALUE}]+)$", 1)
     return (F.when(kind == "assign", F.length(secret) >= 8).when(kind == "access", F.length(value) >= 16)
-            .when(kind == "hex", F.length(value) >= 32).otherwise(True))
+            .when(kind == "hex", F.length(value) >= 32)
+            .when(kind == "weak", value.rlike("[0-9]") & value.rlike("[A-Z]") & value.rlike("[a-z]")).otherwise(True))
 
 
 def _cells(frame: DataFrame, scope: int, reach: int) -> DataFrame:

@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from newsframe.llm import decontaminate, lm
+from newsframe.llm import decontaminate, lm, secrets
 from newsframe.llm.common import fold
 from newsframe.llm import textops as T
 
@@ -63,3 +63,15 @@ def test_order_of_ids_of_one_class_counts(spark):
     rows = spark.createDataFrame([(i, " ".join(words[i % 6])) for i in range(30)], TABLE)
     got = {r.doc_id: r.score for r in lm.lm_scores(rows).collect()}
     assert len({round(got[i], 6) for i in range(6)}) == 6 and all(abs(got[i] - got[i + 6]) < 1e-6 for i in range(6))
+
+
+def test_long_tokens_and_environment_files_are_linked(spark):
+    long = "eyJhbGciOiJIUzI1NiJ9." + "aB3" * 200
+    texts = [f"user=bob host=db.example.com {long}", f"DB_USER=bob\nDB_HOST=db.example.com\nKEY {long[:129]}",
+             "Username: bob, Server: db.example.com, Zx9abcdefGHIJ12345678", "user=bob host=db.example.com " + "z" * 60 + " " + "Z1" * 60]
+    want = []
+    for t, parts in zip(texts, (("user=bob", "host=db.example.com", long), ("USER=bob", "HOST=db.example.com", long[:129]),
+                                ("Username: bob", "Server: db.example.com", "Zx9abcdefGHIJ12345678"), ()), strict=True):
+        want.append(",".join(f"{k}:{t.index(x)}:{t.index(x) + len(x)}" for k, x in zip(("account", "endpoint", "weak"), parts)))
+    got = {r.doc_id: r.spans for r in secrets.secret_report(spark.createDataFrame(list(enumerate(texts)), TABLE)).collect()}
+    assert [got[i] for i in range(len(texts))] == want
