@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +13,16 @@ from newsframe.llm.decontaminate import contaminated
 from newsframe.llm.jaccard import jaccard_components
 from newsframe.llm.lm import lm_scores
 from newsframe.llm.packing import pack
+from newsframe.llm.periodic import run_report
 from newsframe.llm.pii import pii_report
 from newsframe.llm.quality import quality_scores
 from newsframe.llm.rules import RULES, STOP_WORDS, SYMBOLS, judged
 from newsframe.llm.secrets import secret_report
+from newsframe.llm.spelling import spelling_groups
 from newsframe.llm.substrings import repeated_removed
 from newsframe.llm.toxicity import toxicity_scores
+from newsframe.llm.warc import page_of, read_archives, write_archives
+from newsframe.session import checkpoint_dir
 
 SCORED = ["doc_id", "held_out", "score", "predicted"]
 
@@ -67,6 +72,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    path = write_archives(pages, f"{checkpoint_dir(spark).rstrip('/')}/archives-{uuid.uuid4().hex}", least=1000)
+    return read_archives(spark, path).select(
+        page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"),
+        page_of("refers_to").alias("refers_to"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(_documents(spark, sf_dir), least_length=6, least_count=5, ratio=5, plant=True)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_report(_documents(spark, sf_dir), least=12, plant=True).drop("n_words", "n_kept")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -75,7 +96,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_toxicity, op3_pii, op4_quality_rules, op5_substring_dedup, op6_lm_scoring,
-    op7_benchmark_decontamination, op8_quality_classifier, op9_secret_scans, op10_packing, pipeline)}
+    op7_benchmark_decontamination, op8_quality_classifier, op9_secret_scans, op10_packing, op11_warc,
+    op12_spelling_variants, op13_periodic_runs, pipeline)}
 
 _WS = "[\\x20\\x09-\\x0D]"
 _SPACES = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
@@ -121,4 +143,11 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT)
        sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(ps, i)) END, ' ')) AS kept_sha256
 FROM d LEFT JOIN gone USING (rid)"""
 
-ORACLE: dict[str, str] = {"op4_quality_rules": RULES_SQL, "op5_substring_dedup": SUBSTRING_SQL}
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+g AS (SELECT page_id, octet_length(encode(h)) AS n, sha1(encode(h)) AS d, max(page_id) OVER (PARTITION BY h) AS top FROM p),
+r AS (SELECT *, n >= 1000 AND page_id < top AS again FROM g)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN top END AS refers_to FROM r"""
+
+ORACLE: dict[str, str] = {"op4_quality_rules": RULES_SQL, "op5_substring_dedup": SUBSTRING_SQL, "op11_warc": WARC_SQL}
