@@ -1,24 +1,24 @@
-"""Body detection by block scoring, as windows and aggregates.
+"""Body detection by block scoring, on page trees.
 
-Blocks are the candidate elements (p, pre, td, li, blockquote) of the cleaned
-tree (C13) in document order. A block is kept when its stop-word count is
-above 2 and its link density is below one half. Each kept block adds its
-score to its parent and half to its grandparent; the node with the largest
-positive total (first on ties, by insertion order) is the body.
+Blocks are the candidate elements (p, pre, td, li, blockquote) outside junk (C13) in document
+order. A block is kept when its stop-word count is above 2 and its link density is below one
+half. Each kept block adds its score to its parent and half to its grandparent; the node
+with the largest positive total (first on ties, by insertion order) is the body.
 
-All per-page work is partitioned by ``page_id``; a page's rows come from one
-parser task, so windows and aggregates on ``page_id`` see bounded groups
-(one page) and the partial aggregate removes most shuffle volume.
+All of it is computed on a page's own row as arrays of its blocks: no shuffle and no join. The word
+counts of the link density come with the nodes. Totals sort the contributions by
+node, so each node's are one slice.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsframe.functions.aggs import last_by
+from newsframe.functions.memo import per_session
 from newsframe.functions.stopwords import stop_words
-from newsframe.operators.dom import outside_junk, text_pieces
+from newsframe.operators.dom import node_runs, path_of
+from newsframe.operators.fields import _let
 
 # Fixed values (ours): candidate block tags.
 BLOCK_TAGS = ["p", "pre", "td", "li", "blockquote"]
@@ -28,47 +28,22 @@ WORD_SPLIT_RE = r"[^\p{L}\p{N}']+"
 def stopword_count(text_col, words) -> F.Column:
     """Number of word tokens (lower-cased) that are stop words."""
     toks = F.split(F.lower(text_col), WORD_SPLIT_RE)
-    sw = F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
-    return F.size(F.filter(toks, lambda t: F.array_contains(sw, t)))
+    return F.size(F.filter(toks, lambda t: t.isin(*words))) if words else F.lit(0)
 
 
-def word_count(text_col) -> F.Column:
-    """Whitespace-separated words."""
-    t = F.trim(F.coalesce(text_col, F.lit("")))
-    return F.when(t == "", 0).otherwise(F.size(F.split(t, r"\s+")))
+@per_session
+def blocks_of(words: tuple[str, ...]) -> Column:
+    """F16: the kept blocks of a page's row: (node_id, parent_id, prev_id, stopwords, link_density)."""
+    def block(n):
+        density = F.when(n["words"] == 0, F.lit(1.0)).otherwise(n["link_words"] / n["words"])
+        return F.struct(n["id"].alias("node_id"), n["parent"].alias("parent_id"), n["prev"].alias("prev_id"),
+                        stopword_count(F.array_join(node_runs(n), " "), words).alias("stopwords"), density.alias("link_density"))
+    # the density needs no text: it goes first
+    cand = F.filter("nodes", lambda n: n["tag"].isin(BLOCK_TAGS) & ~n["junk"] & (n["words"] > 0) & (n["link_words"] / n["words"] < 0.5))
+    return F.filter(F.transform(cand, block), lambda b: b["stopwords"] > 2)
 
 
-def text_blocks(nodes: DataFrame, language: str = "en",
-                words: list[str] | None = None, cleaned: DataFrame | None = None) -> DataFrame:
-    """F16: kept blocks ``(page_id, node_id, parent_id, sib_pos, stopwords,
-    link_density)``.
-
-    Link words are summed per enclosing element through the ancestor array
-    of each ``a`` element (an equi-join, linear in links x depth).
-    """
-    sw = list(words) if words is not None else list(stop_words(language))
-    cand = nodes.filter(F.col("tag").isin(BLOCK_TAGS))
-    # Blocks inside removed subtrees do not count
-    base = cleaned.filter(F.col("tag").isin(BLOCK_TAGS)) if cleaned is not None \
-        else outside_junk(nodes, cand)
-    blocks = base.select(
-        "page_id", "node_id", "parent_id", "sib_pos", "xpath",
-        stopword_count("inner_text", sw).alias("stopwords"),
-        word_count("inner_text").alias("words"))
-    links = nodes.filter(F.col("tag") == "a").select(
-        "page_id", word_count("inner_text").alias("lw"),
-        F.explode(F.concat("anc", F.array("node_id"))).alias("node_id"))
-    link_words = links.groupBy("page_id", "node_id").agg(F.sum("lw").alias("link_words"))
-    scored = blocks.join(link_words, ["page_id", "node_id"], "left").withColumn(
-        "link_density",
-        F.when(F.col("words") == 0, F.lit(1.0))
-        .otherwise(F.coalesce(F.col("link_words"), F.lit(0)) / F.col("words")))
-    return scored.filter((F.col("stopwords") > 2) & (F.col("link_density") < 0.5)) \
-        .select("page_id", "node_id", "parent_id", "sib_pos", "xpath", "stopwords",
-                "link_density")
-
-
-def block_scores(blocks: DataFrame) -> DataFrame:
+def scores_of(blocks: Column) -> Column:
     """per kept block its rank ``i``, boost and truncated ``upscore``.
 
     boostable = the previous sibling element is itself a kept block;
@@ -76,78 +51,96 @@ def block_scores(blocks: DataFrame) -> DataFrame:
     blocks the last quarter gets ``-b^2`` (or ``+5`` when ``b^2 > 40``) with
     ``b = N/4 - (N - i)``.
     """
-    w_doc = Window.partitionBy("page_id").orderBy("node_id")
-    w_all = Window.partitionBy("page_id")
-    w_run = w_doc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_sib = Window.partitionBy("page_id", "parent_id").orderBy("sib_pos")
-    b = (blocks
-         .withColumn("prev_sib_pos", F.lag("sib_pos").over(w_sib))
-         .withColumn("boostable", F.coalesce(F.col("prev_sib_pos") == F.col("sib_pos") - 1, F.lit(False)))
-         .withColumn("i", F.row_number().over(w_doc) - 1)
-         .withColumn("n", F.count(F.lit(1)).over(w_all))
-         .withColumn("k", F.sum(F.col("boostable").cast("int")).over(w_run)))
-    pos_boost = F.when(F.col("boostable"), F.lit(50.0) / F.col("k")).otherwise(F.lit(0.0))
-    bneg = F.col("n") * 0.25 - (F.col("n") - F.col("i"))
-    tail = (F.col("n") > 15) & ((F.col("n") - F.col("i")) <= F.col("n") * 0.25)
-    boost = F.when(tail, F.when(bneg * bneg > 40, F.lit(5.0)).otherwise(-(bneg * bneg))) \
-        .otherwise(pos_boost)
-    return b.select("page_id", "node_id", "parent_id", "i", "n", "stopwords", "boostable",
-                    boost.alias("boost"),
-                    (F.col("stopwords") + boost).cast("int").alias("upscore"))
-
-
-def best_node(nodes: DataFrame, scores: DataFrame) -> DataFrame:
-    """``(page_id, top_id, top_end, top_path, top_score)``.
+    def ranked(bl):
+        ids = F.transform(bl, lambda b: b["node_id"])
+        return _let(ids, lambda kept: F.transform(bl, lambda b, i: F.struct(
+            i.alias("i"), b["node_id"], b["parent_id"], b["stopwords"], F.array_contains(kept, b["prev_id"]).alias("boostable"))))
+
+    def boosted(rk):
+        order = F.transform(F.filter(rk, lambda b: b["boostable"]), lambda b: b["i"])
+
+        def score(b, n, turns):
+            left = n - b["i"]
+            bneg = n * 0.25 - left
+            tail = (n > 15) & (left <= n * 0.25)
+            boost = (F.when(tail, F.when(bneg * bneg > 40, F.lit(5.0)).otherwise(-(bneg * bneg)))
+                     .when(b["boostable"], F.lit(50.0) / F.array_position(turns, b["i"])).otherwise(F.lit(0.0)))
+            return F.struct(b["node_id"].alias("node_id"), b["parent_id"].alias("parent_id"), b["i"].alias("i"), n.alias("n"), b["stopwords"].alias("stopwords"),
+                            b["boostable"].alias("boostable"), boost.alias("boost"), (b["stopwords"] + boost).cast("int").alias("upscore"))
+        return _let(order, lambda turns: F.transform(rk, lambda b: score(b, F.size(rk), turns)))
+    return _let(blocks, lambda bl: _let(ranked(bl), boosted))
+
+
+def best_of(scores: Column) -> Column:
+    """F18 on a page's scores: struct (node_id, score), or null without blocks.
 
     Parent gets ``upscore``, grandparent ``upscore / 2``; insertion order is
     ``2i`` / ``2i + 1``. Best = largest positive score, first inserted on
     ties; when no score is positive, the first parent.
     """
-    par = nodes.select("page_id", F.col("node_id").alias("parent_id"),
-                       F.col("parent_id").alias("grand_id"))
-    s = scores.join(par, ["page_id", "parent_id"], "left")
-    contrib = s.select("page_id", F.col("parent_id").alias("node_id"),
-                       F.col("upscore").cast("double").alias("add"),
-                       (F.col("i") * 2).alias("seq")).unionByName(
-        s.filter(F.col("grand_id") >= 0).select(
-            "page_id", F.col("grand_id").alias("node_id"),
-            (F.col("upscore") / 2.0).alias("add"), (F.col("i") * 2 + 1).alias("seq")))
-    totals = contrib.groupBy("page_id", "node_id").agg(
-        F.sum("add").alias("score"), F.count(F.lit(1)).alias("node_count"),
-        F.min("seq").alias("seq"))
-    pick = totals.groupBy("page_id").agg(
-        last_by(F.struct("node_id", "score"),
-                F.struct((F.col("score") > 0).alias("pos"),
-                         F.when(F.col("score") > 0, F.col("score")).otherwise(F.lit(0.0)).alias("s"),
-                         (-F.col("seq")).alias("first"))).alias("best"))
-    info = nodes.select("page_id", F.col("node_id").alias("top_id"),
-                        F.col("end_id").alias("top_end"), F.col("xpath").alias("top_xpath"))
-    return pick.select("page_id", F.col("best.node_id").alias("top_id"),
-                       F.col("best.score").alias("top_score")) \
-        .join(info, ["page_id", "top_id"]) \
-        .select("page_id", "top_id", "top_end", "top_score",
-                F.concat("top_xpath", F.lit("//text()")).alias("text_path"))
-
-
-def body_text(nodes: DataFrame, top: DataFrame) -> DataFrame:
+    def gift(node, seq, add):
+        return F.struct(node.alias("node_id"), seq.alias("seq"), add.cast("double").alias("add"))
+    gifts = F.filter(F.flatten(F.transform(scores, lambda s: F.array(
+        gift(s["parent_id"], s["i"] * 2, s["upscore"]), gift(F.get("nodes", s["parent_id"])["parent"], s["i"] * 2 + 1, s["upscore"] / 2.0)))),
+        lambda g: (g["seq"] % 2 == 0) | (g["node_id"] >= 0))
+
+    def totals(sorted_gifts, starts):
+        def total(a, k):
+            mine = F.slice(sorted_gifts, a + 1, F.coalesce(F.get(starts, k + 1), F.size(sorted_gifts)) - a)
+            return _let(mine, lambda m: F.struct(F.aggregate(m, F.lit(0.0), lambda t, g: t + g["add"]).alias("score"), F.get(m, 0)["seq"].alias("seq"), F.get(m, 0)["node_id"].alias("node_id")))
+        return F.transform(starts, total)
+
+    def pick(t):
+        order = F.transform(t, lambda x: F.struct((x["score"] > 0).alias("pos"), F.when(x["score"] > 0, x["score"]).otherwise(F.lit(0.0)).alias("s"),
+                                                  (-x["seq"]).alias("first"), x["node_id"].alias("node_id"), x["score"].alias("score")))
+        return _let(F.array_max(order), lambda b: F.when(b.isNotNull(), F.struct(b["node_id"].alias("node_id"), b["score"].alias("score"))))
+
+    def summed(g):
+        starts = F.filter(F.transform(g, lambda x, i: F.when((i == 0) | (F.get(g, i - 1)["node_id"] != x["node_id"]), i)), lambda i: i.isNotNull())
+        return _let(starts, lambda st: pick(totals(g, st)))
+    return _let(F.sort_array(gifts), summed)
+
+
+@per_session
+def _body_columns(words: tuple[str, ...]) -> list[tuple[str, Column]]:
+    top = F.col("top").isNotNull()
+    return [("scores", scores_of(blocks_of(words))), ("_best", best_of(F.col("scores"))), ("top", F.get("nodes", F.col("_best.node_id"))),
+            ("text_path", F.when(top, F.concat(path_of(F.col("top.id")), F.lit("//text()")))),
+            ("text", F.when(top, F.array_join(F.transform(node_runs(F.col("top")), lambda r: F.concat(r, F.lit("\n"))), "")))]
+
+
+def _words(language: str, words: list[str] | None) -> tuple[str, ...]:
+    return tuple(words) if words is not None else tuple(stop_words(language))
+
+
+def with_body(trees: DataFrame, language: str = "en", words: list[str] | None = None, text: bool = True) -> DataFrame:
+    """Adds ``scores`` (F17), ``top`` (F18: the best node), ``top_score``, ``text_path`` and, on request, ``text`` (F19) to the rows of ``trees``."""
+    df = trees
+    for name, column in _body_columns(_words(language, words)):
+        if text or name != "text":
+            df = df.withColumn(name, column)
+    return df.withColumn("top_score", F.col("_best.score")).drop("_best")
+
+
+# the same as rows ---------------------------------------------------------
+
+def text_blocks(trees: DataFrame, language: str = "en", words: list[str] | None = None) -> DataFrame:
+    """F16: kept blocks ``(page_id, node_id, parent_id, prev_id, stopwords, link_density)``."""
+    return trees.select("page_id", F.inline(blocks_of(_words(language, words))))
+
+
+def block_scores(trees: DataFrame, language: str = "en", words: list[str] | None = None) -> DataFrame:
+    """F17 as rows."""
+    return with_body(trees, language, words, text=False).select("page_id", F.inline("scores"))
+
+
+def best_node(trees: DataFrame, language: str = "en", words: list[str] | None = None) -> DataFrame:
+    """``(page_id, top_id, top_score, text_path)`` of pages with a body."""
+    return with_body(trees, language, words, text=False).filter("top IS NOT NULL") \
+        .select("page_id", F.col("top.id").alias("top_id"), "top_score", "text_path")
+
+
+def body_text(trees: DataFrame, language: str = "en", words: list[str] | None = None) -> DataFrame:
     """the text runs under the best node, each followed by a newline
-    (the node's own tail excluded). One target per page, so the range join
-    costs one pass over the page's runs."""
-    pieces = text_pieces(nodes).alias("p")
-    t = top.select("page_id", "top_id", "top_end").alias("t")
-    j = t.join(pieces, (F.col("p.page_id") == F.col("t.page_id"))
-               & (F.col("p.owner") >= F.col("t.top_id"))
-               & (F.col("p.owner") <= F.col("t.top_end"))
-               & ~(F.col("p.is_tail") & (F.col("p.owner") == F.col("t.top_id"))))
-    return j.groupBy(F.col("t.page_id").alias("page_id")).agg(
-        F.array_join(F.transform(
-            F.array_sort(F.collect_list(F.struct("p.k1", "p.k2", "p.k3", "p.piece"))),
-            lambda x: F.concat(x["piece"], F.lit("\n"))), "").alias("text"))
-
-
-def detect_body(nodes: DataFrame, language: str = "en",
-                words: list[str] | None = None) -> DataFrame:
-    """F16-F19 composed: ``(page_id, text_path, top_score, text)``."""
-    blocks = text_blocks(nodes, language, words)
-    top = best_node(nodes, block_scores(blocks))
-    return top.join(body_text(nodes, top), "page_id", "left")
+    (the node's own tail excluded)."""
+    return with_body(trees, language, words).filter("top IS NOT NULL").select("page_id", "text")

@@ -1,10 +1,10 @@
-"""Per-page field extraction over the node table.
+"""Per-page field extraction from page trees.
 
-Each page's rows are produced by a single parser task, so a
-``groupBy("page_id")`` is fully reduced by the partial (map-side) aggregate:
-only one row per page crosses the shuffle. The flat fields are computed in
-ONE grouped pass of conditional aggregates (``page_facts``); rules that pick
-between candidates then run as column expressions on that one row.
+Everything is a projection of a page's own row (``dom.page_trees``): no shuffle, no join. One
+pass over the nodes keeps the few that any field may read (title, headings, metas, links,
+tag links, elements named like an author); paths are built for these only, with one
+look-up for each of their parents. ``page_facts`` picks each field's raw candidates from them and
+``flat_fields`` decides between the candidates.
 
 Every field yields the XPath the reference stores (``*_path``) and, where it
 is cheap, the value that path selects.
@@ -15,42 +15,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsframe.functions.aggs import first_by, last_by
+from newsframe.functions.memo import per_session
 from newsframe.functions.text import byline_names, inner_trim, title_filter
+from newsframe.operators.dom import AUTHOR_MARK, KEYED_MARK, attr, carried, inner_text, parent_paths, step_of, text_of
 
-def _attr(name: str) -> Column:
-    return F.col("attrs").getItem(name)
 
-
-def _has(name: str) -> Column:
-    return F.map_contains_key(F.col("attrs"), F.lit(name))
-
-
-def _irx(name: str, pattern: str) -> Column:
+def _irx(n: Column, name: str, pattern: str) -> Column:
     """Unanchored, case-insensitive regex test on an attribute."""
-    return F.coalesce(_attr(name).rlike("(?i)" + pattern), F.lit(False))
-
-
-def _eq(name: str, value: str) -> Column:
-    return F.coalesce(_attr(name) == value, F.lit(False))
-
+    return F.coalesce(attr(n, name).rlike("(?i)" + pattern), F.lit(False))
 
-def _not_root() -> Column:
-    return F.col("parent_id") >= 0
 
+def _eq(n: Column, name: str, value: str) -> Column:
+    return F.coalesce(attr(n, name) == value, F.lit(False))
 
-def _is_meta() -> Column:
-    return (F.col("tag") == "meta") & _not_root()
 
+def _has(n: Column, name: str) -> Column:
+    return F.map_contains_key(n["attrs"], F.lit(name))
 
-def _first(cond: Column, value: Column) -> Column:
-    """Value of the first node (document order) meeting ``cond``."""
-    return first_by(value, F.col("node_id"), cond)
 
-
-def _last_by(cond: Column, order: Column, value: Column) -> Column:
-    """Value of the candidate with the largest ``order``."""
-    return last_by(value, order, cond)
+def _marked(n: Column, mark: int) -> Column:
+    return n["marks"].bitwiseAND(mark) > 0
 
 
 # Author probes, attribute-major.
@@ -76,140 +60,205 @@ DATE_PROBES = [
 # Href fragments of the second tag tier.
 TAG_HREF_PARTS = ["/tag/", "/tags/", "/topic/", "?keyword="]
 
+# The paths stored for an og title.
 OG_TITLE_PROPERTY_PATH = '//meta[@property="og:title"]/@content'
 OG_TITLE_NAME_PATH = '//meta[@name="og:title"]/@content'
 
 
-def _author_hits() -> Column:
-    probes = [(a, v) for a in AUTHOR_ATTRS for v in AUTHOR_VALUES]
-    return F.array_compact(F.array(*[F.when(_irx(a, v), F.lit(i)) for i, (a, v) in enumerate(probes)]))
+def _tag_tier(n: Column) -> Column:
+    """1 for links marked as tags, 2 for links into tag pages, else null."""
+    into = F.lit(False)
+    for part in TAG_HREF_PARTS:
+        into = into | F.coalesce(attr(n, "href").contains(part), F.lit(False))
+    return F.when(n["tag"] == "a", F.when(_eq(n, "rel", "tag"), 1).when(into, 2))
 
 
-def _author_candidate() -> Column:
-    """Per node: its author-probe hits with path and text, or NULL."""
-    hits = _author_hits()
-    is_meta = F.col("tag") == "meta"
-    ok = (F.size(hits) > 0) & (~is_meta | _has("content"))
-    return F.when(ok, F.struct(
-        hits.alias("hits"), F.col("node_id").alias("node_id"),
-        F.when(is_meta, F.concat("xpath", F.lit("/@content"))).otherwise(F.col("xpath")).alias("path"),
-        F.when(is_meta, _attr("content")).otherwise(F.col("inner_text")).alias("text")))
+def _author_hits(n: Column) -> Column:
+    probes = [(a, v) for a in AUTHOR_ATTRS for v in AUTHOR_VALUES]
+    return F.array_compact(F.array(*[F.when(_irx(n, a, v), F.lit(i)) for i, (a, v) in enumerate(probes)]))
 
 
-def _meta_event() -> Column:
-    """Per meta element with a key and a value: one F12 update event."""
-    key = F.trim(F.coalesce(F.nullif(_attr("property"), F.lit("")), _attr("name")))
-    vpath = (F.when(F.coalesce(_attr("content"), F.lit("")) != "", F.concat("xpath", F.lit("/@content")))
-             .when(F.coalesce(_attr("value"), F.lit("")) != "", F.concat("xpath", F.lit("/@value"))))
+def _meta_event(n: Column) -> Column:
+    """One F12 update event of a meta element with a key and a value, else null."""
+    key = F.trim(F.coalesce(F.nullif(attr(n, "property"), F.lit("")), attr(n, "name")))
+    vpath = (F.when(F.coalesce(attr(n, "content"), F.lit("")) != "", F.concat(n["path"], F.lit("/@content")))
+             .when(F.coalesce(attr(n, "value"), F.lit("")) != "", F.concat(n["path"], F.lit("/@value"))))
     parts = F.split(key, ":")
-    ok = (F.col("tag") == "meta") & key.isNotNull() & (key != "") & vpath.isNotNull()
-    return F.when(ok, F.struct(
-        F.col("node_id").alias("node_id"),
-        F.when(F.size(parts) == 1, key).otherwise(parts[0]).alias("head"),
-        F.when(F.size(parts) == 2, parts[1]).alias("sub"),
-        (F.size(parts) == 1).alias("plain"),
-        F.when(F.size(parts) == 1, F.col("xpath")).otherwise(vpath).alias("value")))
-
-
-def page_facts(nodes: DataFrame) -> DataFrame:
-    """One grouped pass: the raw candidates of F1, F3, F4, F6, F8-F13."""
-    title_s = F.struct(F.col("xpath").alias("path"), F.col("inner_text").alias("text"))
-    h1_order = F.struct(F.length("inner_text").alias("len"), (-F.col("node_id")).alias("neg_id"))
-    is_h1 = (F.col("tag") == "h1") & _not_root()
-    date_hits = F.array_compact(F.array(*[
-        F.when(_irx(a, v), F.struct(F.lit(i).alias("probe"), F.col("node_id").alias("node_id"),
-                                    F.col("xpath").alias("path"),
-                                    F.lit(c).alias("cattr"), _attr(c).alias("value")))
-        for i, (a, v, c) in enumerate(DATE_PROBES)]))
-    tier = (F.when((F.col("tag") == "a") & _eq("rel", "tag"), 1)
-            .when((F.col("tag") == "a") & F.coalesce(
-                F.greatest(*[_attr("href").contains(p) for p in TAG_HREF_PARTS]), F.lit(False)), 2))
-    agg = nodes.groupBy("page_id").agg(
-        F.count(F.lit(1)).alias("n_nodes"),
-        _first(F.col("parent_id") < 0, F.coalesce(_attr("lang"), F.lit(""))).alias("root_lang"),
-        _first((F.col("tag") == "title") & _not_root(), title_s).alias("title_el"),
-        _last_by(is_h1, h1_order, title_s).alias("h1_el"),
-        _first(_is_meta() & _eq("property", "og:title") & _has("content"), _attr("content")).alias("og_prop"),
-        _first(_is_meta() & _eq("name", "og:title") & _has("content"), _attr("content")).alias("og_name"),
-        _first(_is_meta() & _irx("http-equiv", "content-language"),
-               F.struct(F.col("xpath").alias("path"), _attr("content").alias("value"))).alias("lang_eq"),
-        _first(_is_meta() & _irx("name", "lang"),
-               F.struct(F.col("xpath").alias("path"), _attr("content").alias("value"))).alias("lang_nm"),
-        _first((F.col("tag") == "link") & _not_root() & _irx("rel", "icon"),
-               F.struct(F.col("xpath").alias("path"), _attr("href").alias("value"))).alias("favicon_el"),
-        _first((F.col("tag") == "meta") & _eq("name", "description"),
-               F.struct(F.col("xpath").alias("path"), _attr("content").alias("value"))).alias("desc_el"),
-        _first((F.col("tag") == "meta") & _eq("name", "keywords"),
-               F.struct(F.col("xpath").alias("path"), _attr("content").alias("value"))).alias("kw_el"),
-        _first((F.col("tag") == "link") & _not_root() & _irx("rel", "canonical"),
-               F.struct(F.col("xpath").alias("path"), _attr("href").alias("value"))).alias("canon_el"),
-        _first((F.col("tag") == "meta") & _eq("property", "og:url"),
-               F.struct(F.col("xpath").alias("path"), _attr("content").alias("content"),
-                        _attr("href").alias("href"))).alias("ogurl_el"),
-        F.collect_set(F.when(tier.isNotNull(), F.struct(
-            tier.alias("tier"), F.col("xpath").alias("path"),
-            F.coalesce(F.col("inner_text"), F.lit("")).alias("text"))))
-        .alias("tag_cands"),
-        F.flatten(F.collect_list(F.when(F.size(date_hits) > 0, date_hits))).alias("date_cands"),
-        F.collect_list(_author_candidate()).alias("author_cands"),
-        F.collect_list(_meta_event()).alias("meta_events"),
-    )
-    return agg
+    plain = F.size(parts) == 1
+    return F.when(key.isNotNull() & (key != "") & vpath.isNotNull(), F.struct(
+        F.when(plain, key).otherwise(parts[0]).alias("head"), n["id"].alias("node_id"), plain.alias("plain"),
+        F.when(F.size(parts) == 2, parts[1]).alias("sub"), F.when(plain, n["path"]).otherwise(vpath).alias("value")))
+
+
+@per_session
+def _candidate_columns() -> tuple[Column, Column, Column, Column]:
+    """Of a page's row: the root's language, the nodes that a field may read, their parents' paths (``_found``), and these nodes with path, text and tag
+    tier (``_found``, ``_paths``)."""
+    def wanted(n):
+        inner = n["parent"] >= 0
+        return ((n["tag"].isin("title", "link", "h1") & inner) | (n["tag"] == "meta") | (n["marks"] > 0) | _tag_tier(n).isNotNull())
+
+    def cand(n):
+        read = n["tag"].isin("title", "h1", "a") | _marked(n, AUTHOR_MARK)
+        return F.struct(n["id"].alias("id"), n["parent"].alias("parent"), n["tag"].alias("tag"), n["attrs"].alias("attrs"), n["marks"].alias("marks"),
+                        F.concat(F.element_at("_paths", n["parent"]), F.lit("/"), step_of(n)).alias("path"),
+                        F.when(read, inner_text(n)).alias("text"), _tag_tier(n).alias("tier"))
+    return (F.coalesce(attr(F.get("nodes", F.lit(0)), "lang"), F.lit("")).alias("root_lang"), F.filter("nodes", wanted).alias("_found"),
+            parent_paths(F.col("_found")), F.transform("_found", cand).alias("cands"))
+
+
+def _candidates(trees: DataFrame) -> DataFrame:
+    """Adds ``cands``: the nodes that a field may read, in document order, with path, text and tag tier."""
+    root_lang, found, paths, cands = _candidate_columns()
+    src = trees.select(*carried(trees), F.size("nodes").alias("n_nodes"), root_lang, "nodes", "runs", found).withColumn("_paths", paths)
+    return src.select(*carried(trees), "n_nodes", "root_lang", cands)
+
+
+@per_session
+def _kinds() -> list[Column]:
+    return [F.filter("cands", lambda n: n["tag"] == "meta").alias("metas"),
+            F.filter("cands", lambda n: (n["tag"] == "link") & (n["parent"] >= 0)).alias("links")]
+
+
+def page_facts(trees: DataFrame, keep_empty: bool = False) -> DataFrame:
+    """The raw candidates of F1, F3, F4, F6, F8-F13 of every page that has elements (of all pages on request), as one row of arrays and structs."""
+    c = _candidates(trees)
+    c = c if keep_empty else c.filter("n_nodes > 0")
+    keep = carried(trees) + ["n_nodes", "root_lang"]
+    return c.select(*keep, "cands", *_kinds()).select(*keep, *_fact_columns())
+
+
+@per_session
+def _fact_columns() -> list[Column]:
+    def first(found: str, test, value):
+        return F.get(F.transform(F.filter(found, test), value), 0)
+
+    def inner(n):
+        return n["parent"] >= 0
+
+    def titled(n):
+        return F.struct(n["path"].alias("path"), n["text"].alias("text"))
+
+    def valued(name):
+        return lambda n: F.struct(n["path"].alias("path"), attr(n, name).alias("value"))
+
+    def author(n):
+        is_meta = n["tag"] == "meta"
+        return F.struct(_author_hits(n).alias("hits"), n["id"].alias("node_id"),
+                        F.when(is_meta, F.concat(n["path"], F.lit("/@content"))).otherwise(n["path"]).alias("path"),
+                        F.when(is_meta, attr(n, "content")).otherwise(n["text"]).alias("text"))
+
+    def dates(n):
+        return F.array_compact(F.array(*[
+            F.when(_irx(n, a, v), F.struct(F.lit(i).alias("probe"), n["id"].alias("node_id"), n["path"].alias("path"), F.lit(k).alias("cattr"), attr(n, k).alias("value")))
+            for i, (a, v, k) in enumerate(DATE_PROBES)]))
+
+    # the longest heading, the first of equals
+    h1s = F.transform(F.filter("cands", lambda n: (n["tag"] == "h1") & inner(n)),
+                      lambda n: F.struct(F.length(n["text"]).alias("len"), (-n["id"]).alias("neg"), n["path"].alias("path"), n["text"].alias("text")))
+    return [
+        first("cands", lambda n: (n["tag"] == "title") & inner(n), titled).alias("title_el"),
+        F.array_max(h1s).alias("h1_el"),
+        first("metas", lambda n: inner(n) & _eq(n, "property", "og:title") & _has(n, "content"), lambda n: attr(n, "content")).alias("og_prop"),
+        first("metas", lambda n: inner(n) & _eq(n, "name", "og:title") & _has(n, "content"), lambda n: attr(n, "content")).alias("og_name"),
+        first("metas", lambda n: inner(n) & _irx(n, "http-equiv", "content-language"), valued("content")).alias("lang_eq"),
+        first("metas", lambda n: inner(n) & _irx(n, "name", "lang"), valued("content")).alias("lang_nm"),
+        first("links", lambda n: _irx(n, "rel", "icon"), valued("href")).alias("favicon_el"),
+        first("metas", lambda n: _eq(n, "name", "description"), valued("content")).alias("desc_el"),
+        first("metas", lambda n: _eq(n, "name", "keywords"), valued("content")).alias("kw_el"),
+        first("links", lambda n: _irx(n, "rel", "canonical"), valued("href")).alias("canon_el"),
+        first("metas", lambda n: _eq(n, "property", "og:url"), lambda n: F.struct(
+            n["path"].alias("path"), attr(n, "content").alias("content"), attr(n, "href").alias("href"))).alias("ogurl_el"),
+        F.transform(F.filter("cands", lambda n: n["tier"].isNotNull()), lambda n: F.struct(
+            n["tier"].alias("tier"), n["path"].alias("path"), F.coalesce(n["text"], F.lit("")).alias("text"))).alias("tag_cands"),
+        F.flatten(F.transform(F.filter("cands", lambda n: _marked(n, KEYED_MARK)), dates)).alias("date_cands"),
+        F.transform(F.filter("cands", lambda n: _marked(n, AUTHOR_MARK) & ((n["tag"] != "meta") | _has(n, "content"))), author).alias("author_cands"),
+        F.array_compact(F.transform("metas", _meta_event)).alias("meta_events")]
 
 
 # ----------------------------------------------------------------------
 # F4 and F12 rules on the per-page candidate arrays
 # ----------------------------------------------------------------------
 
+def author_hits(cands: Column) -> Column:
+    """Each author candidate once per probe it hits, with its names."""
+    expanded = F.flatten(F.transform(cands, lambda c: F.transform(
+        c["hits"], lambda p: F.struct(p.alias("probe"), c["node_id"].alias("node_id"), c["path"].alias("path"), c["text"].alias("text")))))
+    return F.filter(expanded, lambda x: F.coalesce(x["text"], F.lit("")) != "")
+
+
 def authors_from(cands: Column):
     """F4 on one page's author candidates: ``(author_paths, authors)``.
 
     Each candidate is listed once per probe it hits (attribute-major probe
     order, then document order); it counts iff its byline yields a name;
-    the list is unique by the lower-cased text, first occurrence kept.
+    the list is unique by the lower-cased text, first occurrence kept: hits sorted by that
+    text and their order keep the first of each, then the order is restored.
     """
-    expanded = F.flatten(F.transform(cands, lambda c: F.transform(
-        c["hits"], lambda p: F.struct(p.alias("probe"), c["node_id"].alias("node_id"),
-                                      c["path"].alias("path"), c["text"].alias("text")))))
-    valid = F.filter(expanded, lambda x: F.coalesce(x["text"], F.lit("")) != "")
-    named = F.filter(F.transform(valid, lambda x: F.struct(
-        x["probe"].alias("probe"), x["node_id"].alias("node_id"), F.lower(x["text"]).alias("key"),
-        x["path"].alias("path"), byline_names(x["text"]).alias("names"))),
-        lambda x: F.size(x["names"]) > 0)
-    ordered = F.array_sort(named)
-    firsts = F.filter(ordered, lambda x, i: ~F.exists(F.slice(ordered, 1, i), lambda y: y["key"] == x["key"]))
-    return (F.transform(firsts, lambda x: x["path"]),
-            F.array_distinct(F.flatten(F.transform(firsts, lambda x: x["names"]))))
-
-
-def meta_map_from(events: Column) -> Column:
-    """F12 on one page's meta events, folded to ``map<head, map<sub, path>>``
-    with the same update rules as ``meta_rows``."""
-    ev = F.array_sort(events)
-    heads = F.array_distinct(F.transform(ev, lambda e: e["head"]))
-
-    def head_map(h):
-        hev = F.filter(ev, lambda e: e["head"] == h)
-        last_plain = F.array_max(F.transform(F.filter(hev, lambda e: e["plain"]), lambda e: e["node_id"]))
-        after = F.filter(hev, lambda e: ~e["plain"] & (e["node_id"] > F.coalesce(last_plain, F.lit(-1))))
-        plain_value = F.get(F.filter(hev, lambda e: e["node_id"] == last_plain), 0)["value"]
-        two = F.transform(F.filter(after, lambda e: e["sub"].isNotNull()),
-                          lambda e: F.struct(e["sub"].alias("sub"), e["value"].alias("value"),
-                                             e["node_id"].alias("ord")))
-        empty = F.array().cast("array<struct<sub:string,value:string,ord:int>>")
-        entries = (F.when(last_plain.isNotNull() & (F.size(after) == 0),
-                          F.array(F.struct(F.lit("").alias("sub"), plain_value.alias("value"),
-                                           F.lit(-1).alias("ord"))))
-                   .otherwise(F.concat(
-                       F.when(last_plain.isNotNull(),
-                              F.array(F.struct(h.alias("sub"), plain_value.alias("value"),
-                                               F.lit(-1).alias("ord")))).otherwise(empty),
-                       two)))
-        latest = F.filter(entries, lambda e: ~F.exists(
-            entries, lambda f: (f["sub"] == e["sub"]) & (f["ord"] > e["ord"])))
-        return F.map_from_entries(F.transform(latest, lambda e: F.struct(e["sub"], e["value"])))
-
-    return F.map_from_entries(F.transform(heads, lambda h: F.struct(h, head_map(h))))
+    named = F.filter(F.transform(author_hits(cands), lambda x: F.struct(
+        F.lower(x["text"]).alias("key"), x["probe"].alias("probe"), x["node_id"].alias("node_id"),
+        x["path"].alias("path"), byline_names(x["text"]).alias("names"))), lambda x: F.size(x["names"]) > 0)
+
+    def firsts(by_key):
+        once = F.filter(by_key, lambda x, i: (i == 0) | (F.get(by_key, i - 1)["key"] != x["key"]))
+        return F.sort_array(F.transform(once, lambda x: F.struct(x["probe"], x["node_id"], x["path"], x["names"])))
+    return _let(F.sort_array(named), lambda s: _let(firsts(s), lambda f: F.struct(
+        F.transform(f, lambda x: x["path"]).alias("paths"), F.array_distinct(F.flatten(F.transform(f, lambda x: x["names"]))).alias("names"))))
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+META_ENTRY = "struct<head:string,sub:string,ord:int,value:string>"
+
+
+def meta_entries(events: Column) -> Column:
+    """F12 on one page's meta events: entries (head, sub, ord, value) after the update rules.
+
+    Plain keys are stored under sub ``''`` (their value is the element path);
+    ``head:sub`` keys under ``sub`` (value path ``/@content`` or ``/@value``).
+    A plain key resets the head; a later two-part key turns a plain value into
+    ``{head: old}``; three-part keys only create the head (sub null).
+
+    The events are sorted by head and order once; a head's events are a slice between
+    neighbouring positions, and of equal subs the last one is the one before a change.
+    """
+    def of_head(ev):
+        last_plain = F.array_max(F.transform(ev, lambda e: F.when(e["plain"], e["node_id"])))
+        after = F.filter(ev, lambda e: ~e["plain"] & (e["node_id"] > F.coalesce(last_plain, F.lit(-1))))
+        plain = F.get(F.filter(ev, lambda e: e["node_id"] == last_plain), 0)
+        head = F.get(ev, 0)["head"]
+
+        def entry(sub, order, value):
+            return F.struct(head.alias("head"), sub.alias("sub"), order.alias("ord"), value.alias("value"))
+        none = F.array().cast(f"array<{META_ENTRY}>")
+        two = F.transform(F.filter(after, lambda e: e["sub"].isNotNull()), lambda e: entry(e["sub"], e["node_id"], e["value"]))
+        old = F.when(last_plain.isNotNull(), F.array(entry(F.when(F.size(after) == 0, F.lit("")).otherwise(head), F.lit(-1), plain["value"]))).otherwise(none)
+
+        def latest(x):
+            return F.filter(x, lambda e, i: F.coalesce(F.get(x, i + 1)["sub"] != e["sub"], F.lit(True)))
+        made = _let(F.sort_array(F.concat(old, two)), latest)
+        return F.when(F.size(made) > 0, made).otherwise(F.array(entry(F.lit(None).cast("string"), F.lit(-1), F.lit(None).cast("string"))))
+
+    def of_page(ev):
+        starts = F.filter(F.transform(ev, lambda e, i: F.when((i == 0) | (F.get(ev, i - 1)["head"] != e["head"]), i)), lambda i: i.isNotNull())
+        return _let(starts, lambda st: F.flatten(F.transform(st, lambda a, k: _let(
+            F.slice(ev, a + 1, F.coalesce(F.get(st, k + 1), F.size(ev)) - a), of_head))))
+    return _let(F.sort_array(events), of_page)
+
+
+def meta_map_from(entries: Column) -> Column:
+    """F12 folded: ``map<head, map<sub, path>>`` from ``meta_entries`` (an empty inner map for heads
+    that only had three-part keys)."""
+    def fold(en):
+        starts = F.filter(F.transform(en, lambda e, i: F.when((i == 0) | (F.get(en, i - 1)["head"] != e["head"]), i)), lambda i: i.isNotNull())
+        return _let(starts, lambda st: F.map_from_entries(F.transform(st, lambda a, k: F.struct(
+            F.get(en, a)["head"], F.map_from_entries(F.transform(
+                F.filter(F.slice(en, a + 1, F.coalesce(F.get(st, k + 1), F.size(en)) - a), lambda e: e["sub"].isNotNull()),
+                lambda e: F.struct(e["sub"], e["value"])))))))
+    return _let(entries, fold)
 
 
 # ----------------------------------------------------------------------
@@ -230,7 +279,25 @@ def title_rule(t_text: Column, t_path: Column, h_text: Column, h_path: Column,
 
 
 def flat_fields(facts: DataFrame) -> DataFrame:
-    """F1-F3, F6, F8-F11, F13 from ``page_facts``."""
+    """F1-F4, F6, F8-F13 from ``page_facts``."""
+    fixed = {"n_nodes", "root_lang", "title_el", "h1_el", "og_prop", "og_name", "lang_eq", "lang_nm", "favicon_el", "desc_el", "kw_el",
+             "canon_el", "ogurl_el", "tag_cands", "date_cands", "author_cands", "meta_events"}
+    kept = [c for c in facts.columns if c not in fixed]
+    return facts.withColumn("_authors", _author_column()).select(*kept, *_flat_columns())
+
+
+@per_session
+def _author_column() -> Column:
+    return authors_from(F.col("author_cands"))
+
+
+@per_session
+def _entry_column() -> Column:
+    return meta_entries(F.col("meta_events"))
+
+
+@per_session
+def _flat_columns() -> list[Column]:
     h1_text = F.coalesce(inner_trim(F.col("h1_el.text")), F.lit(""))
     og_text = F.coalesce(F.col("og_prop"), F.col("og_name"), F.lit(""))
     og_path = (F.when(F.col("og_prop").isNotNull(), F.lit(OG_TITLE_PROPERTY_PATH))
@@ -264,21 +331,19 @@ def flat_fields(facts: DataFrame) -> DataFrame:
                  .when(og_href != "", og_href).otherwise(F.lit("")))
     # first tier with any element; the set of their paths
     min_tier = F.array_min(F.transform("tag_cands", lambda x: x["tier"]))
-    chosen = F.array_sort(F.filter("tag_cands", lambda x: x["tier"] == min_tier))
+    chosen = F.array_distinct(F.sort_array(F.filter("tag_cands", lambda x: x["tier"] == min_tier)))
     empty = F.array().cast("array<string>")
     tags = F.when(F.col("n_nodes") <= 1, empty).otherwise(
         F.array_distinct(F.transform(chosen, lambda x: x["path"])))
     tag_texts = F.when(F.col("n_nodes") <= 1, empty).otherwise(
         F.array_distinct(F.filter(F.transform(chosen, lambda x: x["text"]), lambda t: t != "")))
     # per probe only its first element counts; first probe with a value
-    dates = F.array_sort(F.col("date_cands"))
+    dates = F.sort_array(F.col("date_cands"))
     firsts = F.filter(dates, lambda x, i: (i == 0) | (F.get(dates, i - 1)["probe"] != x["probe"]))
     date_hit = F.get(F.filter(firsts, lambda x: F.coalesce(x["value"], F.lit("")) != ""), 0)
-    author_paths, author_names = authors_from(F.col("author_cands"))
-    return facts.select(
-        "page_id",
-        author_paths.alias("author_paths"), author_names.alias("authors"),
-        meta_map_from(F.col("meta_events")).alias("meta_map"),
+    return [
+        F.col("_authors.paths").alias("author_paths"), F.col("_authors.names").alias("authors"),
+        meta_map_from(_entry_column()).alias("meta_map"),
         meta_lang.alias("meta_lang"), lang_path.alias("lang_path"),
         title_path.alias("title_path"), title_value.alias("title"),
         F.col("h1_el.path").alias("h1_path"), h1_text.alias("h1_text"),
@@ -293,128 +358,72 @@ def flat_fields(facts: DataFrame) -> DataFrame:
         tags.alias("tag_paths"), tag_texts.alias("tags"),
         F.coalesce(F.concat(date_hit["path"], F.lit("/@"), date_hit["cattr"]), F.lit("")).alias("date_path"),
         F.coalesce(date_hit["value"], F.lit("")).alias("publish_date"),
-    )
+    ]
 
 
 # ----------------------------------------------------------------------
-# F4/F5 authors
+# F4/F5 authors and F12 meta map by themselves
 # ----------------------------------------------------------------------
 
-def author_candidates(nodes: DataFrame) -> DataFrame:
+def author_candidates(trees: DataFrame) -> DataFrame:
     """Every (probe, element) hit of the 15 author probes with its text.
 
     A node can hit several probes; it is listed once per hit, probes in
     attribute-major order. Meta elements read ``content`` (a meta without one
-    is skipped), others their subtree text (C1), which the parser precomputes
-    for every element whose naming attributes match an author probe.
+    is skipped), others their subtree text (C1).
     """
-    probes = [(a, v) for a in AUTHOR_ATTRS for v in AUTHOR_VALUES]
-    hits = F.array_compact(F.array(*[F.when(_irx(a, v), F.lit(i)) for i, (a, v) in enumerate(probes)]))
-    cand = nodes.select("page_id", "node_id", "tag", "xpath", "attrs", "inner_text",
-                        F.explode(hits).alias("probe"))
-    cand = cand.filter((F.col("tag") != "meta") | _has("content"))
-    text = F.when(F.col("tag") == "meta", _attr("content")).otherwise(F.col("inner_text"))
-    path = F.when(F.col("tag") == "meta", F.concat("xpath", F.lit("/@content"))).otherwise(F.col("xpath"))
-    return cand.select("page_id", "probe", "node_id", path.alias("path"), text.alias("text"))
+    return page_facts(trees).select("page_id", F.inline(author_hits(F.col("author_cands"))))
 
 
-def authors(nodes: DataFrame) -> DataFrame:
+def authors(trees: DataFrame) -> DataFrame:
     """``(page_id, author_paths, authors)`` for pages with any author;
     order kept, unique by the lower-cased text; an element counts iff its
     byline yields a name."""
-    per_page = nodes.groupBy("page_id").agg(F.collect_list(_author_candidate()).alias("c"))
-    paths, names = authors_from(F.col("c"))
-    return per_page.select("page_id", paths.alias("author_paths"), names.alias("authors")) \
-        .filter(F.size("author_paths") > 0)
+    found = page_facts(trees).select("page_id", _author_column().alias("a"))
+    return found.select("page_id", F.col("a.paths").alias("author_paths"), F.col("a.names").alias("authors")).filter(F.size("author_paths") > 0)
 
 
-# ----------------------------------------------------------------------
-# F12 meta map
-# ----------------------------------------------------------------------
+def meta_rows(trees: DataFrame) -> DataFrame:
+    """F12 long form: ``(page_id, head, sub, value)``, the entries that ``meta_map`` holds."""
+    return page_facts(trees).select("page_id", F.inline(_entry_column())).select("page_id", "head", "sub", "value")
 
-def meta_rows(nodes: DataFrame) -> DataFrame:
-    """F12 long form: ``(page_id, head, sub, value)`` after the update rules.
 
-    Plain keys are stored under sub ``''`` (their value is the element path);
-    ``head:sub`` keys under ``sub`` (value path ``/@content`` or ``/@value``).
-    A plain key resets the head; a later two-part key turns a plain value into
-    ``{head: old}``; three-part keys only create the head.
-    """
-    key = F.trim(F.coalesce(F.nullif(_attr("property"), F.lit("")), _attr("name")))
-    vpath = (F.when(F.coalesce(_attr("content"), F.lit("")) != "", F.concat("xpath", F.lit("/@content")))
-             .when(F.coalesce(_attr("value"), F.lit("")) != "", F.concat("xpath", F.lit("/@value"))))
-    metas = nodes.filter(F.col("tag") == "meta").select(
-        "page_id", "node_id", "xpath", key.alias("key"), vpath.alias("vpath")) \
-        .filter(F.col("key").isNotNull() & (F.col("key") != "") & F.col("vpath").isNotNull())
-    parts = F.split("key", ":")
-    ev = metas.select(
-        "page_id", "node_id",
-        F.when(F.size(parts) == 1, F.col("key")).otherwise(parts[0]).alias("head"),
-        F.when(F.size(parts) == 1, F.lit(None)).when(F.size(parts) == 2, parts[1])
-        .otherwise(F.lit(None)).alias("sub"),
-        (F.size(parts) == 1).alias("plain"),
-        F.when(F.size(parts) == 1, F.col("xpath")).otherwise(F.col("vpath")).alias("value"))
-    per_head = ev.groupBy("page_id", "head").agg(
-        F.max(F.when(F.col("plain"), F.col("node_id"))).alias("last_plain"),
-        F.array_sort(F.collect_list(F.struct("node_id", "plain", "sub", "value"))).alias("ev"))
-    last_plain = F.coalesce(F.col("last_plain"), F.lit(-1))
-    after = F.filter("ev", lambda x: (x["node_id"] > last_plain) & ~x["plain"])
-    plain_value = F.get(F.filter("ev", lambda x: x["node_id"] == F.col("last_plain")), 0)["value"]
-    two_part = F.filter(after, lambda x: x["sub"].isNotNull())
-    entries = F.when(
-        F.col("last_plain").isNotNull() & (F.size(after) == 0),
-        F.array(F.struct(F.lit("").alias("sub"), plain_value.alias("value"), F.lit(-1).alias("ord"))),
-    ).otherwise(F.concat(
-        F.when(F.col("last_plain").isNotNull(),
-               F.array(F.struct(F.col("head").alias("sub"), plain_value.alias("value"),
-                                F.lit(-1).alias("ord"))))
-        .otherwise(F.array().cast("array<struct<sub:string,value:string,ord:int>>")),
-        F.transform(two_part, lambda x: F.struct(x["sub"].alias("sub"), x["value"].alias("value"),
-                                                 x["node_id"].alias("ord")))))
-    rows = per_head.select("page_id", "head", F.explode_outer(entries).alias("e"))
-    return (rows.groupBy("page_id", "head", F.col("e.sub").alias("sub"))
-            .agg(last_by("e.value", "e.ord").alias("value")))
-
-
-def meta_map(nodes: DataFrame) -> DataFrame:
-    """F12 folded: ``map<head, map<sub, path>>`` (empty inner map for heads
-    that only had three-part keys)."""
-    rows = meta_rows(nodes)
-    inner = rows.groupBy("page_id", "head").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(
-            F.when(F.col("sub").isNotNull(), F.struct("sub", "value"))))).alias("m"))
-    return inner.groupBy("page_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("head", "m"))).alias("meta_map"))
+def meta_map(trees: DataFrame) -> DataFrame:
+    """F12 folded, for pages with any meta entry."""
+    return page_facts(trees).filter(F.size("meta_events") > 0).select("page_id", meta_map_from(_entry_column()).alias("meta_map"))
 
 
 # ----------------------------------------------------------------------
 # F14 / F15
 # ----------------------------------------------------------------------
 
-def page_links(nodes: DataFrame) -> DataFrame:
+def page_links(trees: DataFrame) -> DataFrame:
     """``(page_id, node_id, href, link_text)`` of ``a`` elements with a
-    non-empty href without ``#``; text is the element's own leading text
+    non-empty href without ``#``, in document order, with the columns the trees carry; text is the element's own leading text
     (NULL when the link starts with a child element)."""
-    href = _attr("href")
-    return nodes.filter((F.col("tag") == "a") & _not_root()
-                        & F.coalesce((href != "") & ~href.contains("#"), F.lit(False))) \
-        .select("page_id", "node_id", href.alias("href"), F.nullif("text", F.lit("")).alias("link_text"))
+    def kept(n):
+        href = attr(n, "href")
+        return (n["tag"] == "a") & (n["parent"] >= 0) & F.coalesce((href != "") & ~href.contains("#"), F.lit(False))
+    links = F.transform(F.filter("nodes", kept), lambda n: F.struct(
+        n["id"].alias("node_id"), attr(n, "href").alias("href"), F.nullif(text_of(n), F.lit("")).alias("link_text")))
+    return trees.select(*carried(trees), F.inline(links))
 
 
 # Fixed values (ours): elements that carry an embedded video.
 VIDEO_TAGS = ["iframe", "embed", "object", "video", "source"]
 
 
-def video_sources(nodes: DataFrame, top: DataFrame | None = None) -> DataFrame:
-    """``src``, else ``data-src``, of video elements; restricted to the
-    subtree of each page's best node when ``top`` (page_id, top_id, top_end)
-    is given."""
-    src = F.coalesce(F.nullif(_attr("src"), F.lit("")), _attr("data-src"))
-    v = nodes.filter(F.col("tag").isin(VIDEO_TAGS)).select(
-        "page_id", "node_id", src.alias("src"))
-    if top is not None:
-        v = v.join(top.select("page_id", "top_id", "top_end"), "page_id") \
-            .filter((F.col("node_id") >= F.col("top_id")) & (F.col("node_id") <= F.col("top_end")))
-    return v.filter(F.col("src").isNotNull()).groupBy("page_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("node_id", "src"))),
-                    lambda x: x["src"]).alias("videos"))
+@per_session
+def videos_in(top: str | None = None) -> Column:
+    """F15 of a page's row: ``src``, else ``data-src``, of its video elements (inside the node in column ``top`` when given), in
+    document order; null when there is none."""
+    def test(n):
+        cond = n["tag"].isin(VIDEO_TAGS)
+        return cond if top is None else cond & F.coalesce((n["id"] >= F.col(top)["id"]) & (n["id"] <= F.col(top)["end"]), F.lit(False))
+    src = F.array_compact(F.transform(F.filter("nodes", test), lambda n: F.coalesce(F.nullif(attr(n, "src"), F.lit("")), attr(n, "data-src"))))
+    return _let(src, lambda v: F.when(F.size(v) > 0, v))
+
+
+def video_sources(trees: DataFrame) -> DataFrame:
+    """F15 over whole pages: ``(page_id, videos)`` of pages with any."""
+    return trees.select("page_id", videos_in().alias("videos")).filter("videos IS NOT NULL")

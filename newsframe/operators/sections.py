@@ -8,9 +8,8 @@
   sides of the shuffle, so a hot section ships at most ``k`` rows per task.
 * Only sampled pages are parsed to learn templates (E4/E5), bounded by
   ``k x sections``.
-* Templates are applied (E6) by joining pages to their section's template and
-  matching each template path, turned into a regular expression, against the
-  fully indexed element path ``xpath_ix`` of the page's nodes.
+* Templates are applied (E6) by giving each page row its section's template and walking the
+  template's paths down the page's own tree.
 """
 
 from __future__ import annotations
@@ -20,11 +19,12 @@ from pyspark.sql import functions as F
 
 from newsframe.functions import urls as U
 from newsframe.functions.aggs import first_by
-from newsframe.operators.dom import node_text, page_nodes, text_pieces
-from newsframe.operators.fields import page_links
+from newsframe.functions.memo import per_session
+from newsframe.operators.dom import inner_text, page_trees
+from newsframe.operators.fields import _let, page_links
 
 # ----------------------------------------------------------------------
-# Path expressions
+# Path expressions on a page's row
 # ----------------------------------------------------------------------
 
 _SUFFIX_RE = r"(//text\(\)|/@[^/\[\]]+)$"
@@ -41,79 +41,54 @@ def path_attr(path: Column) -> Column:
     return F.regexp_extract(path, r"/@([^/\[\]]+)$", 1)
 
 
-def path_pattern(path: Column) -> Column:
-    """Stored absolute path -> regex over ``xpath_ix``.
+def path_steps(path: Column) -> Column:
+    """Stored absolute path -> its steps as (depth, tag, index); the index is null where the path
+    has none: an XPath step without a predicate selects every such sibling."""
+    steps = F.filter(F.split(F.regexp_replace(path, _SUFFIX_RE, ""), "/"), lambda s: s != "")
+    return F.transform(steps, lambda s, i: F.struct(
+        i.alias("depth"), F.regexp_replace(s, r"\[\d+\]$", "").alias("tag"),
+        F.try_to_number(F.nullif(F.regexp_extract(s, r"\[(\d+)\]$", 1), F.lit("")), F.lit("999999999")).cast("int").alias("index")))
 
-    A step with an index matches that index; a step without one matches any
-    index (an XPath step without a predicate selects every such sibling).
-    ``/html/body/p[2]`` -> ``^/html\\[\\d+\\]/body\\[\\d+\\]/p\\[2\\]$``.
+
+def matched(path: Column) -> Column:
+    """The nodes of a page's row that a path selects, in document order.
+
+    An absolute path is walked down: each step keeps, of the nodes at its depth with its tag (and place), those
+    below a node kept before. ``//tag[@a="v"]`` forms (the fixed og expressions) test tag and attribute.
     """
-    base = F.regexp_replace(path, _SUFFIX_RE, "")
-    steps = F.filter(F.split(base, "/"), lambda s: s != "")
-    esc = F.transform(steps, lambda s: F.when(
-        s.rlike(r"\[\d+\]$"),
-        F.regexp_replace(F.regexp_replace(s, r"\[", r"\\["), r"\]", r"\\]"))
-        .otherwise(F.concat(s, F.lit(r"\[\d+\]"))))
-    return F.concat(F.lit("^/"), F.array_join(esc, "/"), F.lit("$"))
+    walked = F.aggregate(path_steps(path), F.array(F.lit(-1)), lambda kept, s: F.transform(
+        F.filter("nodes", lambda n: (n["depth"] == s["depth"]) & (n["tag"] == s["tag"])
+                 & (s["index"].isNull() | (n["tag_pos"] == s["index"])) & F.array_contains(kept, n["parent"])), lambda n: n["id"]))
+    tag, name, value = (F.regexp_extract(path, _DESC_ATTR_RE, k) for k in (1, 2, 3))
+    anywhere = F.filter("nodes", lambda n: (n["tag"] == tag) & F.coalesce(n["attrs"][name] == value, F.lit(False)))
+    return F.when(tag != "", anywhere).otherwise(_let(walked, lambda ids: F.transform(ids, lambda i: F.get("nodes", i))))
 
 
-def match_path(nodes: DataFrame, paths: DataFrame) -> DataFrame:
-    """Elements selected by each ``(page_id, path)``: adds ``node_id``.
+def evaluated(path: Column) -> Column:
+    """C4: struct (first_value, all_text) of a path on a page's row; ``nodes`` must be a raw tree.
 
-    Absolute paths match ``xpath_ix`` by pattern; ``//tag[@a="v"]`` forms
-    (the fixed og expressions) match tag and attribute. The join is on
-    ``page_id``; a page holds a handful of paths.
-    """
-    p = paths.select("page_id", "path",
-                     path_pattern(F.col("path")).alias("_pat"),
-                     F.regexp_extract("path", _DESC_ATTR_RE, 1).alias("_dtag"),
-                     F.regexp_extract("path", _DESC_ATTR_RE, 2).alias("_dattr"),
-                     F.regexp_extract("path", _DESC_ATTR_RE, 3).alias("_dval"))
-    n = nodes.select("page_id", "node_id", "end_id", "tag", "attrs", "xpath_ix", "inner_text")
-    j = p.join(n, "page_id")
-    hit = F.when(F.col("_dtag") != "",
-                 (F.col("tag") == F.col("_dtag"))
-                 & F.coalesce(F.col("attrs")[F.col("_dattr")] == F.col("_dval"), F.lit(False))) \
-        .otherwise(F.regexp_like(F.col("xpath_ix"), F.col("_pat")))
-    return j.filter(hit).select("page_id", "path", "node_id", "end_id", "attrs", "inner_text")
-
-
-def select_path(nodes: DataFrame, paths: DataFrame) -> DataFrame:
-    """C4: evaluate ``(page_id, path)`` expressions.
-
-    Returns ``(page_id, path, first_value, all_text)``: for ``/@a`` the
-    attribute of the first match; for an element its subtree text (C1); for
+    For ``/@a`` the attribute of the first match; for an element its subtree text (C1); for
     ``//text()`` every text run under every match, each followed by a
-    newline (``all_text``), and the first run as ``first_value``.
+    newline (``all_text``), and the first run as ``first_value``. A run below several matches counts once.
     """
-    m = match_path(nodes, paths)
-    kind = path_kind(F.col("path"))
-    # attribute and element values of the first match
-    need = m.filter((kind == "elem") & F.col("inner_text").isNull()).select(
-        "page_id", "node_id", "end_id").distinct()
-    texts = node_text(nodes, need)
-    mv = m.join(texts, ["page_id", "node_id"], "left").withColumn(
-        "value",
-        F.when(kind == "attr", F.col("attrs")[path_attr(F.col("path"))])
-        .when(kind == "elem", F.coalesce("inner_text", "node_text")))
-    first = mv.groupBy("page_id", "path").agg(first_by("value", "node_id").alias("first_value"))
-    # text runs under the matches
-    tm = m.filter(kind == "text").select("page_id", "path", F.col("node_id").alias("m_id"),
-                                         F.col("end_id").alias("m_end")).alias("t")
-    pieces = text_pieces(nodes).alias("p")
-    runs = tm.join(pieces, (F.col("p.page_id") == F.col("t.page_id"))
-                   & (F.col("p.owner") >= F.col("t.m_id")) & (F.col("p.owner") <= F.col("t.m_end"))
-                   & ~(F.col("p.is_tail") & (F.col("p.owner") == F.col("t.m_id"))))
-    alltext = runs.select(F.col("t.page_id").alias("page_id"), F.col("t.path").alias("path"),
-                          "p.k1", "p.k2", "p.k3", "p.piece").distinct() \
-        .groupBy("page_id", "path").agg(F.array_sort(F.collect_list(F.struct("k1", "k2", "k3", "piece"))).alias("r"))
-    alltext = alltext.select(
-        "page_id", "path",
-        F.array_join(F.transform("r", lambda x: F.concat(x["piece"], F.lit("\n"))), "").alias("all_text"),
-        F.get(F.col("r"), 0)["piece"].alias("first_run"))
-    out = first.join(alltext, ["page_id", "path"], "full")
-    return out.select("page_id", "path",
-                      F.coalesce("first_value", "first_run").alias("first_value"), "all_text")
+    kind = path_kind(path)
+
+    def value(found):
+        first = F.get(found, 0)
+        places = F.array_distinct(F.flatten(F.transform(F.filter(found, lambda n: n["hi"] > n["lo"]), lambda n: F.sequence(n["lo"], n["hi"] - 1))))
+        texts = F.when(kind == "text", F.transform(F.sort_array(places), lambda i: F.get("runs", i)))
+        return _let(texts, lambda t: F.struct(
+            F.when(first.isNull(), F.lit(None)).when(kind == "attr", first["attrs"][path_attr(path)])
+            .when(kind == "elem", inner_text(first)).otherwise(F.get(t, 0)).alias("first_value"),
+            F.when(F.size(t) > 0, F.array_join(F.transform(t, lambda r: F.concat(r, F.lit("\n"))), "")).alias("all_text")))
+    return _let(matched(path), value)
+
+
+def select_path(trees: DataFrame, path: Column) -> DataFrame:
+    """C4 as rows: ``(page_id, path, first_value, all_text)`` of the pages on which the ``path`` (a column of ``trees``) matches."""
+    out = trees.select("page_id", path.alias("path"), "nodes", "runs").filter("path IS NOT NULL")
+    out = out.select("page_id", "path", F.size(matched(F.col("path"))).alias("n"), evaluated(F.col("path")).alias("v"))
+    return out.filter("n > 0").select("page_id", "path", "v.first_value", "v.all_text")
 
 
 # ----------------------------------------------------------------------
@@ -144,23 +119,46 @@ def section_articles(pages: DataFrame) -> DataFrame:
         .withColumn("apos", F.col("page_id"))
 
 
-def linked_articles(pages: DataFrame, nodes: DataFrame) -> DataFrame:
-    """E2 from links: ``(section_url, url, title, page_id)``, the articles that the pages
+def linked_articles(trees: DataFrame) -> DataFrame:
+    """E2 from links: ``(section_url, url, title, page_id, node_id)``, the articles that the pages
     of each section link to (F14, U6), made absolute (U5), unique by URL within a section
-    and kept across sections; title and page_id are those of the first link
-    (by page id, then document order). Links without a valid URL (U1) are skipped."""
-    src = pages.filter(U.url_valid("url")).select("page_id", "url", section_of("url").alias("section_url"))
-    links = page_links(nodes).join(src, "page_id").select(
-        "section_url", U.url_resolve("href", "url").alias("url"), "page_id", "node_id", "link_text")
+    and kept across sections; title, page_id and node_id are those of the first link
+    (by page id, then document order). Links without a valid URL (U1) are skipped. The trees carry ``url``."""
+    links = page_links(trees.filter(U.url_valid("url"))).select(
+        section_of("url").alias("section_url"), U.url_resolve("href", "url").alias("url"), "page_id", "node_id", "link_text")
     # one bounded buffer for each (section, url), combined map-side: a link on every page is no hot group
     first = links.filter(U.url_valid("url")).groupBy("section_url", "url") \
         .agg(F.min(F.struct("page_id", "node_id", "link_text")).alias("f"))
-    return first.select("section_url", "url", F.col("f.link_text").alias("title"), F.col("f.page_id").alias("page_id"))
+    return first.select("section_url", "url", F.col("f.link_text").alias("title"), F.col("f.page_id").alias("page_id"), F.col("f.node_id").alias("node_id"))
+
+
+#: Under so many salts the sections that link to one URL are spread.
+LINK_SALTS = 32
+
+
+def resolved_articles(linked: DataFrame, pages: DataFrame) -> DataFrame:
+    """The articles of ``linked`` with the known page of their URL: ``(section_url, url, page_id, apos)``.
+
+    ``page_id`` is the first known page with that very URL, null for a link that leads to none; such an article stays in
+    the list, as one whose download failed. ``apos`` orders a section's articles by their links.
+
+    A URL that a third of the sections link to is no hot key: the distinct (url, salt) pairs, at most
+    ``LINK_SALTS`` for each URL, are looked up among the pages and joined back under both.
+    """
+    salted = linked.withColumn("salt", F.pmod(F.xxhash64("section_url"), F.lit(LINK_SALTS)).cast("int"))
+    known = pages.filter(U.url_valid("url")).groupBy("url").agg(F.min("page_id").alias("found"))
+    looked_up = salted.select("url", "salt").distinct().join(known, "url")
+    return salted.join(looked_up, ["url", "salt"], "left").select(
+        "section_url", "url", F.col("found").alias("page_id"), F.struct(F.col("page_id").cast("long").alias("page"), F.col("node_id").cast("long").alias("node")).alias("apos"))
 
 
-def section_sample(pages: DataFrame, sampling: int = 1) -> DataFrame:
+def section_sample(pages: DataFrame, sampling: int = 1, articles: DataFrame | None = None) -> DataFrame:
     """``(key, section_url, spos, url, page_id, rank)``.
 
+    ``articles`` (section_url, url, page_id, apos) is the list to sample: the known pages themselves (E2), or what the
+    sections link to (``resolved_articles``), where an article listed by two sections counts twice and one
+    without a known page counts too.
+
     Section key = netloc + path; an article matches a section with a path
     through ``netloc/first-segment`` and a section without one through its
     netloc. Each section keeps its first ``sampling`` matches in article
@@ -176,8 +174,8 @@ def section_sample(pages: DataFrame, sampling: int = 1) -> DataFrame:
     # A key takes the articles of a section in the section's order, so only the first
     # ``sampling`` of each section and key can be among its first: the rank limit runs
     # before any join (map-side first), and a hot section or site ships k rows per task.
-    first = Window.partitionBy("section_url", "k2").orderBy("apos", "page_id")
-    arts = section_articles(pages).withColumn("k2", U.article_key("url", True)) \
+    first = Window.partitionBy("section_url", F.coalesce("k2", U.article_key("url", False))).orderBy("apos", "url")
+    arts = (section_articles(pages) if articles is None else articles).withColumn("k2", U.article_key("url", True)) \
         .withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= sampling)
     # list position of an article: (position of its section, its own)
     al = arts.join(secs.select("section_url", F.col("spos").alias("a_spos")), "section_url")
@@ -189,7 +187,7 @@ def section_sample(pages: DataFrame, sampling: int = 1) -> DataFrame:
                    F.explode(keys).alias("k")) \
         .select("url", "page_id", "lpos", "k.key", "k.has_path").filter(F.col("key").isNotNull())
     # all sections of a key see the same list, so the rank is the key's
-    w = Window.partitionBy("key", "has_path").orderBy("lpos", "page_id")
+    w = Window.partitionBy("key", "has_path").orderBy("lpos", "url")
     ak = ak.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= sampling)
     ranked = secs.join(ak, ["key", "has_path"])
     return ranked.select("key", "section_url", "spos", "url", "page_id", "rank")
@@ -211,7 +209,7 @@ def section_process_all(pages: DataFrame, samples: DataFrame, language: str | No
     # The sample ids are written first so Catalyst knows their exact size:
     # when small (k x sections) the semi-join is a broadcast hash join and the
     # HTML of the pages is never shuffled; otherwise Spark sort-merge joins.
-    ids = materialize(samples.select("page_id").distinct(), "sample-ids")
+    ids = materialize(samples.select("page_id").filter("page_id IS NOT NULL").distinct(), "sample-ids")
     todo = pages.join(ids, "page_id", "left_semi")
     art = article_extract(todo, language, stop_words, with_meta=full, with_text=full)
     return samples.join(art.drop("url"), "page_id", "left").withColumn(
@@ -244,15 +242,7 @@ def template_targets(pages: DataFrame, templates: DataFrame) -> DataFrame:
     return j.distinct()
 
 
-def templated_pages(pages: DataFrame, targets: DataFrame) -> DataFrame:
-    """The pages worth parsing for E6: those named in ``targets``.
-
-    The narrow ids are written first, so that Spark knows their exact size and picks the
-    semi-join itself: a broadcast for a few, a shuffle of the pages on their id for many.
-    """
-    from newsframe.session import materialize
-    ids = materialize(targets.select("page_id").distinct(), "template-pages")
-    return pages.join(ids, "page_id", "left_semi")
+FIELDS = {"title": "title_path", "text": "text_path", "author": "author_path", "publish_date": "date_path"}
 
 
 def apply_template(pages: DataFrame, templates: DataFrame) -> DataFrame:
@@ -261,33 +251,27 @@ def apply_template(pages: DataFrame, templates: DataFrame) -> DataFrame:
 
     title / author / date: first match; text: every ``//text()`` run plus a
     newline. Missing matches stay NULL; empty template fields do no lookup.
-    """
-    return apply_with_nodes(pages, templates)[0]
-
 
-def apply_with_nodes(pages: DataFrame, templates: DataFrame):
-    """E6 plus the (persisted) node table, so a caller that is done with the
-    result (a stream micro-batch) can ``unpersist`` it."""
+    Each page row is given the templates that apply to it (two at most) and carries them through the parser, so the
+    paths are walked on the page's own row. The narrow (page, templates) rows are written first: Spark then knows
+    their exact size and broadcasts a few, or shuffles the pages on their id for many.
+    """
     from newsframe.session import materialize
     # templates: at most one row per section key, reused by several branches
-    templates = materialize(templates, "templates")
-    targets = template_targets(pages, templates)
-    nodes = page_nodes(templated_pages(pages, targets).select("page_id", "html"))
-    fields = {"title": "title_path", "text": "text_path", "author": "author_path",
-              "publish_date": "date_path"}
-    paths = targets.select(
-        "page_id", "key",
-        F.explode(F.array(*[F.struct(F.lit(k).alias("field"), F.col(v).alias("path"))
-                            for k, v in fields.items()])).alias("f")) \
-        .select("page_id", "key", "f.field", "f.path") \
-        .filter(F.col("path").isNotNull() & (F.col("path") != ""))
-    vals = select_path(nodes, paths.select("page_id", "path").distinct())
-    got = paths.join(vals, ["page_id", "path"], "left").withColumn(
-        "v", F.when(F.col("field") == "text", F.col("all_text")).otherwise(F.col("first_value")))
-    wide = got.groupBy("page_id", "key").agg(
-        *[first_by("v", F.lit(0), F.col("field") == f).alias(f) for f in fields])
-    base = targets.select("page_id", "key")
-    return base.join(wide, ["page_id", "key"], "left").select("page_id", "key", *fields), nodes
+    targets = template_targets(pages, materialize(templates, "templates"))
+    own = materialize(targets.groupBy("page_id").agg(F.collect_list(F.struct("key", *FIELDS.values())).alias("templates")), "template-pages")
+    trees = page_trees(pages.select("page_id", "html").join(own, "page_id"))
+    return trees.select("page_id", F.inline(_reading()))
+
+
+@per_session
+def _reading() -> Column:
+    """What a page's ``templates`` read on it."""
+    def read(t):
+        def value(path, part):
+            return F.when(F.coalesce(path, F.lit("")) != "", evaluated(path)[part])
+        return F.struct(t["key"].alias("key"), *[value(t[v], "all_text" if k == "text" else "first_value").alias(k) for k, v in FIELDS.items()])
+    return F.transform("templates", read)
 
 
 def template_report(applied: DataFrame) -> DataFrame:
@@ -303,7 +287,9 @@ def template_report(applied: DataFrame) -> DataFrame:
 
 
 def source_detect(pages: DataFrame, sampling: int = 1, language: str | None = "en",
-                  stop_words: list[str] | None = None) -> DataFrame:
-    """The whole site query (E1, E2, E3, E4, E5): templates per key."""
-    samples = section_sample(pages, sampling)
+                  stop_words: list[str] | None = None, linked: bool = False) -> DataFrame:
+    """The whole site query (E1, E2, E3, E4, E5): templates per key. With ``linked`` the sections' articles are those that
+    their pages link to, else the known pages themselves."""
+    articles = resolved_articles(linked_articles(page_trees(pages.select("page_id", "url", "html"))), pages) if linked else None
+    samples = section_sample(pages, sampling, articles)
     return section_template(section_process_all(pages, samples, language, stop_words=stop_words))

@@ -1,10 +1,8 @@
 """F20 article_extract: the whole article row of every page.
 
 Plan shape: pages -> native language gate (F7, before parsing because
-Catalyst cannot push a filter through the Python parser) -> C0 nodes
-(persisted: every field reads them) -> one grouped pass for the flat fields
-+ authors + meta map + body, all keyed by ``page_id`` -> left joins of
-one-row-per-page frames on ``page_id``.
+Catalyst cannot push a filter through the Python parser) -> C0 page trees -> projections. A
+page's row holds all that any field reads, so there is no shuffle, no join and no cache.
 """
 
 from __future__ import annotations
@@ -13,9 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsframe.functions.urls import link_hash
-from newsframe.operators.body import best_node, block_scores, body_text, text_blocks
-from newsframe.operators.dom import page_nodes
-from newsframe.operators.fields import flat_fields, page_facts, video_sources
+from newsframe.operators.body import with_body as add_body
+from newsframe.operators.dom import page_trees
+from newsframe.operators.fields import flat_fields, page_facts, videos_in
 from newsframe.operators.tokens import language_gate
 
 ARTICLE_COLUMNS = [
@@ -26,63 +24,35 @@ ARTICLE_COLUMNS = [
 ]
 
 
-def extract_nodes(nodes: DataFrame, language: str = "en",
-                  stop_words: list[str] | None = None,
-                  with_body: bool = True, with_meta: bool = True,
-                  with_text: bool = True) -> DataFrame:
-    """All fields of F20 from a node table (one row per page with nodes).
+def extract_trees(trees: DataFrame, language: str = "en", stop_words: list[str] | None = None,
+                  with_body: bool = True, with_meta: bool = True, with_text: bool = True, keep_empty: bool = False) -> DataFrame:
+    """All fields of F20 from page trees (one row per page with elements, or per page), with the columns the trees carry.
 
     ``with_body`` scores blocks for the body path (F16-F18); ``with_text``
     also reads the body text and videos under it (F19, F15); ``with_meta``
     folds the meta map (F12). Template learning needs only the paths.
     """
-    # one grouped pass: flat fields, authors and the meta map
-    out = flat_fields(page_facts(nodes))
-    if not with_meta:
-        out = out.withColumn("meta_map", F.lit(None).cast("map<string,map<string,string>>"))
-    if with_body:
-        top = best_node(nodes, block_scores(text_blocks(nodes, language, stop_words)))
-        out = out.join(top.select("page_id", "text_path", "top_id", "top_end"), "page_id", "left")
-        if with_text:
-            out = (out.join(body_text(nodes, top), "page_id", "left")
-                   .join(video_sources(nodes, top), "page_id", "left"))
-        else:
-            out = out.select("*", F.lit(None).cast("string").alias("text"),
-                             F.lit(None).cast("array<string>").alias("videos"))
-    else:
-        out = out.select("*", F.lit(None).cast("string").alias("text_path"),
-                         F.lit(None).cast("string").alias("text"),
-                         F.lit(None).cast("array<string>").alias("videos"))
-    return out
+    nothing = F.lit(None).cast("string")
+    body = add_body(trees, language, stop_words, with_text) if with_body else trees.withColumn("text_path", nothing)
+    body = body.withColumn("videos", videos_in("top") if with_body and with_text else F.lit(None).cast("array<string>"))
+    if not (with_body and with_text):
+        body = body.withColumn("text", nothing)
+    out = flat_fields(page_facts(body.drop("scores", "top", "top_score"), keep_empty))
+    return out if with_meta else out.withColumn("meta_map", F.lit(None).cast("map<string,map<string,string>>"))
 
 
 def article_extract(pages: DataFrame, language: str | None = "en",
                     stop_words: list[str] | None = None, with_body: bool = True,
-                    with_meta: bool = True, persist: bool = True,
-                    with_text: bool = True) -> DataFrame:
+                    with_meta: bool = True, with_text: bool = True) -> DataFrame:
     """F20 over ``pages(page_id, url, html)``.
 
     Pages failing the language gate are not parsed and produce no row (the
     reference leaves them unparsed). ``language=None`` disables the gate;
     body scoring then uses English stop words.
     """
-    return extract_with_nodes(pages, language, stop_words, with_body, with_meta, persist,
-                              with_text)[0]
-
-
-def extract_with_nodes(pages: DataFrame, language: str | None = "en",
-                       stop_words: list[str] | None = None, with_body: bool = True,
-                       with_meta: bool = True, persist: bool = True, with_text: bool = True):
-    """F20 plus the (persisted) node table, so a caller that is done with
-    the result (a stream micro-batch) can ``unpersist`` it."""
     gated = language_gate(pages, language)
-    nodes = page_nodes(gated.select("page_id", "html"), persist=persist)
-    fields = extract_nodes(nodes, language or "en", stop_words, with_body, with_meta, with_text)
-    # (page_id, url) straight from the input: the scan prunes ``html`` and the
-    # inner join with the fields keeps exactly the pages that passed the gate
-    urls = pages.select("page_id", "url")
-    out = urls.join(fields, "page_id", "inner").select(
+    trees = page_trees(gated.select("page_id", "url", "html"))
+    fields = extract_trees(trees, language or "en", stop_words, with_body, with_meta, with_text)
+    return fields.select(
         *[c for c in ARTICLE_COLUMNS if c not in ("link_hash", "is_parsed")],
-        link_hash("url").alias("link_hash"),
-        (F.col("title_path") != "").alias("is_parsed"))
-    return out.select(*ARTICLE_COLUMNS), nodes
+        link_hash("url").alias("link_hash"), (F.col("title_path") != "").alias("is_parsed")).select(*ARTICLE_COLUMNS)

@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsframe.functions.stopwords import has_stop_words
-from newsframe.functions.urls import site_root, url_valid
+from newsframe.functions.urls import link_hash, site_root, url_valid
+from newsframe.operators.dom import page_trees
 from newsframe.operators.sections import source_detect
-from newsframe.plans.article import ARTICLE_COLUMNS, article_extract
+from newsframe.operators.tokens import raw_meta_lang
+from newsframe.plans.article import ARTICLE_COLUMNS, extract_trees
 
 ENGINES = ("rule",)
 # Fixed value: the reference's configured default language. Spark ships no
@@ -27,20 +29,22 @@ def detect_article(pages: DataFrame, language: str | None = DEFAULT_LANGUAGE,
     """Q1: one row per input page: the article fields, or an ``error``
     (``bad_url``, ``language``, ``unparsed``, or ``no_stop_words``: the fields are
     there, but without a list for the language the body cannot be found)."""
-    valid = pages.filter(url_valid("url"))
     scored = bool(stop_words) or has_stop_words(language or "en")
-    art = article_extract(valid, language, stop_words, with_body=scored)
-    base = pages.select("page_id", F.col("url").alias("_url"), url_valid("url").alias("_valid"))
-    out = base.join(art, "page_id", "left")
+    # pages that are not to be parsed go through the parser empty: no join brings them back
+    passed = url_valid("url") & (F.lit(True) if language is None else raw_meta_lang("html").contains(language))
+    src = pages.select("page_id", "url", url_valid("url").alias("_valid"), F.coalesce(passed, F.lit(False)).alias("_passed"), "html")
+    src = src.withColumn("html", F.when(F.col("_passed"), F.col("html")))
+    trees = page_trees(src).withColumn("_read", F.size("nodes") > 0)
+    art = extract_trees(trees, language or "en", stop_words, with_body=scored, keep_empty=True).withColumn("link_hash", link_hash("url"))
+    is_parsed = F.col("_read") & (F.col("title_path") != "")
     error = (F.when(~F.col("_valid"), F.lit("bad_url"))
-             .when(F.col("is_parsed").isNull(), F.lit("language"))
-             .when(~F.col("is_parsed"), F.lit("unparsed")))
+             .when(~F.col("_passed"), F.lit("language"))
+             .when(~is_parsed, F.lit("unparsed")))
     if not scored:
         error = F.coalesce(error, F.lit("no_stop_words"))
     cols = [c for c in ARTICLE_COLUMNS if c not in ("page_id", "url", "is_parsed")]
-    return out.select("page_id", F.col("_url").alias("url"), *cols,
-                      F.coalesce("is_parsed", F.lit(False)).alias("is_parsed"),
-                      error.alias("error"))
+    return art.select("page_id", "url", *[F.when(F.col("_read"), F.col(c)).alias(c) for c in cols],
+                      is_parsed.alias("is_parsed"), error.alias("error"))
 
 
 def detect_source(targets: DataFrame, pages: DataFrame, sampling: int = 1,

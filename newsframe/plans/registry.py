@@ -47,9 +47,9 @@ def _news(spark, sf) -> DataFrame:
     return news_pages(_pages(spark, sf))
 
 
-def _nodes(spark, sf, news=True) -> DataFrame:
+def _trees(spark, sf, news=True, keep_html=False) -> DataFrame:
     src = _news(spark, sf) if news else _pages(spark, sf)
-    return D.page_nodes(src.select("page_id", "html"))
+    return D.page_trees(src.select("page_id", "html"), keep_html)
 
 
 def _join(col) -> F.Column:
@@ -221,8 +221,7 @@ def q_language_gate(spark, sf):
 @register("meta_lang_nodes", f"""
 SELECT page_id, {S.root_lang()} AS meta_lang, '/html/@lang' AS lang_path FROM pages""")
 def q_meta_lang_nodes(spark, sf):
-    nodes = _nodes(spark, sf, news=False)
-    return FL.flat_fields(FL.page_facts(nodes)).select("page_id", "meta_lang", "lang_path")
+    return FL.flat_fields(FL.page_facts(_trees(spark, sf, news=False))).select("page_id", "meta_lang", "lang_path")
 
 
 # ----------------------------------------------------------------------
@@ -239,8 +238,8 @@ WITH b AS (SELECT regexp_replace(regexp_replace(html, '<(script|style)[^>]*>[\\s
      t AS (SELECT lower(unnest(regexp_extract_all(h, '<([A-Za-z][A-Za-z0-9-]*)', 1))) AS tag FROM b)
 SELECT tag, count(*) AS n FROM t GROUP BY tag""")
 def q_dom_tag_counts(spark, sf):
-    nodes = _nodes(spark, sf, news=False)
-    return nodes.groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+    tags = _trees(spark, sf, news=False).select(F.explode(F.transform("nodes", lambda n: n["tag"])).alias("tag"))
+    return tags.groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
 
 
 _SIMPLE_TEXT_TAGS = ["title", "h1", "a", "footer"]
@@ -252,12 +251,9 @@ _SIMPLE_TEXT_TAGS = ["title", "h1", "a", "footer"]
         SELECT page_id, regexp_extract_all(html, '<{t}\\b[^>]*>([^<]*)</{t}>', 1) AS xs FROM pages))"""
     for t in _SIMPLE_TEXT_TAGS))
 def q_node_text(spark, sf):
-    nodes = _nodes(spark, sf, news=False)
-    tg = nodes.filter(F.col("tag").isin(_SIMPLE_TEXT_TAGS))
-    txt = D.node_text(nodes, tg.select("page_id", "node_id", "end_id"))
+    tg = D.node_rows(_trees(spark, sf, news=False), lambda n: n["tag"].isin(_SIMPLE_TEXT_TAGS), text=True)
     w = Window.partitionBy("page_id", "tag").orderBy("node_id")
-    return tg.select("page_id", "node_id", "tag").join(txt, ["page_id", "node_id"]) \
-        .select("page_id", "tag", F.row_number().over(w).alias("ord"), "node_text")
+    return tg.select("page_id", "tag", F.row_number().over(w).alias("ord"), "node_text")
 
 
 @register("find_by_tag", """
@@ -267,8 +263,7 @@ SELECT page_id, href, ltext AS link_text FROM (
                     regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1) AS ts FROM pages))
 WHERE regexp_matches(href, '(?i)^/th')""")
 def q_find_by_tag(spark, sf):
-    nodes = _nodes(spark, sf, news=False)
-    hits = D.find_by_tag(nodes, "a", "href", "^/th")
+    hits = D.find_by_tag(_trees(spark, sf, news=False), "a", "href", "^/th")
     return hits.select("page_id", F.col("attrs")["href"].alias("href"), F.col("text").alias("link_text"))
 
 
@@ -282,8 +277,7 @@ SELECT page_id, '/html/head/meta[' || CAST({S.count_before('html', '<meta', _OGU
        regexp_extract(html, '<meta property="og:url" content="([^"]*)"', 1) AS content
 FROM np WHERE {_OGURL_POS} > 0""")
 def q_css_select(spark, sf):
-    nodes = D.page_nodes(_news(spark, sf).select("page_id", "html"))
-    hit = D.css_select(nodes, "meta", "property", "og:url", "=")
+    hit = D.css_select(_trees(spark, sf), "meta", "property", "og:url", "=")
     return hit.select("page_id", F.col("xpath").alias("path"), F.col("attrs")["content"].alias("content"))
 
 
@@ -297,9 +291,7 @@ SELECT page_id, href, 'li' AS parent_tag,
        '/html/body/nav/ul' || CASE WHEN n_li > 1 THEN '/li[' || CAST(k AS VARCHAR) || ']' ELSE '/li' END AS cut_path
 FROM a""")
 def q_node_parent(spark, sf):
-    nodes = _nodes(spark, sf, news=False)
-    links = nodes.filter((F.col("tag") == "a") & F.col("xpath").startswith("/html/body/nav/"))
-    par = D.node_parent(nodes, links)
+    par = D.node_parent(_trees(spark, sf, news=False), lambda n: n["tag"] == "a").filter(F.col("xpath").startswith("/html/body/nav/"))
     return par.select("page_id", F.col("attrs")["href"].alias("href"), "parent_tag", "parent_xpath",
                       D.parent_path(F.concat("xpath", F.lit("/@href"))).alias("cut_path")) \
         .withColumnRenamed("parent_xpath", "parent_path")
@@ -314,9 +306,8 @@ SELECT page_id, CAST(1 AS INTEGER) AS sib_pos, 'h1' AS tag FROM a
 UNION ALL
 SELECT page_id, CAST(k + 1 AS INTEGER) AS sib_pos, 'p' AS tag FROM (SELECT page_id, unnest(generate_series(1, n_p)) AS k FROM a)""")
 def q_node_children(spark, sf):
-    nodes = _nodes(spark, sf, news=False)
-    art = nodes.filter(F.col("tag") == "article").select("page_id", F.col("node_id").alias("parent_id"))
-    kids = D.node_children(nodes).join(art, ["page_id", "parent_id"])
+    trees = _trees(spark, sf, news=False)
+    kids = D.node_rows(trees, lambda n: F.get("nodes", n["parent"])["tag"] == "article")
     return kids.select("page_id", "sib_pos", "tag")
 
 
@@ -327,11 +318,11 @@ SELECT page_id, CAST(ord AS INTEGER) AS b_ord, CAST(0 AS INTEGER) AS run_pos, 't
 UNION ALL
 SELECT page_id, CAST(ord AS INTEGER) AS b_ord, CAST(1 AS INTEGER) AS run_pos, 'br' AS kind, '' AS run_text FROM b""")
 def q_text_runs(spark, sf):
-    nodes = _nodes(spark, sf, news=False)
-    bs = nodes.filter(F.col("tag") == "b").select(
+    trees = _trees(spark, sf, news=False)
+    bs = D.node_rows(trees, lambda n: n["tag"] == "b").select(
         "page_id", F.col("node_id").alias("parent_id"),
         F.row_number().over(Window.partitionBy("page_id").orderBy("node_id")).alias("b_ord"))
-    runs = D.text_runs(nodes).join(bs, ["page_id", "parent_id"])
+    runs = D.text_runs(trees).join(bs, ["page_id", "parent_id"])
     return runs.select("page_id", "b_ord", "run_pos", "kind", "run_text")
 
 
@@ -340,8 +331,7 @@ WITH a AS (SELECT page_id, len(regexp_extract_all({_ARTICLE_INNER}, '<p>', 0)) A
 SELECT page_id, CAST(k AS INTEGER) AS p_ord, CASE WHEN k = 1 THEN 'h1' ELSE 'p' END AS prev_tag
 FROM (SELECT page_id, unnest(generate_series(1, n_p)) AS k FROM a)""")
 def q_prev_sibling(spark, sf):
-    nodes = _nodes(spark, sf, news=False)
-    ps = D.prev_sibling(nodes).filter((F.col("tag") == "p") & F.col("xpath").startswith("/html/body/article/"))
+    ps = D.prev_sibling(_trees(spark, sf, news=False), lambda n: (n["tag"] == "p") & (F.get("nodes", n["parent"])["tag"] == "article"))
     w = Window.partitionBy("page_id").orderBy("node_id")
     return ps.select("page_id", F.row_number().over(w).alias("p_ord"), "prev_tag")
 
@@ -349,11 +339,8 @@ def q_prev_sibling(spark, sf):
 @register("drop_subtree", f"""
 SELECT page_id, {S.squash(S.ent("regexp_replace(" + _ARTICLE_INNER + ", '<[^>]*>', ' ', 'g')"))} AS body_text FROM pages""")
 def q_drop_subtree(spark, sf):
-    nodes = _nodes(spark, sf, news=False)
-    junk = nodes.filter(F.col("tag").isin("nav", "footer") | (F.col("tag") == "div"))
-    kept = D.drop_subtree(nodes, junk)
-    bodies = kept.filter(F.col("tag") == "body").select("page_id", "node_id", "end_id")
-    return D.node_text(kept, bodies).select("page_id", F.col("node_text").alias("body_text"))
+    kept = D.drop_subtree(_trees(spark, sf, news=False), lambda n: n["tag"].isin("nav", "footer", "div"))
+    return D.node_rows(kept, lambda n: n["tag"] == "body", text=True).select("page_id", F.col("node_text").alias("body_text"))
 
 
 @register("clean_doc", f"""
@@ -364,8 +351,8 @@ WITH b AS (SELECT regexp_replace(regexp_replace(regexp_replace(regexp_replace(re
      t AS (SELECT lower(unnest(regexp_extract_all(h, '<([A-Za-z][A-Za-z0-9-]*)', 1))) AS tag FROM b)
 SELECT tag, count(*) AS n FROM t GROUP BY tag""")
 def q_clean_doc(spark, sf):
-    nodes = _nodes(spark, sf, news=False)
-    return D.clean_doc(nodes).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+    cleaned = D.clean_doc(_trees(spark, sf, news=False))
+    return cleaned.select(F.explode(F.transform("nodes", lambda n: n["tag"])).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("node_html", """
@@ -373,16 +360,13 @@ SELECT page_id, regexp_extract(html, '<article>[\\s\\S]*?</article>', 0) AS node
 FROM pages WHERE contains(html, '<article>')""")
 def q_node_html(spark, sf):
     """The source markup of each page's article element."""
-    nodes = _nodes(spark, sf, news=False)
-    arts = nodes.filter(F.col("tag") == "article")
-    return D.node_html(nodes, _pages(spark, sf), arts).select("page_id", "node_html")
+    return D.node_html(_trees(spark, sf, news=False, keep_html=True), lambda n: n["tag"] == "article").select("page_id", "node_html")
 
 
 @register("drop_tag")
 def q_drop_tag(spark, sf):
     """Unwrap inline ``b`` elements; their children move to the parent."""
-    nodes = _nodes(spark, sf, news=False)
-    out = D.drop_tag(nodes, nodes.filter(F.col("tag") == "b"))
+    out = D.node_rows(D.drop_tag(_trees(spark, sf, news=False), lambda n: n["tag"] == "b"))
     return out.select("page_id", "node_id", "parent_id", "sib_pos", "tag", "text", "tail")
 
 
@@ -392,12 +376,9 @@ SELECT page_id, text_path AS path,
   f19.text AS all_text
 FROM f18 JOIN f19 USING (page_id) JOIN en USING (page_id)""")
 def q_xpath_select(spark, sf):
-    """C4: evaluate one expression per page (the body path of F18) on the
-    node table via the path pattern of E6."""
+    """C4: evaluate one expression per page, the body path of F18."""
     from newsframe.operators.sections import select_path
-    nodes = _nodes(spark, sf)
-    paths = B.best_node(nodes, B.block_scores(B.text_blocks(nodes, LANG))).select("page_id", F.col("text_path").alias("path"))
-    return select_path(nodes, paths)
+    return select_path(B.with_body(_trees(spark, sf), LANG, text=False), F.col("text_path"))
 
 
 # ----------------------------------------------------------------------
@@ -409,7 +390,7 @@ _ALL = S.field_ctes(gate=False)
 
 
 def _flat(spark, sf) -> DataFrame:
-    return FL.flat_fields(FL.page_facts(_nodes(spark, sf)))
+    return FL.flat_fields(FL.page_facts(_trees(spark, sf)))
 
 
 @register("title_select", _ALL + "\nSELECT page_id, title_path, title FROM f1v")
@@ -429,7 +410,7 @@ def q_og_title(spark, sf):
 
 @register("authors", _ALL + "\nSELECT page_id, author_paths, authors FROM f4")
 def q_authors(spark, sf):
-    a = FL.authors(_nodes(spark, sf))
+    a = FL.authors(_trees(spark, sf))
     return a.select("page_id", _join("author_paths").alias("author_paths"), _join("authors").alias("authors"))
 
 
@@ -438,7 +419,7 @@ SELECT page_id, path, text, array_to_string(names, '|') AS names FROM (
   SELECT DISTINCT page_id, path, text, names FROM an)""")
 def q_byline_names(spark, sf):
     from newsframe.functions.text import byline_names
-    c = FL.author_candidates(_nodes(spark, sf)).filter(F.coalesce(F.col("text"), F.lit("")) != "")
+    c = FL.author_candidates(_trees(spark, sf)).filter(F.coalesce(F.col("text"), F.lit("")) != "")
     return c.select("page_id", "path", "text", _join(byline_names("text")).alias("names")).distinct()
 
 
@@ -510,7 +491,7 @@ rowsm AS (
 @register("meta_map", _ALL + _META_LONG + """
 SELECT page_id, head, sub, arg_max(value, ord) AS value FROM rowsm GROUP BY page_id, head, sub""")
 def q_meta_map(spark, sf):
-    return FL.meta_rows(_nodes(spark, sf))
+    return FL.meta_rows(_trees(spark, sf))
 
 
 @register("publish_date", _ALL + """
@@ -527,7 +508,7 @@ SELECT page_id, href, link_text FROM (
                     regexp_extract_all(html, '<a [^>]*href="[^"]*"[^>]*>([^<]*)', 1) AS ts FROM en))
 WHERE href <> '' AND NOT contains(href, '#')""")
 def q_page_links(spark, sf):
-    return FL.page_links(_nodes(spark, sf)).select("page_id", "href", "link_text")
+    return FL.page_links(_trees(spark, sf)).select("page_id", "href", "link_text")
 
 
 # F15 under the body node of F18 (the article element)
@@ -543,28 +524,22 @@ SELECT page_id, string_agg(src, '|') AS videos FROM (
   SELECT page_id, unnest(regexp_extract_all(html, '<iframe data-src="([^"]*)"', 1)) AS src FROM en)
 GROUP BY page_id""")
 def q_video_src(spark, sf):
-    v = FL.video_sources(_nodes(spark, sf))
+    v = FL.video_sources(_trees(spark, sf))
     return v.select("page_id", _join("videos").alias("videos"))
 
 
 @register("body_videos", _ALL + "\n" + _BODY_VIDEOS)
 def q_body_videos(spark, sf):
     """F15 restricted to each page's best node."""
-    nodes, b = _blocks(spark, sf)
-    v = FL.video_sources(nodes, B.best_node(nodes, B.block_scores(b)))
-    return v.select("page_id", _join("videos").alias("videos"))
-
-
-def _blocks(spark, sf):
-    nodes = _nodes(spark, sf)
-    return nodes, B.text_blocks(nodes, LANG)
+    v = B.with_body(_trees(spark, sf), LANG, text=False).select("page_id", FL.videos_in("top").alias("videos"))
+    return v.filter("videos IS NOT NULL").select("page_id", _join("videos").alias("videos"))
 
 
 @register("text_blocks", _ALL + """
 SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY k) AS INTEGER) AS block_ord,
        CAST(stopwords AS INTEGER) AS stopwords, CAST(link_density AS DOUBLE) AS link_density FROM pk2 WHERE kept""")
 def q_text_blocks(spark, sf):
-    _, b = _blocks(spark, sf)
+    b = B.text_blocks(_trees(spark, sf), LANG)
     w = Window.partitionBy("page_id").orderBy("node_id")
     return b.select("page_id", F.row_number().over(w).alias("block_ord"),
                     F.col("stopwords").cast("int").alias("stopwords"),
@@ -573,22 +548,17 @@ def q_text_blocks(spark, sf):
 
 @register("block_scores", _ALL + "\nSELECT page_id, i, boostable, upscore FROM f17")
 def q_block_scores(spark, sf):
-    _, b = _blocks(spark, sf)
-    return B.block_scores(b).select("page_id", F.col("i").cast("int").alias("i"), "boostable", "upscore")
+    return B.block_scores(_trees(spark, sf), LANG).select("page_id", F.col("i").cast("int").alias("i"), "boostable", "upscore")
 
 
 @register("best_node", _ALL + "\nSELECT page_id, text_path, top_score FROM f18")
 def q_best_node(spark, sf):
-    nodes, b = _blocks(spark, sf)
-    top = B.best_node(nodes, B.block_scores(b))
-    return top.select("page_id", "text_path", F.col("top_score").cast("double").alias("top_score"))
+    return B.best_node(_trees(spark, sf), LANG).select("page_id", "text_path", F.col("top_score").cast("double").alias("top_score"))
 
 
 @register("body_text", _ALL + "\nSELECT page_id, text FROM f19")
 def q_body_text(spark, sf):
-    nodes, b = _blocks(spark, sf)
-    top = B.best_node(nodes, B.block_scores(b))
-    return B.body_text(nodes, top).select("page_id", "text")
+    return B.body_text(_trees(spark, sf), LANG)
 
 
 @register("article_extract", _FC + """
@@ -689,7 +659,7 @@ def q_linked_articles(spark, sf):
     """E2 over the links of each section's pages; an article linked from two sections is in both."""
     from newsframe.operators.sections import linked_articles
     pages = _news(spark, sf)
-    out = linked_articles(pages, D.page_nodes(pages.select("page_id", "html"), persist=False))
+    out = linked_articles(D.page_trees(pages))
     return out.select("section_url", "url", F.coalesce("title", F.lit("")).alias("title"), "page_id")
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsframe.plans.article import extract_with_nodes
+from newsframe.plans.article import article_extract
 from newsframe.session import checkpoint_dir
 from newsframe.sources import PAGES_SCHEMA
 
@@ -44,11 +44,9 @@ def detect_stream(spark: SparkSession, folder: str, sink: str, language: str | N
     def run_batch(batch: DataFrame, epoch_id: int) -> None:
         if prepare is not None:
             batch = prepare(batch)
-        articles, nodes = extract_with_nodes(batch, language)
         # one folder per micro-batch, overwritten: a batch replayed after a
         # failure rewrites its own output instead of appending duplicates
-        articles.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={epoch_id}")
-        nodes.unpersist()
+        article_extract(batch, language).write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={epoch_id}")
 
     writer = (page_stream(spark, folder, file_glob=file_glob).writeStream.foreachBatch(run_batch)
               .option("checkpointLocation", ckpt).queryName(name))
@@ -65,7 +63,7 @@ def template_stream(spark: SparkSession, folder: str, templates: DataFrame, sink
 
     Template learning stays a batch job: it needs samples across a section.
     """
-    from newsframe.operators.sections import apply_with_nodes
+    from newsframe.operators.sections import apply_template
     from newsframe.session import materialize
 
     ckpt = checkpoint or f"{checkpoint_dir(spark)}/{name}-stream"
@@ -74,9 +72,7 @@ def template_stream(spark: SparkSession, folder: str, templates: DataFrame, sink
     def run_batch(batch: DataFrame, epoch_id: int) -> None:
         if prepare is not None:
             batch = prepare(batch)
-        out, nodes = apply_with_nodes(batch, static)
-        out.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={epoch_id}")
-        nodes.unpersist()
+        apply_template(batch, static).write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={epoch_id}")
 
     writer = (page_stream(spark, folder, file_glob=file_glob).writeStream.foreachBatch(run_batch)
               .option("checkpointLocation", ckpt).queryName(name))

@@ -6,7 +6,7 @@ from newsframe.operators import fields as FL
 
 
 def _flat(spark, *docs):
-    n = D.page_nodes(pages_df(spark, list(docs)).select("page_id", "html"), partitions=2)
+    n = D.page_trees(pages_df(spark, list(docs)))
     return {r.page_id: r for r in FL.flat_fields(FL.page_facts(n)).collect()}, n
 
 
@@ -41,7 +41,7 @@ def test_og_attribute_existence_decides(spark):
 def test_authors(spark):
     doc = _page("t", body='<div class="author">By: Foo Bar, Far Boo</div>')
     meta = _page("t", head='<meta name="author" content="fake_text">')
-    n = D.page_nodes(pages_df(spark, [doc, meta]).select("page_id", "html"), partitions=2)
+    n = D.page_trees(pages_df(spark, [doc, meta]))
     rows = {r.page_id: r for r in FL.authors(n).collect()}
     assert rows[0].author_paths == ["/html/body/div"]
     assert rows[0].authors == ["Foo Bar", "Far Boo"]
@@ -119,7 +119,7 @@ def test_links_and_video(spark):
 def test_folded_meta_map_equals_standalone(spark):
     from conftest import SF
     from newsframe.sources import load_pages, news_pages
-    n = D.page_nodes(news_pages(load_pages(spark, f"{SF}/pages.parquet")).select("page_id", "html"))
+    n = D.page_trees(news_pages(load_pages(spark, f"{SF}/pages.parquet")))
     folded = {r.page_id: r.meta_map for r in FL.flat_fields(FL.page_facts(n)).collect()}
     alone = {r.page_id: r.meta_map for r in FL.meta_map(n).collect()}
     assert alone and all(folded[k] == v for k, v in alone.items())
@@ -129,3 +129,35 @@ def test_folded_meta_map_equals_standalone(spark):
     f2 = FL.flat_fields(FL.page_facts(n2)).first().meta_map
     assert f2 == FL.meta_map(n2).first().meta_map
     assert f2["farboo"]["baz"] == "/html/head/meta[3]/@content" and f2["solo"] == {}
+
+
+def test_ten_thousand_author_hits_on_a_page(spark):
+    import time
+    body = "".join(f'<a rel="author" class="byline">By Ann Lee{"x" * (k % 7)}, Bob {"CDEFGHIJ"[k % 8]}</a>' for k in range(5000))
+    began = time.time()
+    r, _ = _flat(spark, _page("t", body=body))
+    assert len(r[0].author_paths) == 56 and r[0].author_paths[0] == "/html/body/a[1]" and time.time() - began < 90
+
+
+def test_meta_updates_against_a_plain_fold(spark):
+    import random
+    rng = random.Random(6)
+
+    def fold(metas):
+        data = {}
+        for k, (key, kind) in enumerate(metas, 1):
+            path = f"/html/head/meta[{k}]" if len(metas) > 1 else "/html/head/meta"
+            parts = key.split(":")
+            if len(parts) == 1:
+                data[key] = path
+                continue
+            at = data.setdefault(parts[0], {})
+            if isinstance(at, str):
+                at = data[parts[0]] = {parts[0]: at}
+            if len(parts) == 2:
+                at[parts[1]] = f"{path}/@{kind}"
+        return {k: {"": v} if isinstance(v, str) else v for k, v in data.items()}
+    pages = [[(rng.choice(["a", "b", "a:x", "a:y", "a:a", "b:x", "b:x:y", "c:x:y", "a:"]), rng.choice(["content", "value"])) for _ in range(rng.randint(1, 9))] for _ in range(120)]
+    r, t = _flat(spark, *[_page(None, head="".join(f'<meta name="{k}" {kind}="v">' for k, kind in metas)) for metas in pages])
+    assert [r[i].meta_map for i in range(len(pages))] == [fold(m) for m in pages]
+    assert {x.page_id: x.meta_map for x in FL.meta_map(t).collect()} == {i: fold(m) for i, m in enumerate(pages)}

@@ -1,28 +1,11 @@
 """Plan-shape guards: the properties the design relies on at scale."""
 
-import re
-
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF, pages_df
 
 
-def _top_plan(df) -> str:
-    """Executed plan text without the sub-plans of cached relations."""
-    txt = df._jdf.queryExecution().executedPlan().toString()
-    out, skip = [], None
-    for line in txt.split("\n"):
-        depth = len(line) - len(line.lstrip(" :+-"))
-        if skip is not None and depth > skip:
-            continue
-        skip = None
-        out.append(line)
-        if "InMemoryTableScan" in line or "InMemoryRelation" in line:
-            skip = depth
-    return "\n".join(out)
-
-
 @pytest.fixture
 def static_plans(spark):
     old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
@@ -33,26 +16,26 @@ def static_plans(spark):
         spark.conf.set(k, v)
 
 
-def test_field_and_body_plans_reuse_page_partitioning(spark, static_plans):
+def test_page_plans_have_no_shuffle_join_or_cache(spark, static_plans, monkeypatch):
     from newsframe.operators import body as B
     from newsframe.operators import dom as D
     from newsframe.operators import fields as FL
+    from newsframe.plans.article import article_extract
+    from newsframe.plans.detect import detect
     from newsframe.sources import load_pages, news_pages
-    nodes = D.page_nodes(news_pages(load_pages(spark, f"{SF}/pages.parquet")).select("page_id", "html"))
-    top = B.best_node(nodes, B.block_scores(B.text_blocks(nodes, "en")))
+    monkeypatch.setattr(D, "SPLIT_BYTES", 0)  # as for an input that fills every core
+    pages = news_pages(load_pages(spark, f"{SF}/pages.parquet"))
+    trees = D.page_trees(pages)
     plans = {
-        "facts": FL.flat_fields(FL.page_facts(nodes)),
-        "authors": FL.authors(nodes),
-        "meta": FL.meta_map(nodes),
-        "body": top.join(B.body_text(nodes, top), "page_id"),
-        "videos": FL.video_sources(nodes, top),
+        "title_select": FL.flat_fields(FL.page_facts(trees)).select("page_id", "title_path", "title"),
+        "authors": FL.authors(trees), "meta": FL.meta_map(trees), "body": B.body_text(trees), "videos": FL.video_sources(trees),
+        "cleaned": D.clean_doc(trees, unwrap_inline=True), "article": article_extract(pages, "en"), "detect": detect(pages, mode="article", language="en"),
     }
     for name, df in plans.items():
-        plan = _top_plan(df)
-        exchanges = re.findall(r"Exchange \w+", plan)
-        assert exchanges == [], (name, exchanges)
-        # arg-min/max over strings and structs must not force sort-based aggregation
-        assert "SortAggregate" not in plan, name
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        for bad in ("Exchange", "Join", "Aggregate", "Window", "InMemoryTableScan", "BatchEvalPython", "ArrowEvalPython"):
+            assert bad not in plan, (name, bad)
+        assert plan.count("MapInArrow") == (3 if name == "cleaned" else 1), name
 
 
 def test_hot_section_ships_k_rows_per_task(spark):

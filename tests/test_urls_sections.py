@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import pages_df
 from newsframe.functions import urls as U
+from newsframe.operators import dom as D
 from newsframe.operators import sections as SE
 
 
@@ -70,5 +71,18 @@ def test_apply_template_unindexed_step(spark):
     assert len(out) == 1
     row = out[0]
     assert row.title == "T2" and row.text == "one\ntwo\nthree\n" and row.author is None
-    pat = spark.range(1).select(SE.path_pattern(F.lit("/html/body/p[2]//text()")).alias("p")).first().p
-    assert pat == r"^/html\[\d+\]/body\[\d+\]/p\[2\]$"
+    steps = spark.range(1).select(SE.path_steps(F.lit("/html/body/p[2]//text()")).alias("p")).first().p
+    assert [tuple(s) for s in steps] == [(0, "html", None), (1, "body", None), (2, "p", 2)]
+
+
+def test_paths_against_a_plain_walk(spark):
+    html = ("<html><head><meta property='og:title' content='T'></head><body><div><p>a<b>b</b></p><p>c</p></div><div><p>d</p><div><p>e</p></div></div>tail</body></html>")
+    t = D.page_trees(pages_df(spark, [html]))
+    want = {
+        "/html/body/div/p//text()": ("a", "a\nb\nc\nd\n"), "/html/body/div[2]/p//text()": ("d", "d\n"), "/html/body/div/p[2]": ("c", None),
+        "/html/body/div[2]/div/p": ("e", None), '//meta[@property="og:title"]/@content': ("T", None), "/html/body/div": ("a b c", None),
+        "/html/body//text()": ("a", "a\nb\nc\nd\ne\ntail\n"), "/html/head/meta/@missing": (None, None)}
+    for path, expected in want.items():
+        r = SE.select_path(t, F.lit(path)).collect()
+        assert [(x.first_value, x.all_text) for x in r] == [expected], path
+    assert SE.select_path(t, F.lit("/html/body/div[3]/p")).count() == 0
