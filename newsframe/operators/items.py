@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newsframe.session import materialize
+
 # Article flags of the item schema.
 AFLAG_ORIGINAL, AFLAG_CLONE, AFLAG_TRANSLATED = 0, 1, 2
 
@@ -84,8 +85,9 @@ def news_items(articles: DataFrame, category_col: str | None = None) -> DataFram
         F.lit(None).cast("double").alias("ratings"),
         F.lit(None).cast("array<string>").alias("comments"),
         "page_id",
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    flagged = clone_flags(items.drop("aflag"), "content", "page_id")
+    )
+    # the flags read the items twice: they are written once, and no cache is held
+    flagged = clone_flags(materialize(items.drop("aflag"), "news-items"), "content", "page_id")
     return flagged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in NEWS_ITEM_SCHEMA],
                           "page_id")
 

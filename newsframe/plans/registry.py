@@ -21,7 +21,7 @@ from newsframe.operators import dom as D
 from newsframe.operators import fields as FL
 from newsframe.operators import tokens as TK
 from newsframe.plans import sqlparts as S
-from newsframe.sources import load_pages, news_pages, table, targets_from_pages
+from newsframe.sources import linked_pages, linked_pages_sql, load_pages, news_pages, table, targets_from_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -773,6 +773,83 @@ def q_template_report(spark, sf):
     return template_report(_applied(spark, sf))
 
 
+# ----------------------------------------------------------------------
+# E3-E7 over the articles that sections link to (pages with links between them)
+# ----------------------------------------------------------------------
+
+# the links of each section's pages, made absolute; an article's place is that of its first link
+_LINKED_E2 = f""",
+lkh AS (SELECT page_id, regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1) AS hs FROM np),
+lku AS (SELECT page_id, unnest(generate_series(1, len(hs))) AS k, {S.ent("unnest(hs)")} AS href FROM lkh),
+lka AS (SELECT su.section_url, lku.page_id * 1000000 + lku.k AS pos,
+    CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.\\-]*://') THEN href
+         WHEN starts_with(href, '//') THEN split_part(su.site, ':', 1) || ':' || href
+         WHEN starts_with(href, '/') THEN su.site || href ELSE su.site || '/' || href END AS url
+  FROM lku JOIN su USING (page_id) WHERE href <> '' AND NOT contains(href, '#')),
+le2 AS (SELECT section_url, url, min(pos) AS apos FROM lka WHERE contains(url, '://') AND starts_with(url, 'http') GROUP BY section_url, url),
+le2p AS (SELECT le2.*, known.page_id FROM le2 LEFT JOIN (SELECT url, min(page_id) AS page_id FROM vp GROUP BY url) known USING (url)),
+lk_ AS (SELECT le2p.*, sec.spos AS l_spos, {_NETLOC.replace('(url,', '(le2p.url,')} AS netloc, {_SEG.replace('(url,', '(le2p.url,')} AS seg
+        FROM le2p JOIN sec USING (section_url)),
+lkeys AS (SELECT url, page_id, l_spos, apos, netloc AS key, false AS has_path FROM lk_
+          UNION ALL SELECT url, page_id, l_spos, apos, netloc || '/' || seg AS key, true AS has_path FROM lk_ WHERE seg IS NOT NULL),
+e3 AS (SELECT * FROM (SELECT sec.key, sec.section_url, sec.spos, lkeys.url, lkeys.page_id,
+          CAST(row_number() OVER (PARTITION BY sec.section_url ORDER BY l_spos, apos, lkeys.url) AS INTEGER) AS rank
+        FROM sec JOIN lkeys ON sec.key = lkeys.key AND sec.has_path = lkeys.has_path) WHERE rank <= {SAMPLING})"""
+_LINKED_CTES = (S.field_ctes() + _SEC_CTES.replace("e3 AS (", "e3_known AS (") + _LINKED_E2).replace(S.NEWS, linked_pages_sql("pages"))
+
+
+def _linked_samples(spark, sf):
+    from newsframe.operators.sections import linked_articles, resolved_articles, section_sample
+    pages = linked_pages(_pages(spark, sf))
+    return pages, section_sample(pages, SAMPLING, resolved_articles(linked_articles(D.page_trees(pages)), pages))
+
+
+@register("resolved_links", _LINKED_CTES + "\nSELECT section_url, url, page_id FROM le2p")
+def q_resolved_links(spark, sf):
+    """The articles that sections link to with their known pages; links that lead to none are kept."""
+    from newsframe.operators.sections import linked_articles, resolved_articles
+    pages = linked_pages(_pages(spark, sf))
+    return resolved_articles(linked_articles(D.page_trees(pages)), pages).select("section_url", "url", "page_id")
+
+
+@register("linked_sample", _LINKED_CTES + "\nSELECT key, section_url, spos, url, page_id, rank FROM e3")
+def q_linked_sample(spark, sf):
+    """E3 over linked articles."""
+    return _linked_samples(spark, sf)[1]
+
+
+@register("linked_process_all", _LINKED_CTES + "\n" + _E4_SQL)
+def q_linked_process_all(spark, sf):
+    """E4 over linked articles: those without a known page stay listed unparsed."""
+    from newsframe.operators.sections import section_process_all
+    pages, samples = _linked_samples(spark, sf)
+    return section_process_all(pages, samples, LANG).select("key", "section_url", "url", "page_id", "rank", "is_parsed", "title_path")
+
+
+@register("linked_template", _LINKED_CTES + _E5_SQL)
+def q_linked_template(spark, sf):
+    """E5/E8 over linked articles."""
+    from newsframe.operators.sections import source_detect
+    return source_detect(linked_pages(_pages(spark, sf)), SAMPLING, LANG, linked=True)
+
+
+_REPORT_SQL = """
+SELECT key, count(*) AS pages,
+  count(*) FILTER (WHERE title IS NOT NULL AND text IS NOT NULL AND author IS NOT NULL AND publish_date IS NOT NULL) AS complete,
+  count(*) FILTER (WHERE title IS NULL) AS missing_title, count(*) FILTER (WHERE text IS NULL) AS missing_text,
+  count(*) FILTER (WHERE author IS NULL) AS missing_author,
+  count(*) FILTER (WHERE publish_date IS NULL) AS missing_publish_date
+FROM e6 GROUP BY key"""
+
+
+@register("linked_report", _LINKED_CTES + _E6_CTES.replace(S.NEWS, linked_pages_sql("pages")) + _REPORT_SQL)
+def q_linked_report(spark, sf):
+    """E6 and E7 with the templates learned from linked articles."""
+    from newsframe.operators.sections import apply_template, source_detect, template_report
+    pages = linked_pages(_pages(spark, sf))
+    return template_report(apply_template(pages, source_detect(pages, SAMPLING, LANG, linked=True)))
+
+
 # ----------------------------------------------------------------------
 # items
 # ----------------------------------------------------------------------

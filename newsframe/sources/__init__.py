@@ -98,3 +98,31 @@ def news_pages(pages: DataFrame) -> DataFrame:
 
 def news_pages_sql(pages_relation: str = "pages") -> str:
     return NEWS_PAGES_SQL.replace("{pages}", pages_relation)
+
+
+# The enriched pages with a list of links behind the article, again one SQL text for both engines: to the next
+# page of the same section (site-relative on every other page), to the next page of the same
+# host, and to a page that does not exist. The links are found on narrow rows and joined back by page.
+LINKED_PAGES_SQL = """
+SELECT p.page_id, p.url, replace(p.html, '</article>', concat('</article><div class="more">',
+   CASE WHEN l.in_section IS NULL THEN '' ELSE concat('<a href="', l.in_section, '">next ', cast(p.page_id % 9 AS string), '</a>') END,
+   CASE WHEN l.on_host IS NULL THEN '' ELSE concat('<a href="', l.on_host, '">more</a>') END,
+   '<a href="', l.segment, '/missing-', cast(p.page_id % 50 AS string), '">old</a></div>')) AS html
+FROM {pages} p JOIN (
+  SELECT page_id, segment,
+         replace(CASE WHEN page_id % 2 = 0 THEN substring(s_next, length(host) + 1) ELSE s_next END, '&', '&amp;') AS in_section,
+         replace(lead(url) OVER (PARTITION BY host ORDER BY page_id), '&', '&amp;') AS on_host
+  FROM (SELECT page_id, url, host, segment, lead(url) OVER (PARTITION BY host, segment ORDER BY page_id) AS s_next
+        FROM (SELECT page_id, url, regexp_extract(url, '^[A-Za-z]+://[^/?#]*', 0) AS host,
+                     regexp_extract(url, '^[A-Za-z]+://[^/?#]*(/[^/?#]*)', 1) AS segment FROM {pages}) h) s) l
+ON p.page_id = l.page_id
+"""
+
+
+def linked_pages(pages: DataFrame) -> DataFrame:
+    """The enriched pages with links between them (same SQL text as the DuckDB oracle)."""
+    return pages.sparkSession.sql(LINKED_PAGES_SQL, pages=news_pages(pages))
+
+
+def linked_pages_sql(pages_relation: str = "pages") -> str:
+    return LINKED_PAGES_SQL.replace("{pages}", f"({news_pages_sql(pages_relation)})")
