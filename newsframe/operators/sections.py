@@ -132,8 +132,17 @@ def linked_articles(trees: DataFrame) -> DataFrame:
     return first.select("section_url", "url", F.col("f.link_text").alias("title"), F.col("f.page_id").alias("page_id"), F.col("f.node_id").alias("node_id"))
 
 
-#: Under so many salts the sections that link to one URL are spread.
-LINK_SALTS = 32
+#: Under so many salts the rows that share one key are spread.
+SALTS = 32
+
+
+def spread_join(rows: DataFrame, found: DataFrame, key: str, by: str) -> DataFrame:
+    """``rows`` left-joined with ``found`` (unique by ``key``) without a hot key: rows of one key are
+    spread by a hash of column ``by``. The distinct (key, salt) pairs, at most ``SALTS`` for each key and combined
+    map-side, are looked up in ``found`` and joined back under both."""
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+    looked_up = salted.select(key, "_salt").distinct().join(found, key)
+    return salted.join(looked_up, [key, "_salt"], "left").drop("_salt")
 
 
 def resolved_articles(linked: DataFrame, pages: DataFrame) -> DataFrame:
@@ -142,13 +151,10 @@ def resolved_articles(linked: DataFrame, pages: DataFrame) -> DataFrame:
     ``page_id`` is the first known page with that very URL, null for a link that leads to none; such an article stays in
     the list, as one whose download failed. ``apos`` orders a section's articles by their links.
 
-    A URL that a third of the sections link to is no hot key: the distinct (url, salt) pairs, at most
-    ``LINK_SALTS`` for each URL, are looked up among the pages and joined back under both.
+    A URL that a third of the sections link to is no hot key (``spread_join``).
     """
-    salted = linked.withColumn("salt", F.pmod(F.xxhash64("section_url"), F.lit(LINK_SALTS)).cast("int"))
     known = pages.filter(U.url_valid("url")).groupBy("url").agg(F.min("page_id").alias("found"))
-    looked_up = salted.select("url", "salt").distinct().join(known, "url")
-    return salted.join(looked_up, ["url", "salt"], "left").select(
+    return spread_join(linked, known, "url", "section_url").select(
         "section_url", "url", F.col("found").alias("page_id"), F.struct(F.col("page_id").cast("long").alias("page"), F.col("node_id").cast("long").alias("node")).alias("apos"))
 
 

@@ -976,3 +976,43 @@ def q_template_stream(spark, sf):
     q.awaitTermination()
     return spark.read.parquet(f"{base}/sink").select("page_id", "key", "title", "text", "author",
                                                    "publish_date")
+
+
+# Q3 with targets as messages: every page and every site is asked for, some messages come twice, some URLs are bad or unknown
+_MESSAGES_SQL = """
+SELECT concat('p', cast(page_id AS string)) AS message_id, url, true AS is_article, page_id AS at FROM {pages}
+UNION ALL SELECT concat('x', cast(page_id AS string)) AS message_id, concat(url, '/unknown') AS url, true AS is_article, page_id AS at FROM {pages} WHERE page_id % 10 = 0
+UNION ALL SELECT concat('b', cast(page_id AS string)) AS message_id, replace(url, '://', ':') AS url, page_id % 2 = 0 AS is_article, page_id AS at FROM {pages} WHERE page_id % 10 = 1
+UNION ALL SELECT concat('s', cast(page_id AS string)) AS message_id, regexp_extract(url, '^[A-Za-z]+://[^/?#]*', 0) AS url, false AS is_article, page_id AS at
+          FROM {pages} WHERE page_id % 3 = 0"""
+
+
+@register("target_stream", S.field_ctes() + _SEC_CTES + _E5_CTES + """,
+msg AS (""" + _MESSAGES_SQL.replace("{pages}", "pages") + """),
+host AS (SELECT split_part(key, '/', 1) AS host, string_agg(key || '=' || title_path, ' ' ORDER BY key) AS templates FROM tmpl GROUP BY 1),
+ans AS (SELECT message_id, msg.url, is_article, first.page_id, f1v.title_path, f13.publish_date, host.templates,
+         contains(msg.url, '://') AND starts_with(msg.url, 'http') AS ok
+  FROM msg LEFT JOIN (SELECT url, min(page_id) AS page_id FROM np GROUP BY url) first ON is_article AND first.url = msg.url
+    LEFT JOIN f1v ON f1v.page_id = first.page_id LEFT JOIN f13 ON f13.page_id = first.page_id
+    LEFT JOIN host ON NOT is_article AND host.host = """ + _NETLOC.replace("(url,", "(msg.url,") + """)
+SELECT message_id, url, is_article,
+  CASE WHEN NOT ok THEN 'bad_url' WHEN is_article AND page_id IS NULL THEN 'no_page' WHEN is_article AND title_path IS NULL THEN 'language'
+       WHEN NOT is_article AND templates IS NULL THEN 'no_template' END AS error,
+  CASE WHEN ok AND is_article THEN title_path END AS title_path, CASE WHEN ok AND is_article AND title_path IS NOT NULL THEN coalesce(publish_date, '') END AS publish_date,
+  CASE WHEN ok AND NOT is_article THEN templates END AS templates FROM ans""")
+def q_target_stream(spark, sf):
+    """Q3: target messages answered as a stream, with repeated deliveries; equals Q1 and Q2 over the same targets."""
+    import uuid
+    from newsframe.session import checkpoint_dir
+    from newsframe.streaming.targets import target_stream
+    base = f"{checkpoint_dir(spark)}/target-stream-{uuid.uuid4().hex}"
+    pages = _pages(spark, sf)
+    messages = spark.sql(_MESSAGES_SQL, pages=pages).select("message_id", "url", "is_article", F.timestamp_seconds(F.col("at") + 1_700_000_000).alias("sent"))
+    (messages.repartition(2, "message_id").union(messages.filter("message_id LIKE '%7'").coalesce(1)).write.json(f"{base}/messages"))
+    q = target_stream(spark, f"{base}/messages", news_pages(pages), f"{base}/sink", LANG, SAMPLING, checkpoint=f"{base}/ckpt", delay="3650 days")
+    q.awaitTermination()
+    got = spark.read.text(f"{base}/sink").select(F.from_json("value", (
+        "message_id string, url string, is_article boolean, error string, article struct<title_path:string,publish_date:string>, "
+        "templates array<struct<key:string,title_path:string>>")).alias("m")).select("m.*")
+    return got.select("message_id", "url", "is_article", "error", "article.title_path", "article.publish_date",
+                      F.array_join(F.transform("templates", lambda t: F.concat(t["key"], F.lit("="), t["title_path"])), " ").alias("templates"))
