@@ -8,9 +8,10 @@ of each other in one text; a base access identifier counts as an identifier, a b
 assigned secret or hex string as a secret.
 
 The parts meet in an interval join: positions are dealt to cells of ``scope`` code points, a
-part to all cells within its reach and its possible partners to those that they touch. Parts do
+window to the two cells that it may touch and its possible partners to those that they touch. Parts do
 not overlap their own kind, so a cell holds a bounded number of them, and the joins are
-semi-joins: whether there is a partner of a role is kept, not the pairs.
+semi-joins: whether there is a partner of a role is kept, not the pairs. Only members of
+complete triples are reported.
 
 Everything is DataFrame expressions. Defined results: null and empty texts have no spans;
 rows are told apart by their place, so null and repeated ids come back each with
@@ -66,16 +67,32 @@ def _cells(frame: DataFrame, scope: int, reach: int) -> DataFrame:
 
 
 def linked(parts: DataFrame, scope: int) -> DataFrame:
-    """The parts (rid, kind, role, start, end) that meet a part of each other role within ``scope``."""
+    """The parts (rid, kind, role, start, end) that belong to a complete triple: an identifier, a secret and an endpoint, each
+    within ``scope`` of the two others.
+
+    Three parts are that close exactly if, from the end x of the one that ends first, the others end at x or later and
+    start at x + scope or before. So a part is the first of a triple if its window [x, x + scope] touches parts of
+    both other roles, and then all such parts belong to triples with it.
+    """
     parts = parts.filter(F.col("role").isNotNull())
+    touched = _cells(parts, scope, 0).select(F.col("rid").alias("orid"), F.col("cell").alias("ocell"), F.col("role").alias("other"),
+                                             F.col("start").alias("os"), F.col("end").alias("oe"))
+    window = parts.withColumn("cell", F.explode(F.sequence(F.floor(F.col("end") / scope), F.floor((F.col("end") + scope) / scope))))
+
+    def near(role):
+        return ((F.col("rid") == F.col("orid")) & (F.col("cell") == F.col("ocell")) & (F.col("oe") >= F.col("end"))
+                & (F.col("os") <= F.col("end") + scope) & (F.col("other") == role))
+    columns = ["rid", "kind", "role", "start", "end"]
     for role in ("id", "secret", "end"):
-        other = _cells(parts.filter(F.col("role") == role), scope, 0).select(
-            F.col("rid").alias("orid"), F.col("cell").alias("ocell"), F.col("start").alias("os"), F.col("end").alias("oe"))
-        near = ((F.col("rid") == F.col("orid")) & (F.col("cell") == F.col("ocell"))
-                & (F.col("start") - F.col("oe") <= scope) & (F.col("os") - F.col("end") <= scope))
-        met = _cells(parts.filter(F.col("role") != role), scope, scope).join(other, near, "left_semi")
-        parts = met.drop("cell").distinct().unionByName(parts.filter(F.col("role") == role))
-    return parts
+        # a window lies in two cells at most, the part that it looks for in either of them
+        met = window.filter(F.col("role") != role).join(touched, near(role), "left_semi").select(*columns).distinct()
+        window = window.filter(F.col("role") == role).unionByName(window.filter(F.col("role") != role).join(met, columns, "left_semi"))
+    firsts = window.select(*columns).distinct()
+    reach = firsts.select(F.col("rid").alias("frid"), F.col("role").alias("first"), F.col("end").alias("x")) \
+        .withColumn("fcell", F.explode(F.sequence(F.floor(F.col("x") / scope), F.floor((F.col("x") + scope) / scope))))
+    joined = _cells(parts, scope, 0).join(reach, (F.col("rid") == F.col("frid")) & (F.col("cell") == F.col("fcell")) & (F.col("role") != F.col("first"))
+                                          & (F.col("end") >= F.col("x")) & (F.col("start") <= F.col("x") + scope), "left_semi")
+    return joined.select(*columns).unionByName(firsts).distinct()
 
 
 def secret_spans(docs: DataFrame, scope: int = 240) -> tuple[DataFrame, DataFrame]:

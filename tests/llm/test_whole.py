@@ -75,3 +75,40 @@ def test_long_tokens_and_environment_files_are_linked(spark):
         want.append(",".join(f"{k}:{t.index(x)}:{t.index(x) + len(x)}" for k, x in zip(("account", "endpoint", "weak"), parts)))
     got = {r.doc_id: r.spans for r in secrets.secret_report(spark.createDataFrame(list(enumerate(texts)), TABLE)).collect()}
     assert [got[i] for i in range(len(texts))] == want
+
+
+def test_only_members_of_complete_triples_are_linked(spark):
+    import random
+
+    rng = random.Random(12)
+    scope, rows = 60, []
+    for rid in range(1000):
+        at = 0
+        for _ in range(rng.randint(0, 9)):
+            start = at + rng.choice([0, 5, 20, 40, 59, 60, 61, 70, 200])
+            at = start + rng.choice([1, 3, 20, 130])
+            role = rng.choice(["id", "secret", "end"])
+            rows.append((rid, f"k{role}", role, start, at))
+        rows.extend((rid, "kend", "end", s, s + 4) for s in (rng.randint(0, 300),) if rng.random() < .3)
+    rows = sorted(set(rows))
+    got = secrets.linked(spark.createDataFrame(rows, "rid long, kind string, role string, start long, end long"), scope).collect()
+    want, by_text = set(), {}
+    for r in rows:
+        by_text.setdefault(r[0], []).append(r)
+    for parts in by_text.values():
+        roles = [[p for p in parts if p[2] == role] for role in ("id", "secret", "end")]
+        for a in roles[0]:
+            for b in roles[1]:
+                for c in roles[2]:
+                    if all(x[3] - y[4] <= scope and y[3] - x[4] <= scope for x, y in ((a, b), (a, c), (b, c))):
+                        want |= {a, b, c}
+    assert len(got) == len(want) > 200 and {tuple(r) for r in got} == want
+
+
+def test_a_secret_whose_identifier_is_out_of_scope_of_its_endpoint(spark):
+    secret = "Ab3" * 7
+    text = f"{secret} {'x' * 150} user=bob {'y' * 150} host=db1 {'z' * 150} {secret} {'v' * 150} login=amy"
+    got = secrets.secret_report(spark.createDataFrame([(1, text)], TABLE)).first()
+    assert got.spans == ""
+    near = secrets.secret_report(spark.createDataFrame([(1, f"{secret} user=bob host=db1")], TABLE)).first()
+    assert [s.split(":")[0] for s in near.spans.split(",")] == ["weak", "account", "endpoint"]
