@@ -74,7 +74,7 @@ def linked(parts: DataFrame, scope: int) -> DataFrame:
     start at x + scope or before. So a part is the first of a triple if its window [x, x + scope] touches parts of
     both other roles, and then all such parts belong to triples with it.
     """
-    parts = parts.filter(F.col("role").isNotNull())
+    parts = materialize(parts.filter(F.col("role").isNotNull()), "sec-linkable")
     touched = _cells(parts, scope, 0).select(F.col("rid").alias("orid"), F.col("cell").alias("ocell"), F.col("role").alias("other"),
                                              F.col("start").alias("os"), F.col("end").alias("oe"))
     window = parts.withColumn("cell", F.explode(F.sequence(F.floor(F.col("end") / scope), F.floor((F.col("end") + scope) / scope))))
@@ -83,11 +83,10 @@ def linked(parts: DataFrame, scope: int) -> DataFrame:
         return ((F.col("rid") == F.col("orid")) & (F.col("cell") == F.col("ocell")) & (F.col("oe") >= F.col("end"))
                 & (F.col("os") <= F.col("end") + scope) & (F.col("other") == role))
     columns = ["rid", "kind", "role", "start", "end"]
-    for role in ("id", "secret", "end"):
-        # a window lies in two cells at most, the part that it looks for in either of them
-        met = window.filter(F.col("role") != role).join(touched, near(role), "left_semi").select(*columns).distinct()
-        window = window.filter(F.col("role") == role).unionByName(window.filter(F.col("role") != role).join(met, columns, "left_semi"))
-    firsts = window.select(*columns).distinct()
+    # a window lies in two cells at most, the part that it looks for in either of them; it must meet both other roles
+    met = [window.filter(F.col("role") != role).join(touched, near(role), "left_semi").select(*columns, F.lit(role).alias("seen")) for role in ("id", "secret", "end")]
+    seen = met[0].unionByName(met[1]).unionByName(met[2]).groupBy(*columns).agg(F.count_distinct("seen").alias("seen"))
+    firsts = materialize(seen.filter("seen = 2").select(*columns), "sec-firsts")
     reach = firsts.select(F.col("rid").alias("frid"), F.col("role").alias("first"), F.col("end").alias("x")) \
         .withColumn("fcell", F.explode(F.sequence(F.floor(F.col("x") / scope), F.floor((F.col("x") + scope) / scope))))
     joined = _cells(parts, scope, 0).join(reach, (F.col("rid") == F.col("frid")) & (F.col("cell") == F.col("fcell")) & (F.col("role") != F.col("first"))
