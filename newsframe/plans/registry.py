@@ -370,6 +370,18 @@ def q_drop_tag(spark, sf):
     return out.select("page_id", "node_id", "parent_id", "sib_pos", "tag", "text", "tail")
 
 
+@register("unwrapped_paragraphs", f"""
+SELECT page_id, CAST(k AS INTEGER) AS p_ord, {S.ent("regexp_replace(x, '</?(b|i|em|strong|span|br)( [^>]*)?>', '', 'g')")} AS text FROM (
+  SELECT page_id, unnest(generate_series(1, len(xs))) AS k, unnest(xs) AS x FROM (
+    SELECT page_id, regexp_extract_all({_ARTICLE_INNER}, '<p>((?:[^<]|<[^p/]|</[^p])*)', 1) AS xs FROM pages))""")
+def q_unwrapped_paragraphs(spark, sf):
+    """C12 with all inline tags: the own text of each article paragraph, which then holds all of theirs."""
+    out = D.drop_tag(_trees(spark, sf, news=False), lambda n: n["tag"].isin(D.CLEAN_UNWRAP_TAGS))
+    ps = D.node_rows(out, lambda n: n["tag"] == "p", path=True).filter(F.col("xpath").startswith("/html/body/article/p"))
+    w = Window.partitionBy("page_id").orderBy("node_id")
+    return ps.select("page_id", F.row_number().over(w).alias("p_ord"), "text")
+
+
 @register("xpath_select", S.field_ctes(gate=False) + """
 SELECT page_id, text_path AS path,
   """ + S.ent("list_filter(string_split_regex(regexp_extract(html, '<article>([\\s\\S]*?)</article>', 1), '<[^>]*>'), lambda x: x <> '')[1]") + """ AS first_value,
