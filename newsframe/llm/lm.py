@@ -7,8 +7,9 @@ corpus counts, and ``p(class | ids before)`` from one layer of masked self-atten
 embeddings of the ids themselves, with a bias by distance, trained in numpy by stochastic gradient steps.
 
 The corpus is used as a whole: word and subword counts come from every training document, and
-the steps run where the documents are, in rounds that each pass over every training document
-(``share`` above 1: over one of so many). Each task starts from the round's weights, and the
+the steps run where the documents are, in rounds that each pass over every training document. One task first
+trains common starting weights on ``warm`` documents (the smallest by hash of the id): tasks that leave from random
+weights end too far apart to be averaged. Each task starts from the round's weights, and the
 tasks' weights are averaged by Spark, an id's embedding weighted with the places where the task read it, all others
 with the windows it saw; one row for each id met and some dozens of others reach the driver. A text is scored in windows of ``span`` ids that overlap by ``lap``: every id is scored once, by the
 first window that holds it, with at least ``lap`` ids before it (fewer only at the text's beginning).
@@ -103,7 +104,8 @@ def forward(w: dict[str, np.ndarray], c: np.ndarray, keep: bool = False):
     d = w["e"].shape[1]
     x = w["e"][c]
     qk = (w["q"] @ w["k"].T / np.sqrt(d)).astype(np.float32)
-    s = np.matmul(x @ qk, x.transpose(0, 2, 1))
+    xt = np.ascontiguousarray(x.transpose(0, 2, 1))
+    s = np.matmul(x @ qk, xt)
     np.clip(s, -20, 20, out=s)
     np.exp(s, out=s)
     s *= _mask(w["r"], span)
@@ -111,40 +113,41 @@ def forward(w: dict[str, np.ndarray], c: np.ndarray, keep: bool = False):
     y = np.matmul(s, x) / norm
     h = x + y @ w["v"]
     z = h.reshape(b * span, d) @ w["u"] + w["b"]
-    return z, (x, s, norm, y, h) if keep else None
+    return z, (x, xt, s, norm, y, h) if keep else None
 
 
 def gradients(w, c, target, valid):
     """Mean loss over the valid positions, and its gradients."""
     b, span = c.shape
     d = w["e"].shape[1]
-    z, (x, s, norm, y, h) = forward(w, c, True)
+    z, (x, xt, s, norm, y, h) = forward(w, c, True)
     np.minimum(z, 60, out=z)  # exp stays finite
     p = np.exp(z)
     total = p @ np.ones((p.shape[1], 1), p.dtype)
-    p /= total
     t, ok = target.reshape(-1), valid.reshape(-1)
     m = max(int(ok.sum()), 1)
     rows = np.arange(len(t))
     loss = -((z[rows, t] - np.log(total[:, 0])) * ok).sum() / m
-    p[rows, t] -= 1
-    p *= (ok / m)[:, None].astype(np.float32)
+    part = (ok / m).astype(np.float32)
+    p *= part[:, None] / total
+    p[rows, t] -= part
     g = {"u": h.reshape(-1, d).T @ p, "b": p.sum(axis=0)}
     dh = (p @ w["u"].T).reshape(b, span, d)
     g["v"] = y.reshape(-1, d).T @ dh.reshape(-1, d)
     dy = dh @ w["v"].T
-    a = s / norm
-    da = np.matmul(dy, x.transpose(0, 2, 1))
+    a = s * (1 / norm)
+    da = np.matmul(dy, xt)
     ds = a * (da - (a * da) @ np.ones((span, 1), a.dtype))
-    qk = w["q"] @ w["k"].T / np.sqrt(d)
+    scale = np.float32(1 / np.sqrt(d))  # a wider scalar would widen all that follows
+    qk = w["q"] @ w["k"].T * scale
     left = np.matmul(ds, x)            # sum over keys
     dx = dh + np.matmul(a.transpose(0, 2, 1), dy) + left @ qk.T + np.matmul(ds.transpose(0, 2, 1), x) @ qk
-    dqk = x.reshape(-1, d).T @ left.reshape(-1, d) / np.sqrt(d)
+    dqk = x.reshape(-1, d).T @ left.reshape(-1, d) * scale
     g["q"], g["k"] = dqk @ w["k"], dqk.T @ w["q"]
     flat = ds.sum(axis=0)
     g["r"] = np.array([np.trace(flat, -k) for k in range(span)], dtype=np.float32)
-    flat, rows = dx.reshape(-1, d), c.reshape(-1)
-    g["e"] = np.stack([np.bincount(rows, flat[:, i], len(w["e"])) for i in range(d)], axis=1).astype(w["e"].dtype)
+    place = c.reshape(-1, 1) * d + np.arange(d)
+    g["e"] = np.bincount(place.reshape(-1), dx.reshape(-1), w["e"].size).reshape(w["e"].shape).astype(w["e"].dtype)
     return float(loss), g
 
 
@@ -191,8 +194,12 @@ def _counts(path: str):
     def run(batches):
         for b in T.slices(batches, "text", 2 * T.SLICE_BYTES):
             w, table, slots = words_and_ids(b.column("text"), path)
-            uniq, first, n = np.unique(w.hash, return_index=True, return_counts=True)
-            ids, k = table.expand(slots[first]) if len(first) else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+            n = np.bincount(slots)
+            met = np.flatnonzero(n)
+            of_slot = np.zeros(len(n), dtype=T.U64)
+            of_slot[slots] = w.hash
+            uniq, n = of_slot[met], n[met]
+            ids, k = table.expand(met) if len(met) else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
             sub = np.bincount(ids.astype(np.int64), weights=np.repeat(n, k).astype(float), minlength=END + 1).astype(np.int64)
             sub[END] += w.n_docs
             at = np.flatnonzero(sub)
@@ -205,23 +212,29 @@ def _counts(path: str):
     return run
 
 
-def _train(path: str, cl: Classes, w0: dict[str, np.ndarray], span: int, lap: int, rate: float, batch: int = 256):
+def _train(path: str, cl: Classes, w0: dict[str, np.ndarray], span: int, rate: float, batch: int = 256):
     """(at, n, v0, v1, ...) of the rows of weights after one task's steps: embeddings of the ids it read, then the others."""
     def run(batches):
         w = {k: v.copy() for k, v in w0.items()}
         g2 = {k: np.full_like(v, 1e-6 if k == "e" else 1e-3) for k, v in w.items()}
         read, seen = np.zeros(len(w["e"]), dtype=np.int64), 0
+        here, row = np.zeros(len(read), dtype=bool), np.zeros(len(read), dtype=np.int64)
         for b in T.slices(batches, "text"):
             ids, bounds = id_stream(*words_and_ids(b.column("text"), path))
             cls = cl.of[ids]
-            start, stop, skip = windows(bounds, span, lap)
+            start, stop, skip = windows(bounds, span, 0)  # every id is a target once
             doc = np.searchsorted(bounds, start, side="right") - 1
             order = np.random.default_rng(len(start)).permutation(len(start))
             for i in range(0, len(order), batch):
                 j = order[i:i + batch]
                 c, t, ok = _gather(ids, cls, start[j], stop[j], skip[j], bounds[doc[j]], span)
-                met, c, times = np.unique(c, return_inverse=True, return_counts=True)
-                _, g = gradients(w | {"e": w["e"][met]}, c.reshape(t.shape), t, ok)
+                here[c] = True
+                met = np.flatnonzero(here)
+                here[met] = False
+                row[met] = np.arange(len(met))
+                c = row[c]
+                times = np.bincount(c.reshape(-1))
+                _, g = gradients(w | {"e": w["e"][met]}, c, t, ok)
                 for k in w:
                     at = met if k == "e" else slice(None)
                     g2[k][at] = 0.95 * g2[k][at] + 0.05 * g[k] * g[k]
@@ -294,8 +307,8 @@ def _score(path: str, cl: Classes, w, span: int, lap: int, common: np.ndarray, c
     return run
 
 
-def lm_scores(docs: DataFrame, mod: int = MOD, rest: int = REST, n_classes: int = 32, width: int = 8, span: int = 32, lap: int = 8, share: int = 1,
-              rounds: int = 2, rate: float = 0.02, most_common: int = 100_000, tokenizer: str | None = None) -> DataFrame:
+def lm_scores(docs: DataFrame, mod: int = MOD, rest: int = REST, n_classes: int = 32, width: int = 8, span: int = 32, lap: int = 8, warm: int = 2000,
+              rounds: int = 1, rate: float = 0.02, most_common: int = 100_000, tokenizer: str | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     path = tokenizer or default_path()
     held = F.coalesce(fold("doc_id", mod) == rest, F.lit(False))
@@ -313,9 +326,9 @@ def lm_scores(docs: DataFrame, mod: int = MOD, rest: int = REST, n_classes: int
     cl = classes(sub, n_classes)
     w = start_weights(n_classes, width, span, of=cl.of)
     places = _places(w)
-    for r in range(rounds):
-        part = train.filter(F.pmod(F.xxhash64("doc_id", F.lit(r)), F.lit(share)) == 0)
-        got = (part.mapInArrow(_train(path, cl, w, span, lap, rate / (1 + r)), ", ".join(["at long, n double", *[f"{x} float" for x in places]]))
+    first = train.orderBy(F.xxhash64("doc_id"), "doc_id").limit(warm)
+    for r, part in enumerate([first] * (warm > 0 and rounds > 0) + [train] * rounds):
+        got = (part.mapInArrow(_train(path, cl, w, span, rate / 4 ** r), ", ".join(["at long, n double", *[f"{x} float" for x in places]]))
                .groupBy("at").agg(*[(F.sum(F.col(x) * F.col("n")) / F.sum("n")).alias(x) for x in places]).toPandas())
         if len(got):
             w = _unflat(got["at"].to_numpy(), got[places].to_numpy(dtype=np.float32), w)

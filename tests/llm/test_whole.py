@@ -1,11 +1,12 @@
 """Cases in which an operator once did less than its whole job."""
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from newsframe.llm import decontaminate, lm, secrets
-from newsframe.llm.common import fold
 from newsframe.llm import textops as T
 
 TABLE = "doc_id long, text string"
@@ -51,11 +52,19 @@ def test_words_behind_a_long_word_have_their_hash(monkeypatch):
 
 
 def test_every_training_document_is_learnt_from(spark):
-    missed = [F.pmod(F.xxhash64("id", F.lit(r)), F.lit(16)) != 0 for r in (0, 1)]  # in neither round of a sixteenth
-    ids = [r.id for r in spark.range(200).filter((fold("id", lm.MOD) != lm.REST) & missed[0] & missed[1]).limit(5).collect()]
-    rows = spark.createDataFrame([(i, "the cat sat on the mat " * 9) for i in ids], TABLE)
-    before, after = ({r.doc_id: r.score for r in lm.lm_scores(rows, rounds=n).collect()} for n in (0, 2))
-    assert all(after[i] > before[i] + 0.1 for i in ids)
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % lm.MOD != lm.REST]
+    rows = spark.createDataFrame([(i, f"word{i} sat on the mat " * 9) for i in ids], TABLE)
+    for warm in (0, 7):  # by the round alone, and behind a start that most documents take no part in
+        before, after = ({r.doc_id: r.score for r in lm.lm_scores(rows, rounds=n, warm=warm).collect()} for n in (0, 2))
+        assert all(after[i] > before[i] + 0.1 for i in ids)
+
+
+def test_starting_weights_and_round_lower_the_held_out_loss(spark):
+    rng = np.random.default_rng(3)
+    chain = [f"{a}{b}" for a in ("red", "green", "blue", "dark") for b in ("house", "tree", "salt", "river", "stone")]
+    rows = spark.createDataFrame([(i, " ".join(chain[(k + j) % 20] for j in range(40))) for i, k in enumerate(rng.integers(0, 20, 600).tolist())], TABLE).repartition(4)
+    loss = [-lm.lm_scores(rows, rounds=n, warm=k).filter("held_out").agg(F.sum("score")).first()[0] for n, k in ((0, 0), (1, 0), (1, 200))]
+    assert loss[2] < loss[1] < loss[0]
 
 
 def test_order_of_ids_of_one_class_counts(spark):
