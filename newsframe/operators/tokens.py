@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsframe.functions.text import entity_decode
+from newsframe.functions.entities import unescape
 
 # The token grammar. Comments and script/style blocks are single
 # tokens so markup inside them is not split.
@@ -21,6 +21,9 @@ RAW_BLOCK_RE = r"<script[^>]*>[\s\S]*?</script>|<style[^>]*>[\s\S]*?</style>"
 COMMENT_RE = r"<!--([\s\S]*?)-->"
 # attribute value in any of the three quoting styles (groups 1..3)
 _ATTR_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+# one attribute behind the tag name: name, then the value in one of the quoting styles
+ATTRIBUTE_RE = r"""([^\s"'<>/=]+)(?:""" + _ATTR_VALUE + ")?"
+TAG_HEAD_RE = r"^<[A-Za-z][^\s/>]*"
 ROOT_TAG_RE = r"(?i)<html\b[^>]*>"
 META_HTTP_EQUIV_LANG_RE = r"""(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?[^"'>]*content-language[^>]*>"""
 META_NAME_LANG_RE = r"""(?i)<meta\b[^>]*\bname\s*=\s*["']?[^"'>]*lang[^>]*>"""
@@ -32,7 +35,7 @@ def attr_of_tag(tag_col: Column, attr: str) -> Column:
     found = tag_col.rlike(pat)
     val = F.concat(F.regexp_extract(tag_col, pat, 1), F.regexp_extract(tag_col, pat, 2),
                    F.regexp_extract(tag_col, pat, 3))
-    return F.when(found, entity_decode(val))
+    return F.when(found, unescape(val))
 
 
 def html_tokens(pages: DataFrame) -> DataFrame:
@@ -62,7 +65,20 @@ def html_tokens(pages: DataFrame) -> DataFrame:
 def decoded_text(tokens: DataFrame) -> DataFrame:
     """B1: text tokens with entities decoded."""
     return tokens.filter(F.col("kind") == "text").select(
-        "page_id", "pos", entity_decode("token").alias("text"))
+        "page_id", "pos", unescape("token").alias("text"))
+
+
+def attributes(tokens: DataFrame) -> DataFrame:
+    """B1: one row per attribute of the start tags, ``(page_id, pos, attr_pos, tag, name, value)``.
+
+    Names are in lower case, values have their character references decoded once; an attribute
+    without a value has an empty one, a repeated attribute a row each time. No shuffle.
+    """
+    inner = F.regexp_replace("token", TAG_HEAD_RE, "")
+    parts = F.arrays_zip(*[F.regexp_extract_all(inner, F.lit(ATTRIBUTE_RE), F.lit(k)).alias(f"g{k}") for k in range(1, 5)])
+    rows = tokens.filter(F.col("kind") == "start").select("page_id", "pos", "tag", F.posexplode(parts).alias("attr_pos", "a"))
+    rows = rows.select("page_id", "pos", "attr_pos", "tag", F.lower("a.g1").alias("name"), F.concat("a.g2", "a.g3", "a.g4").alias("value"))
+    return rows.withColumn("value", unescape("value"))
 
 
 def comments(pages: DataFrame) -> DataFrame:

@@ -16,12 +16,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsframe.functions import urls as U
+from newsframe.functions.entities import REF_RE
 from newsframe.operators import body as B
 from newsframe.operators import dom as D
 from newsframe.operators import fields as FL
 from newsframe.operators import tokens as TK
 from newsframe.plans import sqlparts as S
-from newsframe.sources import linked_pages, linked_pages_sql, load_pages, news_pages, table, targets_from_pages
+from newsframe.sources import (linked_pages, linked_pages_sql, load_pages, news_pages, reference_pages, reference_pages_sql,
+                               table, targets_from_pages)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -195,6 +197,22 @@ def q_entity_decode(spark, sf):
     return TK.decoded_text(t)
 
 
+@register("attribute_values", f"""
+WITH rp AS ({reference_pages_sql("pages")}), {S.TOKENS_CTE.replace("FROM pages", "FROM rp")},
+     st AS (SELECT page_id, pos, lower(regexp_extract(token, '^<([A-Za-z][A-Za-z0-9-]*)', 1)) AS tag,
+                   regexp_replace(token, {S.q(TK.TAG_HEAD_RE)}, '') AS x FROM tk WHERE {S.KIND_SQL} = 'start'),
+     al AS (SELECT page_id, pos, tag, {", ".join(f"regexp_extract_all(x, {S.q(TK.ATTRIBUTE_RE)}, {k}) AS g{k}" for k in range(1, 5))} FROM st),
+     av AS (SELECT page_id, pos, tag, unnest(generate_series(0, len(g1) - 1)) AS attr_pos, unnest(g1) AS name,
+                   unnest(list_transform(generate_series(1, len(g1)), lambda i: concat(g2[i], g3[i], g4[i]))) AS raw FROM al),
+     rf AS (SELECT *, regexp_extract_all(raw, {S.q(REF_RE)}, 0) AS refs, string_split_regex(raw, {S.q(REF_RE)}) AS gaps FROM av)
+SELECT page_id, CAST(pos AS INTEGER) AS pos, CAST(attr_pos AS INTEGER) AS attr_pos, tag, lower(name) AS name,
+       gaps[1] || coalesce(array_to_string(list_transform(generate_series(1, len(refs)), lambda i: {S.reference('refs[i]')} || gaps[i + 1]), ''), '') AS value
+FROM rf""")
+def q_attribute_values(spark, sf):
+    """B1: the attributes of all start tags, in pages whose article tag carries references of every kind."""
+    return TK.attributes(TK.html_tokens(reference_pages(_pages(spark, sf))))
+
+
 @register("comments", f"""
 SELECT page_id, CAST(pos AS INTEGER) AS pos, trim(c) AS comment FROM (
   SELECT page_id, unnest(generate_series(0, len(cs) - 1)) AS pos, unnest(cs) AS c FROM (

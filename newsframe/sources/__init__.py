@@ -126,3 +126,20 @@ def linked_pages(pages: DataFrame) -> DataFrame:
 
 def linked_pages_sql(pages_relation: str = "pages") -> str:
     return LINKED_PAGES_SQL.replace("{pages}", f"({news_pages_sql(pages_relation)})")
+
+
+# Pages whose article tag carries character references: decimal, hexadecimal, named with and
+# without a semicolon, doubly escaped, unknown, and one in an unquoted value.
+REFERENCE_PAGES_SQL = """
+SELECT page_id, replace(html, '<article>', concat('<article data-q="', replace(replace(url, '/', '&#47;'), 't', '&#x74;'),
+       '&amp;lt;&eacute&amp;copy; &unknown; & &notit;" Data-N=', CAST(page_id AS STRING), '&hellip;&#8364 hidden>')) AS html
+FROM {pages}"""
+
+
+def reference_pages(pages: DataFrame) -> DataFrame:
+    """The pages with character references in attributes (same SQL text as the DuckDB oracle)."""
+    return pages.sparkSession.sql(REFERENCE_PAGES_SQL, pages=pages)
+
+
+def reference_pages_sql(pages_relation: str = "pages") -> str:
+    return REFERENCE_PAGES_SQL.replace("{pages}", pages_relation)
