@@ -308,7 +308,7 @@ def _score(path: str, cl: Classes, w, span: int, lap: int, common: np.ndarray, c
 
 
 def lm_scores(docs: DataFrame, mod: int = MOD, rest: int = REST, n_classes: int = 32, width: int = 8, span: int = 32, lap: int = 8, warm: int = 2000,
-              rounds: int = 1, rate: float = 0.02, most_common: int = 100_000, tokenizer: str | None = None) -> DataFrame:
+              rounds: int = 1, rate: float = 0.02, most_common: int = 400_000, tokenizer: str | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     path = tokenizer or default_path()
     held = F.coalesce(fold("doc_id", mod) == rest, F.lit(False))
