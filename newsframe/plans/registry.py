@@ -1008,6 +1008,21 @@ def q_template_stream(spark, sf):
                                                    "publish_date")
 
 
+@register("learning_stream", ORACLE["section_template"])
+def q_learning_stream(spark, sf):
+    """E5 + Q3: templates learned while the pages arrive, in four parts of interleaved ids, the stream restarted for each;
+    what is learned in the end equals E5 in batch over all pages."""
+    import uuid
+    from newsframe.session import checkpoint_dir
+    from newsframe.streaming.learning import learned_templates, learning_stream
+    base = f"{checkpoint_dir(spark)}/learning-stream-{uuid.uuid4().hex}"
+    part = F.pmod(F.xxhash64("page_id"), F.lit(4))
+    for k in range(4):
+        _pages(spark, sf).filter(part == k).write.mode("append").parquet(f"{base}/pages")
+        learning_stream(spark, f"{base}/pages", f"{base}/sink", LANG, SAMPLING, checkpoint=f"{base}/ckpt", prepare=news_pages).awaitTermination()
+    return learned_templates(spark, f"{base}/sink")
+
+
 # Q3 with targets as messages: every page and every site is asked for, some messages come twice, some URLs are bad or unknown
 _MESSAGES_SQL = """
 SELECT concat('p', cast(page_id AS string)) AS message_id, url, true AS is_article, page_id AS at FROM {pages}

@@ -84,9 +84,13 @@ def materialize(df, name: str = "materialized"):
 def release(*written) -> None:
     """Delete tables made by ``materialize`` that no later plan reads."""
     for df in written:
-        spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(df.written_path)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_path(df.sparkSession, df.written_path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, on whatever file system it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def estimated_bytes(df) -> int | None:

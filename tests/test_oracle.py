@@ -12,7 +12,7 @@ TABLES = ["pages", "documents"]
 # equal results that are both empty prove nothing for these
 MIN_ROWS = {"text_blocks": 20, "block_scores": 20, "best_node": 5, "body_text": 5, "xpath_select": 5, "article_extract": 5,
             "section_template": 1, "linked_articles": 50, "body_videos": 5, "news_items": 5, "op4_quality_rules": 200, "op5_substring_dedup": 200,
-            "op11_warc": 50, "resolved_links": 50, "linked_sample": 10, "target_stream": 50, "unwrapped_paragraphs": 20, "attribute_values": 500}
+            "op11_warc": 50, "resolved_links": 50, "linked_sample": 10, "target_stream": 50, "learning_stream": 1, "unwrapped_paragraphs": 20, "attribute_values": 500}
 
 
 def _norm(v):
