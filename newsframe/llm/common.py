@@ -31,31 +31,46 @@ def fold(doc_id: str | Column, mod: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary") if isinstance(doc_id, str) else doc_id.cast("string").cast("binary")) % mod
 
 
-def components(links: DataFrame, name: str = "cc", most_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, name: str = "cc") -> DataFrame:
     """Connected components of undirected ``links`` (a, b): rows (id, comp), comp the
-    smallest id reachable; ids without a link to another id are absent.
+    smallest id reachable; ids without a link to another id are absent. Rows with a null are no links.
 
-    Each round every component hooks to its smallest neighbour, the hooks are
-    followed twice more, and the links are contracted; the hooks of all rounds are
-    composed at the end. Each round is written under the shared checkpoint folder.
+    Each round every component hooks to its smallest neighbour, the hooks are followed to their roots by pointer
+    jumping (a path of n hooks in log2 n steps), and the links are contracted. A node that does not become a root in a round is
+    gone after it, and what stays beside one root hooks in the next round, so the rounds are logarithmic in
+    the nodes as well and need no limit. The hooks of all rounds are composed at the end. Each step is written under
+    the shared checkpoint folder; what no later step reads is deleted.
     """
     edges = materialize(links.filter("a <> b").select("a", "b").distinct(), f"{name}-e")
     hooks: list[DataFrame] = []
     while not edges.isEmpty():
-        if len(hooks) == most_rounds:
-            raise RuntimeError("components did not settle")
         sym = edges.union(edges.select("b", "a"))
         hook = sym.groupBy(F.col("a").alias("c")).agg(F.min("b").alias("m")).select("c", F.least("c", "m").alias("p"))
-        up = hook.select(F.col("c").alias("p"), F.col("p").alias("q"))
-        hook = materialize(hook.join(up, "p", "left").select("c", F.coalesce("q", "p").alias("p")), f"{name}-h")
+        hook = rooted(hook, name)
         hooks.append(hook)
         ha, hb = hook.select(F.col("c").alias("a"), F.col("p").alias("pa")), hook.select(F.col("c").alias("b"), F.col("p").alias("pb"))
         after = edges.join(ha, "a", "left").join(hb, "b", "left").select(
             F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b")).filter("a <> b").distinct()
-        edges = materialize(after, f"{name}-e")
+        before, edges = edges, materialize(after, f"{name}-e")
+        release(before)
     if not hooks:
         return edges.select(F.col("a").alias("id"), F.col("b").alias("comp"))
     out = hooks[0].select(F.col("c").alias("id"), F.col("p").alias("comp"))
     for hook in hooks[1:]:
         out = out.join(hook.select(F.col("c").alias("comp"), "p"), "comp", "left").select("id", F.coalesce("p", "comp").alias("comp"))
     return out
+
+
+def rooted(hook: DataFrame, name: str) -> DataFrame:
+    """``hook`` (c, p), a forest whose roots point to themselves, with every pointer led to its root: each step doubles
+    how far the pointers reach. The result is written."""
+    written = None
+    while True:
+        up = hook.select(F.col("c").alias("p"), F.col("p").alias("q"))
+        step = hook.join(up, "p", "left").select("c", F.coalesce("q", "p").alias("p"), F.coalesce(F.col("q") != F.col("p"), F.lit(False)).alias("moved"))
+        step = materialize(step, f"{name}-h")
+        if written is not None:
+            release(written)
+        if step.filter("moved").isEmpty():
+            return step
+        written, hook = step, step.select("c", "p")

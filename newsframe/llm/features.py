@@ -86,7 +86,7 @@ def sample(spark: SparkSession, docs: DataFrame, ids: DataFrame, featuriser: Fea
     """Feature runs of the documents in ``ids`` (doc_id, tag; a bounded sample):
     feature numbers, bounds and tags, in the order of the ids."""
     def run(batches):
-        for b in T.slices(batches, "text"):
+        for b in T.slices(batches, "text", T.SMALL_SLICE_BYTES):
             x, bounds = featuriser(b.column("text"))
             lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(x.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("tag").cast(pa.int32()), lists], names=["doc_id", "tag", "x"])
@@ -111,7 +111,7 @@ def scored(docs: DataFrame, featuriser: Featuriser, weights: np.ndarray, bias: f
     weights = weights.astype(np.float32)
 
     def run(batches):
-        for b in T.slices(batches, "text"):
+        for b in T.slices(batches, "text", T.SMALL_SLICE_BYTES):
             x, bounds = featuriser(b.column("text"))
             c = np.concatenate([[0.0], np.cumsum(weights[x], dtype=np.float64)])
             z = c[bounds[1:]] - c[bounds[:-1]]

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsframe.llm import textops as T
-from newsframe.llm.tokens import default_path, text_ids
+from newsframe.llm.tokens import default_path, forget_ids, text_ids
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "sequence_tokens long, sequence_cost double")
@@ -114,6 +114,7 @@ def _pack(path: str, room: int, end_id: int, group: int, linear: float, quadrati
                 size = 0
         if held:
             yield from flush()
+        forget_ids()
     return run
 
 

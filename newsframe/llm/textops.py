@@ -22,6 +22,8 @@ LONG_WORD = 4096
 BLOCK = 1 << 18
 #: Bytes of text handled at once within a task (one longer text is handled alone).
 SLICE_BYTES = 4 << 20
+#: The same where a slice has no rows of its own that it adds up: arrays of such slices stay in the processor's cache.
+SMALL_SLICE_BYTES = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

@@ -9,6 +9,7 @@ worker has not met yet are encoded, the rest is a table look-up.
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import json
 
@@ -120,6 +121,16 @@ def id_table(path: str) -> IdTable:
     return IdTable(path)
 
 
+def forget_ids() -> None:
+    """Return the memory of this worker's tables. Spark uses a worker for the tasks of later stages too, which
+    do not read them but have the same memory."""
+    id_table.cache_clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc keeps what is freed
+    if trim is not None:
+        trim(0)
+
+
 def _cuts(data: np.ndarray) -> np.ndarray:
     """Positions inside the bytes where a new piece starts whatever stands around."""
     d = data
