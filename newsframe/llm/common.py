@@ -39,7 +39,8 @@ def components(links: DataFrame, name: str = "cc") -> DataFrame:
     jumping (a path of n hooks in log2 n steps), and the links are contracted. A node that does not become a root in a round is
     gone after it, and what stays beside one root hooks in the next round, so the rounds are logarithmic in
     the nodes as well and need no limit. The hooks of all rounds are composed at the end. Each step is written under
-    the shared checkpoint folder; what no later step reads is deleted.
+    the shared checkpoint folder; what no later step reads is deleted, and the tables that the result reads are
+    listed in its ``written`` for the caller to release.
     """
     edges = materialize(links.filter("a <> b").select("a", "b").distinct(), f"{name}-e")
     hooks: list[DataFrame] = []
@@ -54,10 +55,14 @@ def components(links: DataFrame, name: str = "cc") -> DataFrame:
         before, edges = edges, materialize(after, f"{name}-e")
         release(before)
     if not hooks:
-        return edges.select(F.col("a").alias("id"), F.col("b").alias("comp"))
+        out = edges.select(F.col("a").alias("id"), F.col("b").alias("comp"))
+        out.written = [edges]
+        return out
+    release(edges)
     out = hooks[0].select(F.col("c").alias("id"), F.col("p").alias("comp"))
     for hook in hooks[1:]:
         out = out.join(hook.select(F.col("c").alias("comp"), "p"), "comp", "left").select("id", F.coalesce("p", "comp").alias("comp"))
+    out.written = hooks
     return out
 
 

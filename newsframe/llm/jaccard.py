@@ -313,11 +313,13 @@ def _best_heads(members: DataFrame, comp: DataFrame) -> DataFrame:
 
 
 def _relabel(comp: DataFrame, links: DataFrame, name: str) -> DataFrame:
-    """``comp`` (id, comp) after joining the components that ``links`` connect."""
+    """``comp`` (id, comp) after joining the components that ``links`` connect; both written tables are deleted."""
     ca, cb = comp.select(F.col("id").alias("a"), F.col("comp").alias("x")), comp.select(F.col("id").alias("b"), F.col("comp").alias("y"))
     up = components(links.join(ca, "a").join(cb, "b").select(F.col("x").alias("a"), F.col("y").alias("b")), name)
-    return materialize(comp.join(up.select(F.col("id").alias("comp"), F.col("comp").alias("up")), "comp", "left")
-                       .select("id", F.coalesce("up", "comp").alias("comp")), f"{name}-comp")
+    out = materialize(comp.join(up.select(F.col("id").alias("comp"), F.col("comp").alias("up")), "comp", "left")
+                      .select("id", F.coalesce("up", "comp").alias("comp")), f"{name}-comp")
+    release(comp, links, *up.written)
+    return out
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, rounds: int = 2, block: int = 1024) -> DataFrame:
@@ -326,6 +328,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10,
     sig = materialize(docs.mapInArrow(_signatures(k), "doc_id long, n_shingles long, s1 long, s2 long"), "jac-sig")
     classes = materialize(sig.filter("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("rep")), "jac-cls")
     own = materialize(sig.join(classes, ["n_shingles", "s1", "s2"], "left").select("doc_id", "n_shingles", "rep"), "jac-own")
+    release(sig)
     top = classes.agg(F.max("n_shingles")).first()[0]
     if top is None:
         return own.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
@@ -345,17 +348,22 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10,
         for r in range(rounds):
             links = materialize(_exact(_best_heads(members, comp), sets, num, den), f"jac-l{r}")
             if links.isEmpty():
+                release(links)
                 break
             comp = _relabel(comp, links, f"jac-r{r}")
         links = materialize(_exact(_residual(members, comp, sets, num, den, block), sets, num, den), "jac-lx")
+        release(sets)
         comp = _relabel(comp, links, "jac-rx")
+    release(members)
     # equal sets, and rows that repeat an id with another text, join the components
     multi = own.filter("doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("c")).filter("b <> c")
     odd = multi.select("b", "c").filter("b is not null")
     if not odd.isEmpty():
         reps = classes.select(F.col("rep").alias("id")).filter("id is not null").distinct().join(comp, "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
         ties = own.filter("doc_id is not null and rep is not null").join(multi, "doc_id").select(F.col("rep").alias("a"), "b").distinct()
-        comp = _relabel(materialize(reps, "jac-all"), ties, "jac-ids")
+        known, comp = comp, _relabel(materialize(reps, "jac-all"), materialize(ties, "jac-ties"), "jac-ids")
+        release(known)
+    release(classes)
     got = own.join(comp.select(F.col("id").alias("rep"), "comp"), "rep", "left")
     return got.select("doc_id", "n_shingles", F.coalesce("comp", "rep", "doc_id").alias("component_id"))
 
