@@ -23,7 +23,7 @@ from newsframe.operators import fields as FL
 from newsframe.operators import tokens as TK
 from newsframe.plans import sqlparts as S
 from newsframe.sources import (linked_pages, linked_pages_sql, load_pages, news_pages, reference_pages, reference_pages_sql,
-                               table, targets_from_pages)
+                               table, table_files, targets_from_pages)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -985,8 +985,7 @@ def q_detect_stream(spark, sf):
     from newsframe.session import checkpoint_dir
     from newsframe.streaming.detect import detect_stream
     base = f"{checkpoint_dir(spark)}/detect-stream-{uuid.uuid4().hex}"
-    q = detect_stream(spark, sf, f"{base}/sink", LANG, checkpoint=f"{base}/ckpt",
-                      file_glob="pages.parquet", prepare=news_pages)
+    q = detect_stream(spark, table_files(sf, "pages"), f"{base}/sink", LANG, checkpoint=f"{base}/ckpt", prepare=news_pages)
     q.awaitTermination()
     return _article_projection(spark.read.parquet(f"{base}/sink"))
 
@@ -1001,8 +1000,7 @@ def q_template_stream(spark, sf):
     from newsframe.streaming.detect import template_stream
     base = f"{checkpoint_dir(spark)}/template-stream-{uuid.uuid4().hex}"
     templates = source_detect(_sections_pages(spark, sf), SAMPLING, LANG)
-    q = template_stream(spark, sf, templates, f"{base}/sink", checkpoint=f"{base}/ckpt",
-                        file_glob="pages.parquet", prepare=news_pages)
+    q = template_stream(spark, table_files(sf, "pages"), templates, f"{base}/sink", checkpoint=f"{base}/ckpt", prepare=news_pages)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/sink").select("page_id", "key", "title", "text", "author",
                                                    "publish_date")

@@ -24,6 +24,11 @@ def load_pages(spark: SparkSession, path: str) -> DataFrame:
         F.col("page_id").cast("long"), "url", "html")
 
 
+def table_files(sf_dir: str, name: str) -> str:
+    """A stream's path to a table that is one file or a folder of part files: a pattern, because a path that is none must be a folder."""
+    return f"{sf_dir}/{name}[.]parquet"
+
+
 def load_html_files(spark: SparkSession, pattern: str) -> DataFrame:
     """A2 for a folder of ``.html`` files: one page per file; the file URI is
     the url and its 64-bit hash the page id."""

@@ -20,8 +20,8 @@ from newsframe.sources import PAGES_SCHEMA
 
 def page_stream(spark: SparkSession, folder: str, max_files: int | None = None,
                 file_glob: str | None = None) -> DataFrame:
-    """Pages arriving as Parquet files in ``folder`` (only names matching
-    ``file_glob`` when given)."""
+    """Pages arriving as Parquet files in ``folder``, which may be a pattern
+    (only files whose own names match ``file_glob`` when given)."""
     reader = spark.readStream.schema(PAGES_SCHEMA)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)

@@ -56,6 +56,19 @@ def test_stream_equals_batch(spark):
     assert stream.exceptAll(batch).count() == 0 and batch.exceptAll(stream).count() == 0
 
 
+def test_registered_streams_read_a_folder_of_part_files(spark):
+    import __spark_entry__
+    base = tempfile.mkdtemp(prefix="nf-parts-")
+    html = "<html lang='en'><head><title>t</title></head><body><article><h1>t</h1><p>one two three</p></article></body></html>"
+    pages = pages_df(spark, [html] * 24, [f"http://a{i % 2}.b/x{i % 4}/{i}" for i in range(24)])
+    pages.repartition(3).write.parquet(os.path.join(base, "pages.parquet"))
+    found = __spark_entry__.queries()
+    for stream, batch in (("detect_stream", "article_extract"), ("template_stream", "apply_template")):
+        a, b = found[stream](spark, base), found[batch](spark, base)
+        assert a.count() > 0, stream
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, stream
+
+
 def test_article_extract_independent_of_input_partitioning(spark):
     from newsframe.plans.article import article_extract
     from newsframe.sources import load_pages, news_pages
