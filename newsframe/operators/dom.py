@@ -358,7 +358,7 @@ def _tree_arrays(trees: list[Tree]) -> list[pa.Array]:
             pa.ListArray.from_arrays(offsets(len(t.runs) for t in trees), pa.array(flat("runs"), pa.string()))]
 
 
-def _parse_batches(batches, most_nodes: int = 1 << 16):
+def _parse_batches(batches, most_nodes: int = 1 << 14):
     """Arrow task: page rows in, the same rows with ``nodes`` and ``runs`` for ``html`` (the last column) out,
     in batches that end with the page that reaches ``most_nodes``."""
     for batch in batches:
@@ -593,17 +593,26 @@ def prev_sibling(trees: DataFrame, test: Test | None = None) -> DataFrame:
 # C11-C13 tree edits: trees to trees, where the page lies
 # ----------------------------------------------------------------------
 
-def _edit(change):
-    """Arrow task: the last column names the nodes to remove; ``change`` edits one page's tree."""
+def _edit(change, most_nodes: int = 1 << 12):
+    """Arrow task: the last column names the nodes to remove; ``change`` edits one page's tree. The rows of a batch are taken
+    apart in slices that end with the page that reaches ``most_nodes``, so Python holds no more than that and one page at a time."""
     def task(batches):
         for batch in batches:
             names = batch.schema.names[:-1]
             at_nodes, at_runs = names.index("nodes"), names.index("runs")
-            nodes, runs, gone = (batch.column(i).to_pylist() for i in (at_nodes, at_runs, batch.num_columns - 1))
-            trees = [change(n, r, set(g)) for n, r, g in zip(nodes, runs, gone, strict=True)]
-            cols = list(batch.columns[:-1])
-            cols[at_nodes], cols[at_runs] = _tree_arrays(trees)
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+            ends = batch.column(at_nodes).offsets
+            first = 0
+            for i in range(batch.num_rows):
+                if ends[i + 1].as_py() - ends[first].as_py() < most_nodes and i + 1 < batch.num_rows:
+                    continue
+                part = batch.slice(first, i + 1 - first)
+                nodes, runs, gone = (part.column(k).to_pylist() for k in (at_nodes, at_runs, part.num_columns - 1))
+                trees = [change(n, r, set(g)) for n, r, g in zip(nodes, runs, gone, strict=True)]
+                cols = list(part.columns[:-1])
+                cols[at_nodes], cols[at_runs] = _tree_arrays(trees)
+                yield pa.RecordBatch.from_arrays(cols, names=names)
+                first = i + 1
+                del part, nodes, runs, gone, trees, cols
     return task
 
 

@@ -287,6 +287,19 @@ def test_batches_end_after_many_nodes():
     assert [i for b in out for i in b.column(0).to_pylist()] == [1, 2, 3]
 
 
+def test_edits_take_a_batch_apart_in_slices():
+    import pyarrow as pa
+    docs = ["<body>" + "<p>x<b>y</b></p>" * 1000 + "</body>", "<a>y</a>", None, "<i>z</i>"] * 3
+    trees = [D.parse_page(d) for d in docs]
+    gone = pa.array([[i for i, tag in enumerate(t.tag) if tag == "b"] for t in trees], pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(12)), *D._tree_arrays(trees), gone], ["page_id", "nodes", "runs", "_gone"]).slice(1)
+    whole, parts = (list(D._edit(D._without_tags, most_nodes=n)([batch])) for n in (1 << 30, 1000))
+    assert [b.num_rows for b in whole] == [11] and [b.num_rows for b in parts] == [4, 4, 3]
+    assert pa.Table.from_batches(whole).to_pylist() == pa.Table.from_batches(parts).to_pylist()
+    default = list(D._edit(D._without_tags)([pa.RecordBatch.from_arrays([c.take(pa.array(list(range(11)) * 20)) for c in batch.columns], names=batch.schema.names)]))
+    assert len(default) > 10 and sum(b.num_rows for b in default) == 220
+
+
 def test_clean_doc_unwrap_inline(spark):
     t = _trees(spark, "<body><nav>x</nav><p>a <b>bold</b> c<br>d</p></body>")
     rows = {r.tag: r for r in D.node_rows(D.clean_doc(t, unwrap_inline=True)).collect()}
