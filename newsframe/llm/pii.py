@@ -2,15 +2,17 @@
 
 Base spans are e-mail addresses, IPv4 addresses, payment card and phone numbers. Their values are the
 protected entities. The corpus then tells which terms reveal them: with N documents,
-n(x) documents that hold x, a term t beside an entity e carries the pointwise mutual information
+n(x) documents that hold x, a term t in a document with an entity e carries the pointwise mutual information
 ``log2(N n(t, e) / (n(t) n(e)))`` about it, out of at most ``log2(N / n(e))``. A term whose share of
-that reaches ``disclose`` and that stands beside e in at least ``support`` different contexts is
-generalised where it stands beside e; from ``remove`` on it is removed. Both adjoin the base
-spans as kind ``term``.
+that reaches ``disclose`` and that occurs with e in at least ``support`` different texts is
+generalised wherever it stands in a document with e; from ``remove`` on it is removed. Both adjoin the base
+spans as kind ``term``. A document holds a term wherever it stands; no span is put inside an e-mail address, which is covered as a whole.
 
 Everything is DataFrame expressions. Texts are scanned once for the matches (written
-as a narrow table), once for the document counts of terms, which are summed before
-the shuffle, and once more by ``sanitised``.
+with the texts that have one), once for the document counts of terms, which are summed before
+the shuffle, and once more by ``sanitised``. Pairs of entities and terms are made only where they can count: n(t, e)
+is at most n(e) and n(t), so an entity or term of too few texts has no support, and a share of ``disclose`` needs
+``n(t) <= N (n(e) / N) ** disclose``.
 
 Defined results: null and empty texts have no spans; rows are told apart by their place,
 so null and repeated ids come back each with their own spans; an empty table gives an
@@ -19,7 +21,7 @@ empty result; other columns are kept by ``sanitised`` and ignored by ``pii_spans
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsframe.llm.common import materialize, release
@@ -33,7 +35,6 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ["email", "ip", "card", "phone"]
-AROUND = 48
 TERM = r"(?<![\p{L}\p{N}])\p{L}{4,40}(?![\p{L}\p{N}])"
 
 
@@ -49,66 +50,84 @@ def _valid():
 
 
 def base_matches(docs: DataFrame) -> DataFrame:
-    """(rid, doc_id, found): one row per row of ``docs``, its candidate matches as an array."""
+    """(rid, doc_id, context, text, found): one row per row of ``docs``, its candidate matches as an array, the text where it has any."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    ip = F.when(text.rlike(r"[0-9]\.[0-9]"), matches(text, "ip", IP, AROUND))
+    ip = F.when(text.rlike(r"[0-9]\.[0-9]"), matches(text, "ip", IP))
     none = F.array().cast("array<struct<kind:string,k:int,gap:int,len:int,value:string,left:string,right:string>>")
-    found = F.concat(matches(text, "email", EMAIL, AROUND), F.coalesce(ip, none), matches(text, "card", CARD, AROUND), matches(text, "phone", PHONE, AROUND))
-    return docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", found.alias("found"))
+    found = F.concat(matches(text, "email", EMAIL), F.coalesce(ip, none), matches(text, "card", CARD), matches(text, "phone", PHONE))
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.xxhash64(text).alias("context"), text.alias("text"), found.alias("found"))
+    return rows.withColumn("text", F.when(F.size("found") > 0, F.col("text")))
 
 
 def entity_rows(found: DataFrame) -> DataFrame:
-    """(rid, kind, start, end, value, left, right) of the valid base matches."""
-    rows = found.filter(F.size("found") > 0).select("rid", F.explode("found").alias("m")).select("rid", "m.*")
-    return placed(rows).filter(_valid()).select("rid", "kind", "start", "end", "value", "left", "right")
-
-
-def terms_beside(entities: DataFrame) -> DataFrame:
-    """(rid, entity, context, term, start, end) of the terms in the gaps around each base match."""
-    entity = F.concat_ws(":", "kind", F.lower("value"))
-    both = F.concat("left", F.lit("\n"), "right")
-    ctx = entities.select("rid", "start", "end", entity.alias("entity"), F.xxhash64("left", "right").alias("context"), both.alias("both"),
-                          F.length("left").alias("l"))
-    rows = ctx.withColumn("m", F.explode(matches(F.col("both"), "term", TERM))).withColumn("kind", F.lit("term"))
-    rows = rows.select("rid", "entity", "context", "l", F.col("start").alias("s"), F.col("end").alias("e"), "m.k", "m.gap", "m.len", F.lower("m.value").alias("term"))
-    w = Window.partitionBy("rid", "entity", "s").orderBy("k")
-    at = F.sum(F.col("gap") + F.col("len")).over(w) - F.col("len")
-    rows = rows.withColumn("at", at).filter((F.col("at") > 0) | (F.col("l") < AROUND))  # a term cut by the context's edge is none
-    rows = rows.filter((F.col("at") + F.col("len") < F.col("l") + 1 + AROUND))
-    start = F.when(F.col("at") < F.col("l"), F.col("s") - F.col("l") + F.col("at")).otherwise(F.col("e") + F.col("at") - F.col("l") - 1)
-    return rows.select("rid", "entity", "context", "term", start.cast("long").alias("start"), (start + F.col("len")).cast("long").alias("end"))
-
-
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(term, n): documents that hold each term."""
-    pieces = F.array_distinct(F.split(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), r"[^\p{L}\p{N}]+"))
-    return (docs.select(F.explode(pieces).alias("term")).filter(F.length("term").between(4, 40) & ~F.col("term").rlike(r"\p{N}"))
-            .groupBy("term").agg(F.count("*").alias("n")))
-
-
-def disclosing(docs: DataFrame, beside: DataFrame, n_docs: int, support: int, disclose: float) -> DataFrame:
+    """(rid, context, kind, start, end, entity) of the valid base matches."""
+    rows = found.filter(F.size("found") > 0).select("rid", "context", F.explode("found").alias("m")).select("rid", "context", "m.*")
+    return placed(rows).filter(_valid()).select("rid", "context", "kind", "start", "end", F.concat_ws(":", "kind", F.lower("value")).alias("entity"))
+
+
+def document_terms(text) -> Column:
+    """The distinct terms of a text, lower-cased."""
+    pieces = F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda p: p.rlike(r"^\p{L}{4,40}$"))
+    return F.array_distinct(F.transform(pieces, F.lower))
+
+
+def term_counts(docs: DataFrame, support: int) -> DataFrame:
+    """(term, n): documents that hold each term, of the terms in at least ``support``."""
+    terms = document_terms(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    return docs.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("n")).filter(F.col("n") >= support)
+
+
+def terms_with(found: DataFrame, entities: DataFrame, counts: DataFrame, n_docs: int, support: int, disclose: float) -> DataFrame:
+    """(rid, context, entity, ne, term, n): every entity and term that a document holds both of, where the term can reveal the entity."""
+    held = entities.select("rid", "context", "entity").distinct()
+    per = held.groupBy("entity").agg(F.count("*").alias("ne"), F.countDistinct("context").alias("c"))
+    per = materialize(per.filter((F.col("c") >= support) & (F.col("ne") < n_docs)).select("entity", "ne"), "pii-n")
+    held = materialize(held.join(per, "entity"), "pii-held")
+    release(per)
+
+    def reach(ne):  # a little above the bound, for rounding
+        return F.lit(n_docs * (1 + 1e-9)) * F.pow(F.col(ne) / F.lit(float(max(n_docs, 1))), F.lit(float(disclose)))
+    most = held.groupBy("rid").agg(F.max("ne").alias("most"))
+    texts = found.filter("text IS NOT NULL").select("rid", "text").join(most, "rid")
+    terms = texts.select("rid", "most", F.explode(document_terms(F.col("text"))).alias("term"))
+    terms = terms.join(counts, "term").filter(F.col("n") <= reach("most")).select("rid", "term", "n")
+    pairs = materialize(held.join(terms, "rid").filter(F.col("n") <= reach("ne")).select("rid", "context", "entity", "ne", "term", "n"), "pii-pairs")
+    release(held)
+    return pairs
+
+
+def disclosing(pairs: DataFrame, n_docs: int, support: int, disclose: float) -> DataFrame:
     """(entity, term, share): terms that reveal an entity, by their share of its information."""
-    pair = (beside.groupBy("entity", "term").agg(F.countDistinct("context").alias("c"), F.countDistinct("rid").alias("nte"))
+    pair = (pairs.groupBy("entity", "ne", "term", "n").agg(F.countDistinct("context").alias("c"), F.count("*").alias("nte"))
             .filter(F.col("c") >= support))
-    entity = beside.select("entity", "rid").distinct().groupBy("entity").agg(F.count("*").alias("ne")).filter(F.col("ne") < n_docs)
-    pair = pair.join(entity, "entity").join(term_counts(docs), "term")
     n = F.lit(float(max(n_docs, 1)))
     share = F.log2(n * F.col("nte") / (F.greatest("n", "nte") * F.col("ne"))) / F.log2(n / F.col("ne"))
     return pair.select("entity", "term", share.alias("share")).filter(F.col("share") >= disclose)
 
 
+def term_spans(found: DataFrame, told: DataFrame) -> DataFrame:
+    """(rid, start, end, share): the places of the terms of ``told`` (rid, term, share) in their documents."""
+    texts = found.filter("text IS NOT NULL").join(told.select("rid").distinct(), "rid", "left_semi")
+    rows = texts.select("rid", F.explode(matches(F.col("text"), "term", f"{EMAIL}|{TERM}")).alias("m")).select("rid", "m.*")
+    rows = placed(rows).filter(~F.col("value").contains("@")).select("rid", F.lower("value").alias("term"), "start", "end")
+    return rows.join(told, ["rid", "term"]).select("rid", "start", "end", "share")
+
+
 def pii_spans(docs: DataFrame, support: int = 2, disclose: float = 0.8, remove: float = 0.95) -> tuple[DataFrame, DataFrame]:
     """The rows (rid, doc_id) of ``docs``, and their spans (rid, kind, start, end, base, removed)."""
     found = materialize(base_matches(docs), "pii-found")
     entities = materialize(entity_rows(found), "pii-ent")
-    beside = materialize(terms_beside(entities), "pii-ctx")
-    told = disclosing(docs, beside, found.count(), support, disclose)
-    extra = beside.join(told, ["entity", "term"]).groupBy("rid", "start", "end").agg(F.max("share").alias("share"))
+    counts = materialize(term_counts(docs, support), "pii-terms")
+    n_docs = found.count()
+    pairs = terms_with(found, entities, counts, n_docs, support, disclose)
+    told = pairs.join(disclosing(pairs, n_docs, support, disclose), ["entity", "term"]).groupBy("rid", "term").agg(F.max("share").alias("share"))
+    told = materialize(told, "pii-told")
+    extra = term_spans(found, told)
     spans = entities.select("rid", "kind", "start", "end", F.lit(True).alias("base"), F.lit(False).alias("removed")).unionByName(
         extra.select("rid", F.lit("term").alias("kind"), "start", "end", F.lit(False).alias("base"), (F.col("share") >= remove).alias("removed")))
     spans = materialize(spans, "pii-spans")
     rows = materialize(found.select("rid", "doc_id"), "pii-rows")
-    release(found, entities, beside)
+    release(found, entities, counts, pairs, told)
     return rows, spans
 
 

@@ -3,6 +3,8 @@ nulls, empty and long texts, ties, repeated rows, empty tables and clashing colu
 
 import hashlib
 import itertools
+import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -168,6 +170,49 @@ def test_terms_that_reveal_an_entity_are_found_and_replaced(spark):
     assert clean[50].text is None and clean[51].text == ""
 
 
+def brute_terms(rows, support=2, disclose=0.8):
+    """Term spans of each row by counting over all documents."""
+    term = re.compile(r"(?<![^\W_])[^\W\d_]{4,40}(?![^\W_])")
+    mail = re.compile(PII["email"])
+    texts = [t or "" for _, t in rows]
+    terms, ents = [{m.group().lower() for m in term.finditer(t)} for t in texts], [{m.group().lower() for m in mail.finditer(t)} for t in texts]
+    n_t, n_e, both, seen = Counter(x for s in terms for x in s), Counter(x for s in ents for x in s), Counter(), {}
+    for t, ts, es in zip(texts, terms, ents, strict=True):
+        for e in es:
+            for x in ts:
+                both[e, x] += 1
+                seen.setdefault((e, x), set()).add(t)
+    n = len(texts)
+
+    def told(e, x):
+        return len(seen[e, x]) >= support and n_e[e] < n and math.log2(n * both[e, x] / (n_t[x] * n_e[e])) / math.log2(n / n_e[e]) >= disclose
+    out = []
+    for t, es in zip(texts, ents, strict=True):
+        mails = [m.span() for m in mail.finditer(t)]
+        out.append([f"term:{m.start()}:{m.end()}" for m in term.finditer(t)
+                    if any(told(e, m.group().lower()) for e in es) and not any(a < m.end() and m.start() < b for a, b in mails)])
+    return out
+
+
+def test_terms_far_from_an_entity_are_found(spark):
+    rng = random.Random(5)
+    vocab = ["".join(rng.choice("abcdefgh\u00e9\U0001D400") for _ in range(rng.randint(3, 7))) for _ in range(150)]
+    rows = []
+    for i in range(120):
+        words = [rng.choice(vocab[:30] if rng.random() < 0.7 else vocab) for _ in range(rng.randint(0, 120))]
+        for k in range(rng.choice([0, 0, 1, 2])):
+            e = rng.randint(0, 12)
+            words += [f"User{e}@mail.example" if rng.random() < 0.5 else f"user{e}@mail.example,", *(["Zorb" + "xyzuvwabcdefg"[e]] if rng.random() < 0.8 else [])]
+        rng.shuffle(words)
+        rows.append((rng.choice([i, None, 3]), " ".join(words)))
+    far = "the report of Quibblesnatch " + "- " * 200 + "was sent to far@mail.example by "
+    rows += [(900, far + "Ann"), (901, far + "Bob"), (902, far + "Bob"), (903, None), *rows[:20]]
+    got = sorted((str(r.doc_id), ",".join(s for s in r.spans.split(",") if s.startswith("term"))) for r in pii.pii_report(frame(spark, rows)).collect())
+    want = sorted((str(i), ",".join(s)) for (i, _), s in zip(rows, brute_terms(rows), strict=True))
+    assert "term:14:27" in dict(want)["900"].split(",") and sum(bool(s) for _, s in want) > 20
+    assert got == want
+
+
 def test_weak_credentials_need_complementary_parts(spark):
     whole = "user=bob host=db.example.com Zx9abcdefGHIJ12345678"
     rows = [(1, whole), (2, "user=bob Zx9abcdefGHIJ12345678"), (3, "user=bob " + "- " * 300 + "host=db.example.com Zx9abcdefGHIJ12345678")]
