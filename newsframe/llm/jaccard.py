@@ -22,8 +22,10 @@ Finding links among the sets that share a key must not enumerate groups of
 copies. Equal sets are merged first. A few rounds link each set to one head of
 its keys and merge components; keys whose sets are all in one component are done,
 and for the rest every pair of sets from different components is tested,
-in blocks of bounded size, by a 512-bit parity sketch, which bounds the size
-of the symmetric difference from below, and exactly after that. Only links
+in blocks of bounded size, by parity sketches, which bound the size of the
+symmetric difference from below, and exactly after that. Of the keys that hold the
+same sets one is tested. A sketch has some bits for each shingle, so that it does not
+fill up in long texts and pairs well below the threshold reach no exact test. Only links
 inside a component that is already connected are not listed.
 
 Defined results: null, empty or blank text has no shingles and no links (its
@@ -47,7 +49,10 @@ from newsframe.llm import textops as T
 from newsframe.llm.common import components, materialize, release
 
 SLACK_SHARE = 8
+#: Words of the shortest sketch; all are first compared folded to so many.
 SKETCH_WORDS = 8
+#: (at least so many bits for each shingle, up to so many words): the first is for usual texts, the second keeps long texts apart.
+SKETCH_SIZES = ((4, 64), (1, 256))
 
 
 @dataclass(frozen=True)
@@ -214,18 +219,39 @@ def _entries(k: int, lv: list[Level]):
     return run
 
 
+def sketch_words(n: np.ndarray) -> np.ndarray:
+    """Words of the sketches of sets of these sizes: powers of two."""
+    out = np.full(len(n), SKETCH_WORDS, dtype=np.int64)
+    for bits, most in SKETCH_SIZES:
+        need = np.ceil(np.log2(np.maximum(bits * n, 1) / 64)).clip(0, np.log2(most))
+        out = np.maximum(out, 1 << need.astype(np.int64))
+    return out
+
+
+def sketches(toks: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity sketches of all sets in a row, and the bounds of each: a shingle turns one bit. Two sketches are compared
+    after the longer one is folded (``_folded``), which gives the sketch that it would have with fewer words."""
+    size = sketch_words(np.diff(bounds))
+    at = np.concatenate([[0], np.cumsum(size)])
+    bit = T.mix(toks ^ T.U64(0x2545F4914F6CDD1D))
+    of = np.repeat(np.arange(len(size)), np.diff(bounds))
+    out = np.zeros(at[-1], dtype=T.U64)
+    np.bitwise_xor.at(out, at[of] + ((bit >> T.U64(6)).astype(np.int64) & (size[of] - 1)), T.U64(1) << (bit & T.U64(63)))
+    return out, at
+
+
+def _folded(sketch: bytes, words: int) -> np.ndarray:
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, dtype=T.U64).reshape(-1, words), axis=0)
+
+
 def _sets(k: int):
     def run(batches):
         for b in T.slices(batches, "text"):
             toks, bounds = shingles(b.column("text"), k)
-            n = np.diff(bounds)
-            sketch = np.zeros((len(n), SKETCH_WORDS), dtype=T.U64)
-            bit = T.mix(toks ^ T.U64(0x2545F4914F6CDD1D))
-            of = np.repeat(np.arange(len(n)), n)
-            np.bitwise_xor.at(sketch, (of, (bit >> T.U64(6)).astype(np.int64) % SKETCH_WORDS), T.U64(1) << (bit & T.U64(63)))
+            words, at = sketches(toks, bounds)
             lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), T.signed(toks))
-            bits = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * SKETCH_WORDS), len(n), [None, pa.py_buffer(sketch.tobytes())])
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(n), bits.cast(pa.binary()), lists],
+            bits = pa.BinaryArray.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((8 * at).astype(np.int32)), pa.py_buffer(words)])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(np.diff(bounds)), bits, lists],
                                              names=["id", "n", "sketch", "toks"])
     return run
 
@@ -240,11 +266,30 @@ def _exact(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             .filter(den * both >= num * (F.col("na") + F.col("nb") - both)).select("a", "b"))
 
 
+def _apart(sketch: np.ndarray, x: np.ndarray, y: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (x, y) whose full sketches differ in at most ``most`` bits, in steps of bounded memory."""
+    rows, place = np.unique(np.concatenate([x, y]), return_inverse=True)
+    size = np.array([len(sketch[i]) // 8 for i in rows], dtype=np.int64)
+    px, py = place[:len(x)], place[len(x):]
+    words = np.minimum(size[px], size[py])
+    keep = words <= SKETCH_WORDS
+    for w in np.unique(words[~keep]).tolist():
+        at = np.flatnonzero(words == w)
+        used, back = np.unique(np.concatenate([px[at], py[at]]), return_inverse=True)
+        table = np.stack([_folded(sketch[i], w) for i in rows[used]])
+        left, right = back[:len(at)], back[len(at):]
+        step = max(1, (1 << 18) // w)
+        for i in range(0, len(at), step):
+            j = slice(i, i + step)
+            keep[at[j]] = np.bitwise_count(table[left[j]] ^ table[right[j]]).sum(axis=1, dtype=np.int64) <= most[at[j]]
+    return x[keep], y[keep]
+
+
 def _cross_pairs(num: int, den: int):
     """Pairs of sets of different components within runs of equal (key, bi, bj)
     that the sizes and sketches allow. Rows arrive sorted; a run is at most two blocks."""
     def test(run: list[np.ndarray]):
-        at, bi, bj, blk, ids, comp, n, sk = run
+        at, bi, bj, blk, ids, comp, n, wide, sk = run
         out_a, out_b = [], []
         left, right = (np.flatnonzero(blk == bi[0]), np.flatnonzero(blk == bj[0]))
         same = bi[0] == bj[0]
@@ -259,9 +304,11 @@ def _cross_pairs(num: int, den: int):
             if not len(x):
                 continue
             gap = np.bitwise_count(sk[a[x]] ^ sk[right[y]]).sum(axis=1, dtype=np.int64)
-            keep = gap <= most_diff(total[x, y], num, den)
-            out_a.append(ids[a[x[keep]]])
-            out_b.append(ids[right[y[keep]]])
+            most = most_diff(total[x, y], num, den)
+            keep = gap <= most
+            x, y = _apart(wide, a[x[keep]], right[y[keep]], most[keep])
+            out_a.append(ids[x])
+            out_b.append(ids[y])
         if not out_a:
             return None
         a, b = np.concatenate(out_a), np.concatenate(out_b)
@@ -287,8 +334,8 @@ def _cross_pairs(num: int, den: int):
             if not b.num_rows:
                 continue
             cols = [b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "bi", "bj", "blk", "id", "comp", "n")]
-            sk = np.frombuffer(b"".join(b.column("sketch").to_pylist()), dtype=T.U64).reshape(-1, SKETCH_WORDS)
-            cols.append(sk)
+            wide = np.array(b.column("sketch").to_pylist(), dtype=object)
+            cols += [wide, np.stack([_folded(x, SKETCH_WORDS) for x in wide])]
             if rest is not None:
                 cols = [np.concatenate([x, y]) for x, y in zip(rest, cols, strict=True)]
             found, rest = cut(cols, False)
@@ -322,7 +369,7 @@ def _relabel(comp: DataFrame, links: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, rounds: int = 2, block: int = 1024) -> DataFrame:
+def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, rounds: int = 2, block: int = 4096) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sig = materialize(docs.mapInArrow(_signatures(k), "doc_id long, n_shingles long, s1 long, s2 long"), "jac-sig")
@@ -386,8 +433,10 @@ def _members(docs: DataFrame, reps: DataFrame, k: int, lv: list[Level]) -> DataF
 def _residual(members: DataFrame, comp: DataFrame, sets: DataFrame, num: int, den: int, block: int) -> DataFrame:
     """Every pair of sets of different components that share a key and pass the sketch."""
     m = members.join(comp, "id")
-    sizes = (m.groupBy("key", "comp").agg(F.count("*").alias("c"))
-             .groupBy("key").agg(F.sum("c").alias("c"), F.count("*").alias("k")).filter("k > 1")
+    # keys that hold the same sets (128 bits and the number of them) would test the same pairs: one of them stays
+    sizes = (m.groupBy("key").agg(F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                  F.bit_xor(F.xxhash64("id")).alias("h1"), F.bit_xor(F.xxhash64("id", F.lit("again"))).alias("h2"))
+             .filter("lo <> hi").groupBy("c", "lo", "hi", "h1", "h2").agg(F.min("key").alias("key"))
              .select("key", F.ceil(F.col("c") / block).cast("int").alias("nb")))
     m = m.join(sizes, "key").withColumn("blk", (F.pmod(F.xxhash64("id"), F.col("nb"))).cast("int"))
     m = m.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
