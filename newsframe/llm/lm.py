@@ -97,22 +97,23 @@ def _mask(r: np.ndarray, span: int) -> np.ndarray:
     return np.where(i >= j, np.exp(r[np.maximum(i - j, 0)]), 0).astype(np.float32)
 
 
-def forward(w: dict[str, np.ndarray], c: np.ndarray, keep: bool = False):
-    """Unnormalised log probabilities (B, span, n) of the next class after each position
+def forward(w: dict[str, np.ndarray], c: np.ndarray, keep: bool = False, skip: int = 0):
+    """Unnormalised log probabilities (B, span - skip, n) of the next class after each position but the first ``skip``
     of the input windows ``c`` (B, span; rows of ``e``), and what the backward pass needs."""
     b, span = c.shape
     d = w["e"].shape[1]
     x = w["e"][c]
     qk = (w["q"] @ w["k"].T / np.sqrt(d)).astype(np.float32)
     xt = np.ascontiguousarray(x.transpose(0, 2, 1))
-    s = np.matmul(x @ qk, xt)
+    own = x[:, skip:]
+    s = np.matmul(own @ qk, xt)
     np.clip(s, -20, 20, out=s)
     np.exp(s, out=s)
-    s *= _mask(w["r"], span)
+    s *= _mask(w["r"], span)[skip:]
     norm = s @ np.ones((span, 1), s.dtype)
     y = np.matmul(s, x) / norm
-    h = x + y @ w["v"]
-    z = h.reshape(b * span, d) @ w["u"] + w["b"]
+    h = own + y @ w["v"]
+    z = h.reshape(-1, d) @ w["u"] + w["b"]
     return z, (x, xt, s, norm, y, h) if keep else None
 
 
@@ -178,14 +179,18 @@ def log_probs(w, cl: Classes, ids: np.ndarray, bounds: np.ndarray, span: int, la
     per = np.add.reduceat(cl.logp[ids], bounds[:-1]) if len(ids) else np.zeros(len(bounds) - 1)
     start, stop, skip = windows(bounds, span, lap)
     doc = np.searchsorted(bounds, start, side="right") - 1
-    for i in range(0, len(start), batch):
-        j = slice(i, i + batch)
-        c, t, ok = _gather(ids, cls, start[j], stop[j], skip[j], bounds[doc[j]], span)
-        z, _ = forward(w, c)
-        hit = z.reshape(-1)[np.arange(0, z.size, cl.n) + t.reshape(-1)]
-        np.exp(z, out=z)
-        lp = (hit - np.log(z @ np.ones(cl.n, np.float32))).reshape(c.shape)
-        np.add.at(per, doc[j], (lp * ok).sum(axis=1, dtype=np.float64))
+    # windows behind the first of a text leave out the positions that an earlier one scores
+    for lead in sorted({0, lap}):
+        of = np.flatnonzero(skip == lead)
+        for i in range(0, len(of), batch):
+            j = of[i:i + batch]
+            c, t, ok = _gather(ids, cls, start[j], stop[j], skip[j], bounds[doc[j]], span)
+            z, _ = forward(w, c, skip=lead)
+            t, ok = t[:, lead:], ok[:, lead:]
+            hit = z.reshape(-1)[np.arange(0, z.size, cl.n) + t.reshape(-1)]
+            np.exp(z, out=z)
+            lp = (hit - np.log(z @ np.ones(cl.n, np.float32))).reshape(t.shape)
+            np.add.at(per, doc[j], (lp * ok).sum(axis=1, dtype=np.float64))
     return per
 
 

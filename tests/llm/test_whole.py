@@ -121,3 +121,31 @@ def test_a_secret_whose_identifier_is_out_of_scope_of_its_endpoint(spark):
     assert got.spans == ""
     near = secrets.secret_report(spark.createDataFrame([(1, f"{secret} user=bob host=db1")], TABLE)).first()
     assert [s.split(":")[0] for s in near.spans.split(",")] == ["weak", "account", "endpoint"]
+
+
+def test_positions_that_an_earlier_window_scores_are_not_computed_again(monkeypatch):
+    rng = np.random.default_rng(4)
+    cl = lm.classes(rng.integers(0, 50, lm.END + 1).astype(float), 8)
+    w = lm.start_weights(8, 8, 16, of=cl.of)
+    size = [1, 2, 15, 16, 17, 24, 25, 400]
+    bounds = np.concatenate([[0], np.cumsum(size)])
+    ids = rng.integers(0, lm.END, bounds[-1])
+    rows, keep = [], lm.forward
+
+    def counted(w, c, *a, **k):
+        out = keep(w, c, *a, **k)
+        rows.append(out[0].size // cl.n)
+        return out
+    monkeypatch.setattr(lm, "forward", counted)
+    got = lm.log_probs(w, cl, ids, bounds, 16, 4, batch=7)
+    n = len(lm.windows(bounds, 16, 4)[0])
+    assert sum(rows) == 16 * len(size) + 12 * (n - len(size))  # before: 16 * n
+    for i, total in enumerate(got):
+        text = ids[bounds[i]:bounds[i + 1]]
+        want = cl.logp[text].sum()
+        for at in range(len(text)):
+            k = 0 if at < 16 else (at - 4) // 12
+            before = np.concatenate([[lm.END], text])[12 * k:at + 1]
+            z = keep(w, np.append(before, np.zeros(16 - len(before), np.int64))[None])[0].reshape(-1, cl.n)[len(before) - 1]
+            want += z[cl.of[text[at]]] - np.log(np.exp(z).sum())
+        assert abs(total - want) < 1e-3 * max(1, len(text) / 20)
