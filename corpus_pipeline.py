@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsframe.llm.common import materialize, table
+from newsframe.llm.common import materialize, sieved, table
 from newsframe.llm.decontaminate import clean
 from newsframe.llm.jaccard import jaccard_components
 from newsframe.llm.packing import pack
@@ -37,8 +37,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = jaccard_components(numbered.select(F.col(tag).alias("doc_id"), "text"), k=5, num=8, den=10)
     groups = groups.select(F.col("doc_id").alias(tag), F.col("component_id").alias(f"group_{tag}"))
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(tag))
-    first = (numbered.select("doc_id", tag).join(groups, tag).groupBy(f"group_{tag}").agg(F.min_by(tag, order).alias(tag)).select(tag))
-    return numbered.join(first, tag, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    in_groups = materialize(numbered.select("doc_id", tag).join(groups, tag), "pipeline-groups")
+    first = in_groups.groupBy(f"group_{tag}").agg(F.min_by(tag, order).alias(tag)).select(tag)
+    # few rows go: only those that may be among them meet the list of them
+    gone = materialize(in_groups.select(tag).join(first, tag, "left_anti"), "pipeline-gone")
+    kept = sieved(numbered, gone, tag, f"gone_{tag}")
+    maybe = kept.filter(f"`gone_{tag}`").join(gone, tag, "left_anti")
+    return kept.filter(f"not `gone_{tag}`").unionByName(maybe).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

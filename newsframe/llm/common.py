@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from newsframe.session import materialize, release
 
-__all__ = ["components", "fold", "lowered", "materialize", "release", "table", "words_of"]
+__all__ = ["components", "fold", "lowered", "materialize", "release", "sieved", "table", "words_of"]
+
+#: Words of 64 bits in the filter of ``sieved``.
+SIEVE_WORDS = 1 << 18
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -31,6 +34,17 @@ def fold(doc_id: str | Column, mod: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary") if isinstance(doc_id, str) else doc_id.cast("string").cast("binary")) % mod
 
 
+def sieved(rows: DataFrame, ids: DataFrame, col: str, flag: str) -> DataFrame:
+    """``rows`` with a boolean ``flag``: false where ``col`` is certainly not among ``ids`` (a column of that name). One bit
+    of a filter of at most SIEVE_WORDS words stands for each id, so what is broadcast does not grow with the input; with very many ids it tells
+    fewer rows apart. A join on ``col`` then needs only the flagged rows."""
+    word = F.pmod(F.xxhash64(col), F.lit(SIEVE_WORDS))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(`{col}`, 1), 64) as int))")
+    bits = ids.groupBy(word.alias(f"{flag}_w")).agg(F.bit_or(bit).alias(f"{flag}_b"))
+    out = rows.withColumn(f"{flag}_w", word).join(F.broadcast(bits), f"{flag}_w", "left")
+    return out.withColumn(flag, F.coalesce(F.col(f"{flag}_b").bitwiseAND(bit) != 0, F.lit(False))).drop(f"{flag}_w", f"{flag}_b")
+
+
 def components(links: DataFrame, name: str = "cc") -> DataFrame:
     """Connected components of undirected ``links`` (a, b): rows (id, comp), comp the
     smallest id reachable; ids without a link to another id are absent. Rows with a null are no links.

@@ -19,12 +19,14 @@ is exact; its candidates come from a pigeonhole on hashed segments.
   plus expected chance meetings, from the number of sets in the level's bands.
 
 Finding links among the sets that share a key must not enumerate groups of
-copies. Equal sets are merged first. A few rounds link each set to one head of
-its keys and merge components; keys whose sets are all in one component are done,
-and for the rest every pair of sets from different components is tested,
-in blocks of bounded size, by parity sketches, which bound the size of the
-symmetric difference from below, and exactly after that. Of the keys that hold the
-same sets one is tested. A sketch has some bits for each shingle, so that it does not
+copies. Equal sets are merged first, and of the keys that hold the same sets one stays, with their number.
+A few rounds link each set to one head of its keys and merge components. Then each key gives the nearest
+candidates that would connect its sets, fewer than it has sets (``_forest``), by parity sketches, which bound the size
+of the symmetric difference from below; those that prove to be links are merged. Keys whose sets are all
+in one component are done. For the rest every pair of sets from different components is tested in blocks of
+bounded size: by sketches, and exactly after that, or, for keys in which many pairs pass the sketches without a link, by the
+sets themselves inside the block, which gives at most one link for each component (``reached``). So no step makes more
+rows than a few for each set of a key. A sketch has some bits for each shingle, so that it does not
 fill up in long texts and pairs well below the threshold reach no exact test. Only links
 inside a component that is already connected are not listed.
 
@@ -46,7 +48,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsframe.llm import textops as T
-from newsframe.llm.common import components, materialize, release
+from newsframe.llm.common import components, materialize, release, sieved
 
 SLACK_SHARE = 8
 #: Words of the shortest sketch; all are first compared folded to so many.
@@ -257,23 +259,49 @@ def _sets(k: int):
 
 
 def _exact(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that are linked, by the size of the intersection."""
-    sa = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("toks").alias("ta"))
-    sb = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("toks").alias("tb"))
+    """The pairs (a, b) of a written table that are linked, by the size of the intersection."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    some = sieved(sets.select("id", "n", "toks"), ids, "id", "held").filter("held")
+    sa = some.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("toks").alias("ta"))
+    sb = some.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("toks").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))
     return (pairs.join(sb, "b").join(sa, "a")
             .filter((F.col("na") * num <= F.col("nb") * den) & (F.col("nb") * num <= F.col("na") * den))
             .filter(den * both >= num * (F.col("na") + F.col("nb") - both)).select("a", "b"))
 
 
-def _apart(sketch: np.ndarray, x: np.ndarray, y: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs (x, y) whose full sketches differ in at most ``most`` bits, in steps of bounded memory."""
+def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that the sizes and sketches allow."""
+    sa = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    sb = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+
+    def run(batches):
+        for b in batches:
+            ids, wide, n = [], [], []
+            for side in "ab":
+                ids.append(b.column(side).to_numpy())
+                wide += b.column(f"s{side}").to_pylist()
+                n.append(b.column(f"n{side}").to_numpy())
+            if len(ids[0]):
+                table, x = np.empty(len(wide), dtype=object), np.arange(len(ids[0]))
+                table[:] = wide
+                folded = np.stack([_folded(v, SKETCH_WORDS) for v in wide])
+                gap = np.bitwise_count(folded[x] ^ folded[x + len(x)]).sum(axis=1, dtype=np.int64)
+                x, *_ = _apart(table, x, x + len(x), gap, most_diff(n[0] + n[1], num, den))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[0][x]), pa.array(ids[1][x])], names=["a", "b"])
+    return (pairs.join(sa, "a").join(sb, "b").filter((F.col("na") * num <= F.col("nb") * den) & (F.col("nb") * num <= F.col("na") * den))
+            .mapInArrow(run, "a long, b long"))
+
+
+def _apart(sketch: np.ndarray, x: np.ndarray, y: np.ndarray, gap: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs (x, y) whose full sketches differ in at most ``most`` bits, in steps of bounded memory, and the share of ``most`` in which
+    they differ; ``gap``: the bits in which the folded sketches differ."""
     rows, place = np.unique(np.concatenate([x, y]), return_inverse=True)
     size = np.array([len(sketch[i]) // 8 for i in rows], dtype=np.int64)
     px, py = place[:len(x)], place[len(x):]
     words = np.minimum(size[px], size[py])
-    keep = words <= SKETCH_WORDS
-    for w in np.unique(words[~keep]).tolist():
+    gap = gap.copy()
+    for w in np.unique(words[words > SKETCH_WORDS]).tolist():
         at = np.flatnonzero(words == w)
         used, back = np.unique(np.concatenate([px[at], py[at]]), return_inverse=True)
         table = np.stack([_folded(sketch[i], w) for i in rows[used]])
@@ -281,81 +309,221 @@ def _apart(sketch: np.ndarray, x: np.ndarray, y: np.ndarray, most: np.ndarray) -
         step = max(1, (1 << 18) // w)
         for i in range(0, len(at), step):
             j = slice(i, i + step)
-            keep[at[j]] = np.bitwise_count(table[left[j]] ^ table[right[j]]).sum(axis=1, dtype=np.int64) <= most[at[j]]
-    return x[keep], y[keep]
+            gap[at[j]] = np.bitwise_count(table[left[j]] ^ table[right[j]]).sum(axis=1, dtype=np.int64)
+    keep = gap <= most
+    return x[keep], y[keep], gap[keep] / np.maximum(most[keep], 1)
+
+
+def _runs(batches, names: list[str], more):
+    """The runs of equal (key, bi, bj), which are sorted, as lists of columns, in a list for each batch; ``more``: further columns of a batch."""
+    rest: list[np.ndarray] | None = None
+
+    def cut(cols, last):
+        change = np.flatnonzero((np.diff(cols[0]) != 0) | (np.diff(cols[1]) != 0) | (np.diff(cols[2]) != 0)) + 1
+        bounds = [0, *change.tolist(), len(cols[0])]
+        ends = bounds if last else bounds[:-1]
+        return [[c[i:j] for c in cols] for i, j in zip(ends[:-1], ends[1:], strict=True) if j - i > 1], [c[ends[-1]:] for c in cols]
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = [b.column(c).to_numpy(zero_copy_only=False) for c in names] + more(b)
+        if rest is not None:
+            cols = [np.concatenate([x, y]) for x, y in zip(rest, cols, strict=True)]
+        full, rest = cut(cols, False)
+        yield full
+    if rest is not None:
+        yield cut(rest, True)[0]
+
+
+def _sketched(b: pa.RecordBatch) -> list[np.ndarray]:
+    wide = np.empty(b.num_rows, dtype=object)
+    wide[:] = b.column("sketch").to_pylist()
+    return [wide, np.stack([_folded(x, SKETCH_WORDS) for x in wide])]
+
+
+BLOCK_COLUMNS = ["key", "bi", "bj", "blk", "id", "comp", "n"]
+
+
+def _near(run: list[np.ndarray], num: int, den: int):
+    """Pairs of sets of different components of one run that the sizes and sketches allow: row numbers and the share of the allowed
+    difference that the sketches show, some rows at a time."""
+    at, bi, bj, blk, ids, comp, n, wide, sk = run
+    left, right = (np.flatnonzero(blk == bi[0]), np.flatnonzero(blk == bj[0]))
+    same = bi[0] == bj[0]
+    for i in range(0, len(left), 64):
+        a = left[i:i + 64]
+        total = n[a][:, None] + n[right][None, :]
+        ok = comp[a][:, None] != comp[right][None, :]
+        if same:
+            ok &= ids[a][:, None] < ids[right][None, :]
+        ok &= (n[a][:, None] * num <= n[right][None, :] * den) & (n[right][None, :] * num <= n[a][:, None] * den)
+        x, y = np.nonzero(ok)
+        if not len(x):
+            continue
+        gap = np.bitwise_count(sk[a[x]] ^ sk[right[y]]).sum(axis=1, dtype=np.int64)
+        most = most_diff(total[x, y], num, den)
+        keep = gap <= most
+        yield _apart(wide, a[x[keep]], right[y[keep]], gap[keep], most[keep])
 
 
 def _cross_pairs(num: int, den: int):
     """Pairs of sets of different components within runs of equal (key, bi, bj)
     that the sizes and sketches allow. Rows arrive sorted; a run is at most two blocks."""
-    def test(run: list[np.ndarray]):
-        at, bi, bj, blk, ids, comp, n, wide, sk = run
-        out_a, out_b = [], []
-        left, right = (np.flatnonzero(blk == bi[0]), np.flatnonzero(blk == bj[0]))
-        same = bi[0] == bj[0]
-        for i in range(0, len(left), 64):
-            a = left[i:i + 64]
-            total = n[a][:, None] + n[right][None, :]
-            ok = comp[a][:, None] != comp[right][None, :]
-            if same:
-                ok &= ids[a][:, None] < ids[right][None, :]
-            ok &= (n[a][:, None] * num <= n[right][None, :] * den) & (n[right][None, :] * num <= n[a][:, None] * den)
-            x, y = np.nonzero(ok)
-            if not len(x):
-                continue
-            gap = np.bitwise_count(sk[a[x]] ^ sk[right[y]]).sum(axis=1, dtype=np.int64)
-            most = most_diff(total[x, y], num, den)
-            keep = gap <= most
-            x, y = _apart(wide, a[x[keep]], right[y[keep]], most[keep])
-            out_a.append(ids[x])
-            out_b.append(ids[y])
-        if not out_a:
-            return None
-        a, b = np.concatenate(out_a), np.concatenate(out_b)
-        return np.minimum(a, b), np.maximum(a, b)
-
     def run(batches):
-        rest: list[np.ndarray] | None = None
+        for runs in _runs(batches, BLOCK_COLUMNS, _sketched):
+            found = [(r[4][x], r[4][y]) for r in runs for x, y, _ in _near(r, num, den) if len(x)]
+            if found:
+                a, b = (np.concatenate([p[i] for p in found]) for i in (0, 1))
+                ab = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(ab[0]), pa.array(ab[1])], names=["a", "b"])
+    return run
 
-        def cut(cols, last):
-            """Pairs of the complete runs of ``cols``, and what is left over."""
-            change = np.flatnonzero((np.diff(cols[0]) != 0) | (np.diff(cols[1]) != 0) | (np.diff(cols[2]) != 0)) + 1
-            bounds = [0, *change.tolist(), len(cols[0])]
-            ends = bounds if last else bounds[:-1]
-            found = [p for i, j in zip(ends[:-1], ends[1:], strict=True) if j - i > 1 and (p := test([c[i:j] for c in cols]))]
-            return found, None if last else [c[ends[-1]:] for c in cols]
 
-        def batch_of(found):
-            a, b = (np.concatenate([p[i] for p in found]) for i in (0, 1))
-            ab = np.unique(np.stack([a, b]), axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(ab[0]), pa.array(ab[1])], names=["a", "b"])
+def spanning(u: np.ndarray, v: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """Numbers of the edges (u, v) of a lightest spanning forest of n nodes: in each round every tree takes its lightest edge to another."""
+    order = np.argsort(weight, kind="stable")
+    u, v = u[order], v[order]
+    label, chosen, live, none = np.arange(n), [], np.arange(len(u)), len(u)
+    while True:
+        a, b = label[u[live]], label[v[live]]
+        apart = a != b
+        live, a, b = live[apart], a[apart], b[apart]
+        if not len(live):
+            return order[np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *chosen]))]
+        best = np.full(n, none)
+        np.minimum.at(best, a, live)
+        np.minimum.at(best, b, live)
+        tree = np.flatnonzero(best < none)
+        edge = best[tree]
+        chosen.append(edge)
+        up = np.arange(n)
+        up[tree] = label[u[edge]] + label[v[edge]] - tree
+        both = up[up] == np.arange(n)  # two trees that take the same edge
+        up = np.where(both & (np.arange(n) < up), np.arange(n), up)
+        while (up[up] != up).any():
+            up = up[up]
+        label = up[label]
+
+
+def trees(edges: np.ndarray, n: int) -> np.ndarray:
+    """A number for each of n nodes, equal for those that the edges (two rows of nodes) of a forest connect."""
+    up = np.arange(n)
+    while True:
+        low = up.copy()
+        np.minimum.at(low, edges[0], up[edges[1]])
+        np.minimum.at(low, edges[1], up[edges[0]])
+        low = low[low]
+        if (low == up).all():
+            return up
+        up = low
+
+
+#: Pairs that a key may give to the exact test one by one, for each of its sets; other keys are tested in blocks.
+PAIRS_PER_SET = 4
+#: Share of the allowed difference below which a pair counts as a link in that forecast.
+LIKELY = 0.9
+#: Pairs that ``_forest`` holds at a time.
+FOREST_PAIRS = 1 << 20
+
+
+def _forest(num: int, den: int):
+    """Of the pairs of each run that the sizes and sketches allow, those of a spanning forest of its components, nearest pairs first: fewer rows
+    than sets. A further row (null, null, key) stands for a key that may still give more than PAIRS_PER_SET pairs for each set when those are
+    linked; ``parts`` is the number of blocks of the key, and a run is one of them."""
+    def of(r):
+        ids, comp, parts = r[4], r[5], int(r[9][0])
+        _, c = np.unique(comp, return_inverse=True)
+        keep, pairs, many = [np.zeros((2, 0), dtype=np.int64), np.zeros(0)], [], 0
+
+        def shrunk(keep, pairs):
+            xy = np.concatenate([keep[0], *[np.stack([x, y]) for x, y, _ in pairs]], axis=1)
+            w = np.concatenate([keep[1], *[w for *_, w in pairs]])
+            e = spanning(c[xy[0]], c[xy[1]], w, len(ids))
+            return [xy[:, e], w[e]]
+        held = 0
+        for p in _near(r[:9], num, den):
+            pairs.append(p)
+            many, held = many + len(p[0]), held + len(p[0])
+            if held > FOREST_PAIRS:
+                keep, pairs, held = shrunk(keep, pairs), [], 0
+        xy, w = shrunk(keep, pairs)
+        if many * parts > PAIRS_PER_SET * len(ids):
+            # pairs that are left if those well within the bound prove to be links
+            tree = trees(c[xy[:, w < LIKELY]], len(ids))[c]
+            many = sum(int((tree[x] != tree[y]).sum()) for x, y, _ in _near(r[:9], num, den))
+        return ids[xy[0]], ids[xy[1]], many * parts > PAIRS_PER_SET * len(ids)
 
-        for b in batches:
-            if not b.num_rows:
+    def run(batches):
+        for runs in _runs(batches, BLOCK_COLUMNS, lambda b: [*_sketched(b), b.column("parts").to_numpy()]):
+            found = [(r[0][0], *of(r)) for r in runs]
+            dense = [key for key, *_, much in found if much]
+            a, b = (np.concatenate([np.zeros(0, dtype=np.int64), *[f[i] for f in found]]) for i in (1, 2))
+            if not len(a) and not dense:
                 continue
-            cols = [b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "bi", "bj", "blk", "id", "comp", "n")]
-            wide = np.array(b.column("sketch").to_pylist(), dtype=object)
-            cols += [wide, np.stack([_folded(x, SKETCH_WORDS) for x in wide])]
-            if rest is not None:
-                cols = [np.concatenate([x, y]) for x, y in zip(rest, cols, strict=True)]
-            found, rest = cut(cols, False)
-            if found:
-                yield batch_of(found)
-        if rest is not None:
-            found, _ = cut(rest, True)
-            if found:
-                yield batch_of(found)
+            ab = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            gone = pa.nulls(len(dense), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(ab[0]), gone]), pa.concat_arrays([pa.array(ab[1]), gone]),
+                                              pa.concat_arrays([pa.nulls(ab.shape[1], pa.int64()), pa.array(dense, pa.int64())])], names=["a", "b", "key"])
     return run
 
 
-def _best_heads(members: DataFrame, comp: DataFrame) -> DataFrame:
-    """For each set, the head of the most of its keys among heads of other components."""
+def reached(ids: np.ndarray, comp: np.ndarray, sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+    """Links that connect what the links of these sets connect, at most one for each component: a component that is reached is
+    compared, by the sets' elements, with the sets that are not reached yet."""
+    n = np.array([len(x) for x in sets])
+    _, place = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), n)
+    bounds = np.concatenate([[0], np.cumsum(n)])
+    _, c = np.unique(comp, return_inverse=True)
+    left, mark, out = np.ones(len(sets), dtype=bool), np.zeros(place.max() + 1, dtype=bool), []
+    for seed in range(len(sets)):
+        queue = np.flatnonzero(left & (c == c[seed])).tolist()
+        left[queue] = False
+        while queue and left.any():
+            x = queue.pop()
+            mine = place[bounds[x]:bounds[x + 1]]
+            mark[mine] = True
+            both = np.bincount(owner[mark[place]], minlength=len(sets))
+            mark[mine] = False
+            y = np.flatnonzero(left & (den * both >= num * (n[x] + n - both)))
+            if not len(y):
+                continue
+            new, first = np.unique(c[y], return_index=True)
+            out += [(int(ids[x]), int(ids[i])) for i in y[first]]
+            fresh = left & np.isin(c, new)
+            left &= ~fresh
+            queue += np.flatnonzero(fresh).tolist()
+    return out
+
+
+def _reached(num: int, den: int):
+    """``reached`` of every run of equal (key, bi, bj)."""
+    def lists(b):
+        col, out = b.column("toks"), np.empty(b.num_rows, dtype=object)
+        flat, at = col.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(col.value_lengths().to_numpy(zero_copy_only=False))])
+        out[:] = [flat[i:j].copy() for i, j in zip(at[:-1], at[1:], strict=True)]
+        return [out]
+
+    def run(batches):
+        for runs in _runs(batches, ["key", "bi", "bj", "id", "comp"], lists):
+            got = [p for r in runs for p in reached(r[3], r[4], list(r[5]), num, den)]
+            if got:
+                a, b = np.array(sorted(set(got)), dtype=np.int64).T
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+    return run
+
+
+def _best_heads(members: DataFrame, comp: DataFrame, turn: int) -> DataFrame:
+    """For each set, the head of the most of its keys among heads of other components. The head of a key is of the first of its components, in
+    another order in each turn."""
     m = members.join(comp, "id")
+    first = F.xxhash64("comp", F.lit(turn))
     # one row for a key and component: a hot key is reduced before it meets
     heads = (m.groupBy("key", "comp").agg(F.min("id").alias("id"))
-             .groupBy("key").agg(F.min_by("id", "comp").alias("head"), F.min("comp").alias("hc"), F.max("comp").alias("mc"))
-             .filter("hc <> mc").drop("mc"))
-    votes = m.join(heads, "key").filter("comp <> hc").groupBy("id", "head").agg(F.count("*").alias("v"))
+             .groupBy("key").agg(F.min_by("id", first).alias("head"), F.min_by("comp", first).alias("hc"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+             .filter("lo <> hi").drop("lo", "hi"))
+    votes = m.join(heads, "key").filter("comp <> hc").groupBy("id", "head").agg(F.sum("w").alias("v"))
     return votes.groupBy("id").agg(F.max_by("head", F.struct("v", "head")).alias("head")).select(F.col("head").alias("a"), F.col("id").alias("b"))
 
 
@@ -390,15 +558,28 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10,
     members = _members(docs, links_of_ids, k, lv)
     comp = materialize(members.select("id").distinct().withColumn("comp", F.col("id")), "jac-c0")
     if not comp.isEmpty():
-        sets = materialize(docs.join(comp.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+        held = comp.select(F.col("id").alias("doc_id"))
+        sets = materialize(sieved(docs, held, "doc_id", "held").filter("held").drop("held").join(held, "doc_id", "left_semi")
                            .mapInArrow(_sets(k), "id long, n long, sketch binary, toks array<long>"), "jac-sets")
         for r in range(rounds):
-            links = materialize(_exact(_best_heads(members, comp), sets, num, den), f"jac-l{r}")
+            heads = materialize(_possible(_best_heads(members, comp, r), sets, num, den), f"jac-h{r}")
+            links = materialize(_exact(heads, sets, num, den), f"jac-l{r}")
+            release(heads)
             if links.isEmpty():
                 release(links)
                 break
             comp = _relabel(comp, links, f"jac-r{r}")
-        links = materialize(_exact(_residual(members, comp, sets, num, den, block), sets, num, den), "jac-lx")
+        near = materialize(_nearest(members, comp, sets, num, den, block), "jac-n")
+        comp = _relabel(comp, materialize(_exact(near.filter("key is null").select("a", "b").distinct(), sets, num, den), "jac-ln"), "jac-rn")
+        dense, sparse = near.filter("key is not null").select("key").distinct(), members
+        if not dense.isEmpty():
+            links = materialize(_blocks(members.join(dense, "key", "left_semi"), comp, sets.select("id", "toks"), block)
+                                .select("key", "bi", "bj", "id", "comp", "toks").mapInArrow(_reached(num, den), "a long, b long").distinct(), "jac-ld")
+            comp = _relabel(comp, links, "jac-rd")
+            sparse = members.join(dense, "key", "left_anti")
+        rest = materialize(_residual(sparse, comp, sets, num, den, block), "jac-x")
+        links = materialize(_exact(rest, sets, num, den), "jac-lx")
+        release(near, rest)
         release(sets)
         comp = _relabel(comp, links, "jac-rx")
     release(members)
@@ -416,31 +597,51 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10,
 
 
 def _members(docs: DataFrame, reps: DataFrame, k: int, lv: list[Level]) -> DataFrame:
-    """(key, id) of the keys that at least two different sets share; id: the class's smallest."""
+    """(key, id, w) of the keys that at least two different sets share; id: the class's smallest; w: the keys that hold the same sets."""
     by_key = Window.partitionBy("key").orderBy("id")
     shared = (docs.mapInArrow(_entries(k, lv), "key long, id long, more array<long>")
               .withColumn("before", F.lag("id").over(by_key)).withColumn("after", F.lead("id").over(by_key))
               .filter("before is not null or after is not null or more is not null")
               .select("key", F.explode(F.concat(F.array("id"), F.coalesce("more", F.array().cast("array<long>")))).alias("a")))
     shared = materialize(shared, "jac-m0")
-    rows = shared.join(reps, "a").select("key", F.col("b").alias("id")).distinct()
-    live = rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi").select("key")
-    out = materialize(rows.join(live, "key"), "jac-m")
+    rows = shared.join(reps, "a").select("key", F.col("b").alias("id")).distinct().repartition("key")
+    # of the keys that hold the same sets (128 bits and the number of them) one stays, with their number
+    live = rows.groupBy("key").agg(*_content()).filter("lo <> hi").groupBy("c", "lo", "hi", "h1", "h2").agg(F.min("key").alias("key"), F.count("*").alias("w"))
+    out = materialize(rows.join(live.select("key", "w"), "key"), "jac-m")
     release(shared)
     return out
 
 
-def _residual(members: DataFrame, comp: DataFrame, sets: DataFrame, num: int, den: int, block: int) -> DataFrame:
-    """Every pair of sets of different components that share a key and pass the sketch."""
+def _content() -> list:
+    """What a key holds: the number of its sets, the smallest and the largest, and 128 bits of them."""
+    return [F.count("*").alias("c"), F.min("id").alias("lo"), F.max("id").alias("hi"), F.bit_xor(F.xxhash64("id")).alias("h1"),
+            F.bit_xor(F.xxhash64("id", F.lit("again"))).alias("h2")]
+
+
+def _nearest(members: DataFrame, comp: DataFrame, sets: DataFrame, num: int, den: int, block: int) -> DataFrame:
+    """(a, b, key): candidates that connect the sets of each key, fewer than its sets, and the keys with many pairs (``_forest``). A key of more than
+    ``block`` sets is cut into blocks, otherwise for each key; no set is in two blocks of a key."""
+    m = members.join(comp, "id")
+    sizes = m.groupBy("key").agg(F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+    m = m.join(sizes.select("key", F.ceil(F.col("c") / block).alias("parts")), "key").withColumn("blk", F.pmod(F.xxhash64("id", "key"), "parts").cast("int"))
+    m = m.select("key", F.col("blk").alias("bi"), F.col("blk").alias("bj"), "blk", "id", "comp", "parts").join(sets.select("id", "n", "sketch"), "id")
+    m = m.repartition("key", "bi").sortWithinPartitions("key", "bi", "bj")
+    return m.select(*BLOCK_COLUMNS, "sketch", "parts").mapInArrow(_forest(num, den), "a long, b long, key long")
+
+
+def _blocks(members: DataFrame, comp: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+    """Sorted rows (key, bi, bj, blk, id, comp and the columns of ``sets``): the sets of each key with several components, in all pairs of its blocks."""
     m = members.join(comp, "id")
-    # keys that hold the same sets (128 bits and the number of them) would test the same pairs: one of them stays
-    sizes = (m.groupBy("key").agg(F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                  F.bit_xor(F.xxhash64("id")).alias("h1"), F.bit_xor(F.xxhash64("id", F.lit("again"))).alias("h2"))
-             .filter("lo <> hi").groupBy("c", "lo", "hi", "h1", "h2").agg(F.min("key").alias("key"))
-             .select("key", F.ceil(F.col("c") / block).cast("int").alias("nb")))
+    sizes = m.groupBy("key").agg(F.min("comp").alias("first"), F.max("comp").alias("last"), *_content()).filter("first <> last")
+    # keys that hold the same sets would test the same pairs: one of them stays
+    sizes = sizes.groupBy("c", "lo", "hi", "h1", "h2").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("c") / block).cast("int").alias("nb"))
     m = m.join(sizes, "key").withColumn("blk", (F.pmod(F.xxhash64("id"), F.col("nb"))).cast("int"))
     m = m.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     m = m.select("key", F.least("blk", "o").alias("bi"), F.greatest("blk", "o").alias("bj"), "blk", "id", "comp")
-    m = m.join(sets.select("id", "n", "sketch"), "id")
-    m = m.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
-    return m.select("key", "bi", "bj", "blk", "id", "comp", "n", "sketch").mapInArrow(_cross_pairs(num, den), "a long, b long").distinct()
+    return m.join(sets, "id").repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
+
+
+def _residual(members: DataFrame, comp: DataFrame, sets: DataFrame, num: int, den: int, block: int) -> DataFrame:
+    """Every pair of sets of different components that share a key and pass the sketch."""
+    m = _blocks(members, comp, sets.select("id", "n", "sketch"), block)
+    return m.select(*BLOCK_COLUMNS, "sketch").mapInArrow(_cross_pairs(num, den), "a long, b long").distinct()
