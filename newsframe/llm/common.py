@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsframe.session import materialize, release
 
-__all__ = ["components", "fold", "lowered", "materialize", "release", "sieved", "table", "words_of"]
+__all__ = ["batch_rows", "components", "fold", "lowered", "materialize", "release", "sieved", "table", "words_of"]
 
 #: Words of 64 bits in the filter of ``sieved``.
 SIEVE_WORDS = 1 << 18
@@ -19,6 +22,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, most: int) -> Iterator[None]:
+    """Queries that run inside hand Python at most ``most`` rows at once: a batch of whole texts is held several times, by Spark and by
+    the worker. A lower setting of the session stays as it is; after the queries the setting is as before."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(name, None)
+    if was is not None and 0 < int(was) <= most:
+        yield
+        return
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, was)
+
+
 def lowered(c: Column) -> Column:
     """A-Z in lower case, everything else unchanged."""
     return F.translate(c, UPPER, LOWER)

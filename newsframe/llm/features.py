@@ -92,7 +92,8 @@ def sample(spark: SparkSession, docs: DataFrame, ids: DataFrame, featuriser: Fea
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("tag").cast(pa.int32()), lists], names=["doc_id", "tag", "x"])
     # the sample has a bounded number of ids, so this side is small at any size of docs
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id")
-    got = rows.select("doc_id", "tag", "text").mapInArrow(run, "doc_id long, tag int, x array<int>").toArrow().sort_by("doc_id")
+    got = rows.select("doc_id", "tag", "text").mapInArrow(run, "doc_id long, tag int, x array<int>").toArrow()
+    got = got.sort_by("doc_id")  # the unsorted rows go
     col = got.column("x").combine_chunks()
     if got.num_rows == 0:
         return np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int32)

@@ -48,9 +48,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsframe.llm import textops as T
-from newsframe.llm.common import components, materialize, release, sieved
+from newsframe.llm.common import batch_rows, components, materialize, release, sieved
 
 SLACK_SHARE = 8
+#: Rows of a batch that Python gets at most: some 8 MB of usual texts.
+BATCH_ROWS = 4096
 #: Words of the shortest sketch; all are first compared folded to so many.
 SKETCH_WORDS = 8
 #: (at least so many bits for each shingle, up to so many words): the first is for usual texts, the second keeps long texts apart.
@@ -134,7 +136,7 @@ def _sums(x: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def _signatures(k: int):
     def run(batches):
-        for b in T.slices(batches, "text"):
+        for b in T.slices(batches, "text", T.SMALL_SLICE_BYTES):
             toks, bounds = shingles(b.column("text"), k)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").cast(pa.int64()), pa.array(np.diff(bounds)), T.signed(_sums(T.mix(toks), bounds)),
@@ -201,9 +203,13 @@ def _entries(k: int, lv: list[Level]):
             b = b.filter(ids.is_valid())
             if not b.num_rows:
                 continue
-            ids = b.column("doc_id").cast(pa.int64()).to_numpy(zero_copy_only=False)
-            key, owner = segment_keys(*shingles(b.column("text"), k), lv)
-            who = ids[owner]
+            # the arrays of a shingle's keys are many times its text: only keys and ids are held for a whole slice
+            found = []
+            for part in T.slices([b], "text", T.SMALL_SLICE_BYTES):
+                key, owner = segment_keys(*shingles(part.column("text"), k), lv)
+                found.append((key, part.column("doc_id").cast(pa.int64()).to_numpy(zero_copy_only=False)[owner]))
+            key, who = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+            del found
             order = np.lexsort((who, key))
             key, who = key[order], who[order]
             fresh = np.ones(len(key), dtype=bool)
@@ -248,7 +254,7 @@ def _folded(sketch: bytes, words: int) -> np.ndarray:
 
 def _sets(k: int):
     def run(batches):
-        for b in T.slices(batches, "text"):
+        for b in T.slices(batches, "text", T.SMALL_SLICE_BYTES):
             toks, bounds = shingles(b.column("text"), k)
             words, at = sketches(toks, bounds)
             lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), T.signed(toks))
@@ -539,6 +545,11 @@ def _relabel(comp: DataFrame, links: DataFrame, name: str) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, rounds: int = 2, block: int = 4096) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
+    with batch_rows(docs.sparkSession, BATCH_ROWS):
+        return _components_of(docs, k, num, den, rounds, block)
+
+
+def _components_of(docs: DataFrame, k: int, num: int, den: int, rounds: int, block: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sig = materialize(docs.mapInArrow(_signatures(k), "doc_id long, n_shingles long, s1 long, s2 long"), "jac-sig")
     classes = materialize(sig.filter("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("rep")), "jac-cls")

@@ -29,6 +29,8 @@ from newsframe.llm.common import fold
 from newsframe.llm.features import bare_words, bounded_ids, row_sums, sample, scored
 
 MOD, REST, CUT = 4, 2, 0.3
+#: Rows of the sample that ``telling`` counts at a time.
+STEP = 1024
 
 
 def fit_nnpu(x: np.ndarray, bounds: np.ndarray, positive: np.ndarray, prior: float, width: int, epochs: int = 12,
@@ -72,15 +74,22 @@ def fit_nnpu(x: np.ndarray, bounds: np.ndarray, positive: np.ndarray, prior: flo
 def telling(x: np.ndarray, bounds: np.ndarray, positive: np.ndarray, width: int, least: float = 14.0) -> tuple[np.ndarray, np.ndarray]:
     """The runs with only the features whose counts among positives and unlabelled have
     a log-likelihood ratio statistic of ``least`` or more."""
-    row = np.repeat(positive, np.diff(bounds))
-    p, u = np.bincount(x[row], minlength=width), np.bincount(x[~row], minlength=width)
+    p, u = np.zeros(width, dtype=np.int64), np.zeros(width, dtype=np.int64)
+    for i in range(0, len(positive), STEP):  # some rows at a time: numpy widens what it counts
+        at = bounds[i:i + STEP + 1]
+        row, part = np.repeat(positive[i:i + STEP], np.diff(at)), x[at[0]:at[-1]]
+        p += np.bincount(part[row], minlength=width)
+        u += np.bincount(part[~row], minlength=width)
     n, m = positive.sum(), (~positive).sum()
     part = n / (n + m)
     with np.errstate(divide="ignore", invalid="ignore"):
         stat = 2 * (np.where(p > 0, p * np.log(p / ((p + u) * part)), 0) + np.where(u > 0, u * np.log(u / ((p + u) * (1 - part))), 0))
-    keep = (stat >= least)[x]
-    c = np.concatenate([[0], np.cumsum(keep)])
-    return x[keep], c[bounds]
+    good = stat >= least
+    keep = np.empty(len(x), dtype=bool)
+    for i in range(0, len(x), 1 << 20):
+        keep[i:i + (1 << 20)] = good[x[i:i + (1 << 20)]]
+    at = np.flatnonzero(keep)
+    return x[at], np.searchsorted(at, bounds)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, most_pos: int = 8_000, most_unl: int = 16_000, bits: int = 20,
@@ -100,7 +109,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, most_pos: int = 8_000, m
         x, bounds, tag = sample(spark, docs, pos.union(unl), featuriser)
         if (tag == 1).any() and (tag == 0).any():
             x, bounds = telling(x, bounds, tag == 1, 1 << bits)
-            used, x = np.unique(x, return_inverse=True)
+            seen = np.zeros(1 << bits, dtype=bool)
+            seen[x] = True
+            used, x = np.flatnonzero(seen), (np.cumsum(seen, dtype=np.int32) - np.int32(1))[x]
             w, bias = fit_nnpu(x, bounds, tag == 1, min(max(float(share), 1e-4), 0.9), len(used))
             weights[used] = w
     return scored(docs, featuriser, weights, bias, mod, rest, cut, keep)
