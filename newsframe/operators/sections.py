@@ -51,17 +51,35 @@ def path_steps(path: Column) -> Column:
 
 
 def matched(path: Column) -> Column:
-    """The nodes of a page's row that a path selects, in document order.
+    """The nodes of a page's row that a path selects, in document order; ``nodes`` must be a raw tree.
 
-    An absolute path is walked down: each step keeps, of the nodes at its depth with its tag (and place), those
-    below a node kept before. ``//tag[@a="v"]`` forms (the fixed og expressions) test tag and attribute.
+    An absolute path keeps the nodes that meet the step of their own depth and stand below such nodes only (``_chained``):
+    each node is looked at once, however many steps there are. ``//tag[@a="v"]`` forms (the fixed og
+    expressions) test tag and attribute.
     """
-    walked = F.aggregate(path_steps(path), F.array(F.lit(-1)), lambda kept, s: F.transform(
-        F.filter("nodes", lambda n: (n["depth"] == s["depth"]) & (n["tag"] == s["tag"])
-                 & (s["index"].isNull() | (n["tag_pos"] == s["index"])) & F.array_contains(kept, n["parent"])), lambda n: n["id"]))
+    def walked(steps):
+        def meets(n):
+            step = F.get(steps, n["depth"])
+            return (n["tag"] == step["tag"]) & (step["index"].isNull() | (n["tag_pos"] == step["index"]))
+        found = _let(F.filter("nodes", meets), lambda met: _chained(met, F.size(steps) - 1))
+        return F.when(F.size(steps) == 0, F.array(F.lit(-1))).when(steps.isNotNull(), found)
     tag, name, value = (F.regexp_extract(path, _DESC_ATTR_RE, k) for k in (1, 2, 3))
     anywhere = F.filter("nodes", lambda n: (n["tag"] == tag) & F.coalesce(n["attrs"][name] == value, F.lit(False)))
-    return F.when(tag != "", anywhere).otherwise(_let(walked, lambda ids: F.transform(ids, lambda i: F.get("nodes", i))))
+    ids = _let(path_steps(path), walked)
+    return F.when(tag != "", anywhere).otherwise(_let(ids, lambda found: F.transform(found, lambda i: F.get("nodes", i))))
+
+
+def _chained(met: Column, depth: Column) -> Column:
+    """The ids of the nodes at ``depth`` all of whose ancestors are among ``met`` too (some nodes in document order).
+
+    Their starts and ends are sorted into one list, an end behind the starts inside. The ``k``-th start stands at place ``i`` of it:
+    ``k`` nodes have started before it, ``i - k`` of them have ended, and the other ``2k - i`` are its ancestors.
+    """
+    starts = F.transform(met, lambda n: F.struct(n["id"].alias("at"), F.lit(0).alias("ends"), n["depth"].alias("depth")))
+    ends = F.transform(met, lambda n: F.struct(n["end"].alias("at"), F.lit(1).alias("ends"), n["depth"].alias("depth")))
+    placed = F.transform(F.sort_array(F.concat(starts, ends)), lambda e, i: F.struct(e["at"].alias("id"), e["ends"].alias("ends"), e["depth"].alias("depth"), i.alias("i")))
+    held = F.transform(F.filter(placed, lambda e: e["ends"] == 0), lambda e, k: F.struct(e["id"].alias("id"), e["depth"].alias("depth"), (2 * k - e["i"]).alias("above")))
+    return F.transform(F.filter(held, lambda n: (n["depth"] == depth) & (n["above"] == depth)), lambda n: n["id"])
 
 
 def evaluated(path: Column) -> Column:
@@ -71,24 +89,30 @@ def evaluated(path: Column) -> Column:
     ``//text()`` every text run under every match, each followed by a
     newline (``all_text``), and the first run as ``first_value``. A run below several matches counts once.
     """
-    kind = path_kind(path)
+    return _let(matched(path), lambda found: _value(path, found))
 
-    def value(found):
-        first = F.get(found, 0)
-        places = F.array_distinct(F.flatten(F.transform(F.filter(found, lambda n: n["hi"] > n["lo"]), lambda n: F.sequence(n["lo"], n["hi"] - 1))))
-        texts = F.when(kind == "text", F.transform(F.sort_array(places), lambda i: F.get("runs", i)))
-        return _let(texts, lambda t: F.struct(
-            F.when(first.isNull(), F.lit(None)).when(kind == "attr", first["attrs"][path_attr(path)])
-            .when(kind == "elem", inner_text(first)).otherwise(F.get(t, 0)).alias("first_value"),
-            F.when(F.size(t) > 0, F.array_join(F.transform(t, lambda r: F.concat(r, F.lit("\n"))), "")).alias("all_text")))
-    return _let(matched(path), value)
+
+def _value(path: Column, found: Column) -> Column:
+    """What a path reads at the nodes that it selects."""
+    kind = path_kind(path)
+    first = F.get(found, 0)
+    places = F.array_distinct(F.flatten(F.transform(F.filter(found, lambda n: n["hi"] > n["lo"]), lambda n: F.sequence(n["lo"], n["hi"] - 1))))
+    texts = F.when(kind == "text", F.transform(F.sort_array(places), lambda i: F.get("runs", i)))
+    return _let(texts, lambda t: F.struct(
+        F.when(first.isNull(), F.lit(None)).when(kind == "attr", first["attrs"][path_attr(path)])
+        .when(kind == "elem", inner_text(first)).otherwise(F.get(t, 0)).alias("first_value"),
+        F.when(F.size(t) > 0, F.array_join(F.transform(t, lambda r: F.concat(r, F.lit("\n"))), "")).alias("all_text")))
 
 
 def select_path(trees: DataFrame, path: Column) -> DataFrame:
-    """C4 as rows: ``(page_id, path, first_value, all_text)`` of the pages on which the ``path`` (a column of ``trees``) matches."""
-    out = trees.select("page_id", path.alias("path"), "nodes", "runs").filter("path IS NOT NULL")
-    out = out.select("page_id", "path", F.size(matched(F.col("path"))).alias("n"), evaluated(F.col("path")).alias("v"))
-    return out.filter("n > 0").select("page_id", "path", "v.first_value", "v.all_text")
+    """C4 as rows: ``(page_id, path, first_value, all_text)`` of the pages on which the ``path`` (a column of ``trees``) matches.
+
+    The rows come from a generator, which computes its array once. A filter on the path or on its matches would
+    be pushed down with all that computes them (a body path: the scoring of the page) copied into it for each mention.
+    """
+    out = trees.select("page_id", path.alias("path"), "nodes", "runs")
+    rows = _let(matched(F.col("path")), lambda found: F.when(F.size(found) > 0, F.array(_value(F.col("path"), found))))
+    return out.select("page_id", "path", F.inline(rows))
 
 
 # ----------------------------------------------------------------------

@@ -38,6 +38,17 @@ def test_page_plans_have_no_shuffle_join_or_cache(spark, static_plans, monkeypat
         assert plan.count("MapInArrow") == (3 if name == "cleaned" else 1), name
 
 
+def test_path_rows_score_each_page_once(spark):
+    from newsframe.operators import body as B
+    from newsframe.operators import dom as D
+    from newsframe.operators.sections import select_path
+    text = "it is the one that was in all of the news"
+    pages = pages_df(spark, [f"<html><body><div><p>{text}</p><p>b {text}</p></div></body></html>", "<html><body><p>none</p></body></html>"])
+    out = select_path(B.with_body(D.page_trees(pages), text=False), F.col("text_path"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("split(lower(") == 1  # the stop words of each block
+    assert [tuple(r) for r in out.collect()] == [(0, "/html/body/div//text()", text, f"{text}\nb {text}\n")]
+
+
 def test_hot_section_ships_k_rows_per_task(spark):
     from newsframe.operators.sections import section_sample
     urls = [f"http://hot.example/en/{i}" for i in range(300)] + ["http://cold.example/fr/1"]

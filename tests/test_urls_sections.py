@@ -1,5 +1,7 @@
 """U1-U7 and E1-E6 on the reference's source fixtures."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from conftest import pages_df
@@ -86,3 +88,32 @@ def test_paths_against_a_plain_walk(spark):
         r = SE.select_path(t, F.lit(path)).collect()
         assert [(x.first_value, x.all_text) for x in r] == [expected], path
     assert SE.select_path(t, F.lit("/html/body/div[3]/p")).count() == 0
+
+
+def test_path_matches_equal_a_walk_down_random_trees(spark):
+    rnd = random.Random(5)
+
+    def markup(depth):
+        if depth == 0 or rnd.random() < 0.2:
+            return rnd.choice(["t", "x y", ""])
+        tag = rnd.choice(["div", "p", "b"])
+        return f"<{tag}>{''.join(markup(depth - 1) for _ in range(rnd.randint(0, 4)))}</{tag}>" + rnd.choice(["", "tail"])
+    trees = D.page_trees(pages_df(spark, ["".join(markup(rnd.randint(1, 5)) for _ in range(rnd.randint(0, 3))) for _ in range(60)]))
+    steps = [[(rnd.choice(["div", "p", "b"]), rnd.choice([None, None, 1, 2])) for _ in range(rnd.randint(1, 4))] for _ in range(30)]
+    paths = ["".join(f"/{tag}" if k is None else f"/{tag}[{k}]" for tag, k in s) for s in steps]
+    given = spark.createDataFrame(list(enumerate(paths)), "k int, path string")
+    some = 0
+    for r in trees.crossJoin(given).select("k", "nodes", SE.matched(F.col("path")).alias("found")).collect():
+        kept = [-1]
+        for depth, (tag, k) in enumerate(steps[r.k]):
+            kept = [n.id for n in r.nodes if (n.depth, n.tag) == (depth, tag) and k in (None, n.tag_pos) and n.parent in kept]
+        assert [n.id for n in r.found] == kept, paths[r.k]
+        some += len(kept)
+    assert some > 100
+
+
+def test_long_path_down_a_deep_page(spark):
+    deep = 3000
+    trees = D.page_trees(pages_df(spark, ["<div>" * deep + "<p>a</p><p>b</p>" + "</div>" * deep]))
+    assert [tuple(r) for r in SE.select_path(trees, F.lit("/div" * deep + "/p//text()")).select("first_value", "all_text").collect()] == [("a", "a\nb\n")]
+    assert SE.select_path(trees, F.lit("/div" * (deep - 1) + "/p")).count() == 0
