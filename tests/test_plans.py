@@ -49,6 +49,16 @@ def test_path_rows_score_each_page_once(spark):
     assert [tuple(r) for r in out.collect()] == [(0, "/html/body/div//text()", text, f"{text}\nb {text}\n")]
 
 
+def test_block_scores_search_no_list_of_blocks(spark):
+    from newsframe.operators import body as B
+    from newsframe.operators import dom as D
+    trees = D.page_trees(pages_df(spark, ["<html><body><div>" + "<p>it is the one</p>" * 3 + "<hr><p>it is the one</p><p>it is the one</p></div></body></html>"]))
+    out = B.block_scores(trees)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_contains" not in plan and "array_position" not in plan  # each passes over a page's blocks, for each of them
+    assert [(r.i, r.boostable, r.boost) for r in out.collect()] == [(0, False, 0.0), (1, True, 50.0), (2, True, 25.0), (3, False, 0.0), (4, True, 50 / 3)]
+
+
 def test_hot_section_ships_k_rows_per_task(spark):
     from newsframe.operators.sections import section_sample
     urls = [f"http://hot.example/en/{i}" for i in range(300)] + ["http://cold.example/fr/1"]
